@@ -1,0 +1,131 @@
+"""What a Python task does for one scenario: walk the days of a small panel.
+
+The panel arrives as plain arrays sorted by (day, ticker number); tickers are
+numbered in the order candidates are counted in, so a position in a day's slice
+is the ticker's rank."""
+
+from __future__ import annotations
+
+import datetime as dt
+from typing import NamedTuple
+
+import numpy as np
+import pandas as pd
+
+from daypanel.functions import draws
+
+EPOCH = dt.date(1970, 1, 1)
+
+
+class Market(NamedTuple):
+    days: np.ndarray       # dates
+    names: np.ndarray      # ticker of each number
+    in_pool: np.ndarray    # may this ticker be drawn?
+    tickers: np.ndarray    # ticker number of each quote
+    prices: np.ndarray     # price of each quote
+    starts: np.ndarray     # first quote of each day
+
+    def on_day(self, day_idx: int):
+        cut = slice(self.starts[day_idx], self.starts[day_idx + 1])
+        return self.tickers[cut], self.prices[cut]
+
+
+def pack(quotes: pd.DataFrame) -> Market:
+    """From (ticker, day_no, price, in_pool) rows. The calendar keeps days on
+    which only unusable prices were quoted."""
+    day_nos = np.unique(quotes["day_no"].to_numpy(dtype=np.int64))
+    days = np.array([EPOCH + dt.timedelta(days=int(d)) for d in day_nos], dtype=object)
+    quotes = quotes[quotes["price"] > 0]
+    tickers = quotes.drop_duplicates("ticker")
+    tickers = tickers.assign(key=tickers["ticker"].map(draws.shelf_key_local))
+    tickers = tickers.sort_values(["key", "ticker"])
+    names = tickers["ticker"].to_numpy(dtype=object)
+    ticker_no = pd.Index(names, dtype=object).get_indexer(quotes["ticker"]).astype(np.int32)
+    day_idx = np.searchsorted(day_nos, quotes["day_no"].to_numpy(dtype=np.int64))
+    order = np.lexsort((ticker_no, day_idx))
+    return Market(
+        days=days,
+        names=names,
+        in_pool=tickers["in_pool"].to_numpy(dtype=bool),
+        tickers=ticker_no[order],
+        prices=quotes["price"].to_numpy(dtype=float)[order],
+        starts=np.searchsorted(day_idx[order], np.arange(len(days) + 1)))
+
+
+def numbered(market: Market, lots: pd.DataFrame) -> dict:
+    """Opening lots as ticker number -> (entry day index, entry price, units)."""
+    numbers = pd.Index(market.names, dtype=object).get_indexer(lots["ticker"])
+    return {int(t): (0, float(p), float(u))
+            for t, p, u in zip(numbers, lots["entry_price"], lots["units"])}
+
+
+def find(sorted_values: np.ndarray, wanted: np.ndarray):
+    """Where each wanted value sits, and whether it is there at all."""
+    at = np.searchsorted(sorted_values, wanted)
+    there = at < len(sorted_values)
+    there[there] = sorted_values[at[there]] == wanted[there]
+    return at, there
+
+
+def trade_day(sim, day_idx, held, market, n_universe, seed, policy) -> list[tuple]:
+    """One move per holding; sales are all decided from the opening state."""
+    tickers, prices = market.on_day(day_idx)
+    mine = np.fromiter(held, dtype=np.int32, count=len(held))
+    at, trades = find(tickers, mine)
+    today = np.full(len(mine), np.nan)
+    today[trades] = prices[at[trades]]
+    entry = np.array([held[t][1] for t in mine.tolist()])
+    reasons = [(name, np.asarray(cond)) for name, cond in policy.signals(entry, today)]
+
+    # The k-th tradable ticker that is not owned, without listing them.
+    tradable = tickers[market.in_pool[tickers]]
+    own_at, own = find(tradable, mine)
+    own_ranks = np.sort(own_at[own]) if len(mine) < n_universe else own_at[:0]
+    free_below = own_ranks - np.arange(len(own_ranks))
+    n_free = len(tradable) - len(own_ranks)
+
+    moves = []
+    for i, ticker in enumerate(mine.tolist()):
+        entry_idx, entry_price, units = held[ticker]
+        price = float(today[i]) if trades[i] else None
+        reason = next((name for name, cond in reasons if trades[i] and cond[i]), None)
+        if reason is None or n_free == 0:
+            moves.append((sim, day_idx, ticker, units, price, None,
+                          ticker, price, units, entry_idx, entry_price))
+            continue
+        k = draws.seeded_draw_local(seed, sim, day_idx, market.names[ticker]) % n_free
+        choice = int(tradable[k + np.searchsorted(free_below, k, side="right")])
+        new_price = float(prices[np.searchsorted(tickers, choice)])
+        moves.append((sim, day_idx, ticker, units, price, reason,
+                      choice, new_price, units * price / new_price, day_idx, new_price))
+    return moves
+
+
+def holdings_after(moves: list[tuple]) -> dict:
+    """Merge the lots that ended in one ticker."""
+    held: dict = {}
+    for move in moves:
+        ticker, units, entry_idx, entry_price = move[6], move[8], move[9], move[10]
+        if ticker in held:
+            other_idx, other_price, other_units = held[ticker]
+            units += other_units
+            if other_idx > entry_idx:
+                entry_idx, entry_price = other_idx, other_price
+        held[ticker] = (entry_idx, entry_price, units)
+    return held
+
+
+def run_scenario(sim, held, market, n_universe, seed, policy) -> pd.DataFrame:
+    rows: list[tuple] = []
+    for day_idx in range(1, len(market.days)):
+        moves = trade_day(sim, day_idx, held, market, n_universe, seed, policy)
+        rows.extend(moves)
+        held = holdings_after(moves)
+    out = pd.DataFrame(rows, columns=[
+        "sim", "day_idx", "ticker", "units", "price", "reason", "new_ticker", "new_price",
+        "new_units", "new_entry_day", "new_entry_price"])
+    out["day"] = market.days[out["day_idx"].to_numpy(dtype=int)]
+    out["new_entry_day"] = market.days[out["new_entry_day"].to_numpy(dtype=int)]
+    out["ticker"] = market.names[out["ticker"].to_numpy(dtype=int)]
+    out["new_ticker"] = market.names[out["new_ticker"].to_numpy(dtype=int)]
+    return out

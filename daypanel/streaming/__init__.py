@@ -1,0 +1,2 @@
+"""Empty on purpose: the engine's inputs are bounded daily files, so it has no
+stream operators."""
