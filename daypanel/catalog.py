@@ -146,7 +146,7 @@ def ticker_list(spark, sf_dir):
         F.lit(1).alias("line_no"),
         F.concat(F.lit(' "'), F.col("ticker"), F.lit('" , "Company '), F.col("ticker"),
                  F.lit('"')).alias("line"))
-    header = tickers.agg(F.lit(0).alias("line_no"), F.lit('"Symbol","Name"').alias("line"))
+    header = spark.range(1).select(F.lit(0).alias("line_no"), F.lit('"Symbol","Name"').alias("line"))
     return ticker_source.ticker_list(header.unionByName(body))
 
 
@@ -251,6 +251,13 @@ def portfolio_value(spark, sf_dir):
     return totals.select("sim", "day", *rounded("total"))
 
 
+@query
+def holdings_snapshot(spark, sf_dir):
+    """The whole market portfolio on every day it trades."""
+    snapshot = panel.holdings_snapshot(whole_market_lots(spark, sf_dir), load_prices(spark, sf_dir))
+    return snapshot.select("sim", "day", "ticker", "price", *rounded("units"))
+
+
 # -- trading ------------------------------------------------------------------
 
 @query
@@ -356,7 +363,7 @@ def _moves(spark, sf_dir, method="auto", **kind):
 
 def _totals(spark, sf_dir, method="auto", **kind):
     totals = backtest.scenario_totals(_moves(spark, sf_dir, method, **kind),
-                                      load_prices(spark, sf_dir), N_SIMS)
+                                      panel.day_index(ticks(spark, sf_dir)), N_SIMS)
     return totals.select("sim", "day", *rounded("total"))
 
 
@@ -390,9 +397,8 @@ def trade_ledger(spark, sf_dir):
 
 
 @query
-def holdings_snapshot(spark, sf_dir):
-    held = backtest.scenario_holdings(_moves(spark, sf_dir))
-    snapshot = panel.holdings_snapshot(held, load_prices(spark, sf_dir))
+def scenario_snapshot(spark, sf_dir):
+    snapshot = backtest.scenario_snapshot(_moves(spark, sf_dir))
     return snapshot.select("sim", "day", "ticker", "price", *rounded("units"))
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from daypanel.functions import draws
+from daypanel.session import broadcast_if_bounded
 
 # Hash order is cut into this many hex digits' worth of shelves (256). Each
 # (day, shelf) is a separate window group, so a day holding a third of the
@@ -17,23 +18,29 @@ from daypanel.functions import draws
 SHELF_DIGITS = 2
 
 
-def ranked_prices(prices: DataFrame, universe: DataFrame | None = None) -> DataFrame:
+def ranked_prices(prices: DataFrame, universe: DataFrame | None = None, *,
+                  max_days: int | None = None) -> DataFrame:
     """Rows with a usable price as (day, ticker, price, rank, n_traded).
 
     ``rank`` counts 0..n_traded-1 in hash order within a day over the tickers
-    of ``universe`` (all when None); it is NULL for tickers outside of it."""
-    traded = prices.where(F.col("price") > 0).select("day", "ticker", "price")
+    of ``universe`` (all when None); it is NULL for tickers outside of it.
+    ``max_days`` is a proven bound on the days, if there is one."""
+    traded = (prices.where((F.col("price") > 0) & F.col("day").isNotNull()
+                           & F.col("ticker").isNotNull())
+              .select("day", "ticker", "price"))
     if universe is None:
         traded = traded.withColumn("in_pool", F.lit(True))
     else:
         pool = universe.select("ticker", F.lit(True).alias("in_pool")).distinct()
         traded = (traded.join(pool, "ticker", "left")
                   .withColumn("in_pool", F.coalesce("in_pool", F.lit(False))))
+    # A shelf that cannot be NULL keeps the planner from adding a filter to one
+    # of the two uses of `traded`, so both read the same shuffle.
     key = draws.shelf_key(F.col("ticker"))
     shelved = (traded.withColumn("key", key)
-               .withColumn("shelf", F.substring("key", 1, SHELF_DIGITS)))
+               .withColumn("shelf", F.coalesce(F.substring("key", 1, SHELF_DIGITS), F.lit(""))))
 
-    # At most 256 rows per day: running totals turn into the shelf's offset.
+    # One row per day and shelf: running totals turn into the shelf's offset.
     day = Window.partitionBy("day")
     before = day.orderBy("shelf").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (shelved.groupBy("day", "shelf")
@@ -45,8 +52,12 @@ def ranked_prices(prices: DataFrame, universe: DataFrame | None = None) -> DataF
     in_shelf = (Window.partitionBy("day", "shelf", "in_pool")
                 .orderBy("key", "ticker"))
     position = F.row_number().over(in_shelf) - 1
-    return (shelved.withColumn("position", position)
-            .join(offsets, ["day", "shelf"])
+    max_offsets = None if max_days is None else max_days * 16 ** SHELF_DIGITS
+    # Ranges of (day, shelf) instead of hashes: a task sees few days, so a
+    # writer that lays the result out by day opens few files.
+    return (shelved.repartitionByRange("day", "shelf")
+            .withColumn("position", position)
+            .join(broadcast_if_bounded(offsets, max_offsets), ["day", "shelf"])
             .select("day", "ticker", "price",
                     F.when(F.col("in_pool"), F.col("offset") + F.col("position"))
                     .cast("long").alias("rank"),
@@ -64,18 +75,19 @@ def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx:
     over all tradable tickers when it owns the whole universe."""
     of_sim = Window.partitionBy("sim")
     by_rank = of_sim.orderBy(F.col("rank").asc_nulls_last(), "ticker")
-    owns_all = F.count(F.lit(1)).over(of_sim) >= n_universe
-    n_free = F.when(owns_all, F.col("n_traded")).otherwise(
-        F.col("n_traded") - F.count("rank").over(of_sim))
-    # Free numbers below this position's own number.
-    free_below = F.when(F.col("rank").isNotNull(),
-                        F.col("rank") - F.row_number().over(by_rank) + 1)
+    whole = by_rank.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     draw = draws.seeded_draw(seed, F.col("sim"), F.lit(day_idx), F.col("ticker"))
-    numbered = (positions
-                .withColumn("owns_all", owns_all)
-                .withColumn("free_below", free_below)
-                .withColumn("k", F.when(wanted & (n_free > 0),
-                                        draw % F.nullif(n_free, F.lit(0)))))
+    numbered = positions.select(
+        "*", (F.count(F.lit(1)).over(whole) >= n_universe).alias("owns_all"),
+        F.count("rank").over(whole).alias("n_own_ranks"),
+        F.row_number().over(by_rank).alias("place"))
+    n_free = F.when(F.col("owns_all"), F.col("n_traded")).otherwise(
+        F.col("n_traded") - F.col("n_own_ranks"))
+    numbered = numbered.select(
+        "*",
+        # Free numbers below this position's own number.
+        F.when(F.col("rank").isNotNull(), F.col("rank") - F.col("place") + 1).alias("free_below"),
+        F.when(wanted & (n_free > 0), draw % F.nullif(n_free, F.lit(0))).alias("k"))
 
     # The k-th free number is k plus the owned numbers with at most k free ones
     # below them: a running count once both kinds of marks are in one order.
@@ -92,4 +104,4 @@ def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx:
             .where(F.col("mark.is_draw") == 1)
             .withColumn("pick_rank", F.col("k") + F.when(F.col("owns_all"), F.lit(0))
                         .otherwise(F.col("stepped_over")))
-            .drop("mark", "stepped_over", "owns_all", "free_below", "k"))
+            .drop("mark", "stepped_over", "owns_all", "n_own_ranks", "place", "free_below", "k"))

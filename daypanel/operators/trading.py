@@ -7,9 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from daypanel import schema
 from daypanel.functions.policy import Policy, fired, sell_reason
 from daypanel.operators.allocation import merge_lots
-from daypanel.operators.panel import held_prices, prices_on_day
+from daypanel.operators.panel import prices_on_day
 from daypanel.operators.ranking import ranked_prices, with_pick_rank
-from daypanel.session import broadcast_if_bounded
+from daypanel.session import lookup
 
 DEFAULT_POLICY = Policy()
 
@@ -99,42 +99,42 @@ def pick_replacement(sales: DataFrame, holdings: DataFrame, prices: DataFrame, *
 
 
 def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int, seed: int,
-                    n_universe, policy: Policy = DEFAULT_POLICY,
-                    max_holdings: int | None = None) -> DataFrame:
+                    n_universe, policy: Policy = DEFAULT_POLICY, max_holdings: int | None = None,
+                    max_quotes: int | None = None) -> DataFrame:
     """What becomes of every holding on one day (see `schema.MOVES`).
 
     All sales are decided first, from the start-of-day state, then all
     purchases happen. ``quotes`` is one day of `ranked_prices`.
 
-    ``max_holdings`` is the caller's proven bound on the holdings' row count.
-    Under it the small side of each join is broadcast and the day's quotes are
-    only filtered in place; without it both joins shuffle."""
-    def small(df: DataFrame) -> DataFrame:
-        return broadcast_if_bounded(df, max_holdings)
-
-    today = F.lit(day).cast("date")
-    held = small(held_prices(quotes, small(holdings)))
-    state = (holdings.join(held.select("ticker", "price", "rank", "n_traded"), "ticker", "left")
-             .withColumn("reason", sell_reason(policy, F.col("entry_price"), F.col("price"))))
-    drawn = with_pick_rank(state, F.col("reason").isNotNull(), seed=seed, day_idx=day_idx,
+    ``max_holdings`` and ``max_quotes`` are row counts the caller can prove;
+    see `session.lookup` for what they allow."""
+    bounds = {"max_rows": max_holdings, "max_table": max_quotes}
+    state = (lookup(holdings.select("sim", "ticker", "entry_day", "entry_price", "units"),
+                    quotes.select("ticker", "price", "rank", "n_traded"), "ticker", **bounds)
+             .withColumn("wish", sell_reason(policy, F.col("entry_price"), F.col("price"))))
+    drawn = with_pick_rank(state, F.col("wish").isNotNull(), seed=seed, day_idx=day_idx,
                            n_universe=n_universe)
 
-    # Kept positions do not go through the pick join: no flood of NULL keys.
-    kept = drawn.where(F.col("pick_rank").isNull()).select(
-        "sim", "ticker", "units", "price", F.lit(None).cast("string").alias("reason"),
-        F.col("ticker").alias("new_ticker"), F.col("price").alias("new_price"),
-        F.col("units").alias("new_units"), F.col("entry_day").alias("new_entry_day"),
-        F.col("entry_price").alias("new_entry_price"))
+    # Positions that stay look up a number no ticker has; a spread of them, so
+    # that a shuffled join does not send them all to one task.
+    nowhere = -1 - F.pmod(F.xxhash64("sim", "ticker"), F.lit(1 << 20))
     picked = quotes.where(F.col("rank").isNotNull()).select(
-        F.col("rank").alias("pick_rank"), F.col("ticker").alias("new_ticker"),
-        F.col("price").alias("new_price"))
-    moved = small(drawn.where(F.col("pick_rank").isNotNull())).join(picked, "pick_rank").select(
-        "sim", "ticker", "units", "price", "reason", "new_ticker", "new_price",
-        (F.col("units") * F.col("price") / F.col("new_price")).alias("new_units"),
-        today.alias("new_entry_day"), F.col("new_price").alias("new_entry_price"))
-    return (kept.unionByName(moved)
-            .withColumn("day", today).withColumn("day_idx", F.lit(day_idx).cast("long"))
-            .select(*schema.MOVES.fieldNames()))
+        F.col("rank").alias("pick_rank"), F.col("ticker").alias("choice"),
+        F.col("price").alias("choice_price"))
+    moved = F.col("choice").isNotNull()
+    today = F.lit(day).cast("date")
+    return lookup(drawn.withColumn("pick_rank", F.coalesce("pick_rank", nowhere)),
+                  picked, "pick_rank", **bounds).select(
+        "sim", F.lit(day_idx).cast("long").alias("day_idx"), today.alias("day"),
+        "ticker", "units", "price",
+        F.when(moved, F.col("wish")).alias("reason"),
+        F.coalesce("choice", "ticker").alias("new_ticker"),
+        F.when(moved, F.col("choice_price")).otherwise(F.col("price")).alias("new_price"),
+        F.when(moved, F.col("units") * F.col("price") / F.col("choice_price"))
+        .otherwise(F.col("units")).alias("new_units"),
+        F.when(moved, today).otherwise(F.col("entry_day")).alias("new_entry_day"),
+        F.when(moved, F.col("choice_price")).otherwise(F.col("entry_price"))
+        .alias("new_entry_price"))
 
 
 def lots_after(moves: DataFrame) -> DataFrame:
@@ -147,10 +147,10 @@ def lots_after(moves: DataFrame) -> DataFrame:
 
 def rebalance_step(holdings: DataFrame, prices: DataFrame, *, day, day_idx: int, seed: int,
                    universe: DataFrame | None = None, policy: Policy = DEFAULT_POLICY,
-                   max_holdings: int | None = None) -> DataFrame:
+                   max_holdings: int | None = None, max_quotes: int | None = None) -> DataFrame:
     """Holdings of all scenarios after one day of trading, with today's price."""
     quotes = ranked_prices(prices_on_day(prices, day), universe)
     moves = rebalance_moves(holdings, quotes, day=day, day_idx=day_idx, seed=seed,
                             n_universe=_universe_size(prices, universe), policy=policy,
-                            max_holdings=max_holdings)
+                            max_holdings=max_holdings, max_quotes=max_quotes)
     return merge_lots(lots_after(moves), "price")

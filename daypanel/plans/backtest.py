@@ -60,13 +60,15 @@ def backtest_moves(prices: DataFrame, chosen: DataFrame, spec: Scenarios,
 
     ``prices`` has one row per (ticker, day), already cut to the date range.
     ``auto`` counts the panel and replicates it only below REPLICATED_ROWS."""
-    if method == "auto":
-        method = "replicated" if prices.count() <= REPLICATED_ROWS else "stepped"
-    if method == "replicated":
-        return _replicated(prices, chosen, spec)
-    if method == "stepped":
-        return _stepped(prices, chosen, spec)
-    raise ValueError(f"unknown method {method!r}")
+    if method not in ("auto", "replicated", "stepped"):
+        raise ValueError(f"unknown method {method!r}")
+    if method != "stepped":
+        n_rows = prices.count()
+        if n_rows <= REPLICATED_ROWS:
+            return _replicated(prices, chosen, spec)
+        if method == "replicated":
+            raise ValueError(f"{n_rows} panel rows are too many to replicate")
+    return _stepped(prices, chosen, spec)
 
 
 # -- stepped ----------------------------------------------------------------
@@ -76,8 +78,12 @@ def _stepped(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame
     folder = session.run_folder(spark, "backtest")
     pool = _pool(chosen, spec.universe)
 
-    # One pass over the input: numbered quotes, laid out by day.
-    (ranking.ranked_prices(prices, pool)
+    days = _calendar(prices)
+    if len(days) < 2:
+        return spark.createDataFrame([], schema.MOVES)
+
+    # Numbered quotes, laid out by day.
+    (ranking.ranked_prices(prices, pool, max_days=len(days))
      .write.partitionBy("day").parquet(f"{folder}/quotes"))
     quotes = spark.read.schema(
         "ticker string, price double, rank long, n_traded long, day date"
@@ -85,25 +91,28 @@ def _stepped(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame
     everyone = quotes if pool is None else pool
     n_universe = everyone.agg(F.count_distinct("ticker").alias("n")).first().n
 
-    days = _calendar(prices)
-    if len(days) < 2:
-        return spark.createDataFrame([], schema.MOVES)
+    n_quotes = {row.day: row.n for row in
+                quotes.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()}
+
     allocation.initial_allocation(
         quotes, chosen, n_sims=spec.n_sims, money=spec.money, day=days[0]
     ).write.parquet(f"{folder}/opening")
-    holdings = spark.read.schema(schema.HOLDINGS).parquet(f"{folder}/opening")
+    opening = spark.read.schema(schema.HOLDINGS).parquet(f"{folder}/opening")
     # Trading never adds a lot, so the opening count bounds every later state.
-    max_holdings = holdings.count()
+    max_holdings = opening.count()
 
+    # Partitioned by scenario, a state can be merged, numbered and drawn for
+    # without another shuffle; every scenario has at most the chosen tickers.
+    holdings = opening.repartition("sim")
     for day_idx, day in enumerate(days[1:], start=1):
         moves = trading.rebalance_moves(
             holdings, panel.prices_on_day(quotes, day), day=day, day_idx=day_idx,
             seed=spec.seed, n_universe=F.lit(n_universe), policy=spec.policy,
-            max_holdings=max_holdings)
+            max_holdings=max_holdings, max_quotes=n_quotes.get(day, 0))
         step = f"{folder}/moves/day_idx={day_idx}"
         moves.drop("day_idx").write.parquet(step)
         done = spark.read.schema(schema.MOVES).option("basePath", f"{folder}/moves").parquet(step)
-        holdings = allocation.merge_lots(trading.lots_after(done))
+        holdings = allocation.merge_lots(trading.lots_after(done).repartition("sim"))
     return spark.read.schema(schema.MOVES).parquet(f"{folder}/moves")
 
 
@@ -141,12 +150,12 @@ def _replicated(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFr
 
 # -- results ----------------------------------------------------------------
 
-def scenario_totals(moves: DataFrame, prices: DataFrame, n_sims: int) -> DataFrame:
-    """(sim, day, total) for each day after the first, days without any value
-    included as 0."""
+def scenario_totals(moves: DataFrame, calendar: DataFrame, n_sims: int) -> DataFrame:
+    """(sim, day, total) for each day of ``calendar`` (see `panel.day_index`)
+    after the first, days without any value included as 0."""
     worth = moves.select(
         "sim", "day", (F.col("new_units") * F.coalesce("new_price", F.lit(0.0))).alias("total"))
-    later = panel.day_index(prices).where(F.col("day_idx") >= 1)
+    later = calendar.where(F.col("day_idx") >= 1)
     return (worth.unionByName(panel.every_sim_day(later, n_sims, F.lit(0.0)))
             .groupBy("sim", "day").agg(F.sum("total").alias("total")))
 
@@ -154,13 +163,17 @@ def scenario_totals(moves: DataFrame, prices: DataFrame, n_sims: int) -> DataFra
 def scenario_backtest(prices: DataFrame, chosen: DataFrame, spec: Scenarios,
                       method: str = "auto") -> DataFrame:
     """Total portfolio value by scenario and day."""
-    return scenario_totals(backtest_moves(prices, chosen, spec, method), prices, spec.n_sims)
+    return scenario_totals(backtest_moves(prices, chosen, spec, method),
+                           panel.day_index(prices), spec.n_sims)
 
 
-def scenario_holdings(moves: DataFrame) -> DataFrame:
-    """Holdings at the end of each day: (sim, day, ticker, units, ...)."""
-    return (trading.lots_after(moves).groupBy("sim", "day", "ticker")
-            .agg(F.max("entry_day").alias("entry_day"), F.sum("units").alias("units")))
+def scenario_snapshot(moves: DataFrame) -> DataFrame:
+    """(sim, day, ticker, price, units) at the end of each day after the first,
+    for holdings that trade that day. The moves carry the price already, so
+    nothing is joined."""
+    return (trading.lots_after(moves).where(F.col("price").isNotNull())
+            .groupBy("sim", "day", "ticker")
+            .agg(F.max("price").alias("price"), F.sum("units").alias("units")))
 
 
 def trade_ledger(moves: DataFrame) -> DataFrame:

@@ -15,13 +15,28 @@ BROADCAST_ROWS = 500_000
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Hint a broadcast only when the caller can prove a row bound; otherwise
-    leave the join strategy to the planner."""
+    """Hint a broadcast only under a proven row bound; otherwise leave the join
+    strategy to the planner."""
     if max_rows is not None and max_rows <= BROADCAST_ROWS:
         return F.broadcast(df)
     return df
 
 
+def lookup(rows: DataFrame, table: DataFrame, key: str, *, max_rows: int | None = None,
+           max_table: int | None = None) -> DataFrame:
+    """Left join of ``rows`` to ``table`` on ``key``, unique in ``table``.
+
+    A row bound, where the caller can prove one, picks the way: a small table
+    is broadcast; a large table is first cut down in place to the keys of a
+    small ``rows``, which are broadcast; with neither, both sides shuffle."""
+    if max_table is not None and max_table <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(table), key, "left")
+    if max_rows is not None and max_rows <= BROADCAST_ROWS:
+        wanted = F.broadcast(rows.select(key).distinct())
+        return rows.join(F.broadcast(table.join(wanted, key, "left_semi")), key, "left")
+    return rows.join(table, key, "left")
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder on the storage every executor can reach.
 

@@ -205,6 +205,10 @@ SELECT l.sim, c.day, round(sum(coalesce(l.units * q.price, 0)), 4) AS total
 FROM lots l CROSS JOIN cal c LEFT JOIN p q ON q.ticker = l.ticker AND q.day = c.day
 GROUP BY l.sim, c.day"""
 
+    sql["holdings_snapshot"] = with_(PANEL, WHOLE_MARKET) + """
+SELECT l.sim, q.day, q.ticker, q.price, round(l.units, 4) AS units
+FROM lots l JOIN p q USING (ticker)"""
+
     for name, column, rule in (("stop_loss_signal", "stop_loss", STOP),
                                ("gain_plateau_signal", "plateau", PLATEAU)):
         sql[name] = with_(PANEL, POSITIONS) + f"""
@@ -258,7 +262,7 @@ SELECT sim, day, 'SELL' AS side, ticker, price, reason, round(units, 4) AS units
 UNION ALL
 SELECT sim, day, 'BUY', new_ticker, new_price, reason, round(new_units, 4),
        round(units * price, 4) FROM moved WHERE reason IS NOT NULL"""
-    sql["holdings_snapshot"] = scenario() + """
+    sql["scenario_snapshot"] = scenario() + """
 SELECT s.sim, c.day, s.ticker, q.price, round(s.units, 4) AS units
 FROM state s JOIN cal c USING (day_idx) JOIN p q ON q.ticker = s.ticker AND q.day = c.day
 WHERE s.day_idx >= 1"""
