@@ -120,7 +120,7 @@ def _stepped(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame
 
 def _replicated(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame:
     spark = prices.sparkSession
-    session.pickle_package_by_value()
+    session.ship_by_value(spec.policy)
     quotes = prices.select("ticker", F.unix_date("day").alias("day_no"), "price")
     pool = _pool(chosen, spec.universe)
     if pool is None:

@@ -3,6 +3,7 @@ frames are small enough to broadcast."""
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 
@@ -53,7 +54,12 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def pickle_package_by_value() -> None:
-    """Let Python tasks run where this package is not installed."""
+def ship_by_value(*objects) -> None:
+    """Let Python tasks run where this package, or the module an object's class
+    was defined in, is not installed."""
     import daypanel
     cloudpickle.register_pickle_by_value(daypanel)
+    for obj in objects:
+        module = sys.modules[type(obj).__module__]
+        if module.__name__ != "__main__":
+            cloudpickle.register_pickle_by_value(module)
