@@ -350,9 +350,9 @@ def rebalance_step(spark, sf_dir):
 
 # -- whole scenarios ----------------------------------------------------------
 
-def _spec(spark, sf_dir, *, mode="code", sampled_universe=False):
+def _spec(spark, sf_dir, *, mode="code", sampled_universe=False, in_order=False):
     return backtest.Scenarios(
-        n_sims=N_SIMS, money=MONEY, seed=SEED, policy=Policy(mode=mode),
+        n_sims=N_SIMS, money=MONEY, seed=SEED, policy=Policy(mode=mode), in_order=in_order,
         universe=chosen_tickers(spark, sf_dir) if sampled_universe else None)
 
 
@@ -384,6 +384,12 @@ def scenario_backtest_sampled_universe(spark, sf_dir):
     return _totals(spark, sf_dir, sampled_universe=True)
 
 
+@query
+def scenario_backtest_in_order(spark, sf_dir):
+    """... and the sales of a day run one after another."""
+    return _totals(spark, sf_dir, sampled_universe=True, in_order=True)
+
+
 @query
 def scenario_backtest_documented(spark, sf_dir):
     return _totals(spark, sf_dir, mode="documented")

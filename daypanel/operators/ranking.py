@@ -67,7 +67,7 @@ def ranked_prices(prices: DataFrame, universe: DataFrame | None = None, *,
 def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx: int,
                    n_universe: Column) -> DataFrame:
     """Adds ``pick_rank``: the number of the ticker drawn for each position
-    with ``wanted``, NULL when there is nothing to draw from.
+    with ``wanted``, NULL when there is nothing to draw from; and ``owns_all``.
 
     Positions need (sim, ticker, rank, n_traded), one row per ticker a scenario
     owned at the start of the day; rank is NULL for a ticker without a price.
@@ -104,4 +104,22 @@ def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx:
             .where(F.col("mark.is_draw") == 1)
             .withColumn("pick_rank", F.col("k") + F.when(F.col("owns_all"), F.lit(0))
                         .otherwise(F.col("stepped_over")))
-            .drop("mark", "stepped_over", "owns_all", "n_own_ranks", "place", "free_below", "k"))
+            .drop("mark", "stepped_over", "n_own_ranks", "place", "free_below", "k"))
+
+
+def through_later_sales(drawn: DataFrame) -> DataFrame:
+    """Where each draw's money ends when sales run one after another in rank
+    order: a ticker bought and then sold itself later that day passes it on.
+
+    Only a scenario that owns its whole universe can draw a ticker it is about
+    to sell; every other row keeps its draw. Following the later sales in
+    rising order visits each link of the chain at most once."""
+    sale = F.when(F.col("owns_all") & F.col("pick_rank").isNotNull(),
+                  F.struct("rank", "pick_rank"))
+    later = (Window.partitionBy("sim").orderBy(F.col("rank").desc_nulls_last(), "ticker")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    return (drawn.withColumn("later", F.reverse(F.collect_list(sale).over(later)))
+            .withColumn("pick_rank", F.aggregate(
+                "later", F.col("pick_rank"),
+                lambda at, sold: F.when(at == sold["rank"], sold["pick_rank"]).otherwise(at)))
+            .drop("later"))

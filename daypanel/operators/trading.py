@@ -8,7 +8,7 @@ from daypanel import schema
 from daypanel.functions.policy import Policy, fired, sell_reason
 from daypanel.operators.allocation import merge_lots
 from daypanel.operators.panel import prices_on_day
-from daypanel.operators.ranking import ranked_prices, with_pick_rank
+from daypanel.operators.ranking import ranked_prices, through_later_sales, with_pick_rank
 from daypanel.session import lookup
 
 DEFAULT_POLICY = Policy()
@@ -99,12 +99,16 @@ def pick_replacement(sales: DataFrame, holdings: DataFrame, prices: DataFrame, *
 
 
 def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int, seed: int,
-                    n_universe, policy: Policy = DEFAULT_POLICY, max_holdings: int | None = None,
+                    n_universe, policy: Policy = DEFAULT_POLICY, in_order: bool = False,
+                    max_holdings: int | None = None,
                     max_quotes: int | None = None) -> DataFrame:
     """What becomes of every holding on one day (see `schema.MOVES`).
 
-    All sales are decided first, from the start-of-day state, then all
-    purchases happen. ``quotes`` is one day of `ranked_prices`.
+    All sales are decided from the start-of-day state. By default they then
+    happen at once. ``in_order`` runs them one after another in rank order, so
+    money put into a ticker that is sold later the same day moves on with it;
+    a move then names the ticker the money is in at the end of the day.
+    ``quotes`` is one day of `ranked_prices`.
 
     ``max_holdings`` and ``max_quotes`` are row counts the caller can prove;
     see `session.lookup` for what they allow."""
@@ -114,6 +118,8 @@ def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int
              .withColumn("wish", sell_reason(policy, F.col("entry_price"), F.col("price"))))
     drawn = with_pick_rank(state, F.col("wish").isNotNull(), seed=seed, day_idx=day_idx,
                            n_universe=n_universe)
+    if in_order:
+        drawn = through_later_sales(drawn)
 
     # Positions that stay look up a number no ticker has; a spread of them, so
     # that a shuffled join does not send them all to one task.
@@ -147,10 +153,10 @@ def lots_after(moves: DataFrame) -> DataFrame:
 
 def rebalance_step(holdings: DataFrame, prices: DataFrame, *, day, day_idx: int, seed: int,
                    universe: DataFrame | None = None, policy: Policy = DEFAULT_POLICY,
-                   max_holdings: int | None = None, max_quotes: int | None = None) -> DataFrame:
+                   in_order: bool = False, max_holdings: int | None = None, max_quotes: int | None = None) -> DataFrame:
     """Holdings of all scenarios after one day of trading, with today's price."""
     quotes = ranked_prices(prices_on_day(prices, day), universe)
     moves = rebalance_moves(holdings, quotes, day=day, day_idx=day_idx, seed=seed,
                             n_universe=_universe_size(prices, universe), policy=policy,
-                            max_holdings=max_holdings, max_quotes=max_quotes)
+                            in_order=in_order, max_holdings=max_holdings, max_quotes=max_quotes)
     return merge_lots(lots_after(moves), "price")

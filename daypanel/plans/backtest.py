@@ -33,13 +33,15 @@ REPLICATED_ROWS = 4_000_000
 
 @dataclass(frozen=True)
 class Scenarios:
-    """What to run. ``universe`` limits replacements to the tickers of that
+    """What to run. ``in_order`` lets the sales of a day run one after another
+    (see `trading.rebalance_moves`). ``universe`` limits replacements to the tickers of that
     frame (None: all tickers with a usable price); chosen tickers always belong."""
 
     n_sims: int = schema.N_SIMS
     money: float = schema.MONEY
     seed: int = 0
     policy: Policy = Policy()
+    in_order: bool = False
     universe: DataFrame | None = None
 
 
@@ -108,7 +110,7 @@ def _stepped(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame
         moves = trading.rebalance_moves(
             holdings, panel.prices_on_day(quotes, day), day=day, day_idx=day_idx,
             seed=spec.seed, n_universe=F.lit(n_universe), policy=spec.policy,
-            max_holdings=max_holdings, max_quotes=n_quotes.get(day, 0))
+            in_order=spec.in_order, max_holdings=max_holdings, max_quotes=n_quotes.get(day, 0))
         step = f"{folder}/moves/day_idx={day_idx}"
         moves.drop("day_idx").write.parquet(step)
         done = spark.read.schema(schema.MOVES).option("basePath", f"{folder}/moves").parquet(step)
@@ -135,13 +137,14 @@ def _replicated(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFr
         lots = allocation.opening_lots(prices, chosen, money=spec.money, day=market.days[0])
         opening = fold.numbered(market, lots.toArrow().to_pandas())
     shared = spark.sparkContext.broadcast(tuple(market))
-    seed, policy, columns = spec.seed, spec.policy, schema.MOVES.fieldNames()
+    rules = fold.Rules(n_universe, spec.seed, spec.policy, spec.in_order)
+    columns = schema.MOVES.fieldNames()
 
     def run(batches):
         market = fold.Market(*shared.value)
         for batch in batches:
             for sim in batch["id"].tolist():
-                yield fold.run_scenario(sim, opening, market, n_universe, seed, policy)[columns]
+                yield fold.run_scenario(sim, opening, market, rules)[columns]
 
     slices = max(1, min(spec.n_sims, spark.sparkContext.defaultParallelism))
     return (spark.range(1, spec.n_sims + 1, numPartitions=slices)

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 
 from daypanel.functions import draws
+from daypanel.functions.policy import Policy
 
 EPOCH = dt.date(1970, 1, 1)
 
@@ -30,6 +31,13 @@ class Market(NamedTuple):
         return self.tickers[cut], self.prices[cut]
 
 
+class Rules(NamedTuple):
+    n_universe: int
+    seed: int
+    policy: Policy
+    in_order: bool
+
+
 def pack(quotes: pd.DataFrame) -> Market:
     """From (ticker, day_no, price, in_pool) rows. The calendar keeps days on
     which only unusable prices were quoted."""
@@ -67,37 +75,51 @@ def find(sorted_values: np.ndarray, wanted: np.ndarray):
     return at, there
 
 
-def trade_day(sim, day_idx, held, market, n_universe, seed, policy) -> list[tuple]:
-    """One move per holding; sales are all decided from the opening state."""
+def trade_day(sim: int, day_idx: int, held: dict, market: Market, rules: Rules) -> list[tuple]:
+    """One move per holding, in ticker order; sales are all decided from the
+    opening state."""
     tickers, prices = market.on_day(day_idx)
-    mine = np.fromiter(held, dtype=np.int32, count=len(held))
+    mine = np.array(sorted(held), dtype=np.int32)
     at, trades = find(tickers, mine)
     today = np.full(len(mine), np.nan)
     today[trades] = prices[at[trades]]
     entry = np.array([held[t][1] for t in mine.tolist()])
-    reasons = [(name, np.asarray(cond)) for name, cond in policy.signals(entry, today)]
+    signals = [(name, np.asarray(cond)) for name, cond in rules.policy.signals(entry, today)]
+    reasons = [next((name for name, cond in signals if trades[i] and cond[i]), None)
+               for i in range(len(mine))]
 
     # The k-th tradable ticker that is not owned, without listing them.
     tradable = tickers[market.in_pool[tickers]]
     own_at, own = find(tradable, mine)
-    own_ranks = np.sort(own_at[own]) if len(mine) < n_universe else own_at[:0]
+    own_ranks = own_at[own] if len(mine) < rules.n_universe else own_at[:0]
     free_below = own_ranks - np.arange(len(own_ranks))
     n_free = len(tradable) - len(own_ranks)
 
+    choices = {}
+    for ticker, reason in zip(mine.tolist(), reasons):
+        if reason is not None and n_free > 0:
+            draw = draws.seeded_draw_local(rules.seed, sim, day_idx, market.names[ticker])
+            k = draw % n_free
+            choices[ticker] = int(tradable[k + np.searchsorted(free_below, k, side="right")])
+    if rules.in_order:
+        # Later sales first: each passes on what it receives.
+        passed_on = {}
+        for ticker in reversed(choices):
+            passed_on[ticker] = passed_on.get(choices[ticker], choices[ticker])
+        choices = passed_on
+
     moves = []
     for i, ticker in enumerate(mine.tolist()):
         entry_idx, entry_price, units = held[ticker]
         price = float(today[i]) if trades[i] else None
-        reason = next((name for name, cond in reasons if trades[i] and cond[i]), None)
-        if reason is None or n_free == 0:
+        if ticker in choices:
+            choice = choices[ticker]
+            new_price = float(prices[np.searchsorted(tickers, choice)])
+            moves.append((sim, day_idx, ticker, units, price, reasons[i],
+                          choice, new_price, units * price / new_price, day_idx, new_price))
+        else:
             moves.append((sim, day_idx, ticker, units, price, None,
                           ticker, price, units, entry_idx, entry_price))
-            continue
-        k = draws.seeded_draw_local(seed, sim, day_idx, market.names[ticker]) % n_free
-        choice = int(tradable[k + np.searchsorted(free_below, k, side="right")])
-        new_price = float(prices[np.searchsorted(tickers, choice)])
-        moves.append((sim, day_idx, ticker, units, price, reason,
-                      choice, new_price, units * price / new_price, day_idx, new_price))
     return moves
 
 
@@ -115,10 +137,10 @@ def holdings_after(moves: list[tuple]) -> dict:
     return held
 
 
-def run_scenario(sim, held, market, n_universe, seed, policy) -> pd.DataFrame:
+def run_scenario(sim: int, held: dict, market: Market, rules: Rules) -> pd.DataFrame:
     rows: list[tuple] = []
     for day_idx in range(1, len(market.days)):
-        moves = trade_day(sim, day_idx, held, market, n_universe, seed, policy)
+        moves = trade_day(sim, day_idx, held, market, rules)
         rows.extend(moves)
         held = holdings_after(moves)
     out = pd.DataFrame(rows, columns=[

@@ -67,9 +67,37 @@ def with_(*parts: str, recursive: bool = False) -> str:
     return ("WITH RECURSIVE " if recursive else "WITH ") + ",".join(parts) + "\n"
 
 
-def step_parts(held: str, mode: str, universe: str) -> str:
+def hops(count: int) -> str:
+    """From `drawn_moves` to `moved` when sales run one after another in hash
+    order: the money of a sale follows its ticker into the next, later sale."""
+    parts = ["hop0 AS (SELECT *, ticker AS seller, new_ticker AS spot FROM drawn_moves)"]
+    for i in range(1, count + 1):
+        parts.append(f"""
+hop{i} AS (
+  SELECT r.* REPLACE (coalesce(n.ticker, r.seller) AS seller,
+                      coalesce(n.new_ticker, r.spot) AS spot)
+  FROM hop{i - 1} r
+  LEFT JOIN drawn_moves n ON r.reason IS NOT NULL AND n.reason IS NOT NULL
+    AND n.sim = r.sim AND n.day_idx = r.day_idx AND n.ticker = r.spot
+    AND md5(n.ticker) > md5(r.seller))""")
+    parts.append(f"""
+moved AS (
+  SELECT r.sim, r.day_idx, r.day, r.ticker, r.units, r.price, r.reason, r.spot AS new_ticker,
+         CASE WHEN r.reason IS NULL THEN r.new_price ELSE q.price END AS new_price,
+         CASE WHEN r.reason IS NULL THEN r.new_units
+              ELSE r.units * r.price / q.price END AS new_units,
+         r.new_entry_day,
+         CASE WHEN r.reason IS NULL THEN r.new_entry_price ELSE q.price END AS new_entry_price
+  FROM hop{count} r LEFT JOIN p q ON q.ticker = r.spot AND q.day = r.day)""")
+    return ",".join(parts)
+
+
+def step_parts(held: str, mode: str, universe: str, in_order: bool = False) -> str:
     """CTEs from `held` (sim, day_idx, day, ticker, entry_day, entry_price,
     units; the state a day starts with) to `moved`, one row per holding."""
+    if in_order:
+        at_once = step_parts(held, mode, universe).replace("\nmoved AS", "\ndrawn_moves AS")
+        return at_once + ",\n" + hops(N_TICKERS - 1)
     return f"""
 h AS (
   SELECT s.*, q.price FROM {held} s
@@ -115,7 +143,7 @@ SELECT sim, day_idx, new_ticker AS ticker, max(new_entry_day) AS entry_day,
 FROM moved GROUP BY sim, day_idx, new_ticker"""
 
 
-def scenario(mode: str = "code", universe: str = "universe") -> str:
+def scenario(mode: str = "code", universe: str = "universe", in_order: bool = False) -> str:
     """CTEs up to `state` (holdings at the end of each day) and `moved`."""
     start = """SELECT s.sim, c.day_idx, c.day, s.ticker, s.entry_day, s.entry_price, s.units
     FROM state s JOIN cal c ON c.day_idx = s.day_idx + 1"""
@@ -123,10 +151,10 @@ def scenario(mode: str = "code", universe: str = "universe") -> str:
 state AS (
   SELECT sim, 0::BIGINT AS day_idx, ticker, entry_day, entry_price, units FROM opening
   UNION ALL
-  (WITH started AS ({start}), {step_parts('started', mode, universe)}
+  (WITH started AS ({start}), {step_parts('started', mode, universe, in_order)}
   {MERGED}))"""
     return with_(PANEL, CHOSEN, OPENING, walk, f"\nstarted AS ({start})",
-                 step_parts("started", mode, universe), recursive=True)
+                 step_parts("started", mode, universe, in_order), recursive=True)
 
 
 TOTALS = """
@@ -140,8 +168,8 @@ totals AS (
     GROUP BY s.sim, s.day_idx) v USING (sim, day_idx))"""
 
 
-def totals(mode: str = "code", universe: str = "universe") -> str:
-    return scenario(mode, universe).rstrip() + "," + TOTALS + "\n"
+def totals(mode: str = "code", universe: str = "universe", in_order: bool = False) -> str:
+    return scenario(mode, universe, in_order).rstrip() + "," + TOTALS + "\n"
 
 
 SAME_PANEL = with_(PANEL) + "SELECT ticker, day, price, volume FROM p"
@@ -255,6 +283,7 @@ SELECT sim, ticker, entry_day, entry_price, round(units, 4) AS units FROM ({MERG
     shown = "SELECT sim, day, total FROM totals"
     sql["scenario_backtest"] = sql["scenario_backtest_stepped"] = totals() + shown
     sql["scenario_backtest_sampled_universe"] = totals(universe="chosen") + shown
+    sql["scenario_backtest_in_order"] = totals(universe="chosen", in_order=True) + shown
     sql["scenario_backtest_documented"] = totals("documented") + shown
     sql["trade_ledger"] = scenario() + """
 SELECT sim, day, 'SELL' AS side, ticker, price, reason, round(units, 4) AS units,

@@ -36,14 +36,15 @@ def totals_of(spark, prices, moves, n_sims):
     return {(r.sim, r.day): r.total for r in totals.collect()}
 
 
-def check(spark, cells, chosen, *, n_sims, seed, mode, universe, method):
+def check(spark, cells, chosen, *, n_sims, seed, mode, universe, method, in_order=False):
     prices = price_frame(spark, cells)
     spec = backtest.Scenarios(
-        n_sims=n_sims, money=100.0, seed=seed, policy=Policy(mode=mode),
+        n_sims=n_sims, money=100.0, seed=seed, policy=Policy(mode=mode), in_order=in_order,
         universe=None if universe is None else ticker_frame(spark, universe))
     moves = backtest.backtest_moves(prices, ticker_frame(spark, chosen), spec, method)
     want_totals, want_units = brute.run(as_prices(cells), chosen, n_sims=n_sims, money=100.0,
-                                        seed=seed, mode=mode, universe=universe)
+                                        seed=seed, mode=mode, universe=universe,
+                                        in_order=in_order)
     assert totals_of(spark, prices, moves, n_sims) == pytest.approx(want_totals)
     after = allocation.merge_lots(trading.lots_after(moves).withColumn(
         "sim", F.col("sim") * 1000 + F.col("day_idx")))
@@ -63,6 +64,17 @@ def test_scenarios_match_plain_loops(spark, method, mode, universe):
     check(spark, cells, chosen, n_sims=6, seed=11, mode=mode, universe=allowed, method=method)
 
 
+@pytest.mark.parametrize("method", METHODS)
+@pytest.mark.parametrize("mode", ("code", "documented"))
+@pytest.mark.parametrize("filled", (0.8, 1.1))
+def test_sales_in_order_match_plain_loops(spark, method, mode, filled):
+    """The universe is what is owned, so draws hit tickers sold the same day."""
+    cells = random_panel(21, tickers=9, days=6, filled=filled)
+    chosen = [f"T{i}" for i in range(7)]
+    check(spark, cells, chosen, n_sims=8, seed=3, mode=mode, universe=chosen, method=method,
+          in_order=True)
+
+
 def test_shuffled_lookups_give_the_same(spark, monkeypatch):
     """Neither side may be broadcast: the path for states beyond the bound."""
     monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
