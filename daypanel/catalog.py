@@ -58,15 +58,25 @@ def chosen_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return allocation.sample_tickers(load_tickers(spark, sf_dir), N_TICKERS, seed=SEED)
 
 
+def opening_day(spark: SparkSession, sf_dir: str) -> Column:
+    return ticks(spark, sf_dir).agg(F.min("day")).scalar()
+
+
+def n_tickers(spark: SparkSession, sf_dir: str) -> Column:
+    return ticks(spark, sf_dir).agg(F.count_distinct("ticker")).scalar()
+
+
 def opening_holdings(spark: SparkSession, sf_dir: str, n_sims: int = N_SIMS) -> DataFrame:
     return allocation.initial_allocation(
-        load_prices(spark, sf_dir), chosen_tickers(spark, sf_dir), n_sims=n_sims, money=MONEY)
+        load_prices(spark, sf_dir), chosen_tickers(spark, sf_dir), n_sims=n_sims, money=MONEY,
+        day=opening_day(spark, sf_dir))
 
 
 def whole_market_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One scenario that opens with an equal share of every ticker."""
     return allocation.initial_allocation(
-        load_prices(spark, sf_dir), load_tickers(spark, sf_dir), n_sims=1, money=MONEY)
+        load_prices(spark, sf_dir), load_tickers(spark, sf_dir), n_sims=1, money=MONEY,
+        day=opening_day(spark, sf_dir))
 
 
 def week_old_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -337,14 +347,28 @@ def pick_replacement(spark, sf_dir):
     holdings = opening_holdings(spark, sf_dir)
     return trading.pick_replacement(
         holdings.select("sim", "ticker"), holdings, load_prices(spark, sf_dir),
-        day=LATER_DAY, day_idx=LATER_DAY_IDX, seed=SEED)
+        day=LATER_DAY, day_idx=LATER_DAY_IDX, seed=SEED, n_universe=n_tickers(spark, sf_dir),
+        max_lots=N_TICKERS)
+
+
+@query
+def pick_replacement_whole_market(spark, sf_dir):
+    """One scenario of unbounded size: it owns every ticker of the opening day
+    and sells those that trade later."""
+    lots = whole_market_lots(spark, sf_dir)
+    prices = load_prices(spark, sf_dir)
+    today = panel.prices_on_day(prices, LATER_DAY)
+    sales = panel.held_prices(today, lots).select(F.lit(1).cast("long").alias("sim"), "ticker")
+    return trading.pick_replacement(sales, lots, prices, day=LATER_DAY, day_idx=LATER_DAY_IDX,
+                                    seed=SEED, n_universe=n_tickers(spark, sf_dir))
 
 
 @query
 def rebalance_step(spark, sf_dir):
     after = trading.rebalance_step(
         opening_holdings(spark, sf_dir), load_prices(spark, sf_dir), day=LATER_DAY,
-        day_idx=LATER_DAY_IDX, seed=SEED, max_holdings=N_SIMS * N_TICKERS)
+        day_idx=LATER_DAY_IDX, seed=SEED, n_universe=n_tickers(spark, sf_dir),
+        max_lots=N_TICKERS, max_holdings=N_SIMS * N_TICKERS)
     return after.select("sim", "ticker", "entry_day", "entry_price", *rounded("units"))
 
 

@@ -21,15 +21,16 @@ def opening_lots(prices: DataFrame, chosen: DataFrame, *, money: float = schema.
     opening day. A ticker without a price that day gets nothing, and its share
     of the money is lost.
 
-    The opening day is ``day``, or the first day of the panel, or with
-    ``first_day='chosen'`` the first day on which any chosen ticker trades."""
+    The opening day is ``day`` (a date, or a column such as a scalar subquery),
+    or the first day of the panel, or with ``first_day='chosen'`` the first day
+    on which any chosen ticker trades."""
     offers = prices.select("ticker", "day", "price").join(chosen.select("ticker"), "ticker")
     n_chosen = chosen.agg(F.count(F.lit(1))).scalar()
     if day is None:
         rows = offers if first_day == "chosen" else prices
         opening = rows.agg(F.min("day")).scalar()
     else:
-        opening = F.lit(day).cast("date")
+        opening = day if isinstance(day, Column) else F.lit(day).cast("date")
     return (offers.where((F.col("day") == opening) & (F.col("price") > 0))
             .select("ticker", F.col("day").alias("entry_day"),
                     F.col("price").alias("entry_price"),

@@ -17,6 +17,47 @@ from daypanel.session import broadcast_if_bounded
 # panel still spreads over 256 groups.
 SHELF_DIGITS = 2
 
+# Numbers of one scenario are cut into shelves of this many, unless the caller
+# can prove that no scenario has more lots than that.
+LOTS_PER_SHELF = 1 << 16
+
+
+def running_sums(rows: DataFrame, values: dict[str, Column], group: str, order: list, *,
+                 by_range: bool = False, max_group: int | None = None,
+                 max_offsets: int | None = None) -> DataFrame:
+    """Adds ``<name>_sum`` (running, own row included) and ``<name>_total``
+    for each value, per ``group`` in the order of (shelf, *order).
+
+    No task sees a whole group: sums run within one shelf, and each shelf's
+    offset comes from a table with a row per group and shelf. A group with a
+    proven ``max_group`` of one shelf is small enough to skip that."""
+    rows = rows.select("*", *[v.alias(name) for name, v in values.items()])
+    if max_group is not None and max_group <= LOTS_PER_SHELF:
+        whole = Window.partitionBy(group).orderBy("shelf", *order)
+        upto = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return rows.select(
+            "*", *[F.sum(n).over(upto).alias(f"{n}_sum") for n in values],
+            *[F.sum(n).over(every).alias(f"{n}_total") for n in values]).drop("shelf", *values)
+
+    below = (Window.partitionBy(group).orderBy("shelf")
+             .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (rows.groupBy(group, "shelf").agg(*[F.sum(n).alias(n) for n in values])
+               .select(group, "shelf",
+                       *[F.coalesce(F.sum(n).over(below), F.lit(0)).alias(f"{n}_below")
+                         for n in values],
+                       *[F.sum(n).over(Window.partitionBy(group)).alias(f"{n}_total")
+                         for n in values]))
+    upto = (Window.partitionBy(group, "shelf").orderBy(*order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if by_range:
+        rows = rows.repartitionByRange(group, "shelf")
+    return (rows.select("*", *[F.sum(n).over(upto).alias(f"{n}_sum") for n in values])
+            .drop(*values)
+            .join(broadcast_if_bounded(offsets, max_offsets), [group, "shelf"])
+            .withColumns({f"{n}_sum": F.col(f"{n}_sum") + F.col(f"{n}_below") for n in values})
+            .drop("shelf", *[f"{n}_below" for n in values]))
+
 
 def ranked_prices(prices: DataFrame, universe: DataFrame | None = None, *,
                   max_days: int | None = None) -> DataFrame:
@@ -35,76 +76,88 @@ def ranked_prices(prices: DataFrame, universe: DataFrame | None = None, *,
         traded = (traded.join(pool, "ticker", "left")
                   .withColumn("in_pool", F.coalesce("in_pool", F.lit(False))))
     # A shelf that cannot be NULL keeps the planner from adding a filter to one
-    # of the two uses of `traded`, so both read the same shuffle.
+    # of the two uses of these rows, so both read the same shuffle.
     key = draws.shelf_key(F.col("ticker"))
     shelved = (traded.withColumn("key", key)
                .withColumn("shelf", F.coalesce(F.substring("key", 1, SHELF_DIGITS), F.lit(""))))
-
-    # One row per day and shelf: running totals turn into the shelf's offset.
-    day = Window.partitionBy("day")
-    before = day.orderBy("shelf").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (shelved.groupBy("day", "shelf")
-               .agg(F.count_if("in_pool").alias("n"))
-               .select("day", "shelf",
-                       F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
-                       F.sum("n").over(day).alias("n_traded")))
-
-    in_shelf = (Window.partitionBy("day", "shelf", "in_pool")
-                .orderBy("key", "ticker"))
-    position = F.row_number().over(in_shelf) - 1
-    max_offsets = None if max_days is None else max_days * 16 ** SHELF_DIGITS
     # Ranges of (day, shelf) instead of hashes: a task sees few days, so a
     # writer that lays the result out by day opens few files.
-    return (shelved.repartitionByRange("day", "shelf")
-            .withColumn("position", position)
-            .join(broadcast_if_bounded(offsets, max_offsets), ["day", "shelf"])
-            .select("day", "ticker", "price",
-                    F.when(F.col("in_pool"), F.col("offset") + F.col("position"))
-                    .cast("long").alias("rank"),
-                    F.col("n_traded").cast("long").alias("n_traded")))
+    numbered = running_sums(
+        shelved, {"pool": F.col("in_pool").cast("long")}, "day", ["key", "ticker"], by_range=True,
+        max_offsets=None if max_days is None else max_days * 16 ** SHELF_DIGITS)
+    return numbered.select("day", "ticker", "price",
+                           F.when(F.col("in_pool"), F.col("pool_sum") - 1).alias("rank"),
+                           F.col("pool_total").alias("n_traded"))
+
+
+def _shelf_of(number: Column, spread_by: str) -> Column:
+    """Shelf of a number; rows without one come first, spread over many."""
+    nowhere = -1 - F.pmod(F.xxhash64(spread_by), F.lit(1 << 10))
+    return F.coalesce(F.shiftright(number, 16), nowhere)
 
 
 def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx: int,
-                   n_universe: Column) -> DataFrame:
+                   n_universe: Column, max_lots: int | None = None) -> DataFrame:
     """Adds ``pick_rank``: the number of the ticker drawn for each position
     with ``wanted``, NULL when there is nothing to draw from; and ``owns_all``.
 
     Positions need (sim, ticker, rank, n_traded), one row per ticker a scenario
     owned at the start of the day; rank is NULL for a ticker without a price.
     The draw is uniform over the tradable tickers the scenario does not own, or
-    over all tradable tickers when it owns the whole universe."""
-    of_sim = Window.partitionBy("sim")
-    by_rank = of_sim.orderBy(F.col("rank").asc_nulls_last(), "ticker")
-    whole = by_rank.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    over all tradable tickers when it owns the whole universe. ``max_lots`` is
+    a proven bound on the positions of one scenario, if there is one."""
+    numbered = running_sums(
+        positions.withColumn("shelf", _shelf_of(F.col("rank"), "ticker")),
+        {"held": F.lit(1), "own": F.col("rank").isNotNull().cast("long")},
+        "sim", ["rank", "ticker"], max_group=max_lots)
+    owns_all = F.col("held_total") >= n_universe
+    n_free = F.when(owns_all, F.col("n_traded")).otherwise(F.col("n_traded") - F.col("own_total"))
     draw = draws.seeded_draw(seed, F.col("sim"), F.lit(day_idx), F.col("ticker"))
-    numbered = positions.select(
-        "*", (F.count(F.lit(1)).over(whole) >= n_universe).alias("owns_all"),
-        F.count("rank").over(whole).alias("n_own_ranks"),
-        F.row_number().over(by_rank).alias("place"))
-    n_free = F.when(F.col("owns_all"), F.col("n_traded")).otherwise(
-        F.col("n_traded") - F.col("n_own_ranks"))
     numbered = numbered.select(
-        "*",
+        *positions.columns, owns_all.alias("owns_all"),
         # Free numbers below this position's own number.
-        F.when(F.col("rank").isNotNull(), F.col("rank") - F.col("place") + 1).alias("free_below"),
+        F.when(F.col("rank").isNotNull(), F.col("rank") - F.col("own_sum") + 1).alias("free_below"),
         F.when(wanted & (n_free > 0), draw % F.nullif(n_free, F.lit(0))).alias("k"))
+    bounded = max_lots is not None and max_lots <= LOTS_PER_SHELF
+    stepped = _step_over_in_place(numbered) if bounded else _step_over_by_join(numbered)
+    return (stepped.withColumn("pick_rank", F.col("k") + F.when(F.col("owns_all"), F.lit(0))
+                               .otherwise(F.col("stepped_over")))
+            .drop("free_below", "k", "stepped_over"))
+
+
+# The k-th free number is k plus the owned numbers with at most k free ones
+# below them: a running count, once the marks of owned numbers (at free_below)
+# and of draws (at k) are in one order. That is a sort within the scenario, not
+# a comparison of all its pairs.
 
-    # The k-th free number is k plus the owned numbers with at most k free ones
-    # below them: a running count once both kinds of marks are in one order.
-    # That is a sort within the scenario, not a comparison of all its pairs.
+def _step_over_in_place(numbered: DataFrame) -> DataFrame:
+    """For scenarios of bounded size: both marks of a row stay with the row,
+    and the partitioning by scenario it already has is used again."""
     marks = F.array(
         F.struct(F.col("free_below").alias("at"), F.lit(0).alias("is_draw")),
         F.struct(F.col("k").alias("at"), F.lit(1).alias("is_draw")))
-    along = (of_sim.orderBy(F.col("mark.at").asc_nulls_first(), "mark.is_draw")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    stepped_over = F.sum(1 - F.col("mark.is_draw")).over(along)
+    upto = (Window.partitionBy("sim").orderBy(F.col("mark.at").asc_nulls_first(), "mark.is_draw")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (numbered.withColumn("mark", F.explode(marks))
             .where((F.col("mark.is_draw") == 1) | F.col("mark.at").isNotNull())
-            .withColumn("stepped_over", stepped_over)
-            .where(F.col("mark.is_draw") == 1)
-            .withColumn("pick_rank", F.col("k") + F.when(F.col("owns_all"), F.lit(0))
-                        .otherwise(F.col("stepped_over")))
-            .drop("mark", "stepped_over", "n_own_ranks", "place", "free_below", "k"))
+            .withColumn("stepped_over", F.sum(1 - F.col("mark.is_draw")).over(upto))
+            .where(F.col("mark.is_draw") == 1).drop("mark"))
+
+
+def _step_over_by_join(numbered: DataFrame) -> DataFrame:
+    """For scenarios of any size: equal marks collapse before the shuffle, and
+    the counts come back by (sim, k)."""
+    owned = (numbered.where(F.col("free_below").isNotNull())
+             .groupBy("sim", F.col("free_below").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+             .withColumn("is_draw", F.lit(0)))
+    drawn = (numbered.where(F.col("k").isNotNull()).select("sim", F.col("k").alias("at")).distinct()
+             .withColumns({"n": F.lit(0).cast("long"), "is_draw": F.lit(1)}))
+    counted = running_sums(
+        owned.unionByName(drawn).withColumn("shelf", F.shiftright("at", 16)),
+        {"marks": F.col("n")}, "sim", ["at", "is_draw"])
+    steps = counted.where(F.col("is_draw") == 1).select(
+        "sim", F.col("at").alias("k"), F.col("marks_sum").alias("stepped_over"))
+    return numbered.join(steps, ["sim", "k"], "left")
 
 
 def through_later_sales(drawn: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from daypanel import schema
 from daypanel.functions.policy import Policy, fired, sell_reason
@@ -77,21 +77,25 @@ def tradable_candidates(universe: DataFrame, portfolio: DataFrame,
     return pool.join(day_prices.where(F.col("price") > 0).select("ticker", "price"), "ticker")
 
 
-def _universe_size(prices: DataFrame, universe: DataFrame | None):
+def universe_size(prices: DataFrame, universe: DataFrame | None) -> Column:
+    """Tickers of ``universe``, or of the panel as far as it has usable prices."""
     tickers = prices.where(F.col("price") > 0) if universe is None else universe
     return tickers.agg(F.count_distinct("ticker")).scalar()
 
 
 def pick_replacement(sales: DataFrame, holdings: DataFrame, prices: DataFrame, *, day,
-                     day_idx: int, seed: int, universe: DataFrame | None = None) -> DataFrame:
+                     day_idx: int, seed: int, universe: DataFrame | None = None,
+                     n_universe: Column | None = None, max_lots: int | None = None) -> DataFrame:
     """The ticker each sale (sim, ticker) is reinvested in, with its price.
-    ``universe`` must cover the tickers held."""
+    ``universe`` must cover the tickers held; ``n_universe`` is its size where
+    the caller knows it, ``max_lots`` a proven bound on one scenario's tickers."""
     quotes = ranked_prices(prices_on_day(prices, day), universe)
     selling = sales.select("sim", "ticker", F.lit(True).alias("selling"))
     state = (holdings.select("sim", "ticker").join(selling, ["sim", "ticker"], "left")
              .join(quotes.select("ticker", "rank", "n_traded"), "ticker", "left"))
     drawn = with_pick_rank(state, F.col("selling").isNotNull(), seed=seed, day_idx=day_idx,
-                           n_universe=_universe_size(prices, universe))
+                           n_universe=universe_size(prices, universe) if n_universe is None
+                           else n_universe, max_lots=max_lots)
     picked = quotes.select(F.col("rank").alias("pick_rank"),
                            F.col("ticker").alias("replacement"), "price")
     return (drawn.select("sim", "ticker", "pick_rank").join(picked, "pick_rank")
@@ -99,8 +103,8 @@ def pick_replacement(sales: DataFrame, holdings: DataFrame, prices: DataFrame, *
 
 
 def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int, seed: int,
-                    n_universe, policy: Policy = DEFAULT_POLICY, in_order: bool = False,
-                    max_holdings: int | None = None,
+                    n_universe: Column, policy: Policy = DEFAULT_POLICY, in_order: bool = False,
+                    max_lots: int | None = None, max_holdings: int | None = None,
                     max_quotes: int | None = None) -> DataFrame:
     """What becomes of every holding on one day (see `schema.MOVES`).
 
@@ -110,14 +114,15 @@ def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int
     a move then names the ticker the money is in at the end of the day.
     ``quotes`` is one day of `ranked_prices`.
 
-    ``max_holdings`` and ``max_quotes`` are row counts the caller can prove;
-    see `session.lookup` for what they allow."""
+    Bounds the caller can prove make it cheaper: ``max_lots`` on one scenario's
+    holdings (see `ranking.with_pick_rank`), ``max_holdings`` and ``max_quotes``
+    on the rows of either table (see `session.lookup`)."""
     bounds = {"max_rows": max_holdings, "max_table": max_quotes}
     state = (lookup(holdings.select("sim", "ticker", "entry_day", "entry_price", "units"),
                     quotes.select("ticker", "price", "rank", "n_traded"), "ticker", **bounds)
              .withColumn("wish", sell_reason(policy, F.col("entry_price"), F.col("price"))))
     drawn = with_pick_rank(state, F.col("wish").isNotNull(), seed=seed, day_idx=day_idx,
-                           n_universe=n_universe)
+                           n_universe=n_universe, max_lots=max_lots)
     if in_order:
         drawn = through_later_sales(drawn)
 
@@ -151,12 +156,12 @@ def lots_after(moves: DataFrame) -> DataFrame:
                         F.col("new_units").alias("units"), F.col("new_price").alias("price"))
 
 
-def rebalance_step(holdings: DataFrame, prices: DataFrame, *, day, day_idx: int, seed: int,
-                   universe: DataFrame | None = None, policy: Policy = DEFAULT_POLICY,
-                   in_order: bool = False, max_holdings: int | None = None, max_quotes: int | None = None) -> DataFrame:
-    """Holdings of all scenarios after one day of trading, with today's price."""
+def rebalance_step(holdings: DataFrame, prices: DataFrame, *, day, universe: DataFrame | None = None,
+                   n_universe: Column | None = None, **step) -> DataFrame:
+    """Holdings of all scenarios after one day of trading, with today's price.
+    ``step`` goes to `rebalance_moves`."""
     quotes = ranked_prices(prices_on_day(prices, day), universe)
-    moves = rebalance_moves(holdings, quotes, day=day, day_idx=day_idx, seed=seed,
-                            n_universe=_universe_size(prices, universe), policy=policy,
-                            in_order=in_order, max_holdings=max_holdings, max_quotes=max_quotes)
+    moves = rebalance_moves(
+        holdings, quotes, day=day,
+        n_universe=universe_size(prices, universe) if n_universe is None else n_universe, **step)
     return merge_lots(lots_after(moves), "price")

@@ -102,6 +102,7 @@ def _stepped(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame
     opening = spark.read.schema(schema.HOLDINGS).parquet(f"{folder}/opening")
     # Trading never adds a lot, so the opening count bounds every later state.
     max_holdings = opening.count()
+    max_lots = max_holdings // spec.n_sims
 
     # Partitioned by scenario, a state can be merged, numbered and drawn for
     # without another shuffle; every scenario has at most the chosen tickers.
@@ -110,7 +111,7 @@ def _stepped(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame
         moves = trading.rebalance_moves(
             holdings, panel.prices_on_day(quotes, day), day=day, day_idx=day_idx,
             seed=spec.seed, n_universe=F.lit(n_universe), policy=spec.policy,
-            in_order=spec.in_order, max_holdings=max_holdings, max_quotes=n_quotes.get(day, 0))
+            in_order=spec.in_order, max_lots=max_lots, max_holdings=max_holdings, max_quotes=n_quotes.get(day, 0))
         step = f"{folder}/moves/day_idx={day_idx}"
         moves.drop("day_idx").write.parquet(step)
         done = spark.read.schema(schema.MOVES).option("basePath", f"{folder}/moves").parquet(step)

@@ -277,6 +277,15 @@ started AS (
     sql["pick_replacement"] = one_day + """
 SELECT d.sim, d.ticker, c.ticker AS replacement, c.price
 FROM decided d JOIN cand c ON c.sim = d.sim AND c.pos = d.draw % c.n"""
+    whole_market = f"""
+started AS (
+  SELECT sim, {LATER_DAY_IDX}::BIGINT AS day_idx, {LATER_DAY} AS day, ticker, entry_day,
+         entry_price, units FROM lots)"""
+    sql["pick_replacement_whole_market"] = with_(
+        PANEL, WHOLE_MARKET, whole_market, step_parts("started", "code", "universe")) + """
+SELECT d.sim, d.ticker, c.ticker AS replacement, c.price
+FROM decided d JOIN cand c ON c.sim = d.sim AND c.pos = d.draw % c.n
+WHERE d.price IS NOT NULL"""
     sql["rebalance_step"] = one_day + f"""
 SELECT sim, ticker, entry_day, entry_price, round(units, 4) AS units FROM ({MERGED})"""
 

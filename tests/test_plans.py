@@ -9,7 +9,7 @@ from daypanel.operators import panel
 SF = "/root/testdata/sf0.001"
 LAZY = [n for n in catalog.QUERIES if n not in (
     "scenario_backtest", "scenario_backtest_stepped", "scenario_backtest_sampled_universe",
-    "scenario_backtest_documented", "trade_ledger", "scenario_snapshot", "sim_output_lines",
+    "scenario_backtest_in_order", "scenario_backtest_documented", "trade_ledger", "scenario_snapshot", "sim_output_lines",
     "sim_chart_table", "sim_chart_tail")]
 
 
