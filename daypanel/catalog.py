@@ -34,8 +34,16 @@ def query(fn):
     return fn
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is looked up once: queries that read a table
+    several times would otherwise open its footers each time."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def load_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
