@@ -92,7 +92,8 @@ def pick_replacement(sales: DataFrame, holdings: DataFrame, prices: DataFrame, *
     quotes = ranked_prices(prices_on_day(prices, day), universe)
     selling = sales.select("sim", "ticker", F.lit(True).alias("selling"))
     state = (holdings.select("sim", "ticker").join(selling, ["sim", "ticker"], "left")
-             .join(quotes.select("ticker", "rank", "n_traded"), "ticker", "left"))
+             .join(quotes.select("ticker", "rank"), "ticker", "left")
+             .withColumn("n_traded", quotes.agg(F.max("n_traded")).scalar()))
     drawn = with_pick_rank(state, F.col("selling").isNotNull(), seed=seed, day_idx=day_idx,
                            n_universe=universe_size(prices, universe) if n_universe is None
                            else n_universe, max_lots=max_lots)
