@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from daypanel import schema
 from daypanel.functions import draws
 
+SIMS_PER_BLOCK = 4096
+
 
 def sample_tickers(tickers: DataFrame, n: int = schema.N_TICKERS, *, seed: int) -> DataFrame:
     """Exactly ``n`` tickers without replacement (all, when there are fewer):
@@ -37,15 +39,21 @@ def opening_lots(prices: DataFrame, chosen: DataFrame, *, money: float = schema.
                     (F.lit(money) / n_chosen / F.col("price")).alias("units")))
 
 
-def sim_ids(n_sims: int) -> Column:
-    """The scenario ids 1..n_sims as one array."""
-    return F.sequence(F.lit(1).cast("long"), F.lit(n_sims).cast("long"))
-
-
-def for_each_sim(lots: DataFrame, n_sims: int = schema.N_SIMS) -> DataFrame:
-    """Every scenario starts from the same lots: they are worked out once and
-    then repeated, so no join depends on the number of scenarios."""
-    return lots.select(F.explode(sim_ids(n_sims)).alias("sim"), *lots.columns)
+def for_each_sim(rows: DataFrame, n_sims: int = schema.N_SIMS) -> DataFrame:
+    """``rows`` once for each scenario id 1..n_sims.
+
+    Every scenario starts from the same lots: they are worked out once and then
+    repeated, so no join depends on the number of scenarios. Many scenarios are
+    repeated in blocks, so that the few input rows do not leave it to one task."""
+    n_blocks = -(-n_sims // SIMS_PER_BLOCK)
+    first, last = F.lit(1).cast("long"), F.lit(n_sims).cast("long")
+    columns = rows.columns
+    if n_blocks > 1:
+        blocks = F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))
+        rows = rows.select("*", F.explode(blocks).alias("block")).repartition(n_blocks, "block")
+        first = F.col("block") * SIMS_PER_BLOCK + 1
+        last = F.least(first + SIMS_PER_BLOCK - 1, last)
+    return rows.select(F.explode(F.sequence(first, last)).alias("sim"), *columns)
 
 
 def initial_allocation(prices: DataFrame, chosen: DataFrame, *,

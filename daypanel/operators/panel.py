@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from daypanel.operators.allocation import sim_ids
+from daypanel.operators.allocation import for_each_sim
 
 
 def filter_by_date(prices: DataFrame, start, end) -> DataFrame:
@@ -76,9 +76,9 @@ def holdings_snapshot(holdings: DataFrame, prices: DataFrame) -> DataFrame:
             .select("sim", "day", "ticker", "price", "units"))
 
 
-def every_sim_day(calendar: DataFrame, n_sims: int, value: Column) -> DataFrame:
-    """A ``total`` of ``value`` for each scenario on each calendar day."""
-    return calendar.select(F.explode(sim_ids(n_sims)).alias("sim"), "day", value.alias("total"))
+def zero_totals(calendar: DataFrame, n_sims: int) -> DataFrame:
+    """A total of 0 for each scenario on each calendar day."""
+    return for_each_sim(calendar.select("day", F.lit(0.0).alias("total")), n_sims)
 
 
 def portfolio_value(holdings: DataFrame, prices: DataFrame, calendar: DataFrame,
@@ -91,5 +91,5 @@ def portfolio_value(holdings: DataFrame, prices: DataFrame, calendar: DataFrame,
     quotes = prices.select("ticker", "day", "price")
     worth = (holdings.select("sim", "ticker", "units").join(quotes, "ticker")
              .select("sim", "day", (F.col("units") * F.col("price")).alias("total")))
-    return (worth.unionByName(every_sim_day(calendar, n_sims, F.lit(0.0)))
+    return (worth.unionByName(zero_totals(calendar, n_sims))
             .groupBy("sim", "day").agg(F.sum("total").alias("total")))

@@ -160,7 +160,7 @@ def scenario_totals(moves: DataFrame, calendar: DataFrame, n_sims: int) -> DataF
     worth = moves.select(
         "sim", "day", (F.col("new_units") * F.coalesce("new_price", F.lit(0.0))).alias("total"))
     later = calendar.where(F.col("day_idx") >= 1)
-    return (worth.unionByName(panel.every_sim_day(later, n_sims, F.lit(0.0)))
+    return (worth.unionByName(panel.zero_totals(later, n_sims))
             .groupBy("sim", "day").agg(F.sum("total").alias("total")))
 
 

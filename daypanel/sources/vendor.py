@@ -6,6 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from daypanel import schema
 from daypanel.functions import text
+from daypanel.session import broadcast_if_bounded
+
+
+def _file_path() -> Column:
+    """The path as the folder lists it; the metadata column percent-encodes."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
 def read_vendor_folder(spark: SparkSession, folder: str) -> DataFrame:
@@ -14,7 +20,7 @@ def read_vendor_folder(spark: SparkSession, folder: str) -> DataFrame:
     Files are read as splittable CSV, so one very long history is shared by
     many tasks; no file is ever held as a single value."""
     return (spark.read.schema(schema.VENDOR_LINES).option("header", True).csv(folder)
-            .select(F.col("_metadata.file_path").alias("path"), *schema.VENDOR_LINES.fieldNames()))
+            .select(_file_path().alias("path"), *schema.VENDOR_LINES.fieldNames()))
 
 
 def vendor_rows(lines: DataFrame) -> DataFrame:
@@ -58,7 +64,7 @@ def malformed_rows(rows: DataFrame) -> DataFrame:
 def read_payload_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Raw lines with the file they came from, for checks on whole files."""
     return spark.read.text(folder).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
+        _file_path().alias("path"), F.col("value").alias("line"))
 
 
 def rejected_files(lines: DataFrame) -> DataFrame:
@@ -66,9 +72,11 @@ def rejected_files(lines: DataFrame) -> DataFrame:
     return lines.where(~text.is_csv_payload(F.col("line"))).select("path").distinct()
 
 
-def without_rejected(rows: DataFrame, lines: DataFrame) -> DataFrame:
-    """Rows of the files that passed the check."""
-    return rows.join(rejected_files(lines), "path", "left_anti")
+def without_rejected(rows: DataFrame, rejected: DataFrame, *,
+                     max_rejected: int | None = None) -> DataFrame:
+    """Rows of the files that passed the check. With a proven bound on the
+    rejected files the rows stay where they are; otherwise the planner decides."""
+    return rows.join(broadcast_if_bounded(rejected, max_rejected), "path", "left_anti")
 
 
 def valid_payloads(payloads: DataFrame) -> DataFrame:

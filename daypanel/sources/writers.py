@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daypanel import schema
@@ -25,12 +26,26 @@ def write_prices_csv(prices: DataFrame, path: str, *, mode: str = "errorifexists
     (rows.coalesce(1) if single_file else rows).write.mode(mode).csv(path)
 
 
+def is_there(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.schema(schema.PRICES).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def merge_vendor_folder(spark: SparkSession, folder: str, target: str, *,
                         strict: bool = True) -> None:
     """Build the merged price table from a vendor folder, unless it is there."""
-    rows = vendor.without_rejected(vendor.read_vendor_folder(spark, folder),
-                                   vendor.read_payload_lines(spark, folder))
+    if is_there(spark, target):
+        return
+    rejected = vendor.rejected_files(vendor.read_payload_lines(spark, folder)).persist()
+    rows = vendor.without_rejected(vendor.read_vendor_folder(spark, folder), rejected,
+                                   max_rejected=rejected.count())
     write_prices(vendor.to_prices(rows, strict=strict), target, mode="ignore")
+    rejected.unpersist()
 
 
 def result_lines(totals: DataFrame) -> DataFrame:

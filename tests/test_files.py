@@ -35,6 +35,13 @@ def test_vendor_folder_to_merged_table(spark, vendor_folder, tmp_path):
                     ("BRK.B", day(1), 200.25, 7)]
 
 
+def test_odd_ticker_names(spark, tmp_path):
+    for name in ("^GSPC", "A+B", "X Y", "50%"):
+        (tmp_path / f"{name}.csv").write_text(HEADER + "\n" + vendor_line("2018-03-01", 1, 1) + "\n")
+    prices = vendor.to_prices(vendor.read_vendor_folder(spark, str(tmp_path)))
+    assert sorted(r.ticker for r in prices.collect()) == ["50%", "A+B", "X Y", "^GSPC"]
+
+
 def test_merge_is_skipped_when_the_target_exists(spark, vendor_folder, tmp_path):
     target = str(tmp_path / "merged")
     writers.write_prices(price_frame(spark, [("OLD", 1, 1)]), target)

@@ -45,6 +45,15 @@ def test_missing_opening_price_loses_its_share(spark):
     assert sorted((r.sim, r.ticker, r.units) for r in lots) == [(1, "A", 2.5), (2, "A", 2.5)]
 
 
+def test_many_scenarios_are_repeated_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(allocation, "SIMS_PER_BLOCK", 7)
+    rows = allocation.for_each_sim(ticker_frame(spark, ["A", "B"]), 30)
+    assert rows.columns == ["sim", "ticker"]
+    assert sorted((r.sim, r.ticker) for r in rows.collect()) == [
+        (s, t) for s in range(1, 31) for t in "AB"]
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
+
+
 def test_sample_has_exact_size_and_no_repeats(spark):
     universe = ticker_frame(spark, [f"T{i}" for i in range(100)])
     picks = [r.ticker for r in allocation.sample_tickers(universe, 10, seed=3).collect()]
