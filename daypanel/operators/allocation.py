@@ -29,7 +29,7 @@ def opening_lots(prices: DataFrame, chosen: DataFrame, *, money: float = schema.
     offers = prices.select("ticker", "day", "price").join(chosen.select("ticker"), "ticker")
     n_chosen = chosen.agg(F.count(F.lit(1))).scalar()
     if day is None:
-        rows = offers if first_day == "chosen" else prices
+        rows = offers.where(F.col("price") > 0) if first_day == "chosen" else prices
         opening = rows.agg(F.min("day")).scalar()
     else:
         opening = day if isinstance(day, Column) else F.lit(day).cast("date")

@@ -156,8 +156,11 @@ def _step_over_by_join(numbered: DataFrame) -> DataFrame:
         owned.unionByName(drawn).withColumn("shelf", F.shiftright("at", 16)),
         {"marks": F.col("n")}, "sim", ["at", "is_draw"])
     steps = counted.where(F.col("is_draw") == 1).select(
-        "sim", F.col("at").alias("k"), F.col("marks_sum").alias("stepped_over"))
-    return numbered.join(steps, ["sim", "k"], "left")
+        "sim", "at", F.col("marks_sum").alias("stepped_over"))
+    # Positions without a draw match nothing, spread over many keys.
+    nowhere = -1 - F.pmod(F.xxhash64("ticker"), F.lit(1 << 20))
+    return (numbered.withColumn("at", F.coalesce("k", nowhere))
+            .join(steps, ["sim", "at"], "left").drop("at"))
 
 
 def through_later_sales(drawn: DataFrame) -> DataFrame:

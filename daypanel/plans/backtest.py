@@ -34,8 +34,9 @@ REPLICATED_ROWS = 4_000_000
 @dataclass(frozen=True)
 class Scenarios:
     """What to run. ``in_order`` lets the sales of a day run one after another
-    (see `trading.rebalance_moves`). ``universe`` limits replacements to the tickers of that
-    frame (None: all tickers with a usable price); chosen tickers always belong."""
+    (see `trading.rebalance_moves`). ``universe`` limits replacements to the
+    tickers of that frame (None: all tickers with a usable price); chosen
+    tickers always belong."""
 
     n_sims: int = schema.N_SIMS
     money: float = schema.MONEY
@@ -45,15 +46,35 @@ class Scenarios:
     universe: DataFrame | None = None
 
 
-def _calendar(prices: DataFrame) -> list:
-    """Trading days on the driver: one value per calendar day."""
-    return [row.day for row in panel.trading_days(prices).collect()]
-
-
-def _pool(chosen: DataFrame, universe: DataFrame | None) -> DataFrame | None:
-    if universe is None:
-        return None
-    return universe.select("ticker").unionByName(chosen.select("ticker")).distinct()
+@dataclass(frozen=True)
+class _Market:
+    """What the scenarios of one run can see and touch."""
+
+    quotes: DataFrame              # (ticker, day, price), usable prices only
+    n_quotes: dict                 # calendar day -> rows of `quotes`, in day order
+    n_universe: int | None         # tickers to draw from; None: all in `quotes`
+
+    @property
+    def days(self) -> list:
+        return list(self.n_quotes)
+
+
+def _market(prices: DataFrame, chosen: DataFrame, universe: DataFrame | None) -> _Market:
+    """With a universe, nothing outside of it is ever held: the panel shrinks
+    to it before anything else happens. The calendar stays that of the panel."""
+    usable = F.col("price") > 0
+    quotes = prices.select("ticker", "day", "price")
+    n_universe = None
+    if universe is not None:
+        pool = universe.select("ticker").unionByName(chosen.select("ticker")).distinct()
+        n_universe = pool.count()
+        listed = session.broadcast_if_bounded(pool.withColumn("listed", F.lit(True)), n_universe)
+        quotes = quotes.join(listed, "ticker", "left")
+        usable = usable & F.coalesce("listed", F.lit(False))
+    # One row per calendar day comes to the driver.
+    counted = quotes.groupBy("day").agg(F.count_if(usable).alias("n")).collect()
+    return _Market(quotes.where(usable).select("ticker", "day", "price"),
+                   {row.day: row.n for row in sorted(counted, key=lambda row: row.day)}, n_universe)
 
 
 def backtest_moves(prices: DataFrame, chosen: DataFrame, spec: Scenarios,
@@ -61,57 +82,55 @@ def backtest_moves(prices: DataFrame, chosen: DataFrame, spec: Scenarios,
     """Moves of every scenario on every day after the first.
 
     ``prices`` has one row per (ticker, day), already cut to the date range.
-    ``auto`` counts the panel and replicates it only below REPLICATED_ROWS."""
+    ``auto`` counts the rows and replicates them only up to REPLICATED_ROWS."""
     if method not in ("auto", "replicated", "stepped"):
         raise ValueError(f"unknown method {method!r}")
-    if method != "stepped":
-        n_rows = prices.count()
-        if n_rows <= REPLICATED_ROWS:
-            return _replicated(prices, chosen, spec)
-        if method == "replicated":
-            raise ValueError(f"{n_rows} panel rows are too many to replicate")
-    return _stepped(prices, chosen, spec)
+    market = _market(prices, chosen, spec.universe)
+    if len(market.days) < 2:
+        return prices.sparkSession.createDataFrame([], schema.MOVES)
+    n_rows = sum(market.n_quotes.values())
+    if method == "replicated" and n_rows > REPLICATED_ROWS:
+        raise ValueError(f"{n_rows} panel rows are too many to replicate")
+    if method == "stepped" or n_rows > REPLICATED_ROWS:
+        return _stepped(market, chosen, spec)
+    return _replicated(market, chosen, spec)
 
 
 # -- stepped ----------------------------------------------------------------
 
-def _stepped(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame:
-    spark = prices.sparkSession
+def _stepped(market: _Market, chosen: DataFrame, spec: Scenarios) -> DataFrame:
+    """The run's folder may be removed once the result has been written."""
+    spark = chosen.sparkSession
     folder = session.run_folder(spark, "backtest")
-    pool = _pool(chosen, spec.universe)
-
-    days = _calendar(prices)
-    if len(days) < 2:
-        return spark.createDataFrame([], schema.MOVES)
 
     # Numbered quotes, laid out by day.
-    (ranking.ranked_prices(prices, pool, max_days=len(days))
+    (ranking.ranked_prices(market.quotes, max_days=len(market.days))
      .write.partitionBy("day").parquet(f"{folder}/quotes"))
     quotes = spark.read.schema(
         "ticker string, price double, rank long, n_traded long, day date"
     ).parquet(f"{folder}/quotes")
-    everyone = quotes if pool is None else pool
-    n_universe = everyone.agg(F.count_distinct("ticker").alias("n")).first().n
-
-    n_quotes = {row.day: row.n for row in
-                quotes.groupBy("day").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_universe = market.n_universe
+    if n_universe is None:
+        n_universe = quotes.agg(F.count_distinct("ticker").alias("n")).first().n
 
     allocation.initial_allocation(
-        quotes, chosen, n_sims=spec.n_sims, money=spec.money, day=days[0]
+        quotes, chosen, n_sims=spec.n_sims, money=spec.money, day=market.days[0]
     ).write.parquet(f"{folder}/opening")
     opening = spark.read.schema(schema.HOLDINGS).parquet(f"{folder}/opening")
-    # Trading never adds a lot, so the opening count bounds every later state.
+    # All scenarios open alike and trading never adds a lot: the opening counts
+    # bound every later state.
     max_holdings = opening.count()
     max_lots = max_holdings // spec.n_sims
 
     # Partitioned by scenario, a state can be merged, numbered and drawn for
-    # without another shuffle; every scenario has at most the chosen tickers.
+    # without another shuffle.
     holdings = opening.repartition("sim")
-    for day_idx, day in enumerate(days[1:], start=1):
+    for day_idx, day in enumerate(market.days[1:], start=1):
         moves = trading.rebalance_moves(
             holdings, panel.prices_on_day(quotes, day), day=day, day_idx=day_idx,
             seed=spec.seed, n_universe=F.lit(n_universe), policy=spec.policy,
-            in_order=spec.in_order, max_lots=max_lots, max_holdings=max_holdings, max_quotes=n_quotes.get(day, 0))
+            in_order=spec.in_order, max_lots=max_lots, max_holdings=max_holdings,
+            max_quotes=market.n_quotes[day])
         step = f"{folder}/moves/day_idx={day_idx}"
         moves.drop("day_idx").write.parquet(step)
         done = spark.read.schema(schema.MOVES).option("basePath", f"{folder}/moves").parquet(step)
@@ -121,31 +140,24 @@ def _stepped(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame
 
 # -- replicated -------------------------------------------------------------
 
-def _replicated(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame:
-    spark = prices.sparkSession
+def _replicated(market: _Market, chosen: DataFrame, spec: Scenarios) -> DataFrame:
+    spark = chosen.sparkSession
     session.ship_by_value(spec.policy)
-    quotes = prices.select("ticker", F.unix_date("day").alias("day_no"), "price")
-    pool = _pool(chosen, spec.universe)
-    if pool is None:
-        quotes = quotes.withColumn("in_pool", F.lit(True))
-    else:
-        quotes = (quotes.join(pool.withColumn("in_pool", F.lit(True)), "ticker", "left")
-                  .withColumn("in_pool", F.coalesce("in_pool", F.lit(False))))
-    market = fold.pack(quotes.toArrow().to_pandas())
-    n_universe = len(market.names) if pool is None else pool.count()
-    opening = {}
-    if len(market.days):
-        lots = allocation.opening_lots(prices, chosen, money=spec.money, day=market.days[0])
-        opening = fold.numbered(market, lots.toArrow().to_pandas())
-    shared = spark.sparkContext.broadcast(tuple(market))
+    rows = market.quotes.withColumn("day_no", F.unix_date("day")).drop("day")
+    packed = fold.pack(rows.toArrow().to_pandas(), market.days)
+    lots = allocation.opening_lots(market.quotes, chosen, money=spec.money, day=market.days[0])
+    opening = fold.numbered(packed, lots.toArrow().to_pandas())
+
+    shared = spark.sparkContext.broadcast(tuple(packed))
+    n_universe = len(packed.names) if market.n_universe is None else market.n_universe
     rules = fold.Rules(n_universe, spec.seed, spec.policy, spec.in_order)
     columns = schema.MOVES.fieldNames()
 
     def run(batches):
-        market = fold.Market(*shared.value)
+        packed = fold.Packed(*shared.value)
         for batch in batches:
             for sim in batch["id"].tolist():
-                yield fold.run_scenario(sim, opening, market, rules)[columns]
+                yield fold.run_scenario(sim, opening, packed, rules)[columns]
 
     slices = max(1, min(spec.n_sims, spark.sparkContext.defaultParallelism))
     return (spark.range(1, spec.n_sims + 1, numPartitions=slices)

@@ -18,10 +18,9 @@ from daypanel.functions.policy import Policy
 EPOCH = dt.date(1970, 1, 1)
 
 
-class Market(NamedTuple):
+class Packed(NamedTuple):
     days: np.ndarray       # dates
     names: np.ndarray      # ticker of each number
-    in_pool: np.ndarray    # may this ticker be drawn?
     tickers: np.ndarray    # ticker number of each quote
     prices: np.ndarray     # price of each quote
     starts: np.ndarray     # first quote of each day
@@ -38,29 +37,23 @@ class Rules(NamedTuple):
     in_order: bool
 
 
-def pack(quotes: pd.DataFrame) -> Market:
-    """From (ticker, day_no, price, in_pool) rows. The calendar keeps days on
-    which only unusable prices were quoted."""
-    day_nos = np.unique(quotes["day_no"].to_numpy(dtype=np.int64))
-    days = np.array([EPOCH + dt.timedelta(days=int(d)) for d in day_nos], dtype=object)
-    quotes = quotes[quotes["price"] > 0]
-    tickers = quotes.drop_duplicates("ticker")
-    tickers = tickers.assign(key=tickers["ticker"].map(draws.shelf_key_local))
-    tickers = tickers.sort_values(["key", "ticker"])
-    names = tickers["ticker"].to_numpy(dtype=object)
+def pack(quotes: pd.DataFrame, days: list) -> Packed:
+    """From (ticker, day_no, price) rows; ``days`` is the calendar in order."""
+    day_nos = np.array([(day - EPOCH).days for day in days])
+    names = np.array(sorted(quotes["ticker"].unique(),
+                            key=lambda t: (draws.shelf_key_local(t), t)), dtype=object)
     ticker_no = pd.Index(names, dtype=object).get_indexer(quotes["ticker"]).astype(np.int32)
-    day_idx = np.searchsorted(day_nos, quotes["day_no"].to_numpy(dtype=np.int64))
+    day_idx = np.searchsorted(day_nos, quotes["day_no"].to_numpy())
     order = np.lexsort((ticker_no, day_idx))
-    return Market(
-        days=days,
+    return Packed(
+        days=np.array(days, dtype=object),
         names=names,
-        in_pool=tickers["in_pool"].to_numpy(dtype=bool),
         tickers=ticker_no[order],
         prices=quotes["price"].to_numpy(dtype=float)[order],
         starts=np.searchsorted(day_idx[order], np.arange(len(days) + 1)))
 
 
-def numbered(market: Market, lots: pd.DataFrame) -> dict:
+def numbered(market: Packed, lots: pd.DataFrame) -> dict:
     """Opening lots as ticker number -> (entry day index, entry price, units)."""
     numbers = pd.Index(market.names, dtype=object).get_indexer(lots["ticker"])
     return {int(t): (0, float(p), float(u))
@@ -75,7 +68,7 @@ def find(sorted_values: np.ndarray, wanted: np.ndarray):
     return at, there
 
 
-def trade_day(sim: int, day_idx: int, held: dict, market: Market, rules: Rules) -> list[tuple]:
+def trade_day(sim: int, day_idx: int, held: dict, market: Packed, rules: Rules) -> list[tuple]:
     """One move per holding, in ticker order; sales are all decided from the
     opening state."""
     tickers, prices = market.on_day(day_idx)
@@ -89,18 +82,16 @@ def trade_day(sim: int, day_idx: int, held: dict, market: Market, rules: Rules)
                for i in range(len(mine))]
 
     # The k-th tradable ticker that is not owned, without listing them.
-    tradable = tickers[market.in_pool[tickers]]
-    own_at, own = find(tradable, mine)
-    own_ranks = own_at[own] if len(mine) < rules.n_universe else own_at[:0]
+    own_ranks = at[trades] if len(mine) < rules.n_universe else at[:0]
     free_below = own_ranks - np.arange(len(own_ranks))
-    n_free = len(tradable) - len(own_ranks)
+    n_free = len(tickers) - len(own_ranks)
 
     choices = {}
     for ticker, reason in zip(mine.tolist(), reasons):
         if reason is not None and n_free > 0:
             draw = draws.seeded_draw_local(rules.seed, sim, day_idx, market.names[ticker])
             k = draw % n_free
-            choices[ticker] = int(tradable[k + np.searchsorted(free_below, k, side="right")])
+            choices[ticker] = int(tickers[k + np.searchsorted(free_below, k, side="right")])
     if rules.in_order:
         # Later sales first: each passes on what it receives.
         passed_on = {}
@@ -137,7 +128,7 @@ def holdings_after(moves: list[tuple]) -> dict:
     return held
 
 
-def run_scenario(sim: int, held: dict, market: Market, rules: Rules) -> pd.DataFrame:
+def run_scenario(sim: int, held: dict, market: Packed, rules: Rules) -> pd.DataFrame:
     rows: list[tuple] = []
     for day_idx in range(1, len(market.days)):
         moves = trade_day(sim, day_idx, held, market, rules)
