@@ -66,6 +66,15 @@ def chosen_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return allocation.sample_tickers(load_tickers(spark, sf_dir), N_TICKERS, seed=SEED)
 
 
+def chosen_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chosen tickers' part of the panel. Ticks of other users are dropped
+    at the scan, before anything is aggregated."""
+    users = chosen_tickers(spark, sf_dir).select(
+        F.expr("cast(substring(ticker, 2) AS bigint)").alias("user_id"))
+    ticks_of_chosen = table(spark, sf_dir, "events").join(users, "user_id", "left_semi")
+    return price_source.prices_from_events(ticks_of_chosen)
+
+
 def opening_day(spark: SparkSession, sf_dir: str) -> Column:
     return ticks(spark, sf_dir).agg(F.min("day")).scalar()
 
@@ -76,7 +85,7 @@ def n_tickers(spark: SparkSession, sf_dir: str) -> Column:
 
 def opening_holdings(spark: SparkSession, sf_dir: str, n_sims: int = N_SIMS) -> DataFrame:
     return allocation.initial_allocation(
-        load_prices(spark, sf_dir), chosen_tickers(spark, sf_dir), n_sims=n_sims, money=MONEY,
+        chosen_prices(spark, sf_dir), chosen_tickers(spark, sf_dir), n_sims=n_sims, money=MONEY,
         day=opening_day(spark, sf_dir))
 
 
@@ -237,7 +246,9 @@ def entry_vs_today(spark, sf_dir):
 @query
 def held_prices(spark, sf_dir):
     today = panel.prices_on_day(load_prices(spark, sf_dir), LATER_DAY)
-    return panel.held_prices(today, opening_holdings(spark, sf_dir)).select("ticker", "day", "price")
+    held = panel.held_prices(today, opening_holdings(spark, sf_dir),
+                             max_holdings=N_SIMS * N_TICKERS)
+    return held.select("ticker", "day", "price")
 
 
 # -- choosing and opening -----------------------------------------------------
@@ -255,7 +266,7 @@ def initial_allocation(spark, sf_dir):
 
 @query
 def buy_and_hold(spark, sf_dir):
-    rows = holding.buy_and_hold(load_prices(spark, sf_dir), chosen_tickers(spark, sf_dir),
+    rows = holding.buy_and_hold(chosen_prices(spark, sf_dir), chosen_tickers(spark, sf_dir),
                                 n_sims=N_SIMS, money=MONEY)
     return rows.select("sim", "day", "ticker", "price", *rounded("units"))
 
@@ -389,8 +400,13 @@ def _spec(spark, sf_dir, *, mode="code", sampled_universe=False, in_order=False)
 
 
 def _moves(spark, sf_dir, method="auto", **kind):
-    return backtest.backtest_moves(load_prices(spark, sf_dir), chosen_tickers(spark, sf_dir),
-                                   _spec(spark, sf_dir, **kind), method)
+    """With the sampled universe only its prices are needed, and the calendar
+    of the whole panel."""
+    sampled = kind.get("sampled_universe", False)
+    return backtest.backtest_moves(
+        chosen_prices(spark, sf_dir) if sampled else load_prices(spark, sf_dir),
+        chosen_tickers(spark, sf_dir), _spec(spark, sf_dir, **kind), method,
+        calendar=ticks(spark, sf_dir) if sampled else None)
 
 
 def _totals(spark, sf_dir, method="auto", **kind):

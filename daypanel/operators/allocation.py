@@ -26,7 +26,8 @@ def opening_lots(prices: DataFrame, chosen: DataFrame, *, money: float = schema.
     The opening day is ``day`` (a date, or a column such as a scalar subquery),
     or the first day of the panel, or with ``first_day='chosen'`` the first day
     on which any chosen ticker trades."""
-    offers = prices.select("ticker", "day", "price").join(chosen.select("ticker"), "ticker")
+    offers = (prices.select("ticker", "day", "price")
+              .join(chosen.select("ticker"), "ticker", "left_semi"))
     n_chosen = chosen.agg(F.count(F.lit(1))).scalar()
     if day is None:
         rows = offers.where(F.col("price") > 0) if first_day == "chosen" else prices

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from daypanel.operators.allocation import for_each_sim
+from daypanel.session import broadcast_if_bounded
 
 
 def filter_by_date(prices: DataFrame, start, end) -> DataFrame:
@@ -61,18 +62,24 @@ def entry_vs_today(positions: DataFrame, prices: DataFrame) -> DataFrame:
             .join(today, ["ticker", "day"], "left"))
 
 
-def held_prices(day_prices: DataFrame, holdings: DataFrame) -> DataFrame:
+# Below, ``max_holdings`` is a row count of the holdings the caller can prove.
+# Under it they are broadcast, and the prices are read in place.
+
+def held_prices(day_prices: DataFrame, holdings: DataFrame, *,
+                max_holdings: int | None = None) -> DataFrame:
     """Prices of tickers somebody holds. Holdings repeat a ticker once per
     scenario, so they are reduced to distinct tickers before the join."""
-    return day_prices.join(holdings.select("ticker").distinct(), "ticker", "left_semi")
+    held = broadcast_if_bounded(holdings.select("ticker").distinct(), max_holdings)
+    return day_prices.join(held, "ticker", "left_semi")
 
 
-def holdings_snapshot(holdings: DataFrame, prices: DataFrame) -> DataFrame:
+def holdings_snapshot(holdings: DataFrame, prices: DataFrame, *,
+                      max_holdings: int | None = None) -> DataFrame:
     """(sim, day, ticker, price, units) of held tickers on days they trade.
     Holdings may carry a ``day``; without one they stand for every day."""
     keys = ["ticker", "day"] if "day" in holdings.columns else ["ticker"]
-    quotes = prices.select("ticker", "day", "price")
-    return (holdings.select("sim", "units", *keys).join(quotes, keys)
+    held = broadcast_if_bounded(holdings.select("sim", "units", *keys), max_holdings)
+    return (prices.select("ticker", "day", "price").join(held, keys)
             .select("sim", "day", "ticker", "price", "units"))
 
 
@@ -82,14 +89,14 @@ def zero_totals(calendar: DataFrame, n_sims: int) -> DataFrame:
 
 
 def portfolio_value(holdings: DataFrame, prices: DataFrame, calendar: DataFrame,
-                    n_sims: int) -> DataFrame:
+                    n_sims: int, max_holdings: int | None = None) -> DataFrame:
     """Value of fixed holdings on each calendar day; a holding that does not
     trade that day counts as 0, and a scenario without any value gets 0.
 
     The zero rows are appended instead of joined, so one aggregation does
     both, with its partial sums before the shuffle."""
-    quotes = prices.select("ticker", "day", "price")
-    worth = (holdings.select("sim", "ticker", "units").join(quotes, "ticker")
+    held = broadcast_if_bounded(holdings.select("sim", "ticker", "units"), max_holdings)
+    worth = (prices.select("ticker", "day", "price").join(held, "ticker")
              .select("sim", "day", (F.col("units") * F.col("price")).alias("total")))
     return (worth.unionByName(zero_totals(calendar, n_sims))
             .groupBy("sim", "day").agg(F.sum("total").alias("total")))

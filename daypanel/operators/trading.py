@@ -29,11 +29,12 @@ def gain_plateau_signal(positions: DataFrame, policy: Policy = DEFAULT_POLICY,
 
 
 def sell_decisions(holdings: DataFrame, day_prices: DataFrame,
-                   policy: Policy = DEFAULT_POLICY) -> DataFrame:
+                   policy: Policy = DEFAULT_POLICY, *,
+                   max_holdings: int | None = None) -> DataFrame:
     """Holdings with today's price and the ``reason`` to sell: stop-loss, else
     plateau, NULL to keep. A holding without a price today is kept."""
     today = day_prices.where(F.col("price") > 0).select("ticker", "price")
-    return (holdings.join(today, "ticker", "left")
+    return (lookup(holdings, today, "ticker", max_rows=max_holdings)
             .withColumn("reason", sell_reason(policy, F.col("entry_price"), F.col("price"))))
 
 

@@ -59,41 +59,58 @@ class _Market:
         return list(self.n_quotes)
 
 
-def _market(prices: DataFrame, chosen: DataFrame, universe: DataFrame | None) -> _Market:
+def _market(prices: DataFrame, chosen: DataFrame, universe: DataFrame | None,
+            calendar: DataFrame | None) -> _Market:
     """With a universe, nothing outside of it is ever held: the panel shrinks
     to it before anything else happens. The calendar stays that of the panel."""
-    usable = F.col("price") > 0
-    quotes = prices.select("ticker", "day", "price")
+    def per_day(rows: DataFrame) -> dict:
+        # One row per calendar day comes to the driver.
+        return {row.day: row.n for row in
+                rows.groupBy("day").agg(F.count_if(F.col("price") > 0).alias("n")).collect()}
+
+    quotes = prices.select("ticker", "day", "price").where(F.col("price") > 0)
+    if calendar is None:
+        counts = per_day(prices)
+        days = sorted(counts)
+    else:
+        counts = None
+        days = sorted(row.day for row in calendar.select("day").distinct().collect())
     n_universe = None
     if universe is not None:
         pool = universe.select("ticker").unionByName(chosen.select("ticker")).distinct()
         n_universe = pool.count()
-        listed = session.broadcast_if_bounded(pool.withColumn("listed", F.lit(True)), n_universe)
-        quotes = quotes.join(listed, "ticker", "left")
-        usable = usable & F.coalesce("listed", F.lit(False))
-    # One row per calendar day comes to the driver.
-    counted = quotes.groupBy("day").agg(F.count_if(usable).alias("n")).collect()
-    return _Market(quotes.where(usable).select("ticker", "day", "price"),
-                   {row.day: row.n for row in sorted(counted, key=lambda row: row.day)}, n_universe)
+        quotes = quotes.join(session.broadcast_if_bounded(pool, n_universe), "ticker", "left_semi")
+        if n_universe * len(days) <= REPLICATED_ROWS:
+            quotes = quotes.persist()
+        counts = None
+    counts = per_day(quotes) if counts is None else counts
+    return _Market(quotes, {day: counts.get(day, 0) for day in days}, n_universe)
 
 
-def backtest_moves(prices: DataFrame, chosen: DataFrame, spec: Scenarios,
-                   method: str = "auto") -> DataFrame:
+def backtest_moves(prices: DataFrame, chosen: DataFrame, spec: Scenarios, method: str = "auto",
+                   calendar: DataFrame | None = None) -> DataFrame:
     """Moves of every scenario on every day after the first.
 
-    ``prices`` has one row per (ticker, day), already cut to the date range.
+    ``prices`` has one row per (ticker, day), already cut to the date range. It
+    may hold just the universe if ``calendar`` has the ``day`` of all trading.
     ``auto`` counts the rows and replicates them only up to REPLICATED_ROWS."""
     if method not in ("auto", "replicated", "stepped"):
         raise ValueError(f"unknown method {method!r}")
-    market = _market(prices, chosen, spec.universe)
-    if len(market.days) < 2:
-        return prices.sparkSession.createDataFrame([], schema.MOVES)
-    n_rows = sum(market.n_quotes.values())
-    if method == "replicated" and n_rows > REPLICATED_ROWS:
-        raise ValueError(f"{n_rows} panel rows are too many to replicate")
-    if method == "stepped" or n_rows > REPLICATED_ROWS:
-        return _stepped(market, chosen, spec)
-    return _replicated(market, chosen, spec)
+    # Several jobs below read the list; sampling it may have cost a full scan.
+    chosen = chosen.select("ticker").persist()
+    market = _market(prices, chosen, spec.universe, calendar)
+    try:
+        if len(market.days) < 2:
+            return prices.sparkSession.createDataFrame([], schema.MOVES)
+        n_rows = sum(market.n_quotes.values())
+        if method == "replicated" and n_rows > REPLICATED_ROWS:
+            raise ValueError(f"{n_rows} panel rows are too many to replicate")
+        if method == "stepped" or n_rows > REPLICATED_ROWS:
+            return _stepped(market, chosen, spec)
+        return _replicated(market, chosen, spec)
+    finally:
+        market.quotes.unpersist()
+        chosen.unpersist()
 
 
 # -- stepped ----------------------------------------------------------------

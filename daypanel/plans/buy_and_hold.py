@@ -14,9 +14,12 @@ def buy_and_hold(prices: DataFrame, chosen: DataFrame, *, n_sims: int = schema.N
     trades, the purchase day included. Bought on the first day on which any
     chosen ticker trades. All scenarios are alike, so the rows are worked out
     once and repeated at the end."""
-    lots = allocation.opening_lots(prices, chosen, money=money, first_day="chosen")
-    quotes = prices.select("ticker", "day", "price")
-    rows = (lots.select("ticker", "entry_day", "units").join(quotes, "ticker")
+    # Cut to the chosen tickers first. A semi join on a grouping key moves below
+    # the aggregation that may have built the panel.
+    offers = (prices.select("ticker", "day", "price")
+              .join(chosen.select("ticker"), "ticker", "left_semi"))
+    lots = allocation.opening_lots(offers, chosen, money=money, first_day="chosen")
+    rows = (offers.join(lots.select("ticker", "entry_day", "units"), "ticker")
             .where(F.col("day") >= F.col("entry_day"))
             .select("day", "ticker", "price", "units"))
     return allocation.for_each_sim(rows, n_sims)

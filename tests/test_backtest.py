@@ -104,6 +104,21 @@ def test_forms_agree_row_by_row(spark):
     assert rows["replicated"] == rows["stepped"] and rows["stepped"]
 
 
+@pytest.mark.parametrize("method", METHODS)
+def test_prices_of_the_universe_and_the_whole_calendar(spark, method):
+    """Day 1 and day 4 trade only outside of the universe."""
+    cells = [("Z", d, 5) for d in range(1, 7)] + [
+        (t, d, 10 + d * i) for i, t in enumerate("ABC") for d in (2, 3, 5, 6)] + [("A", 1, 9)]
+    prices, chosen = price_frame(spark, cells), ticker_frame(spark, list("ABC"))
+    spec = backtest.Scenarios(n_sims=3, seed=1, universe=chosen)
+    found = []
+    for panel_rows, days in ((prices, None), (prices.where("ticker <> 'Z'"), prices)):
+        moves = backtest.backtest_moves(panel_rows, chosen, spec, method, calendar=days)
+        found.append(sorted((r.sim, r.day_idx, r.ticker, r.new_ticker, r.new_units)
+                            for r in moves.collect()))
+    assert found[0] == found[1] and {r[1] for r in found[0]} == {1, 2, 3, 4, 5}
+
+
 @pytest.mark.parametrize("method", METHODS)
 def test_one_trading_day_gives_nothing(spark, method):
     prices = price_frame(spark, [("A", 1, 10)])
