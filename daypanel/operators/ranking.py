@@ -21,6 +21,9 @@ SHELF_DIGITS = 2
 # can prove that no scenario has more lots than that.
 LOTS_PER_SHELF = 1 << 16
 
+# Up to this many lots, a scenario's later sales may travel in each of its rows.
+CHAIN_IN_ROW = 256
+
 
 def running_sums(rows: DataFrame, values: dict[str, Column], group: str, order: list, *,
                  by_range: bool = False, max_group: int | None = None,
@@ -163,12 +166,19 @@ def _step_over_by_join(numbered: DataFrame) -> DataFrame:
             .join(steps, ["sim", "at"], "left").drop("at"))
 
 
-def through_later_sales(drawn: DataFrame) -> DataFrame:
+def through_later_sales(drawn: DataFrame, max_lots: int | None = None) -> DataFrame:
     """Where each draw's money ends when sales run one after another in rank
     order: a ticker bought and then sold itself later that day passes it on.
 
     Only a scenario that owns its whole universe can draw a ticker it is about
-    to sell; every other row keeps its draw. Following the later sales in
+    to sell; every other row keeps its draw."""
+    if max_lots is not None and max_lots <= CHAIN_IN_ROW:
+        return _pass_on_in_rows(drawn)
+    return _pass_on_in_tasks(drawn)
+
+
+def _pass_on_in_rows(drawn: DataFrame) -> DataFrame:
+    """For small scenarios: each row carries the later sales. Following them in
     rising order visits each link of the chain at most once."""
     sale = F.when(F.col("owns_all") & F.col("pick_rank").isNotNull(),
                   F.struct("rank", "pick_rank"))
@@ -179,3 +189,26 @@ def through_later_sales(drawn: DataFrame) -> DataFrame:
                 "later", F.col("pick_rank"),
                 lambda at, sold: F.when(at == sold["rank"], sold["pick_rank"]).otherwise(at)))
             .drop("later"))
+
+
+def _pass_on_in_tasks(drawn: DataFrame) -> DataFrame:
+    """For scenarios of any size: sorted rows stream past from the last sale to
+    the first, and only the destinations found so far are kept."""
+    def pass_on(batches):
+        import pyarrow as pa
+
+        sim, ends = None, {}
+        for batch in batches:
+            picks = []
+            for s, rank, pick, owns_all in zip(*(batch.column(n).to_pylist() for n in (
+                    "sim", "rank", "pick_rank", "owns_all"))):
+                if s != sim:
+                    sim, ends = s, {}
+                if owns_all and pick is not None:
+                    pick = ends[rank] = ends.get(pick, pick)
+                picks.append(pick)
+            at = batch.schema.get_field_index("pick_rank")
+            yield batch.set_column(at, batch.schema.field(at), pa.array(picks, pa.int64()))
+
+    return (drawn.repartition("sim").sortWithinPartitions("sim", F.desc_nulls_last("rank"))
+            .mapInArrow(pass_on, drawn.schema))

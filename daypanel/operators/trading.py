@@ -126,7 +126,7 @@ def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int
     drawn = with_pick_rank(state, F.col("wish").isNotNull(), seed=seed, day_idx=day_idx,
                            n_universe=n_universe, max_lots=max_lots)
     if in_order:
-        drawn = through_later_sales(drawn)
+        drawn = through_later_sales(drawn, max_lots)
 
     # Positions that stay look up a number no ticker has; a spread of them, so
     # that a shuffled join does not send them all to one task.

@@ -75,6 +75,34 @@ def test_sales_in_order_match_plain_loops(spark, method, mode, filled):
           in_order=True)
 
 
+def test_sales_in_order_for_scenarios_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "CHAIN_IN_ROW", 0)
+    chosen = [f"T{i}" for i in range(7)]
+    check(spark, random_panel(21, tickers=9, days=5), chosen, n_sims=8, seed=3, mode="code",
+          universe=chosen, method="stepped", in_order=True)
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.run_folder(Session(), "x")
+    Session.conf.get = staticmethod(lambda key, default: "hdfs://shared/")
+    assert session.run_folder(Session(), "x").startswith("hdfs://shared/x-")
+
+
 def test_shuffled_lookups_give_the_same(spark, monkeypatch):
     """Neither side may be broadcast: the path for states beyond the bound."""
     monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
