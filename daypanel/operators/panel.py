@@ -54,12 +54,13 @@ def price_lookup(positions: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def entry_vs_today(positions: DataFrame, prices: DataFrame) -> DataFrame:
-    """Adds entry_price and price to positions (ticker, entry_day, day)."""
+    """Adds entry_price and price to positions (ticker, entry_day, day). Today
+    comes first: positions made from a panel are already partitioned for it."""
     entry = prices.select("ticker", F.col("day").alias("entry_day"),
                           F.col("price").alias("entry_price"))
     today = prices.select("ticker", "day", "price")
-    return (positions.join(entry, ["ticker", "entry_day"], "left")
-            .join(today, ["ticker", "day"], "left"))
+    return (positions.join(today, ["ticker", "day"], "left")
+            .join(entry, ["ticker", "entry_day"], "left"))
 
 
 # Below, ``max_holdings`` is a row count of the holdings the caller can prove.

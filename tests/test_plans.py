@@ -7,10 +7,11 @@ from daypanel import catalog
 from daypanel.operators import panel
 
 SF = "/root/testdata/sf0.001"
-LAZY = [n for n in catalog.QUERIES if n not in (
+SCENARIOS = (
     "scenario_backtest", "scenario_backtest_stepped", "scenario_backtest_sampled_universe",
-    "scenario_backtest_in_order", "scenario_backtest_documented", "trade_ledger", "scenario_snapshot", "sim_output_lines",
-    "sim_chart_table", "sim_chart_tail")]
+    "scenario_backtest_in_order", "scenario_backtest_documented", "trade_ledger",
+    "scenario_snapshot", "sim_output_lines", "sim_chart_table", "sim_chart_tail")
+LAZY = [n for n in catalog.QUERIES if n not in SCENARIOS]
 
 
 def plan_of(df) -> str:
@@ -42,6 +43,16 @@ def test_scan_reads_only_the_needed_columns(spark):
     assert "ReadSchema: struct<ts:timestamp_ntz>" in plan
 
 
+def test_positions_of_a_panel_are_not_shuffled_for_todays_price(spark):
+    plan = plan_of(catalog.QUERIES["entry_vs_today"](spark, SF))
+    assert plan.count("Exchange hashpartitioning") <= 4, "three panels and one for entry_day"
+
+
+def test_chosen_tickers_are_cut_before_the_aggregation(spark):
+    plan = plan_of(catalog.chosen_prices(spark, SF))
+    assert plan.index("partial_max_by") < plan.index("LeftSemi"), "the join is below the aggregate"
+
+
 def test_sample_is_a_top_n(spark):
     assert "TakeOrderedAndProject" in plan_of(catalog.QUERIES["sample_tickers"](spark, SF))
 
