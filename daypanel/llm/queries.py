@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daypanel.llm import chat_format, exact_dedup
-from daypanel.llm.common import hex_digest, table
+from daypanel.llm import chat_format, decontaminate, exact_dedup, packing, simhash, toxicity, warc
+from daypanel.llm.common import durable, hex_digest, table
+from daypanel.session import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -17,6 +18,47 @@ def query(fn):
     return fn
 
 
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        decontaminate.contaminated(found).alias("contaminated"))
+
+
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents")))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = run_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    captures = durable(warc.assemble(warc.read_records(spark, folder, payload=False)).select(
+        "capture_id", "record_type", "payload_bytes", "payload_sha1", "refers_to",
+        F.col("metadata")[0]["fields"]["page-id"].cast("long").alias("page_id")))
+    holders = captures.select(F.col("capture_id").alias("holder"), F.col("page_id").alias("holder_id"))
+    return captures.join(holders, F.col("refers_to") == F.col("holder"), "left").select(
+        "page_id", "payload_bytes", F.col("payload_sha1").alias("payload_digest"), "record_type",
+        F.col("holder_id").alias("refers_to"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.with_score(docs, model, "score").select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))

@@ -2,6 +2,37 @@
 
 from __future__ import annotations
 
+_WORDS = (r"regexp_split_to_array(trim(regexp_replace(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g'), ' '), ' ')")
+
+OP3 = rf"""
+WITH d AS (SELECT doc_id, [x FOR x IN {_WORDS.format("coalesce(text, '')")} IF x <> ''] AS words FROM documents),
+b AS (SELECT item_id, [x FOR x IN {_WORDS.format("coalesce(text, '')")} IF x <> ''] AS words FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(13, len(words)) AS n,
+              unnest([array_to_string(words[i:i + least(13, len(words)) - 1], ' ')
+                      FOR i IN range(1, len(words) - least(13, len(words)) + 2)]) AS win
+       FROM b WHERE len(words) > 0),
+p AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS s FROM d),
+dw AS (SELECT doc_id, s, n, array_to_string(words[s:s + n - 1], ' ') AS win
+       FROM p, (SELECT DISTINCT n FROM bw) WHERE s + n - 1 <= len(words)),
+h AS (SELECT dw.doc_id, dw.s, dw.n, bw.item_id FROM dw JOIN bw ON dw.win = bw.win AND dw.n = bw.n),
+c AS (SELECT doc_id, count(DISTINCT w) AS n_hit
+      FROM (SELECT doc_id, unnest(range(s, s + n)) AS w FROM (SELECT DISTINCT doc_id, s, n FROM h)) GROUP BY doc_id),
+i AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)"""
+
+OP5 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+h AS (SELECT payload, max(page_id) AS holder FROM p WHERE n >= 1000 GROUP BY payload)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(p.payload) AS payload_digest,
+       CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN holder <> page_id THEN holder END AS refers_to
+FROM p LEFT JOIN h ON p.n >= 1000 AND p.payload = h.payload"""
+
 # Deletes [\x20\x09-\x0D].
 NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
@@ -27,4 +58,4 @@ SELECT conv_id, count(*) AS n_turns,
            + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id"""
 
-SQL = {"op8_exact_dedup": OP8, "op10_chat_format": OP10}
+SQL = {"op3_decontaminate": OP3, "op5_warc": OP5, "op8_exact_dedup": OP8, "op10_chat_format": OP10}
