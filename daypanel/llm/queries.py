@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daypanel.llm import chat_format, decontaminate, exact_dedup, packing, simhash, toxicity, warc
+from daypanel.llm import chat_format, decontaminate, exact_dedup, packing, pii, repeats, secrets, simhash, toxicity, warc
 from daypanel.llm.common import durable, hex_digest, table
 from daypanel.session import run_folder
 
@@ -18,6 +18,18 @@ def query(fn):
     return fn
 
 
+@query
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.learn(docs))
+    written = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+    base = F.filter("spans", lambda s: s.kind != secrets.LEARNED)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long")
+    return found.select("doc_id", *(count(kind).alias(f"n_{kind}") for kind in secrets.KINDS),
+                        F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(table(spark, sf_dir, "documents"))
@@ -59,12 +71,26 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+@query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents"), keep_text=False)
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", "keep_id", "group_size", "kept", hex_digest(F.col("text_digest")).alias("text_sha256"))
 
 
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = pii.replace_personal_data(docs)
+    count = lambda kind: F.coalesce(F.col("pii_counts")[kind], F.lit(0)).cast("long")
+    return rows.select("doc_id", "text", *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS))
+
+
 @query
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
