@@ -56,5 +56,13 @@ def unused_name(df: DataFrame, label: str) -> str:
     return f"__{label}_{uuid.uuid4().hex[:12]}"
 
 
+def without_keys(docs: DataFrame, keys: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` whose row_key is not in the column ``key`` of ``keys``,
+    with all their columns."""
+    name = unused_name(docs, "key")
+    dropped = keys.select(F.col("key").alias(name)).distinct()
+    return docs.join(dropped, row_key(doc_id, text) == F.col(name), "left_anti")
+
+
 def hex_digest(column: Column) -> Column:
     return F.lower(F.hex(column))

@@ -225,5 +225,4 @@ def without_contaminated(docs: DataFrame, items: DataFrame, *, doc_id: str = "do
                          one_in: int = 20, **how) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, with all their columns."""
     found = contamination(docs, items, doc_id=doc_id, text=text, **how)
-    dropped = found.filter(contaminated(found, one_in)).select(F.col("key").alias("dropped_key")).distinct()
-    return docs.join(dropped, common.row_key(doc_id, text) == F.col("dropped_key"), "left_anti")
+    return common.without_keys(docs, found.filter(contaminated(found, one_in)), doc_id, text)

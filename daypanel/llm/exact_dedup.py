@@ -95,7 +95,8 @@ def keep_best(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", sa
     """The rows of ``docs`` that stay, with all their columns. A row is found
     again by its id and its text; rows that repeat both stay or go together."""
     best = exact_groups(docs, doc_id=doc_id, text=text, salts=salts)
-    dropped = best.filter(~F.col("kept")).select(F.col("doc_id").alias("d_id"), F.col("text_digest").alias("d_digest"))
+    d_id, d_digest = common.unused_name(docs, "id"), common.unused_name(docs, "digest")
+    dropped = best.filter(~F.col("kept")).select(F.col("doc_id").alias(d_id), F.col("text_digest").alias(d_digest))
     digest = sha256(normalised(common.whole(text)))
-    return docs.join(dropped, F.col("d_id").eqNullSafe(F.col(doc_id).cast("long"))
-                     & (F.col("d_digest") == digest), "left_anti")
+    return docs.join(dropped.distinct(), F.col(d_id).eqNullSafe(F.col(doc_id).cast("long"))
+                     & (F.col(d_digest) == digest), "left_anti")

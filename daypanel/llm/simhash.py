@@ -244,6 +244,5 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
 def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` whose id is their group's, with all their columns."""
     groups = near_groups(docs, doc_id=doc_id, text=text, **how)
-    dropped = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("key").alias("dropped_key")).distinct()
-    return docs.join(dropped, common.row_key(doc_id, text) == F.col("dropped_key"), "left_anti")
+    moved = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return common.without_keys(docs, moved, doc_id, text)
