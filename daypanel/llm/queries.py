@@ -53,7 +53,8 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = run_folder(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
-    captures = durable(warc.assemble(warc.read_records(spark, folder, payload=False)).select(
+    records = warc.read_records(spark, folder, payload=False)
+    captures = durable(warc.assemble(records, payload=False).select(
         "capture_id", "record_type", "payload_bytes", "payload_sha1", "refers_to",
         F.col("metadata")[0]["fields"]["page-id"].cast("long").alias("page_id")))
     holders = captures.select(F.col("capture_id").alias("holder"), F.col("page_id").alias("holder_id"))

@@ -165,20 +165,22 @@ def read_records(spark: SparkSession, path: str, *, payload: bool = True) -> Dat
     return files.select("content").mapInArrow(parse, _RECORDS)
 
 
-def assemble(records: DataFrame) -> DataFrame:
+def assemble(records: DataFrame, *, payload: bool = True) -> DataFrame:
     """One nested row per capture: capture_id, record_type, target_uri, warc_date,
-    payload_bytes, payload_sha1, refers_to, payload, requests, metadata.
+    payload_bytes, payload_sha1, refers_to, requests, metadata and, unless it is
+    left out, payload.
 
     A request or metadata record belongs to the response (or revisit) that it
     names as concurrent, that names it, or that a request it names belongs to. A
     revisit's payload_bytes and payload_sha1 are those of the record it refers
     to, or the digest it declares where that record is missing. Records that
     repeat an id are one record; a capture without request or metadata has empty
-    lists; requests and metadata without a response give no row."""
-    records = records.dropDuplicates(["record_id"])
-    is_main = F.col("record_type").isin(*MAIN_TYPES)
-    mains = records.filter(is_main)
-    others = records.filter(F.col("record_type").isin("request", "metadata"))
+    lists; requests and metadata without a response give no row. The records
+    without their payloads are written out once, as the joins read them often;
+    payloads move only to their captures, at the end."""
+    slim = common.durable(records.drop("payload").dropDuplicates(["record_id"]))
+    mains = slim.filter(F.col("record_type").isin(*MAIN_TYPES))
+    others = slim.filter(F.col("record_type").isin("request", "metadata"))
     named = (others.select(F.col("record_id").alias("other"), F.explode("concurrent_to").alias("to"))
              .unionByName(mains.select(F.explode("concurrent_to").alias("other"), F.col("record_id").alias("to"))))
     ids = mains.select(F.col("record_id").alias("main"))
@@ -194,10 +196,15 @@ def assemble(records: DataFrame) -> DataFrame:
     full = mains.filter(F.col("record_type") == "response").select(
         F.col("record_id").alias("r_id"), F.col("payload_bytes").alias("r_bytes"), F.col("payload_sha1").alias("r_sha1"))
     declared = F.regexp_extract("declared_digest", "^sha1:(.*)$", 1)
-    return (mains.join(parts, F.col("record_id") == F.col("main"), "left")
-            .join(full, F.col("refers_to") == F.col("r_id"), "left")
-            .select(F.col("record_id").alias("capture_id"), "record_type", "target_uri", "warc_date",
-                    F.coalesce("payload_bytes", "r_bytes").alias("payload_bytes"),
-                    F.coalesce("payload_sha1", "r_sha1", declared).alias("payload_sha1"), "refers_to", "payload",
-                    F.coalesce("requests", F.array()).alias("requests"),
-                    F.coalesce("metadata", F.array()).alias("metadata")))
+    held = mains.join(full, F.col("refers_to") == F.col("r_id"), "left")
+    captures = (held.join(parts, F.col("record_id") == F.col("main"), "left")
+                .select(F.col("record_id").alias("capture_id"), "record_type", "target_uri", "warc_date",
+                        F.coalesce("payload_bytes", "r_bytes").alias("payload_bytes"),
+                        F.coalesce("payload_sha1", "r_sha1", declared).alias("payload_sha1"), "refers_to",
+                        F.coalesce("requests", F.array()).alias("requests"),
+                        F.coalesce("metadata", F.array()).alias("metadata")))
+    if not payload:
+        return captures
+    payloads = (records.filter(F.col("payload").isNotNull()).dropDuplicates(["record_id"])
+                .select(F.col("record_id").alias("p_id"), "payload"))
+    return captures.join(payloads, F.col("capture_id") == F.col("p_id"), "left").drop("p_id")
