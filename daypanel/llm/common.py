@@ -51,6 +51,26 @@ def salt(n: int, *columns: str) -> Column:
     return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
 
+def salted_lookup(rows: DataFrame, key: str, spread: str, table: DataFrame, table_key: str,
+                  salts: int = 64) -> DataFrame:
+    """Left join of ``rows`` to ``table``, whose ``table_key`` is unique, where a
+    third of the rows may ask for one key and others for none.
+
+    Rows without a key ask for nothing. Of the others a hash of ``spread`` makes
+    the salt; each (key, salt) asked for looks its row up once, and rows then join
+    by both, so a key's rows are spread over ``salts`` groups. ``rows`` and
+    ``table`` are read several times."""
+    mark = "__salt"
+    some = rows.filter(F.col(key).isNotNull()).withColumn(mark, salt(salts, spread))
+    asked = some.select(F.col(key).alias("__asked"), F.col(mark).alias("__part")).distinct()
+    found = asked.join(table, F.col("__asked") == F.col(table_key))
+    columns = [*rows.columns, *table.columns]
+    joined = some.join(found, (F.col(key) == F.col("__asked")) & (F.col(mark) == F.col("__part")), "left")
+    nothing = rows.filter(F.col(key).isNull()).select("*", *[
+        F.lit(None).cast(table.schema[c].dataType).alias(c) for c in table.columns])
+    return joined.select(columns).unionByName(nothing)
+
+
 def unused_name(df: DataFrame, label: str) -> str:
     """A column name that cannot clash with the caller's."""
     return f"__{label}_{uuid.uuid4().hex[:12]}"

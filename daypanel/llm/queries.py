@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daypanel.llm import chat_format, decontaminate, exact_dedup, packing, pii, repeats, secrets, simhash, toxicity, warc
-from daypanel.llm.common import durable, hex_digest, table
+from daypanel.llm.common import durable, hex_digest, salted_lookup, table
 from daypanel.session import run_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,7 +58,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "capture_id", "record_type", "payload_bytes", "payload_sha1", "refers_to",
         F.col("metadata")[0]["fields"]["page-id"].cast("long").alias("page_id")))
     holders = captures.select(F.col("capture_id").alias("holder"), F.col("page_id").alias("holder_id"))
-    return captures.join(holders, F.col("refers_to") == F.col("holder"), "left").select(
+    return salted_lookup(captures, "refers_to", "capture_id", holders, "holder").select(
         "page_id", "payload_bytes", F.col("payload_sha1").alias("payload_digest"), "record_type",
         F.col("holder_id").alias("refers_to"))
 

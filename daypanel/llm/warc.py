@@ -196,7 +196,7 @@ def assemble(records: DataFrame, *, payload: bool = True) -> DataFrame:
     full = mains.filter(F.col("record_type") == "response").select(
         F.col("record_id").alias("r_id"), F.col("payload_bytes").alias("r_bytes"), F.col("payload_sha1").alias("r_sha1"))
     declared = F.regexp_extract("declared_digest", "^sha1:(.*)$", 1)
-    held = mains.join(full, F.col("refers_to") == F.col("r_id"), "left")
+    held = common.salted_lookup(mains, "refers_to", "record_id", full, "r_id")
     captures = (held.join(parts, F.col("record_id") == F.col("main"), "left")
                 .select(F.col("record_id").alias("capture_id"), "record_type", "target_uri", "warc_date",
                         F.coalesce("payload_bytes", "r_bytes").alias("payload_bytes"),
