@@ -151,7 +151,7 @@ def match_groups(group: np.ndarray, least: np.ndarray, most: np.ndarray, around:
     class_r, class_l = np.empty(n, np.int64), np.empty(n, np.int64)
     for before in range(int(least.min(initial=length)), int(most.max(initial=-1)) + 1):
         active = np.flatnonzero((least <= before) & (before <= most))
-        if len(active) < 2 and alone is None:
+        if len(active) < 1 + (alone is None):
             continue
         class_r[order_r] = np.cumsum(common_r < length - before)
         class_l[order_l] = np.cumsum(common_l < before)
