@@ -24,6 +24,8 @@ HEADLINE = (
     "buy_units", "merge_lots", "tradable_candidates", "pick_replacement", "rebalance_step",
     "scenario_backtest", "scenario_backtest_sampled_universe", "scenario_backtest_stepped",
     "trade_ledger", "scenario_snapshot", "sim_chart_table", "valid_payloads",
+    "pick_replacement_whole_market", "scenario_backtest_in_order", "scenario_backtest_documented", "held_prices",
+    "merge_prices_deduplicated", "accepted_files",
 )
 
 

@@ -10,12 +10,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from daypanel.functions import text
 from daypanel.functions.policy import Policy
 from daypanel.operators import allocation, panel, trading
 from daypanel.plans import backtest, buy_and_hold as holding, report
+from daypanel.session import durable
 from daypanel.sources import prices as price_source, tickers as ticker_source, vendor, writers
 
 # Fixed values shared with the SQL statements.
@@ -23,8 +24,9 @@ SEED = 7
 N_SIMS = 30
 N_TICKERS = 10
 MONEY = 1000.0
-LATER_DAY = dt.date(2024, 1, 11)
+ASKED_DAY = dt.date(2024, 1, 11)
 LATER_DAY_IDX = 10
+CUT_DAY = dt.date(2024, 1, 15)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -34,16 +36,8 @@ def query(fn):
     return fn
 
 
-_SCHEMAS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its schema is looked up once: queries that read a table
-    several times would otherwise open its footers each time."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def load_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,43 +51,51 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("ts").alias("day"), F.col("value").alias("price"), "ts")
 
 
+def stored_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel, worked out in one pass over the ticks and stored. Queries that
+    need it for more than one thing (calendar, list, sample, prices) derive all
+    of them from here; a panel row stands for a day's ticks of a ticker."""
+    return durable(load_prices(spark, sf_dir))
+
+
 def load_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Straight from the ticks: their map-side distinct leaves little to shuffle."""
     return ticks(spark, sf_dir).select("ticker").distinct()
 
 
-def chosen_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return allocation.sample_tickers(load_tickers(spark, sf_dir), N_TICKERS, seed=SEED)
+def tickers_of(prices: DataFrame) -> DataFrame:
+    return prices.select("ticker").distinct()
+
+
+def chosen_of(prices: DataFrame) -> DataFrame:
+    return allocation.sample_tickers(tickers_of(prices), N_TICKERS, seed=SEED)
 
 
-def chosen_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The chosen tickers' part of the panel. Ticks of other users are dropped
-    at the scan, before anything is aggregated."""
-    users = chosen_tickers(spark, sf_dir).select(
-        F.expr("cast(substring(ticker, 2) AS bigint)").alias("user_id"))
-    ticks_of_chosen = table(spark, sf_dir, "events").join(users, "user_id", "left_semi")
-    return price_source.prices_from_events(ticks_of_chosen)
+def later_day(prices: DataFrame):
+    """A day some time after the first, and its index: one row per calendar day
+    comes to the driver."""
+    days = sorted(row.day for row in prices.select("day").distinct().collect())
+    at = min(LATER_DAY_IDX, len(days) - 1)
+    return (days[at], at) if days else (ASKED_DAY, 0)
 
 
-def opening_day(spark: SparkSession, sf_dir: str) -> Column:
-    return ticks(spark, sf_dir).agg(F.min("day")).scalar()
+def opening_day(prices: DataFrame) -> Column:
+    return prices.agg(F.min("day")).scalar()
 
 
-def n_tickers(spark: SparkSession, sf_dir: str) -> Column:
-    return ticks(spark, sf_dir).agg(F.count_distinct("ticker")).scalar()
+def n_tickers(prices: DataFrame) -> Column:
+    return prices.agg(F.count_distinct("ticker")).scalar()
 
 
-def opening_holdings(spark: SparkSession, sf_dir: str, n_sims: int = N_SIMS) -> DataFrame:
-    return allocation.initial_allocation(
-        chosen_prices(spark, sf_dir), chosen_tickers(spark, sf_dir), n_sims=n_sims, money=MONEY,
-        day=opening_day(spark, sf_dir))
+def opening_holdings(prices: DataFrame, n_sims: int = N_SIMS) -> DataFrame:
+    return allocation.initial_allocation(prices, chosen_of(prices), n_sims=n_sims, money=MONEY,
+                                         day=opening_day(prices))
 
 
-def whole_market_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def whole_market_lots(prices: DataFrame) -> DataFrame:
     """One scenario that opens with an equal share of every ticker."""
-    return allocation.initial_allocation(
-        load_prices(spark, sf_dir), load_tickers(spark, sf_dir), n_sims=1, money=MONEY,
-        day=opening_day(spark, sf_dir))
+    return allocation.initial_allocation(prices, tickers_of(prices), n_sims=1, money=MONEY,
+                                         day=opening_day(prices))
 
 
 def week_old_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,8 +123,9 @@ def vendor_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         path.alias("path"), F.lit(0).alias("line_no"),
         F.lit("timestamp,open,high,low,close,adjusted_close,volume,dividend_amount,"
               "split_coefficient").alias("line"))
+    line_no = F.row_number().over(Window.partitionBy("ticker").orderBy("day"))
     body = prices.select(
-        path.alias("path"), F.datediff("day", F.lit("2000-01-01").cast("date")).alias("line_no"),
+        path.alias("path"), line_no.alias("line_no"),
         F.concat_ws(",", F.date_format("day", "yyyy-MM-dd"), F.lit("0"), F.lit("0"), F.lit("0"),
                     F.lit("0"), F.col("price").cast("string"), F.col("volume").cast("string"),
                     F.lit("0.0"), F.lit("1.0")).alias("line"))
@@ -134,13 +137,24 @@ def ingest_vendor_files(spark, sf_dir):
     return vendor.to_prices(vendor.vendor_rows(vendor_lines(spark, sf_dir)))
 
 
-@query
-def merge_prices(spark, sf_dir):
+def history_and_update(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """A history folder and an update folder that overlap by one day."""
     prices = vendor.to_prices(vendor.vendor_rows(vendor_lines(spark, sf_dir)))
-    history = panel.filter_by_date(prices, "2024-01-01", "2024-01-15")
-    update = panel.filter_by_date(prices, "2024-01-15", "2024-01-30")
-    return vendor.merge_prices(history, update)
+    cut = F.lit(CUT_DAY).cast("date")
+    return prices.where(F.col("day") <= cut), prices.where(F.col("day") >= cut)
+
+
+@query
+def merge_prices(spark, sf_dir):
+    return vendor.merge_prices(*history_and_update(spark, sf_dir))
+
+
+@query
+def merge_prices_deduplicated(spark, sf_dir):
+    """The update, half a unit higher, wins on the day both have."""
+    history, update = history_and_update(spark, sf_dir)
+    merged = vendor.merge_prices(history, update.withColumn("price", F.col("price") + 0.5), order="part")
+    return panel.dedupe_keep_last(merged, "part")
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,6 +180,16 @@ def rejected_payloads(spark, sf_dir):
             .select("source_key", F.length("payload").cast("long").alias("n_chars")))
 
 
+@query
+def accepted_files(spark, sf_dir):
+    """Lines of the answers, read as files: a brace on one line rejects all
+    lines of its file."""
+    lines = payloads(spark, sf_dir).select(
+        F.col("source_key").alias("path"), F.explode(F.split("payload", "\n")).alias("line"))
+    accepted = vendor.without_rejected(lines, vendor.rejected_files(lines))
+    return accepted.groupBy("path").agg(F.count("*").alias("n_lines"))
+
+
 @query
 def ticker_list(spark, sf_dir):
     tickers = load_tickers(spark, sf_dir)
@@ -207,7 +231,7 @@ def filter_by_ticker(spark, sf_dir):
 
 @query
 def prices_on_day(spark, sf_dir):
-    return panel.prices_on_day(load_prices(spark, sf_dir), LATER_DAY)
+    return panel.prices_on_day(load_prices(spark, sf_dir), ASKED_DAY)
 
 
 @query
@@ -245,8 +269,8 @@ def entry_vs_today(spark, sf_dir):
 
 @query
 def held_prices(spark, sf_dir):
-    today = panel.prices_on_day(load_prices(spark, sf_dir), LATER_DAY)
-    held = panel.held_prices(today, opening_holdings(spark, sf_dir),
+    prices = stored_prices(spark, sf_dir)
+    held = panel.held_prices(panel.prices_on_day(prices, later_day(prices)[0]), opening_holdings(prices),
                              max_holdings=N_SIMS * N_TICKERS)
     return held.select("ticker", "day", "price")
 
@@ -255,35 +279,35 @@ def held_prices(spark, sf_dir):
 
 @query
 def sample_tickers(spark, sf_dir):
-    return chosen_tickers(spark, sf_dir)
+    return allocation.sample_tickers(load_tickers(spark, sf_dir), N_TICKERS, seed=SEED)
 
 
 @query
 def initial_allocation(spark, sf_dir):
-    return opening_holdings(spark, sf_dir).select(
+    return opening_holdings(stored_prices(spark, sf_dir)).select(
         "sim", "ticker", "entry_day", "entry_price", *rounded("units"))
 
 
 @query
 def buy_and_hold(spark, sf_dir):
-    rows = holding.buy_and_hold(chosen_prices(spark, sf_dir), chosen_tickers(spark, sf_dir),
-                                n_sims=N_SIMS, money=MONEY)
+    prices = stored_prices(spark, sf_dir)
+    rows = holding.buy_and_hold(prices, chosen_of(prices), n_sims=N_SIMS, money=MONEY)
     return rows.select("sim", "day", "ticker", "price", *rounded("units"))
 
 
 @query
 def portfolio_value(spark, sf_dir):
     """The equal-share portfolio of the whole market, day by day."""
-    prices = load_prices(spark, sf_dir)
-    totals = panel.portfolio_value(whole_market_lots(spark, sf_dir), prices,
-                                   panel.trading_days(ticks(spark, sf_dir)), n_sims=1)
+    prices = stored_prices(spark, sf_dir)
+    totals = panel.portfolio_value(whole_market_lots(prices), prices, panel.trading_days(prices), n_sims=1)
     return totals.select("sim", "day", *rounded("total"))
 
 
 @query
 def holdings_snapshot(spark, sf_dir):
     """The whole market portfolio on every day it trades."""
-    snapshot = panel.holdings_snapshot(whole_market_lots(spark, sf_dir), load_prices(spark, sf_dir))
+    prices = stored_prices(spark, sf_dir)
+    snapshot = panel.holdings_snapshot(whole_market_lots(prices), prices)
     return snapshot.select("sim", "day", "ticker", "price", *rounded("units"))
 
 
@@ -304,8 +328,9 @@ def gain_plateau_signal(spark, sf_dir):
 
 
 def _decisions(spark, sf_dir, policy):
-    today = panel.prices_on_day(load_prices(spark, sf_dir), LATER_DAY)
-    return (trading.sell_decisions(whole_market_lots(spark, sf_dir), today, policy)
+    prices = stored_prices(spark, sf_dir)
+    today = panel.prices_on_day(prices, later_day(prices)[0])
+    return (trading.sell_decisions(whole_market_lots(prices), today, policy)
             .select("sim", "ticker", "entry_price", "price", "reason"))
 
 
@@ -322,8 +347,9 @@ def sell_decisions_documented(spark, sf_dir):
 @query
 def sell_proceeds(spark, sf_dir):
     """Sell the whole market portfolio, as far as it trades."""
-    lots = whole_market_lots(spark, sf_dir)
-    today = panel.prices_on_day(load_prices(spark, sf_dir), LATER_DAY)
+    prices = stored_prices(spark, sf_dir)
+    lots = whole_market_lots(prices)
+    today = panel.prices_on_day(prices, later_day(prices)[0])
     sold = trading.sell_proceeds(lots.select("sim", "ticker"), lots, today)
     return sold.select("sim", "ticker", "price", *rounded("units", "proceeds"))
 
@@ -331,10 +357,11 @@ def sell_proceeds(spark, sf_dir):
 @query
 def buy_units(spark, sf_dir):
     """Spend 500 on every ticker of the panel, held before or not."""
-    orders = load_tickers(spark, sf_dir).select(
+    prices = stored_prices(spark, sf_dir)
+    orders = tickers_of(prices).select(
         F.lit(1).cast("long").alias("sim"), "ticker", F.lit(500.0).alias("money"))
-    today = panel.prices_on_day(load_prices(spark, sf_dir), LATER_DAY)
-    bought = trading.buy_units(orders, opening_holdings(spark, sf_dir, n_sims=1), today)
+    today = panel.prices_on_day(prices, later_day(prices)[0])
+    bought = trading.buy_units(orders, opening_holdings(prices, n_sims=1), today)
     return bought.select("sim", "ticker", *rounded("units"))
 
 
@@ -349,69 +376,61 @@ def merge_lots(spark, sf_dir):
 
 @query
 def unowned_tickers(spark, sf_dir):
-    return trading.unowned_tickers(load_tickers(spark, sf_dir),
-                                   opening_holdings(spark, sf_dir, n_sims=1))
+    prices = stored_prices(spark, sf_dir)
+    return trading.unowned_tickers(tickers_of(prices), opening_holdings(prices, n_sims=1))
 
 
 @query
 def tradable_candidates(spark, sf_dir):
-    today = panel.prices_on_day(load_prices(spark, sf_dir), LATER_DAY)
-    return trading.tradable_candidates(load_tickers(spark, sf_dir),
-                                       opening_holdings(spark, sf_dir, n_sims=1), today)
+    prices = stored_prices(spark, sf_dir)
+    today = panel.prices_on_day(prices, later_day(prices)[0])
+    return trading.tradable_candidates(tickers_of(prices), opening_holdings(prices, n_sims=1), today)
 
 
 @query
 def pick_replacement(spark, sf_dir):
     """Every scenario sells everything it holds."""
-    holdings = opening_holdings(spark, sf_dir)
+    prices = stored_prices(spark, sf_dir)
+    holdings, (day, day_idx) = opening_holdings(prices), later_day(prices)
     return trading.pick_replacement(
-        holdings.select("sim", "ticker"), holdings, load_prices(spark, sf_dir),
-        day=LATER_DAY, day_idx=LATER_DAY_IDX, seed=SEED, n_universe=n_tickers(spark, sf_dir),
-        max_lots=N_TICKERS)
+        holdings.select("sim", "ticker"), holdings, prices, day=day, day_idx=day_idx, seed=SEED,
+        n_universe=n_tickers(prices), max_lots=N_TICKERS)
 
 
 @query
 def pick_replacement_whole_market(spark, sf_dir):
     """One scenario of unbounded size: it owns every ticker of the opening day
     and sells those that trade later."""
-    lots = whole_market_lots(spark, sf_dir)
-    prices = load_prices(spark, sf_dir)
-    today = panel.prices_on_day(prices, LATER_DAY)
+    prices = stored_prices(spark, sf_dir)
+    lots, (day, day_idx) = durable(whole_market_lots(prices)), later_day(prices)
+    today = panel.prices_on_day(prices, day)
     sales = panel.held_prices(today, lots).select(F.lit(1).cast("long").alias("sim"), "ticker")
-    return trading.pick_replacement(sales, lots, prices, day=LATER_DAY, day_idx=LATER_DAY_IDX,
-                                    seed=SEED, n_universe=n_tickers(spark, sf_dir))
+    return trading.pick_replacement(sales, lots, prices, day=day, day_idx=day_idx, seed=SEED,
+                                    n_universe=n_tickers(prices))
 
 
 @query
 def rebalance_step(spark, sf_dir):
+    prices = stored_prices(spark, sf_dir)
+    day, day_idx = later_day(prices)
     after = trading.rebalance_step(
-        opening_holdings(spark, sf_dir), load_prices(spark, sf_dir), day=LATER_DAY,
-        day_idx=LATER_DAY_IDX, seed=SEED, n_universe=n_tickers(spark, sf_dir),
+        opening_holdings(prices), prices, day=day, day_idx=day_idx, seed=SEED, n_universe=n_tickers(prices),
         max_lots=N_TICKERS, max_holdings=N_SIMS * N_TICKERS)
     return after.select("sim", "ticker", "entry_day", "entry_price", *rounded("units"))
 
 
 # -- whole scenarios ----------------------------------------------------------
 
-def _spec(spark, sf_dir, *, mode="code", sampled_universe=False, in_order=False):
-    return backtest.Scenarios(
+def _moves(prices, *, mode="code", sampled_universe=False, in_order=False):
+    chosen = chosen_of(prices)
+    return backtest.backtest_moves(prices, chosen, backtest.Scenarios(
         n_sims=N_SIMS, money=MONEY, seed=SEED, policy=Policy(mode=mode), in_order=in_order,
-        universe=chosen_tickers(spark, sf_dir) if sampled_universe else None)
+        universe=chosen if sampled_universe else None))
 
 
-def _moves(spark, sf_dir, method="auto", **kind):
-    """With the sampled universe only its prices are needed, and the calendar
-    of the whole panel."""
-    sampled = kind.get("sampled_universe", False)
-    return backtest.backtest_moves(
-        chosen_prices(spark, sf_dir) if sampled else load_prices(spark, sf_dir),
-        chosen_tickers(spark, sf_dir), _spec(spark, sf_dir, **kind), method,
-        calendar=ticks(spark, sf_dir) if sampled else None)
-
-
-def _totals(spark, sf_dir, method="auto", **kind):
-    totals = backtest.scenario_totals(_moves(spark, sf_dir, method, **kind),
-                                      panel.day_index(ticks(spark, sf_dir)), N_SIMS)
+def _totals(spark, sf_dir, **kind):
+    prices = stored_prices(spark, sf_dir)
+    totals = backtest.scenario_totals(_moves(prices, **kind), panel.day_index(prices), N_SIMS)
     return totals.select("sim", "day", *rounded("total"))
 
 
@@ -422,8 +441,9 @@ def scenario_backtest(spark, sf_dir):
 
 @query
 def scenario_backtest_stepped(spark, sf_dir):
-    """The same through the distributed form."""
-    return _totals(spark, sf_dir, "stepped")
+    """The name results of the day-by-day form were kept under; there is no other
+    form now."""
+    return _totals(spark, sf_dir)
 
 
 @query
@@ -445,14 +465,14 @@ def scenario_backtest_documented(spark, sf_dir):
 
 @query
 def trade_ledger(spark, sf_dir):
-    ledger = backtest.trade_ledger(_moves(spark, sf_dir))
+    ledger = backtest.trade_ledger(_moves(stored_prices(spark, sf_dir)))
     return ledger.select("sim", "day", "side", "ticker", "price", "reason",
                          *rounded("units", "money"))
 
 
 @query
 def scenario_snapshot(spark, sf_dir):
-    snapshot = backtest.scenario_snapshot(_moves(spark, sf_dir))
+    snapshot = backtest.scenario_snapshot(_moves(stored_prices(spark, sf_dir)))
     return snapshot.select("sim", "day", "ticker", "price", *rounded("units"))
 
 

@@ -28,6 +28,15 @@ def compact_day(day: Column) -> Column:
     return F.date_format(day, "yyyyMMdd")
 
 
+def checked(columns: dict[str, Column], complete: Column, message: Column) -> list[Column]:
+    """The columns of rows that are ``complete``; any use of any of them fails
+    the job on a row that is not. A check that hung on one column, or on a filter,
+    would vanish where the planner prunes or filters before it."""
+    return [F.when(complete, column).otherwise(F.raise_error(message)).alias(name)
+            for name, column in columns.items()]
+
+
 def is_csv_payload(payload: Column) -> Column:
-    """A vendor answer holding a brace is an error message, not data."""
-    return ~payload.contains("{")
+    """A vendor answer holding a brace is an error message, not data; no answer
+    at all is no data either."""
+    return F.coalesce(~payload.contains("{"), F.lit(False))

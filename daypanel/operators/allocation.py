@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from daypanel import schema
 from daypanel.functions import draws
+from daypanel.functions.quotes import usable
 
 SIMS_PER_BLOCK = 4096
 
@@ -30,11 +31,11 @@ def opening_lots(prices: DataFrame, chosen: DataFrame, *, money: float = schema.
               .join(chosen.select("ticker"), "ticker", "left_semi"))
     n_chosen = chosen.agg(F.count(F.lit(1))).scalar()
     if day is None:
-        rows = offers.where(F.col("price") > 0) if first_day == "chosen" else prices
+        rows = offers.where(usable(F.col("price"))) if first_day == "chosen" else prices
         opening = rows.agg(F.min("day")).scalar()
     else:
         opening = day if isinstance(day, Column) else F.lit(day).cast("date")
-    return (offers.where((F.col("day") == opening) & (F.col("price") > 0))
+    return (offers.where((F.col("day") == opening) & usable(F.col("price")))
             .select("ticker", F.col("day").alias("entry_day"),
                     F.col("price").alias("entry_price"),
                     (F.lit(money) / n_chosen / F.col("price")).alias("units")))

@@ -1,9 +1,14 @@
-"""Cuts, calendars and lookups of a price panel keyed by (ticker, day)."""
+"""Cuts, calendars and lookups of a price panel keyed by (ticker, day).
+
+Lookups expect one row per key and join as they stand, so a key that occurs
+twice doubles what is looked up; `dedupe_keep_last` and `dedupe_keep_first` make
+keys unique."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from daypanel.functions.quotes import usable
 from daypanel.operators.allocation import for_each_sim
 from daypanel.session import broadcast_if_bounded
 
@@ -80,7 +85,7 @@ def holdings_snapshot(holdings: DataFrame, prices: DataFrame, *,
     Holdings may carry a ``day``; without one they stand for every day."""
     keys = ["ticker", "day"] if "day" in holdings.columns else ["ticker"]
     held = broadcast_if_bounded(holdings.select("sim", "units", *keys), max_holdings)
-    return (prices.select("ticker", "day", "price").join(held, keys)
+    return (prices.where(usable(F.col("price"))).select("ticker", "day", "price").join(held, keys)
             .select("sim", "day", "ticker", "price", "units"))
 
 
@@ -97,7 +102,7 @@ def portfolio_value(holdings: DataFrame, prices: DataFrame, calendar: DataFrame,
     The zero rows are appended instead of joined, so one aggregation does
     both, with its partial sums before the shuffle."""
     held = broadcast_if_bounded(holdings.select("sim", "ticker", "units"), max_holdings)
-    worth = (prices.select("ticker", "day", "price").join(held, "ticker")
+    worth = (prices.where(usable(F.col("price"))).select("ticker", "day", "price").join(held, "ticker")
              .select("sim", "day", (F.col("units") * F.col("price")).alias("total")))
     return (worth.unionByName(zero_totals(calendar, n_sims))
             .groupBy("sim", "day").agg(F.sum("total").alias("total")))

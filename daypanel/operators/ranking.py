@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from daypanel.functions import draws
-from daypanel.session import broadcast_if_bounded
+from daypanel.functions.quotes import usable
+from daypanel.session import broadcast_if_bounded, durable
 
 # Hash order is cut into this many hex digits' worth of shelves (256). Each
 # (day, shelf) is a separate window group, so a day holding a third of the
@@ -26,23 +27,13 @@ CHAIN_IN_ROW = 256
 
 
 def running_sums(rows: DataFrame, values: dict[str, Column], group: str, order: list, *,
-                 by_range: bool = False, max_group: int | None = None,
                  max_offsets: int | None = None) -> DataFrame:
     """Adds ``<name>_sum`` (running, own row included) and ``<name>_total``
     for each value, per ``group`` in the order of (shelf, *order).
 
     No task sees a whole group: sums run within one shelf, and each shelf's
-    offset comes from a table with a row per group and shelf. A group with a
-    proven ``max_group`` of one shelf is small enough to skip that."""
+    offset comes from a table with a row per group and shelf."""
     rows = rows.select("*", *[v.alias(name) for name, v in values.items()])
-    if max_group is not None and max_group <= LOTS_PER_SHELF:
-        whole = Window.partitionBy(group).orderBy("shelf", *order)
-        upto = whole.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        every = whole.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return rows.select(
-            "*", *[F.sum(n).over(upto).alias(f"{n}_sum") for n in values],
-            *[F.sum(n).over(every).alias(f"{n}_total") for n in values]).drop("shelf", *values)
-
     below = (Window.partitionBy(group).orderBy("shelf")
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (rows.groupBy(group, "shelf").agg(*[F.sum(n).alias(n) for n in values])
@@ -53,8 +44,6 @@ def running_sums(rows: DataFrame, values: dict[str, Column], group: str, order:
                          for n in values]))
     upto = (Window.partitionBy(group, "shelf").orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if by_range:
-        rows = rows.repartitionByRange(group, "shelf")
     return (rows.select("*", *[F.sum(n).over(upto).alias(f"{n}_sum") for n in values])
             .drop(*values)
             .join(broadcast_if_bounded(offsets, max_offsets), [group, "shelf"])
@@ -69,7 +58,7 @@ def ranked_prices(prices: DataFrame, universe: DataFrame | None = None, *,
     ``rank`` counts 0..n_traded-1 in hash order within a day over the tickers
     of ``universe`` (all when None); it is NULL for tickers outside of it.
     ``max_days`` is a proven bound on the days, if there is one."""
-    traded = (prices.where((F.col("price") > 0) & F.col("day").isNotNull()
+    traded = (prices.where(usable(F.col("price")) & F.col("day").isNotNull()
                            & F.col("ticker").isNotNull())
               .select("day", "ticker", "price"))
     if universe is None:
@@ -83,10 +72,8 @@ def ranked_prices(prices: DataFrame, universe: DataFrame | None = None, *,
     key = draws.shelf_key(F.col("ticker"))
     shelved = (traded.withColumn("key", key)
                .withColumn("shelf", F.coalesce(F.substring("key", 1, SHELF_DIGITS), F.lit(""))))
-    # Ranges of (day, shelf) instead of hashes: a task sees few days, so a
-    # writer that lays the result out by day opens few files.
     numbered = running_sums(
-        shelved, {"pool": F.col("in_pool").cast("long")}, "day", ["key", "ticker"], by_range=True,
+        shelved, {"pool": F.col("in_pool").cast("long")}, "day", ["key", "ticker"],
         max_offsets=None if max_days is None else max_days * 16 ** SHELF_DIGITS)
     return numbered.select("day", "ticker", "price",
                            F.when(F.col("in_pool"), F.col("pool_sum") - 1).alias("rank"),
@@ -99,7 +86,7 @@ def _shelf_of(number: Column, spread_by: str) -> Column:
     return F.coalesce(F.shiftright(number, 16), nowhere)
 
 
-def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx: int,
+def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx: Column | int,
                    n_universe: Column, max_lots: int | None = None) -> DataFrame:
     """Adds ``pick_rank``: the number of the ticker drawn for each position
     with ``wanted``, NULL when there is nothing to draw from; and ``owns_all``.
@@ -109,42 +96,58 @@ def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx:
     The draw is uniform over the tradable tickers the scenario does not own, or
     over all tradable tickers when it owns the whole universe. ``max_lots`` is
     a proven bound on the positions of one scenario, if there is one."""
+    day_idx = day_idx if isinstance(day_idx, Column) else F.lit(day_idx)
+    draw = draws.seeded_draw(seed, F.col("sim"), day_idx, F.col("ticker"))
+    if max_lots is not None and max_lots <= LOTS_PER_SHELF:
+        return _drawn_in_place(positions, wanted, draw, n_universe)
     numbered = running_sums(
         positions.withColumn("shelf", _shelf_of(F.col("rank"), "ticker")),
-        {"held": F.lit(1), "own": F.col("rank").isNotNull().cast("long")},
-        "sim", ["rank", "ticker"], max_group=max_lots)
-    owns_all = F.col("held_total") >= n_universe
-    n_free = F.when(owns_all, F.col("n_traded")).otherwise(F.col("n_traded") - F.col("own_total"))
-    draw = draws.seeded_draw(seed, F.col("sim"), F.lit(day_idx), F.col("ticker"))
+        {"held": F.lit(1), "own": F.col("rank").isNotNull().cast("long")}, "sim", ["rank", "ticker"])
     numbered = numbered.select(
-        *positions.columns, owns_all.alias("owns_all"),
-        # Free numbers below this position's own number.
-        F.when(F.col("rank").isNotNull(), F.col("rank") - F.col("own_sum") + 1).alias("free_below"),
-        F.when(wanted & (n_free > 0), draw % F.nullif(n_free, F.lit(0))).alias("k"))
-    bounded = max_lots is not None and max_lots <= LOTS_PER_SHELF
-    stepped = _step_over_in_place(numbered) if bounded else _step_over_by_join(numbered)
-    return (stepped.withColumn("pick_rank", F.col("k") + F.when(F.col("owns_all"), F.lit(0))
-                               .otherwise(F.col("stepped_over")))
+        *positions.columns, (F.col("held_total") >= n_universe).alias("owns_all"),
+        *_marks(wanted, draw, n_universe, F.col("held_total"), F.col("own_sum"), F.col("own_total")))
+    return (_step_over_by_join(numbered)
+            .withColumn("pick_rank", F.col("k") + F.when(F.col("owns_all"), F.lit(0))
+                        .otherwise(F.col("stepped_over")))
             .drop("free_below", "k", "stepped_over"))
 
 
+def _marks(wanted: Column, draw: Column, n_universe: Column, held: Column, own_upto: Column,
+           own: Column) -> tuple[Column, Column]:
+    """``free_below``: free numbers below a position's own number; ``k``: which
+    of the free numbers is drawn."""
+    n_free = F.when(held >= n_universe, F.col("n_traded")).otherwise(F.col("n_traded") - own)
+    return (F.when(F.col("rank").isNotNull(), F.col("rank") - own_upto + 1).alias("free_below"),
+            F.when(wanted & (n_free > 0), draw % F.nullif(n_free, F.lit(0))).alias("k"))
+
+
 # The k-th free number is k plus the owned numbers with at most k free ones
 # below them: a running count, once the marks of owned numbers (at free_below)
 # and of draws (at k) are in one order. That is a sort within the scenario, not
 # a comparison of all its pairs.
 
-def _step_over_in_place(numbered: DataFrame) -> DataFrame:
-    """For scenarios of bounded size: both marks of a row stay with the row,
-    and the partitioning by scenario it already has is used again."""
-    marks = F.array(
-        F.struct(F.col("free_below").alias("at"), F.lit(0).alias("is_draw")),
-        F.struct(F.col("k").alias("at"), F.lit(1).alias("is_draw")))
-    upto = (Window.partitionBy("sim").orderBy(F.col("mark.at").asc_nulls_first(), "mark.is_draw")
+def _drawn_in_place(positions: DataFrame, wanted: Column, draw: Column, n_universe: Column) -> DataFrame:
+    """For scenarios of bounded size: both marks of a row stay with the row, and
+    the partitioning by scenario it already has serves all windows."""
+    every = Window.partitionBy("sim")
+    upto = (every.orderBy(F.col("rank").asc_nulls_first(), "ticker")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (numbered.withColumn("mark", F.explode(marks))
-            .where((F.col("mark.is_draw") == 1) | F.col("mark.at").isNotNull())
-            .withColumn("stepped_over", F.sum(1 - F.col("mark.is_draw")).over(upto))
-            .where(F.col("mark.is_draw") == 1).drop("mark"))
+    counted = positions.select(
+        *positions.columns, F.count(F.lit(1)).over(every).alias("held_all"),
+        F.count("rank").over(every).alias("own_all"), F.count("rank").over(upto).alias("own_upto"))
+    free_below, k = _marks(wanted, draw, n_universe, F.col("held_all"), F.col("own_upto"), F.col("own_all"))
+    marks = F.array(F.struct(free_below.alias("at"), F.lit(0).alias("is_draw")),
+                    F.struct(k.alias("at"), F.lit(1).alias("is_draw")))
+    before = (every.orderBy(F.col("mark.at").asc_nulls_first(), "mark.is_draw")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # A position without a number has no mark to count; its draw stays.
+    counts = F.col("mark.is_draw").eqNullSafe(0) & F.col("mark.at").isNotNull()
+    return (counted.select(*positions.columns, (F.col("held_all") >= n_universe).alias("owns_all"),
+                           F.explode(marks).alias("mark"))
+            .select(*positions.columns, "owns_all", "mark", F.count_if(counts).over(before).alias("stepped_over"))
+            .where("mark.is_draw = 1")
+            .select(*positions.columns, "owns_all", (F.col("mark.at") + F.when(F.col("owns_all"), F.lit(0)).otherwise(
+                F.col("stepped_over"))).alias("pick_rank")))
 
 
 def _step_over_by_join(numbered: DataFrame) -> DataFrame:
@@ -174,7 +177,7 @@ def through_later_sales(drawn: DataFrame, max_lots: int | None = None) -> DataFr
     to sell; every other row keeps its draw."""
     if max_lots is not None and max_lots <= CHAIN_IN_ROW:
         return _pass_on_in_rows(drawn)
-    return _pass_on_in_tasks(drawn)
+    return _pass_on_by_doubling(drawn)
 
 
 def _pass_on_in_rows(drawn: DataFrame) -> DataFrame:
@@ -191,24 +194,30 @@ def _pass_on_in_rows(drawn: DataFrame) -> DataFrame:
             .drop("later"))
 
 
-def _pass_on_in_tasks(drawn: DataFrame) -> DataFrame:
-    """For scenarios of any size: sorted rows stream past from the last sale to
-    the first, and only the destinations found so far are kept."""
-    def pass_on(batches):
-        import pyarrow as pa
-
-        sim, ends = None, {}
-        for batch in batches:
-            picks = []
-            for s, rank, pick, owns_all in zip(*(batch.column(n).to_pylist() for n in (
-                    "sim", "rank", "pick_rank", "owns_all"))):
-                if s != sim:
-                    sim, ends = s, {}
-                if owns_all and pick is not None:
-                    pick = ends[rank] = ends.get(pick, pick)
-                picks.append(pick)
-            at = batch.schema.get_field_index("pick_rank")
-            yield batch.set_column(at, batch.schema.field(at), pa.array(picks, pa.int64()))
-
-    return (drawn.repartition("sim").sortWithinPartitions("sim", F.desc_nulls_last("rank"))
-            .mapInArrow(pass_on, drawn.schema))
+def _pass_on_by_doubling(drawn: DataFrame) -> DataFrame:
+    """For scenarios of any size: links (rank -> drawn rank) of the scenarios
+    that own everything. Each round follows twice as many links as the one
+    before, so the longest chain takes its logarithm of joins; the rows of all
+    other scenarios are not touched."""
+    keys = ("sim", "rank")
+    sales = drawn.where(F.col("owns_all") & F.col("pick_rank").isNotNull())
+    links = durable(sales.select(*keys, F.col("pick_rank").alias("pick")))
+    later = links.select(F.col("sim").alias("n_sim"), F.col("rank").alias("n_rank"))
+    # A purchase moves on if what was bought is sold later that day; the last
+    # sale of such a chain is its root.
+    on = (F.col("sim") == F.col("n_sim")) & (F.col("pick") == F.col("n_rank")) & (F.col("n_rank") > F.col("rank"))
+    roots = durable(links.join(later, on, "left").select(
+        *keys, F.coalesce("n_rank", "rank").alias("root"), F.col("n_rank").isNotNull().alias("moved")))
+    while roots.where("moved").limit(1).count():
+        ahead = roots.select(F.col("sim").alias("n_sim"), F.col("rank").alias("n_rank"), F.col("root").alias("n_root"))
+        on = (F.col("sim") == F.col("n_sim")) & (F.col("root") == F.col("n_rank"))
+        roots = durable(roots.join(ahead, on).select(
+            *keys, F.col("n_root").alias("root"), (F.col("n_root") != F.col("root")).alias("moved")))
+    on = (F.col("sim") == F.col("n_sim")) & (F.col("root") == F.col("n_rank"))
+    ends = roots.join(links.select(F.col("sim").alias("n_sim"), F.col("rank").alias("n_rank"), "pick"), on).select(
+        F.col("sim").alias("e_sim"), F.col("rank").alias("e_rank"), "pick")
+    # Rows without a rank match nothing, spread over many keys.
+    nowhere = -1 - F.pmod(F.xxhash64("ticker"), F.lit(1 << 20))
+    on = (F.col("sim") == F.col("e_sim")) & (F.coalesce("rank", nowhere) == F.col("e_rank"))
+    return (drawn.join(ends, on, "left").withColumn("pick_rank", F.coalesce("pick", "pick_rank"))
+            .select(*drawn.columns))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from daypanel import schema
 from daypanel.functions.policy import Policy, fired, sell_reason
+from daypanel.functions.quotes import usable
 from daypanel.operators.allocation import merge_lots
 from daypanel.operators.panel import prices_on_day
 from daypanel.operators.ranking import ranked_prices, through_later_sales, with_pick_rank
@@ -33,7 +34,7 @@ def sell_decisions(holdings: DataFrame, day_prices: DataFrame,
                    max_holdings: int | None = None) -> DataFrame:
     """Holdings with today's price and the ``reason`` to sell: stop-loss, else
     plateau, NULL to keep. A holding without a price today is kept."""
-    today = day_prices.where(F.col("price") > 0).select("ticker", "price")
+    today = day_prices.where(usable(F.col("price"))).select("ticker", "price")
     return (lookup(holdings, today, "ticker", max_rows=max_holdings)
             .withColumn("reason", sell_reason(policy, F.col("entry_price"), F.col("price"))))
 
@@ -41,7 +42,7 @@ def sell_decisions(holdings: DataFrame, day_prices: DataFrame,
 def sell_proceeds(sales: DataFrame, holdings: DataFrame, day_prices: DataFrame) -> DataFrame:
     """Money from selling (sim, ticker) in full at today's price. Selling what
     is not held fails the job."""
-    today = day_prices.select("ticker", "price")
+    today = day_prices.where(usable(F.col("price"))).select("ticker", "price")
     held = holdings.select("sim", "ticker", "units")
     missing = F.raise_error(F.concat(F.lit("sale of a ticker not held: "), F.col("ticker")))
     units = F.when(F.col("units").isNull(), missing.cast("double")).otherwise(F.col("units"))
@@ -54,7 +55,7 @@ def sell_proceeds(sales: DataFrame, holdings: DataFrame, day_prices: DataFrame)
 def buy_units(orders: DataFrame, holdings: DataFrame, day_prices: DataFrame) -> DataFrame:
     """Units owned after spending ``money`` on (sim, ticker) today, those held
     before included; 0 when the ticker does not trade."""
-    today = day_prices.where(F.col("price") > 0).select("ticker", "price")
+    today = day_prices.where(usable(F.col("price"))).select("ticker", "price")
     held = holdings.select("sim", "ticker", F.col("units").alias("held_units"))
     bought = F.coalesce(F.col("held_units"), F.lit(0.0)) + F.col("money") / F.col("price")
     return (orders.join(held, ["sim", "ticker"], "left")
@@ -75,12 +76,12 @@ def tradable_candidates(universe: DataFrame, portfolio: DataFrame,
     marked = universe.select("ticker").join(owned, "ticker", "left")
     n_unowned = marked.agg(F.count_if(F.col("owned").isNull())).scalar()
     pool = marked.where(F.col("owned").isNull() | (n_unowned == 0)).select("ticker")
-    return pool.join(day_prices.where(F.col("price") > 0).select("ticker", "price"), "ticker")
+    return pool.join(day_prices.where(usable(F.col("price"))).select("ticker", "price"), "ticker")
 
 
 def universe_size(prices: DataFrame, universe: DataFrame | None) -> Column:
     """Tickers of ``universe``, or of the panel as far as it has usable prices."""
-    tickers = prices.where(F.col("price") > 0) if universe is None else universe
+    tickers = prices.where(usable(F.col("price"))) if universe is None else universe
     return tickers.agg(F.count_distinct("ticker")).scalar()
 
 
@@ -114,16 +115,21 @@ def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int
     happen at once. ``in_order`` runs them one after another in rank order, so
     money put into a ticker that is sold later the same day moves on with it;
     a move then names the ticker the money is in at the end of the day.
-    ``quotes`` is one day of `ranked_prices`.
+    ``quotes`` is one day of `ranked_prices`. ``day`` and ``day_idx`` may be
+    columns of the holdings: a step that is repeated for every day then has the
+    same plan each time, and Spark its compiled code at hand.
 
     Bounds the caller can prove make it cheaper: ``max_lots`` on one scenario's
     holdings (see `ranking.with_pick_rank`), ``max_holdings`` and ``max_quotes``
     on the rows of either table (see `session.lookup`)."""
     bounds = {"max_rows": max_holdings, "max_table": max_quotes}
-    state = (lookup(holdings.select("sim", "ticker", "entry_day", "entry_price", "units"),
+    today = day if isinstance(day, Column) else F.lit(day).cast("date")
+    day_idx = day_idx if isinstance(day_idx, Column) else F.lit(day_idx)
+    state = (lookup(holdings.select("sim", "ticker", "entry_day", "entry_price", "units",
+                                    day_idx.cast("long").alias("day_idx"), today.alias("day")),
                     quotes.select("ticker", "price", "rank", "n_traded"), "ticker", **bounds)
              .withColumn("wish", sell_reason(policy, F.col("entry_price"), F.col("price"))))
-    drawn = with_pick_rank(state, F.col("wish").isNotNull(), seed=seed, day_idx=day_idx,
+    drawn = with_pick_rank(state, F.col("wish").isNotNull(), seed=seed, day_idx=F.col("day_idx"),
                            n_universe=n_universe, max_lots=max_lots)
     if in_order:
         drawn = through_later_sales(drawn, max_lots)
@@ -135,17 +141,15 @@ def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int
         F.col("rank").alias("pick_rank"), F.col("ticker").alias("choice"),
         F.col("price").alias("choice_price"))
     moved = F.col("choice").isNotNull()
-    today = F.lit(day).cast("date")
     return lookup(drawn.withColumn("pick_rank", F.coalesce("pick_rank", nowhere)),
                   picked, "pick_rank", **bounds).select(
-        "sim", F.lit(day_idx).cast("long").alias("day_idx"), today.alias("day"),
-        "ticker", "units", "price",
+        "sim", "day_idx", "day", "ticker", "units", "price",
         F.when(moved, F.col("wish")).alias("reason"),
         F.coalesce("choice", "ticker").alias("new_ticker"),
         F.when(moved, F.col("choice_price")).otherwise(F.col("price")).alias("new_price"),
         F.when(moved, F.col("units") * F.col("price") / F.col("choice_price"))
         .otherwise(F.col("units")).alias("new_units"),
-        F.when(moved, today).otherwise(F.col("entry_day")).alias("new_entry_day"),
+        F.when(moved, F.col("day")).otherwise(F.col("entry_day")).alias("new_entry_day"),
         F.when(moved, F.col("choice_price")).otherwise(F.col("entry_price"))
         .alias("new_entry_price"))
 

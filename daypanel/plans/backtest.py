@@ -1,34 +1,24 @@
 """Running many seeded scenarios over a date range.
 
-Each scenario opens with the same lots and rebalances day by day; only its
-draws differ. A day depends on the day before, so days are the sequential part.
-There are two physical forms with the same result:
+Each scenario opens with the same lots and rebalances day by day; only its draws
+differ. A day depends on the day before, so days are the sequential part; within
+a day all scenarios and lots are rows of one distributed step. The panel is
+numbered and laid out by day once. Every step is written to the shared folder and
+the next one reads it from there, so lineage stays short and a lost executor
+costs at most one step.
 
-* replicated - the panel is small: it is broadcast once, and scenarios run side
-  by side in a `mapInPandas` over the scenario ids. No shuffle.
-* stepped - the panel is large: it is numbered and laid out by day once, then
-  each day is one distributed join of that day's slice with the scenarios'
-  (small) state. Every step is written to the shared folder and the next one
-  reads it from there, so lineage stays short and a lost executor costs at most
-  one step.
-
-Both give `schema.MOVES`; totals, holdings and the ledger derive from it."""
+The steps give `schema.MOVES`; totals, holdings and the ledger derive from it."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from daypanel import schema, session
-from daypanel.functions import draws
 from daypanel.functions.policy import Policy
+from daypanel.functions.quotes import usable
 from daypanel.operators import allocation, panel, ranking, trading
-from daypanel.plans import fold
-
-# A panel row takes 12 bytes once packed, so a replicated panel stays below
-# 50 MB per worker; the driver holds it unpacked while packing.
-REPLICATED_ROWS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -46,139 +36,95 @@ class Scenarios:
     universe: DataFrame | None = None
 
 
-@dataclass(frozen=True)
-class _Market:
-    """What the scenarios of one run can see and touch."""
-
-    quotes: DataFrame              # (ticker, day, price), usable prices only
-    n_quotes: dict                 # calendar day -> rows of `quotes`, in day order
-    n_universe: int | None         # tickers to draw from; None: all in `quotes`
-
-    @property
-    def days(self) -> list:
-        return list(self.n_quotes)
-
-
-def _market(prices: DataFrame, chosen: DataFrame, universe: DataFrame | None,
-            calendar: DataFrame | None) -> _Market:
-    """With a universe, nothing outside of it is ever held: the panel shrinks
-    to it before anything else happens. The calendar stays that of the panel."""
-    def per_day(rows: DataFrame) -> dict:
-        # One row per calendar day comes to the driver.
-        return {row.day: row.n for row in
-                rows.groupBy("day").agg(F.count_if(F.col("price") > 0).alias("n")).collect()}
-
-    quotes = prices.select("ticker", "day", "price").where(F.col("price") > 0)
-    if calendar is None:
-        counts = per_day(prices)
-        days = sorted(counts)
-    else:
-        counts = None
-        days = sorted(row.day for row in calendar.select("day").distinct().collect())
-    n_universe = None
-    if universe is not None:
-        pool = universe.select("ticker").unionByName(chosen.select("ticker")).distinct()
-        n_universe = pool.count()
-        quotes = quotes.join(session.broadcast_if_bounded(pool, n_universe), "ticker", "left_semi")
-        if n_universe * len(days) <= REPLICATED_ROWS:
-            quotes = quotes.persist()
-        counts = None
-    counts = per_day(quotes) if counts is None else counts
-    return _Market(quotes, {day: counts.get(day, 0) for day in days}, n_universe)
-
-
-def backtest_moves(prices: DataFrame, chosen: DataFrame, spec: Scenarios, method: str = "auto",
+def backtest_moves(prices: DataFrame, chosen: DataFrame, spec: Scenarios,
                    calendar: DataFrame | None = None) -> DataFrame:
     """Moves of every scenario on every day after the first.
 
-    ``prices`` has one row per (ticker, day), already cut to the date range. It
-    may hold just the universe if ``calendar`` has the ``day`` of all trading.
-    ``auto`` counts the rows and replicates them only up to REPLICATED_ROWS."""
-    if method not in ("auto", "replicated", "stepped"):
-        raise ValueError(f"unknown method {method!r}")
-    # Several jobs below read the list; sampling it may have cost a full scan.
-    chosen = chosen.select("ticker").persist()
-    market = _market(prices, chosen, spec.universe, calendar)
+    ``prices`` has one row per (ticker, day), already cut to the date range; two
+    usable prices for one key are an error. Rows without a ticker, a day or a
+    usable price (see `quotes.usable`) are no quotes; a day on which only such
+    rows stand is still a trading day. ``prices`` may hold just the universe if
+    ``calendar`` has the ``day`` of all trading.
+
+    This runs the scenarios when it is called: a few jobs per day. The result is
+    read from the checkpoint folder; the run's own files are gone by then."""
+    folder = session.run_folder(prices.sparkSession, "backtest")
     try:
-        if len(market.days) < 2:
-            return prices.sparkSession.createDataFrame([], schema.MOVES)
-        n_rows = sum(market.n_quotes.values())
-        if method == "replicated" and n_rows > REPLICATED_ROWS:
-            raise ValueError(f"{n_rows} panel rows are too many to replicate")
-        if method == "stepped" or n_rows > REPLICATED_ROWS:
-            return _stepped(market, chosen, spec)
-        return _replicated(market, chosen, spec)
+        return session.durable(_run(prices, chosen, spec, calendar, folder))
     finally:
-        market.quotes.unpersist()
-        chosen.unpersist()
+        session.remove_folder(prices.sparkSession, folder)
 
 
-# -- stepped ----------------------------------------------------------------
+# A step's rows: moves whose days are indexes.
+_STEP = T.StructType([T.StructField(f.name, T.LongType()) if f.dataType == T.DateType() else f for f in schema.MOVES])
 
-def _stepped(market: _Market, chosen: DataFrame, spec: Scenarios) -> DataFrame:
-    """The run's folder may be removed once the result has been written."""
-    spark = chosen.sparkSession
-    folder = session.run_folder(spark, "backtest")
 
-    # Numbered quotes, laid out by day.
-    (ranking.ranked_prices(market.quotes, max_days=len(market.days))
+def _laid_out(quotes: DataFrame, n_days: int, folder: str) -> tuple[DataFrame, dict]:
+    """Numbered quotes, stored by day, and how many there are on each day."""
+    spark = quotes.sparkSession
+    (ranking.ranked_prices(quotes, max_days=n_days).hint("rebalance", "day")
      .write.partitionBy("day").parquet(f"{folder}/quotes"))
-    quotes = spark.read.schema(
-        "ticker string, price double, rank long, n_traded long, day date"
-    ).parquet(f"{folder}/quotes")
-    n_universe = market.n_universe
+    stored = spark.read.schema(
+        "ticker string, price double, rank long, n_traded long, day date").parquet(f"{folder}/quotes")
+    counts = {row.day: row.n for row in stored.groupBy("day").agg(F.count("*").alias("n")).collect()}
+    # Copies of a key have the same ticker, so they number differently but share
+    # a name; one row per key is left after their partial aggregation.
+    twice = stored.groupBy("day", "ticker").count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"{twice[0].ticker} has more than one usable price on {twice[0].day}; "
+                         "panel.dedupe_keep_last or dedupe_keep_first keeps one")
+    return stored, counts
+
+
+def _run(prices: DataFrame, chosen: DataFrame, spec: Scenarios, calendar: DataFrame | None,
+         folder: str) -> DataFrame:
+    spark = prices.sparkSession
+    chosen = session.durable(chosen.select("ticker").distinct())
+    days = sorted(row.day for row in (prices if calendar is None else calendar)
+                  .select("day").where(F.col("day").isNotNull()).distinct().collect())
+    if len(days) < 2:
+        return spark.createDataFrame([], schema.MOVES)
+    quotes = prices.select("ticker", "day", "price").where(usable(F.col("price")))
+    n_universe = None
+    if spec.universe is not None:
+        # Nothing outside of the universe is ever held, so nothing else is read.
+        pool = session.durable(spec.universe.select("ticker").unionByName(chosen).distinct())
+        n_universe = pool.count()
+        quotes = quotes.join(session.broadcast_if_bounded(pool, n_universe), "ticker", "left_semi")
+    quotes, n_quotes = _laid_out(quotes, len(days), folder)
     if n_universe is None:
-        n_universe = quotes.agg(F.count_distinct("ticker").alias("n")).first().n
+        n_universe = quotes.select("ticker").distinct().count()
 
-    allocation.initial_allocation(
-        quotes, chosen, n_sims=spec.n_sims, money=spec.money, day=market.days[0]
-    ).write.parquet(f"{folder}/opening")
-    opening = spark.read.schema(schema.HOLDINGS).parquet(f"{folder}/opening")
+    lots = session.durable(allocation.opening_lots(quotes, chosen, money=spec.money, day=days[0]))
     # All scenarios open alike and trading never adds a lot: the opening counts
     # bound every later state.
-    max_holdings = opening.count()
-    max_lots = max_holdings // spec.n_sims
-
-    # Partitioned by scenario, a state can be merged, numbered and drawn for
-    # without another shuffle.
-    holdings = opening.repartition("sim")
-    for day_idx, day in enumerate(market.days[1:], start=1):
+    max_lots = lots.count()
+    max_holdings = max_lots * spec.n_sims
+    # A scenario that fits one shelf is kept together, so it is merged, numbered
+    # and drawn for after one shuffle. Lots of larger ones spread by ticker.
+    together = max_lots <= ranking.LOTS_PER_SHELF
+    settled = lambda rows: rows.repartition("sim") if together else rows
+
+    # Within the run days are their indexes, kept as columns: each step then has
+    # the plan of the one before, and its compiled code is used again.
+    opening = allocation.for_each_sim(lots, spec.n_sims).withColumns(
+        {"entry_day": F.lit(0).cast("long"), "now": F.lit(1).cast("long")})
+    holdings, clock = settled(opening), F.col("now")
+    for day_idx, day in enumerate(days[1:], start=1):
         moves = trading.rebalance_moves(
-            holdings, panel.prices_on_day(quotes, day), day=day, day_idx=day_idx,
+            holdings, panel.prices_on_day(quotes, day).drop("day"), day=clock, day_idx=clock,
             seed=spec.seed, n_universe=F.lit(n_universe), policy=spec.policy,
             in_order=spec.in_order, max_lots=max_lots, max_holdings=max_holdings,
-            max_quotes=market.n_quotes[day])
-        step = f"{folder}/moves/day_idx={day_idx}"
-        moves.drop("day_idx").write.parquet(step)
-        done = spark.read.schema(schema.MOVES).option("basePath", f"{folder}/moves").parquet(step)
-        holdings = allocation.merge_lots(trading.lots_after(done).repartition("sim"))
-    return spark.read.schema(schema.MOVES).parquet(f"{folder}/moves")
-
-
-# -- replicated -------------------------------------------------------------
-
-def _replicated(market: _Market, chosen: DataFrame, spec: Scenarios) -> DataFrame:
-    spark = chosen.sparkSession
-    session.ship_by_value(spec.policy)
-    rows = market.quotes.withColumn("day_no", F.unix_date("day")).drop("day")
-    packed = fold.pack(rows.toArrow().to_pandas(), market.days)
-    lots = allocation.opening_lots(market.quotes, chosen, money=spec.money, day=market.days[0])
-    opening = fold.numbered(packed, lots.toArrow().to_pandas())
-
-    shared = spark.sparkContext.broadcast(tuple(packed))
-    n_universe = len(packed.names) if market.n_universe is None else market.n_universe
-    rules = fold.Rules(n_universe, spec.seed, spec.policy, spec.in_order)
-    columns = schema.MOVES.fieldNames()
-
-    def run(batches):
-        packed = fold.Packed(*shared.value)
-        for batch in batches:
-            for sim in batch["id"].tolist():
-                yield fold.run_scenario(sim, opening, packed, rules)[columns]
-
-    slices = max(1, min(spec.n_sims, spark.sparkContext.defaultParallelism))
-    return (spark.range(1, spec.n_sims + 1, numPartitions=slices)
-            .mapInPandas(run, schema.MOVES))
+            max_quotes=n_quotes.get(day, 0))
+        step = f"{folder}/moves/{day_idx:06d}"
+        moves.write.parquet(step)
+        done = spark.read.schema(_STEP).parquet(step)
+        holdings = allocation.merge_lots(settled(trading.lots_after(done)), "day_idx").withColumn(
+            "now", F.col("day_idx") + 1)
+    date = lambda index: F.element_at(F.lit(days), index.cast("int") + 1)
+    return (spark.read.schema(_STEP).parquet(f"{folder}/moves/*")
+            .withColumns({"day": date(F.col("day_idx")), "new_entry_day": date(F.col("new_entry_day"))})
+            .select(*schema.MOVES.fieldNames()))
 
 
 # -- results ----------------------------------------------------------------
@@ -193,11 +139,10 @@ def scenario_totals(moves: DataFrame, calendar: DataFrame, n_sims: int) -> DataF
             .groupBy("sim", "day").agg(F.sum("total").alias("total")))
 
 
-def scenario_backtest(prices: DataFrame, chosen: DataFrame, spec: Scenarios,
-                      method: str = "auto") -> DataFrame:
+def scenario_backtest(prices: DataFrame, chosen: DataFrame, spec: Scenarios) -> DataFrame:
     """Total portfolio value by scenario and day."""
-    return scenario_totals(backtest_moves(prices, chosen, spec, method),
-                           panel.day_index(prices), spec.n_sims)
+    return scenario_totals(backtest_moves(prices, chosen, spec),
+                           panel.day_index(prices.where(F.col("day").isNotNull())), spec.n_sims)
 
 
 def scenario_snapshot(moves: DataFrame) -> DataFrame:

@@ -8,12 +8,12 @@ from daypanel import schema
 from daypanel.operators import allocation
 
 
-def buy_and_hold(prices: DataFrame, chosen: DataFrame, *, n_sims: int = schema.N_SIMS,
+def buy_and_hold(prices: DataFrame, chosen: DataFrame, *, n_sims: int = 1,
                  money: float = schema.MONEY) -> DataFrame:
     """(sim, day, ticker, price, units) of every holding on each day it
     trades, the purchase day included. Bought on the first day on which any
     chosen ticker trades. All scenarios are alike, so the rows are worked out
-    once and repeated at the end."""
+    once; ``n_sims`` above 1 asks for a copy of them per scenario."""
     # Cut to the chosen tickers first. A semi join on a grouping key moves below
     # the aggregation that may have built the panel.
     offers = (prices.select("ticker", "day", "price")

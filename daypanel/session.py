@@ -3,11 +3,9 @@ frames are small enough to broadcast."""
 
 from __future__ import annotations
 
-import sys
 import tempfile
 import uuid
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Rows, not bytes: every frame this is asked about has at most 8 narrow columns
@@ -54,12 +52,16 @@ def run_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def ship_by_value(*objects) -> None:
-    """Let Python tasks run where this package, or the module an object's class
-    was defined in, is not installed."""
-    import daypanel
-    cloudpickle.register_pickle_by_value(daypanel)
-    for obj in objects:
-        module = sys.modules[type(obj).__module__]
-        if module.__name__ != "__main__":
-            cloudpickle.register_pickle_by_value(module)
+def durable(df: DataFrame) -> DataFrame:
+    """The rows, written to the checkpoint folder and read from there: later
+    steps neither repeat what led to them nor depend on the executors that did
+    it. Spark removes the files with the frame where its cleaner is set to."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(run_folder(df.sparkSession, "checkpoints"))
+    return df.checkpoint()
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

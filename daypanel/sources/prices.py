@@ -5,15 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daypanel import schema
+from daypanel.functions import text
 
 
 def read_prices_csv(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
     """Headerless ``ticker,day,price,volume`` lines. ``strict`` stops at the
-    first bad line; otherwise bad lines come back with NULLs."""
-    return (spark.read.schema(schema.PRICES)
-            .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-            .option("dateFormat", "yyyy-MM-dd")
-            .csv(path))
+    first bad line, whichever columns are used; otherwise what cannot be read
+    comes back as NULL."""
+    rows = spark.read.schema("ticker string, day string, price string, volume string").csv(path)
+    columns = {name: F.expr(f"try_cast(trim({name}) AS {kind})") for name, kind in (
+        ("ticker", "string"), ("day", "date"), ("price", "double"), ("volume", "bigint"))}
+    if not strict:
+        return rows.select(*[c.alias(name) for name, c in columns.items()])
+    complete = F.lit(True)
+    for column in columns.values():
+        complete = complete & column.isNotNull()
+    message = F.concat(F.lit("unreadable line: "), F.concat_ws(",", *columns))
+    return rows.select(*text.checked(columns, complete, message))
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame:

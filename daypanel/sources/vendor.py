@@ -14,13 +14,21 @@ def _file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def read_vendor_folder(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of all files as (path, c0..c8) strings, header lines dropped.
+def _source_order() -> Column:
+    """A file's blocks are read by one task each, and its lines in order."""
+    return F.struct(F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("line")).alias("source_order")
+
+
+def read_vendor_folder(spark: SparkSession, folder: str, *, ordered: bool = False) -> DataFrame:
+    """Rows of all files as (path, c0..c8) strings, header lines dropped;
+    ``ordered`` adds source_order, which grows with the place in the file.
 
     Files are read as splittable CSV, so one very long history is shared by
     many tasks; no file is ever held as a single value."""
     return (spark.read.schema(schema.VENDOR_LINES).option("header", True).csv(folder)
-            .select(_file_path().alias("path"), *schema.VENDOR_LINES.fieldNames()))
+            .select(_file_path().alias("path"), *schema.VENDOR_LINES.fieldNames(),
+                    *([_source_order()] if ordered else [])))
 
 
 def vendor_rows(lines: DataFrame) -> DataFrame:
@@ -46,14 +54,14 @@ def to_prices(rows: DataFrame, *, strict: bool = True) -> DataFrame:
     """Project vendor rows to the price table. ``strict`` fails the job on a
     short or unreadable line; otherwise such lines are left to
     `malformed_rows`."""
+    kept = [c for c in rows.columns if c == "source_order"]
     typed = _typed(rows)
+    columns = {"ticker": text.ticker_from_path(F.col("path")),
+               **{name: F.col(name) for name in ("day", "price", "volume")}}
     if strict:
-        bad = F.raise_error(F.concat(F.lit("unreadable line in "), F.col("path"))).cast("double")
-        typed = typed.withColumn("price", F.when(_complete(), F.col("price")).otherwise(bad))
-    else:
-        typed = typed.where(_complete())
-    return typed.select(text.ticker_from_path(F.col("path")).alias("ticker"),
-                        "day", "price", "volume")
+        message = F.concat(F.lit("unreadable line in "), F.col("path"))
+        return typed.select(*text.checked(columns, _complete(), message), *kept)
+    return typed.where(_complete()).select(*[c.alias(name) for name, c in columns.items()], *kept)
 
 
 def malformed_rows(rows: DataFrame) -> DataFrame:
@@ -89,8 +97,12 @@ def rejected_payloads(payloads: DataFrame) -> DataFrame:
     return payloads.where(~text.is_csv_payload(F.col("payload")))
 
 
-def merge_prices(*parts: DataFrame) -> DataFrame:
-    """Bag union of price tables: no row is dropped, no order is promised."""
+def merge_prices(*parts: DataFrame, order: str | None = None) -> DataFrame:
+    """Bag union of price tables: no row is dropped, no order is promised.
+    ``order`` names a column for the number of the part a row came from, by
+    which `panel.dedupe_keep_last` and `dedupe_keep_first` can choose."""
+    if order is not None:
+        parts = tuple(part.withColumn(order, F.lit(i)) for i, part in enumerate(parts))
     merged = parts[0]
     for part in parts[1:]:
         merged = merged.unionByName(part)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from daypanel import schema
 from daypanel.functions import text
+from daypanel.operators import panel
+from daypanel.session import durable
 from daypanel.sources import vendor
 
 
@@ -23,29 +24,31 @@ def write_prices_csv(prices: DataFrame, path: str, *, mode: str = "errorifexists
     """Headerless ``ticker,day,price,volume``. ``single_file`` funnels the
     output through one task; it is for hand-over of small tables only."""
     rows = prices.select(*schema.PRICES.fieldNames())
-    (rows.coalesce(1) if single_file else rows).write.mode(mode).csv(path)
+    (rows.repartition(1) if single_file else rows).write.mode(mode).csv(path)
 
 
 def is_there(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.schema(schema.PRICES).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Whether a write to ``path`` has finished: its success marker is there."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
 def merge_vendor_folder(spark: SparkSession, folder: str, target: str, *,
-                        strict: bool = True) -> None:
-    """Build the merged price table from a vendor folder, unless it is there."""
+                        strict: bool = True, duplicates: str | None = None) -> None:
+    """Build the merged price table from a vendor folder, unless it is there; an
+    unfinished one is replaced. ``duplicates``: "last" or "first" keeps one row
+    per (ticker, day), by their order in the file; None keeps all."""
     if is_there(spark, target):
         return
-    rejected = vendor.rejected_files(vendor.read_payload_lines(spark, folder)).persist()
-    rows = vendor.without_rejected(vendor.read_vendor_folder(spark, folder), rejected,
-                                   max_rejected=rejected.count())
-    write_prices(vendor.to_prices(rows, strict=strict), target, mode="ignore")
-    rejected.unpersist()
+    rejected = durable(vendor.rejected_files(vendor.read_payload_lines(spark, folder)))
+    rows = vendor.without_rejected(vendor.read_vendor_folder(spark, folder, ordered=duplicates is not None),
+                                   rejected, max_rejected=rejected.count())
+    prices = vendor.to_prices(rows, strict=strict)
+    if duplicates is not None:
+        keep = {"last": panel.dedupe_keep_last, "first": panel.dedupe_keep_first}[duplicates]
+        one = keep(prices.withColumn("row", F.struct("price", "volume")), "source_order", "row")
+        prices = one.select("ticker", "day", "row.price", "row.volume")
+    write_prices(prices, target, mode="overwrite")
 
 
 def result_lines(totals: DataFrame) -> DataFrame:
@@ -59,7 +62,8 @@ def write_result(totals: DataFrame, path: str) -> None:
 
 
 def write_snapshot(snapshot: DataFrame, path: str) -> None:
-    """Holdings under ``sim=<n>/day_key=<yyyyMMdd>``, all in one job."""
+    """Holdings under ``day_key=<yyyyMMdd>``, in one job. The scenario is a
+    column, and files are sorted by it, so one scenario reads few row groups."""
     (snapshot.withColumn("day_key", text.compact_day(F.col("day")))
-     .hint("rebalance", "sim", "day_key")
-     .write.mode("overwrite").partitionBy("sim", "day_key").parquet(path))
+     .hint("rebalance", "day_key").sortWithinPartitions("day_key", "sim")
+     .write.mode("overwrite").partitionBy("day_key").parquet(path))

@@ -11,8 +11,10 @@ SEED = 7
 N_SIMS = 30
 N_TICKERS = 10
 MONEY = "1000::DOUBLE"
-LATER_DAY = "DATE '2024-01-11'"
-LATER_DAY_IDX = 10
+DAY_ASKED = "DATE '2024-01-11'"
+LATER_DAY_IDX = "least(10, (SELECT max(day_idx) FROM cal))"
+LATER_DAY = f"(SELECT day FROM cal WHERE day_idx = {LATER_DAY_IDX})"
+CUT_DAY = "DATE '2024-01-15'"
 
 PANEL = """
 p AS (
@@ -180,29 +182,33 @@ def oracle_sql() -> dict[str, str]:
 
     for same in ("scan_prices", "ingest_vendor_files"):
         sql[same] = SAME_PANEL
-    sql["merge_prices"] = with_(PANEL) + """
+    sql["merge_prices"] = with_(PANEL) + f"""
 SELECT ticker, day, price, volume FROM p
-WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-15'
+WHERE day <= {CUT_DAY}
 UNION ALL
 SELECT ticker, day, price, volume FROM p
-WHERE day BETWEEN DATE '2024-01-15' AND DATE '2024-01-30'"""
+WHERE day >= {CUT_DAY}"""
+    sql["merge_prices_deduplicated"] = with_(PANEL) + (
+        f"SELECT ticker, day, price + CASE WHEN day >= {CUT_DAY} THEN 0.5::DOUBLE ELSE 0 END AS price FROM p")
     both = """
 WITH answers AS (
   SELECT 'doc-' || doc_id AS source_key, text AS payload FROM documents
   UNION ALL SELECT 'page-' || page_id, html FROM pages)
 SELECT source_key, length(payload) AS n_chars FROM answers WHERE """
-    sql["valid_payloads"] = both + "NOT contains(payload, '{')"
-    sql["rejected_payloads"] = both + "contains(payload, '{')"
+    sql["valid_payloads"] = both + "coalesce(NOT contains(payload, '{'), false)"
+    sql["rejected_payloads"] = both + "coalesce(contains(payload, '{'), true)"
+    sql["accepted_files"] = both.replace("SELECT source_key, length(payload) AS n_chars", """
+SELECT source_key AS path, len(string_split(payload, chr(10))) AS n_lines""") + "NOT contains(payload, '{')"
     sql["ticker_list"] = with_(PANEL) + "SELECT ticker FROM universe"
     sql["scalar_formats"] = with_(PANEL) + """
 SELECT ticker || ',' || strftime(day, '%Y-%m-%d') || ',' || volume AS line,
        ticker AS first_field, ticker AS from_path, ticker AS unquoted, day AS parsed_day,
        strftime(day, '%Y/%m/%d') AS slash_day, strftime(day, '%Y%m%d') AS compact_day,
-       true AS is_csv FROM p"""
+       NOT contains(ticker || ',' || strftime(day, '%Y-%m-%d') || ',' || volume, '{') AS is_csv FROM p"""
 
     sql["filter_by_date"] = SAME_PANEL + " WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
     sql["filter_by_ticker"] = SAME_PANEL + " WHERE ticker = 'U3'"
-    sql["prices_on_day"] = SAME_PANEL + f" WHERE day = {LATER_DAY}"
+    sql["prices_on_day"] = SAME_PANEL + f" WHERE day = {DAY_ASKED}"
     sql["trading_days"] = with_(PANEL) + "SELECT day FROM cal ORDER BY day"
     sql["day_index"] = with_(PANEL) + "SELECT day, day_idx FROM cal"
     sql["dedupe_keep_last"] = with_(PANEL) + (
@@ -271,7 +277,7 @@ WHERE day = {LATER_DAY} AND price > 0
 
     on_later_day = f"""
 started AS (
-  SELECT sim, {LATER_DAY_IDX}::BIGINT AS day_idx, {LATER_DAY} AS day, ticker, entry_day,
+  SELECT sim, ({LATER_DAY_IDX})::BIGINT AS day_idx, {LATER_DAY} AS day, ticker, entry_day,
          entry_price, units FROM opening)"""
     one_day = with_(PANEL, CHOSEN, OPENING, on_later_day, step_parts("started", "code", "universe"))
     sql["pick_replacement"] = one_day + """
@@ -279,7 +285,7 @@ SELECT d.sim, d.ticker, c.ticker AS replacement, c.price
 FROM decided d JOIN cand c ON c.sim = d.sim AND c.pos = d.draw % c.n"""
     whole_market = f"""
 started AS (
-  SELECT sim, {LATER_DAY_IDX}::BIGINT AS day_idx, {LATER_DAY} AS day, ticker, entry_day,
+  SELECT sim, ({LATER_DAY_IDX})::BIGINT AS day_idx, {LATER_DAY} AS day, ticker, entry_day,
          entry_price, units FROM lots)"""
     sql["pick_replacement_whole_market"] = with_(
         PANEL, WHOLE_MARKET, whole_market, step_parts("started", "code", "universe")) + """

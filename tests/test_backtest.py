@@ -1,4 +1,4 @@
-"""Scenarios against plain loops, in both physical forms."""
+"""Scenarios against plain loops."""
 
 import random
 
@@ -9,11 +9,9 @@ import brute
 from conftest import day, holding_frame, price_frame, ticker_frame
 from daypanel.functions.policy import Policy
 from daypanel.operators import allocation, panel, ranking, trading
-from daypanel.plans import backtest, fold
+from daypanel.plans import backtest
 from daypanel import session
 
-METHODS = ("replicated", "stepped")
-
 
 def random_panel(seed, tickers=14, days=6, filled=0.75):
     rng = random.Random(seed)
@@ -36,12 +34,12 @@ def totals_of(spark, prices, moves, n_sims):
     return {(r.sim, r.day): r.total for r in totals.collect()}
 
 
-def check(spark, cells, chosen, *, n_sims, seed, mode, universe, method, in_order=False):
+def check(spark, cells, chosen, *, n_sims, seed, mode, universe, in_order=False):
     prices = price_frame(spark, cells)
     spec = backtest.Scenarios(
         n_sims=n_sims, money=100.0, seed=seed, policy=Policy(mode=mode), in_order=in_order,
         universe=None if universe is None else ticker_frame(spark, universe))
-    moves = backtest.backtest_moves(prices, ticker_frame(spark, chosen), spec, method)
+    moves = backtest.backtest_moves(prices, ticker_frame(spark, chosen), spec)
     want_totals, want_units = brute.run(as_prices(cells), chosen, n_sims=n_sims, money=100.0,
                                         seed=seed, mode=mode, universe=universe,
                                         in_order=in_order)
@@ -54,32 +52,29 @@ def check(spark, cells, chosen, *, n_sims, seed, mode, universe, method, in_orde
     return moves
 
 
-@pytest.mark.parametrize("method", METHODS)
 @pytest.mark.parametrize("mode", ("code", "documented"))
 @pytest.mark.parametrize("universe", ("all", "chosen", "part"))
-def test_scenarios_match_plain_loops(spark, method, mode, universe):
+def test_scenarios_match_plain_loops(spark, mode, universe):
     cells = random_panel(5)
     chosen = ["T0", "T3", "T4", "T9", "T11"]
     allowed = {"all": None, "chosen": chosen, "part": ["T1", "T3", "T5", "T6", "NOWHERE"]}[universe]
-    check(spark, cells, chosen, n_sims=6, seed=11, mode=mode, universe=allowed, method=method)
+    check(spark, cells, chosen, n_sims=6, seed=11, mode=mode, universe=allowed)
 
 
-@pytest.mark.parametrize("method", METHODS)
 @pytest.mark.parametrize("mode", ("code", "documented"))
 @pytest.mark.parametrize("filled", (0.8, 1.1))
-def test_sales_in_order_match_plain_loops(spark, method, mode, filled):
+def test_sales_in_order_match_plain_loops(spark, mode, filled):
     """The universe is what is owned, so draws hit tickers sold the same day."""
     cells = random_panel(21, tickers=9, days=6, filled=filled)
     chosen = [f"T{i}" for i in range(7)]
-    check(spark, cells, chosen, n_sims=8, seed=3, mode=mode, universe=chosen, method=method,
-          in_order=True)
+    check(spark, cells, chosen, n_sims=8, seed=3, mode=mode, universe=chosen, in_order=True)
 
 
 def test_sales_in_order_for_scenarios_of_any_size(spark, monkeypatch):
     monkeypatch.setattr(ranking, "CHAIN_IN_ROW", 0)
     chosen = [f"T{i}" for i in range(7)]
     check(spark, random_panel(21, tickers=9, days=5), chosen, n_sims=8, seed=3, mode="code",
-          universe=chosen, method="stepped", in_order=True)
+          universe=chosen, in_order=True)
 
 
 def test_shared_folder_is_asked_for_on_a_cluster():
@@ -107,7 +102,7 @@ def test_shuffled_lookups_give_the_same(spark, monkeypatch):
     """Neither side may be broadcast: the path for states beyond the bound."""
     monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
     check(spark, random_panel(6), ["T0", "T3", "T4", "T9"], n_sims=4, seed=2, mode="documented",
-          universe=None, method="stepped")
+          universe=None)
 
 
 def test_large_quotes_are_cut_down_in_place(spark, monkeypatch):
@@ -115,25 +110,10 @@ def test_large_quotes_are_cut_down_in_place(spark, monkeypatch):
     cells = random_panel(7, tickers=20, days=4)
     monkeypatch.setattr(session, "BROADCAST_ROWS", 9)
     check(spark, cells, ["T0", "T3", "T4"], n_sims=3, seed=2, mode="code",
-          universe=None, method="stepped")
+          universe=None)
 
 
-def test_forms_agree_row_by_row(spark):
-    cells = random_panel(8, tickers=30, days=5)
-    prices = price_frame(spark, cells)
-    chosen = ticker_frame(spark, [f"T{i}" for i in range(0, 30, 3)])
-    spec = backtest.Scenarios(n_sims=5, money=100.0, seed=1)
-    rows = {}
-    for method in METHODS:
-        moves = backtest.backtest_moves(prices, chosen, spec, method)
-        rows[method] = sorted((r.sim, r.day, r.ticker, r.reason or "", r.new_ticker,
-                               round(r.new_units, 9), r.new_entry_day)
-                              for r in moves.collect())
-    assert rows["replicated"] == rows["stepped"] and rows["stepped"]
-
-
-@pytest.mark.parametrize("method", METHODS)
-def test_prices_of_the_universe_and_the_whole_calendar(spark, method):
+def test_prices_of_the_universe_and_the_whole_calendar(spark):
     """Day 1 and day 4 trade only outside of the universe."""
     cells = [("Z", d, 5) for d in range(1, 7)] + [
         (t, d, 10 + d * i) for i, t in enumerate("ABC") for d in (2, 3, 5, 6)] + [("A", 1, 9)]
@@ -141,34 +121,31 @@ def test_prices_of_the_universe_and_the_whole_calendar(spark, method):
     spec = backtest.Scenarios(n_sims=3, seed=1, universe=chosen)
     found = []
     for panel_rows, days in ((prices, None), (prices.where("ticker <> 'Z'"), prices)):
-        moves = backtest.backtest_moves(panel_rows, chosen, spec, method, calendar=days)
+        moves = backtest.backtest_moves(panel_rows, chosen, spec, calendar=days)
         found.append(sorted((r.sim, r.day_idx, r.ticker, r.new_ticker, r.new_units)
                             for r in moves.collect()))
     assert found[0] == found[1] and {r[1] for r in found[0]} == {1, 2, 3, 4, 5}
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_one_trading_day_gives_nothing(spark, method):
+def test_one_trading_day_gives_nothing(spark):
     prices = price_frame(spark, [("A", 1, 10)])
     result = backtest.scenario_backtest(prices, ticker_frame(spark, ["A"]),
-                                        backtest.Scenarios(n_sims=3), method)
+                                        backtest.Scenarios(n_sims=3))
     assert result.count() == 0
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_nothing_bought_still_reports_zero(spark, method):
+def test_nothing_bought_still_reports_zero(spark):
     prices = price_frame(spark, [("A", 1, 10), ("A", 2, 10), ("B", 2, 1)])
     result = backtest.scenario_backtest(prices, ticker_frame(spark, ["B"]),
-                                        backtest.Scenarios(n_sims=2), method)
+                                        backtest.Scenarios(n_sims=2))
     assert [(r.sim, r.day, r.total) for r in result.orderBy("sim").collect()] == [
         (1, day(2), 0.0), (2, day(2), 0.0)]
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_position_stays_when_nothing_can_be_bought(spark, method):
+def test_position_stays_when_nothing_can_be_bought(spark):
     # B and C are not owned, so the pool is not empty, but they do not trade.
     cells = [("A", 1, 10), ("A", 2, 10), ("B", 1, 3), ("C", 1, 0), ("C", 2, 0)]
-    moves = check(spark, cells, ["A"], n_sims=2, seed=0, mode="code", universe=None, method=method)
+    moves = check(spark, cells, ["A"], n_sims=2, seed=0, mode="code", universe=None)
     assert {(r.ticker, r.new_ticker, r.reason) for r in moves.collect()} == {("A", "A", None)}
 
 
@@ -202,7 +179,7 @@ def test_result_does_not_depend_on_partitioning(spark):
         shuffled = random.Random(int(parts)).sample(cells, len(cells))
         prices = price_frame(spark, shuffled).repartition(int(parts))
         moves = backtest.backtest_moves(prices, ticker_frame(spark, chosen),
-                                        backtest.Scenarios(n_sims=3, seed=5), "stepped")
+                                        backtest.Scenarios(n_sims=3, seed=5))
         seen.append({k: round(v, 9) for k, v in totals_of(spark, prices, moves, 3).items()})
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert seen[0] == seen[1]
@@ -223,14 +200,11 @@ class TakeProfit(Policy):
         return [("PROFIT", today > entry * 1.02)]
 
 
-def test_own_rule_works_in_both_forms(spark):
+def test_own_rule(spark):
     prices = price_frame(spark, random_panel(13))
-    chosen = ticker_frame(spark, ["T1", "T2", "T3", "T4"])
     spec = backtest.Scenarios(n_sims=3, seed=3, policy=TakeProfit())
-    found = [sorted((r.sim, r.day, r.ticker, r.new_ticker, r.reason or "")
-                    for r in backtest.backtest_moves(prices, chosen, spec, m).collect())
-             for m in METHODS]
-    assert found[0] == found[1] and any(r[-1] == "PROFIT" for r in found[0])
+    moves = backtest.backtest_moves(prices, ticker_frame(spark, ["T1", "T2", "T3", "T4"]), spec)
+    assert {r.reason for r in moves.select("reason").distinct().collect()} == {None, "PROFIT"}
 
 
 def test_ledger_pairs_sales_and_purchases(spark):
@@ -287,13 +261,62 @@ def test_a_hot_ticker_and_a_hot_day(spark):
     assert {r.ticker: r.rank for r in ranks} == {t: i for i, t in enumerate(order)}
 
 
-def test_too_large_to_replicate(spark, monkeypatch):
-    monkeypatch.setattr(backtest, "REPLICATED_ROWS", 3)
-    prices = price_frame(spark, random_panel(3, tickers=4, days=3, filled=1.1))
-    chosen, spec = ticker_frame(spark, ["T1"]), backtest.Scenarios(n_sims=2)
-    with pytest.raises(ValueError, match="too many"):
-        backtest.backtest_moves(prices, chosen, spec, "replicated")
-    assert backtest.backtest_moves(prices, chosen, spec, "auto").count() == 4
-    with pytest.raises(ValueError, match="unknown"):
-        backtest.backtest_moves(prices, chosen, spec, "fast")
-    assert fold.EPOCH.year == 1970
+def test_two_prices_for_a_key_are_an_error(spark):
+    cells = [(t, d, 10 + d) for t in "ABCD" for d in (1, 2, 3)] + [("B", 2, 99)]
+    prices, chosen = price_frame(spark, cells), ticker_frame(spark, ["A"])
+    with pytest.raises(ValueError, match="B has more than one usable price on 2018-03-02"):
+        backtest.backtest_moves(prices, chosen, backtest.Scenarios(n_sims=1))
+    one = panel.dedupe_keep_first(prices, "price")
+    moves = backtest.backtest_moves(one, chosen, backtest.Scenarios(n_sims=1))
+    want, _ = brute.run(as_prices(cells[:-1]), ["A"], n_sims=1, money=1000.0, seed=0)
+    assert totals_of(spark, one, moves, 1) == pytest.approx(want)
+
+
+def test_what_is_no_price_is_no_quote(spark):
+    """NaN, infinite, negative and NULL prices, and rows without a key."""
+    cells = random_panel(17, tickers=8, days=4)
+    odd = [("T1", 2, "NaN"), ("T2", 2, "-5"), ("T3", 3, "Infinity"), ("T4", 3, None), (None, 2, "5"), ("T5", None, "7"),
+           ("T6", 9, "NaN")]
+    kept = [c for c in cells if (c[0], c[1]) not in {(t, d) for t, d, _ in odd}]
+    rows = price_frame(spark, kept).unionByName(spark.createDataFrame(
+        [(t, day(d) if d else None, float(p) if p else None, 1) for t, d, p in odd],
+        "ticker string, day date, price double, volume long"))
+    chosen = ["T1", "T2", "T3", "T4"]
+    spec = backtest.Scenarios(n_sims=4, money=100.0, seed=2)
+    moves = backtest.backtest_moves(rows, ticker_frame(spark, chosen), spec)
+    # Day 9 has a row, so it is a trading day on which nothing has a price.
+    want, _ = brute.run(as_prices(kept) | {("T6", day(9)): 0.0}, chosen, n_sims=4, money=100.0, seed=2)
+    assert totals_of(spark, rows.where("day is not null"), moves, 4) == pytest.approx(want)
+
+
+def test_large_scenarios_spread_by_ticker(spark, monkeypatch):
+    """Beyond one shelf nothing is partitioned by scenario, and results stay."""
+    monkeypatch.setattr(ranking, "LOTS_PER_SHELF", 2)
+    check(spark, random_panel(23, tickers=10, days=4), ["T0", "T3", "T4", "T9"], n_sims=3, seed=4, mode="code",
+          universe=None)
+
+
+def test_one_scenario_of_many_lots_is_many_tasks(spark):
+    """200,000 lots of one scenario: no task of a step holds more than a part."""
+    quotes = spark.range(200_000).select(F.concat(F.lit("T"), "id").alias("ticker"), (F.col("id") % 50 + 10.0).alias("price"))
+    lots = quotes.select(F.lit(1).cast("long").alias("sim"), "ticker", F.lit(day(1)).alias("entry_day"),
+                         F.lit(20.0).alias("entry_price"), F.lit(1.0).alias("units"))
+    ranked = ranking.ranked_prices(quotes.withColumn("day", F.lit(day(2))))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        moves = trading.rebalance_moves(lots, ranked, day=day(2), day_idx=1, seed=1, n_universe=F.lit(200_000))
+        after = allocation.merge_lots(trading.lots_after(moves))
+        sizes = [r.n for r in after.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert len(sizes) >= 12 and max(sizes) < 40_000
+
+
+def test_the_run_leaves_no_files(spark, tmp_path, monkeypatch):
+    prices = price_frame(spark, random_panel(3, tickers=4, days=4, filled=1.1))
+    monkeypatch.setattr(session, "run_folder", lambda _, label: str(tmp_path / label))
+    moves = backtest.backtest_moves(prices, ticker_frame(spark, ["T1"]), backtest.Scenarios(n_sims=2))
+    assert not (tmp_path / "backtest").exists() and moves.count() == 6

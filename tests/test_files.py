@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import day, price_frame
+from daypanel import catalog
+from daypanel.operators import panel
 from daypanel.plans import report
 from daypanel.sources import prices as price_source, tickers, vendor, writers
 
@@ -60,6 +62,63 @@ def test_error_payloads_in_rows(spark):
     assert [r.k for r in vendor.rejected_payloads(answers).collect()] == ["B"]
 
 
+def test_every_answer_is_valid_or_rejected(spark):
+    answers = spark.createDataFrame([("A", "x"), ("B", "{"), ("C", None)], "k string, payload string")
+    valid, rejected = (f(answers).collect() for f in (vendor.valid_payloads, vendor.rejected_payloads))
+    assert [r.k for r in valid] == ["A"] and [r.k for r in rejected] == ["B", "C"]
+
+
+def test_a_brace_on_one_line_removes_its_whole_file(spark):
+    lines = spark.createDataFrame([("a", "1"), ("a", "x{"), ("b", "2"), ("b", "3")], "path string, line string")
+    kept = vendor.without_rejected(lines, vendor.rejected_files(lines)).collect()
+    assert sorted(r.line for r in kept) == ["2", "3"]
+
+
+def strict_panels(spark, tmp_path):
+    lines = spark.createDataFrame(
+        [("d/A.csv", 0, HEADER), ("d/A.csv", 1, vendor_line("2018-03-01", "10", 1)), ("d/A.csv", 2, "2018-03-02,1,2"),
+         ("d/A.csv", 3, vendor_line("x", "10", 1))], "path string, line_no int, line string")
+    (tmp_path / "m.csv").write_text("A,2018-03-01,1.5,3\nB,2018-03-02,oops,3\n")
+    return vendor.to_prices(vendor.vendor_rows(lines)), price_source.read_prices_csv(spark, str(tmp_path / "m.csv"))
+
+
+@pytest.mark.parametrize("use", [
+    lambda p: panel.filter_by_date(p, "2018-03-01", "2018-03-31"), lambda p: panel.filter_by_ticker(p, "Z"), panel.trading_days,
+    panel.day_index, lambda p: p.select("ticker"), lambda p: p.where("volume > 100")])
+def test_strict_reading_survives_pruning_and_filters(spark, tmp_path, use):
+    for prices in strict_panels(spark, tmp_path):
+        with pytest.raises(Exception, match="unreadable line"):
+            use(prices).collect()
+
+
+def test_an_unfinished_merge_is_done_again(spark, vendor_folder, tmp_path):
+    target = tmp_path / "merged"
+    (target / "_temporary").mkdir(parents=True)
+    writers.merge_vendor_folder(spark, vendor_folder, str(target))
+    assert price_source.read_prices(spark, str(target)).count() == 3
+
+
+def test_merge_keeps_days_of_all_years_and_one_row_per_key_on_request(spark, tmp_path):
+    folder = tmp_path / "daily"
+    folder.mkdir()
+    (folder / "A.csv").write_text("\n".join([HEADER] + [vendor_line(d, p, 1) for d, p in (
+        ("1999-12-31", 1), ("2024-01-15", 2), ("2024-02-20", 3), ("2024-01-15", 4))]) + "\n")
+    for duplicates, wanted in ((None, [1, 2, 3, 4]), ("first", [1, 2, 3]), ("last", [1, 3, 4])):
+        target = str(tmp_path / f"merged-{duplicates}")
+        writers.merge_vendor_folder(spark, str(folder), target, duplicates=duplicates)
+        assert sorted(r.price for r in price_source.read_prices(spark, target).collect()) == wanted
+
+
+def test_queries_keep_every_row_of_other_years(spark, tmp_path):
+    events = [(1, u, t, float(i)) for i, (u, t) in enumerate(
+        [(1, "1999-05-01 10:00:00"), (1, "2024-01-15 10:00:00"), (2, "2024-02-20 11:00:00")])]
+    (spark.createDataFrame(events, "event_id long, user_id long, t string, value double")
+     .selectExpr("event_id", "user_id", "cast(t as timestamp_ntz) ts", "value").write.parquet(str(tmp_path / "events.parquet")))
+    assert catalog.ingest_vendor_files(spark, str(tmp_path)).count() == 3
+    assert catalog.merge_prices(spark, str(tmp_path)).count() == 4  # the cut day is in both parts
+    assert catalog.merge_prices_deduplicated(spark, str(tmp_path)).count() == 3
+
+
 def test_bad_lines_stop_the_job_or_are_set_aside(spark, tmp_path):
     folder = tmp_path / "daily"
     folder.mkdir()
@@ -136,6 +195,5 @@ def test_snapshot_layout(spark, tmp_path):
     snapshot = spark.createDataFrame([(1, day(1), "A", 1.0, 2.0), (2, day(2), "A", 1.0, 2.0)],
                                      "sim long, day date, ticker string, price double, units double")
     writers.write_snapshot(snapshot, str(tmp_path / "snap"))
-    assert (tmp_path / "snap" / "sim=1" / "day_key=20180301").is_dir()
-    assert (tmp_path / "snap" / "sim=2" / "day_key=20180302").is_dir()
+    assert sorted(p.name for p in (tmp_path / "snap").glob("day_key=*")) == ["day_key=20180301", "day_key=20180302"]
     assert spark.read.parquet(str(tmp_path / "snap")).count() == 2
