@@ -199,7 +199,7 @@ def near_links(points: DataFrame, *, max_bits: int = MAX_BITS, shard: int = SHAR
     in their task."""
     common.ship()
     total = points.count()
-    known = (points.select("fingerprint").orderBy(F.xxhash64("fingerprint"), "fingerprint").limit(sample)
+    known = (common.smallest_hashes(points.select("fingerprint"), sample, "fingerprint")
              .toArrow()["fingerprint"].to_numpy().view(np.uint64))
     nodes = build_tree(known, max(16, int(len(known) * shard / max(total, 1))), max_bits)
     n_shards = sum(node.shard >= 0 for node in nodes)

@@ -157,13 +157,14 @@ def _lexicon(counts: DataFrame, folds: list[int], n_toxic: int, n_clean: int, si
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
         train_rows: int = TRAIN_ROWS, lexicon: int = LEXICON, trees: int = TREES, depth: int = DEPTH) -> Model:
-    """A model of ``labels`` (0 or 1; other values and nulls are left out),
-    learned from at most ``train_rows`` of its rows that are not held out. Only
+    """A model of ``labels`` (0 or 1; other values and nulls are left out, and one
+    row that says 1 is enough), learned from at most ``train_rows`` of its rows that are not held out. Only
     texts and labels of those rows are read."""
     common.ship()
-    chosen = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("toxic"))
-              .filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-              .dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
+    known = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("toxic"))
+             .filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
+             .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    chosen = common.smallest_hashes(known, train_rows, "doc_id")
     part = F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(10))
     # train_rows rows of 12 bytes: a proven bound.
     rows = common.durable(
