@@ -29,7 +29,7 @@ LENGTH = 200
 ANCHOR = 32
 HOT = 4096
 SEGMENT = 1 << 20
-GROUP_ROWS = 8192
+GROUP_ROWS = 16_384
 
 _PLACE_BITS, _RANK_BITS = 24, 40
 
@@ -132,13 +132,21 @@ def _neighbourhoods(texts: DataFrame, length: int) -> DataFrame:
 
 
 def match_groups(group: np.ndarray, least: np.ndarray, most: np.ndarray, around: list[bytes], length: int,
-                 alone: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, bool]]]:
+                 alone: np.ndarray | None = None
+                 ) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
     """(lowest, highest, rest): for each anchor the least and the largest number
     of bytes before it at which a string begins that equals another one of its
     group; lowest > highest where there is none.
 
-    ``rest``: for the anchors flagged in ``alone``, (anchor, bytes before it,
-    whether it was matched) for one string of each set of equal ones."""
+    ``rest``: for the anchors flagged in ``alone``, (bytes before it, anchors,
+    whether matched) with one anchor for each set of equal strings."""
+    # Most neighbourhoods of a repeated anchor are the same; one of each is sorted.
+    seen: dict = {}
+    member = np.fromiter((seen.setdefault(key, len(seen)) for key in zip(
+        group.tolist(), least.tolist(), most.tolist(), around, strict=True)), np.int64, len(group))
+    first = np.unique(member, return_index=True)[1]
+    copies = np.bincount(member)
+    group, least, most, around = group[first], least[first], most[first], [around[i] for i in first.tolist()]
     n = len(group)
     sizes = np.fromiter(map(len, around), np.int64, n)
     starts = np.cumsum(sizes) - sizes
@@ -147,25 +155,25 @@ def match_groups(group: np.ndarray, least: np.ndarray, most: np.ndarray, around:
     order_r, common_r = sort_suffixes(buffer, starts + most, sizes - most, group)
     order_l, common_l = sort_suffixes(buffer[::-1].copy(), len(buffer) - starts - most, most, group)
     lowest, highest = np.full(n, length + 1), np.full(n, -1)
-    rest: list[tuple[int, int, bool]] = []
+    rest: list[tuple[int, np.ndarray, np.ndarray]] = []
     class_r, class_l = np.empty(n, np.int64), np.empty(n, np.int64)
     for before in range(int(least.min(initial=length)), int(most.max(initial=-1)) + 1):
         active = np.flatnonzero((least <= before) & (before <= most))
-        if len(active) < 1 + (alone is None):
+        if not len(active):
             continue
         class_r[order_r] = np.cumsum(common_r < length - before)
         class_l[order_l] = np.cumsum(common_l < before)
         both = class_r[active] * (n + 1) + class_l[active]
         by_class = np.argsort(both, kind="stable")
         new = np.r_[True, np.diff(both[by_class]) != 0]
-        size = np.diff(np.r_[np.flatnonzero(new), len(active)])
+        size = np.add.reduceat(copies[active[by_class]], np.flatnonzero(new))
         matched = active[by_class[(size > 1)[np.cumsum(new) - 1]]]
         lowest[matched] = np.minimum(lowest[matched], before)
         highest[matched] = np.maximum(highest[matched], before)
         if alone is not None:
-            shown = active[by_class[new]]
-            rest += [(i, before, s > 1) for i, s in zip(shown.tolist(), size.tolist(), strict=True) if alone[i]]
-    return lowest, highest, rest
+            shown = first[active[by_class[new]]]
+            rest.append((before, shown[alone[shown]], size[alone[shown]] > 1))
+    return lowest[member], highest[member], rest
 
 
 _FOUND = "t1 long, t2 long, start long, stop long, digest binary, matched boolean"
@@ -174,23 +182,26 @@ _FOUND = "t1 long, t2 long, start long, stop long, digest binary, matched boolea
 def _matched(neighbourhoods: DataFrame, length: int) -> DataFrame:
     """Stretches (t1, t2, start, stop) that repeat; and, with a digest, strings of
     hot anchors to be looked up among those of other salts."""
-    def solve(rows: list) -> pa.RecordBatch:
+    def batch_of(t1, t2, start, stop, digest, matched) -> pa.RecordBatch:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, k) for c, k in zip((t1, t2, start, stop, digest, matched), kinds, strict=True)],
+            ["t1", "t2", "start", "stop", "digest", "matched"])
+
+    def solve(rows: list) -> Iterator[pa.RecordBatch]:
         key, t1, t2, place, around, hot = zip(*rows, strict=True)
         numbers: dict = {}
         group = np.fromiter((numbers.setdefault(k, len(numbers)) for k in key), np.int64, len(rows))
+        t1, t2, hot = np.array(t1, np.int64), np.array(t2, np.int64), np.array(hot, bool)
         place, least, most = _unpacked(np.array(place, np.int64))
-        hot = np.array(hot, bool)
         lowest, highest, rest = match_groups(group, least, most, around, length, hot if hot.any() else None)
-        found = np.flatnonzero(lowest <= highest).tolist()
-        out = [(t1[i], t2[i], int(place[i] - highest[i]), int(place[i] - lowest[i] + length), None, None) for i in found]
-        for i, before, matched in rest:
-            at = int(most[i]) - before
-            digest = hashlib.blake2b(around[i][at:at + length], digest_size=16).digest()
-            out.append((t1[i], t2[i], int(place[i]) - before, int(place[i]) - before + length, digest, matched))
-        columns = list(zip(*out, strict=True)) or [()] * 6
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.bool_())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                          ["t1", "t2", "start", "stop", "digest", "matched"])
+        i = np.flatnonzero(lowest <= highest)
+        nothing = [None] * len(i)
+        yield batch_of(t1[i], t2[i], place[i] - highest[i], place[i] - lowest[i] + length, nothing, nothing)
+        for before, i, matched in rest:
+            digests = [hashlib.blake2b(around[j][at:at + length], digest_size=16).digest()
+                       for j, at in zip(i.tolist(), (most[i] - before).tolist(), strict=True)]
+            yield batch_of(t1[i], t2[i], place[i] - before, place[i] - before + length, digests, matched)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list = []  # of groups that are not solved yet, in order
@@ -203,10 +214,10 @@ def _matched(neighbourhoods: DataFrame, length: int) -> DataFrame:
                 upto = min(cut, GROUP_ROWS)
                 while upto < cut and rows[upto][0] == rows[upto - 1][0]:
                     upto += 1
-                yield solve(rows[:upto])
+                yield from solve(rows[:upto])
                 rows = rows[upto:]
         if rows:
-            yield solve(rows)
+            yield from solve(rows)
 
     near = neighbourhoods.repartition("hash", "salt").sortWithinPartitions("hash", "salt")
     return near.mapInArrow(work, _FOUND)
