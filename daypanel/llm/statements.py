@@ -42,6 +42,22 @@ w AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC
              count(*) OVER (PARTITION BY norm) AS group_size FROM d)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM w"""
 
+OP7 = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+q AS (SELECT doc_id, n, a, substr(x, 2 * a + 1, 2400) AS y FROM (SELECT *, unnest(range(0, n, 1000)) AS a FROM d)),
+w AS (SELECT doc_id, a + j AS i, substr(y, 2 * j + 1, 2) AS byte,
+             CASE WHEN a + j + 200 <= n THEN md5(substr(y, 2 * j + 1, 400)) END AS h
+      FROM (SELECT *, unnest(range(0, least(1000, n - a))) AS j FROM q)),
+r AS (SELECT doc_id, i, byte, CASE WHEN h IS NOT NULL AND count(*) OVER (PARTITION BY h) > 1 THEN i END AS start FROM w),
+c AS (SELECT doc_id, i, byte, max(start) OVER (PARTITION BY doc_id ORDER BY i
+                                               ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) IS NOT NULL AS gone FROM r),
+e AS (SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY i) AS opens FROM c),
+k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+             sha256(unhex(coalesce(string_agg(byte, '' ORDER BY i) FILTER (NOT gone), ''))) AS kept FROM e GROUP BY doc_id)
+SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       coalesce(kept, sha256('')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)"""
+
 _ESCAPED = r"regexp_replace({}, '<(\\*)\|', '<\\\1|', 'g')"
 _ROLE = f"replace(replace({_ESCAPED.format('role')}, '\\', '\\\\'), chr(10), '\\n')"
 
@@ -58,4 +74,4 @@ SELECT conv_id, count(*) AS n_turns,
            + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
 FROM c GROUP BY conv_id"""
 
-SQL = {"op3_decontaminate": OP3, "op5_warc": OP5, "op8_exact_dedup": OP8, "op10_chat_format": OP10}
+SQL = {"op3_decontaminate": OP3, "op5_warc": OP5, "op7_suffix_dedup": OP7, "op8_exact_dedup": OP8, "op10_chat_format": OP10}
