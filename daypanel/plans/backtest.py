@@ -100,10 +100,15 @@ def _run(prices: DataFrame, chosen: DataFrame, spec: Scenarios, calendar: DataFr
     # bound every later state.
     max_lots = lots.count()
     max_holdings = max_lots * spec.n_sims
-    # A scenario that fits one shelf is kept together, so it is merged, numbered
-    # and drawn for after one shuffle. Lots of larger ones spread by ticker.
-    together = max_lots <= ranking.LOTS_PER_SHELF
-    settled = lambda rows: rows.repartition("sim") if together else rows
+    # A state that fits one shelf is one task's work and is not shuffled at all; a
+    # scenario that fits one is kept together, and merged, numbered and drawn for
+    # after one shuffle. Lots of larger ones spread by ticker.
+    if max_holdings <= ranking.LOTS_PER_SHELF:
+        settled = lambda rows: rows.coalesce(1)
+    elif max_lots <= ranking.LOTS_PER_SHELF:
+        settled = lambda rows: rows.repartition("sim")
+    else:
+        settled = lambda rows: rows
 
     # Within the run days are their indexes, kept as columns: each step then has
     # the plan of the one before, and its compiled code is used again.
