@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from daypanel.llm import common
 from daypanel.llm.suffix import Hashes, mixed, sort_suffixes
+from daypanel.session import remove_folder, run_folder
 
 LENGTH = 200
 ANCHOR = 32
@@ -281,19 +282,25 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     # Anchors found in one place only (copies of a text being one) lead nowhere.
     found = _all_anchors(long, length, anchor)
     places = F.xxhash64("t1", "t2", "place")
-    repeated = (found.groupBy("hash").agg(F.min(places).alias("a"), F.max(places).alias("b"), F.count("*").alias("n"))
-                .filter("a <> b").select(F.col("hash").alias("h"), F.ceil(F.col("n") / hot).cast("int").alias("salts")))
+    # Written out, the few repeated hashes are a table of their own, and the join
+    # may split the anchors of one hash that a third of the texts hold.
+    repeated = common.durable(
+        found.groupBy("hash").agg(F.min(places).alias("a"), F.max(places).alias("b"), F.count("*").alias("n"))
+        .filter("a <> b").select(F.col("hash").alias("h"), F.ceil(F.col("n") / hot).cast("int").alias("salts")))
     found = found.join(repeated, F.col("hash") == F.col("h")).select(
         "t1", "t2", F.struct("place", "hash", F.pmod(places, F.col("salts")).cast("int").alias("salt"),
                              (F.col("salts") > 1).alias("hot")).alias("anchor"))
-    lists = common.durable(found.groupBy(F.col("t1").alias("l1"), F.col("t2").alias("l2"))
-                           .agg(F.collect_set("anchor").alias("anchors")))
+    folder = run_folder(docs.sparkSession, "anchors")  # as Parquet: rows of numbers shrink to a third
+    (found.groupBy(F.col("t1").alias("l1"), F.col("t2").alias("l2")).agg(F.collect_set("anchor").alias("anchors"))
+     .write.parquet(folder))
+    lists = docs.sparkSession.read.parquet(folder)
 
-    # Each distinct text moves once; both joins below read the same exchange.
+    # Each distinct text meets its anchors, and later what is cut out of it.
     texts = long.groupBy("t1", "t2").agg(F.first("text").alias("text"))
     same = lambda a, b: (F.col("t1") == F.col(a)) & (F.col("t2") == F.col(b))
     near = _neighbourhoods(texts.join(lists, same("l1", "l2")).select("t1", "t2", "text", "anchors"), length)
     matched = common.durable(_matched(near, length))
+    remove_folder(docs.sparkSession, folder)
 
     # Strings of hot anchors that met no partner under their own salt.
     rest = matched.filter(F.col("digest").isNotNull())
@@ -305,13 +312,18 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     cut = _cut(texts.join(spans, same("l1", "l2")).select("t1", "t2", "text", "spans"), keep_text)
 
     copies = long.groupBy(F.col("t1").alias("c1"), F.col("t2").alias("c2")).agg(F.count("*").alias("n")).filter("n > 1")
+    # One row per text that is copied or cut, written out: rows then look it up
+    # by a join that may split the copies of one text.
+    facts = common.durable(
+        copies.join(cut, (F.col("c1") == F.col("k1")) & (F.col("c2") == F.col("k2")), "full")
+        .select(F.coalesce("c1", "k1").alias("f1"), F.coalesce("c2", "k2").alias("f2"), "n", "n_removed", "spans",
+                "kept_sha256", *(["kept"] if keep_text else [])))
     copied = F.col("n").isNotNull()
     columns = ["doc_id", "t1", "t2", F.octet_length("text").cast("long").alias("n_bytes"),
                F.sha2("text", 256).alias("sha256"), *(["text"] if keep_text else [])]
     whole_span = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("stop")))
     no_span = F.array().cast("array<struct<start:long,stop:long>>")
-    result = (rows.select(*columns).join(copies, same("c1", "c2"), "left")
-              .join(cut, same("k1", "k2"), "left"))
+    result = rows.select(*columns).join(facts, same("f1", "f2"), "left")
     return result.select(
         "doc_id", "n_bytes", F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(copied, whole_span).otherwise(F.coalesce("spans", no_span)).alias("spans"),
