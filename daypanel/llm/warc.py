@@ -27,6 +27,7 @@ MAIN_TYPES = ("response", "revisit")
 
 REVISIT_FROM = 1000
 RECORDS_PER_FILE = 4096
+COPIES = 4096  # of a repeated page, numbered in one go
 CAPTURED = "2024-01-01T00:00:00Z"
 
 
@@ -59,21 +60,46 @@ def write_archives(pages: DataFrame, path: str, *, page_id: str = "page_id", url
     the largest page_id holds the payload; the others are revisits that refer to
     it. A null html is an empty payload, a null url has no target, and a null
     page_id never holds a payload that a page with an id has too. Pages that
-    repeat in every column are one capture. Other columns are not read."""
+    repeat in every column are captures of their own, with ids of their own;
+    revisits refer to the first of them. Other columns are not read."""
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
-    rows = rows.withColumn("same", F.when(F.octet_length("payload") >= revisit_from, F.unhex(F.sha2("payload", 256))))
-    # Only payloads that occur twice need looking up, and a page's copies differ
-    # in their ids; the join reads them from one small row per payload.
-    holders = (rows.filter(F.col("same").isNotNull()).select("same", "page_id", "url").groupBy("same")
-               .agg(F.count("*").alias("n"), F.max("page_id").alias("h_id"), F.max_by("url", "page_id").alias("h_url"))
-               .filter("n > 1 and h_id is not null").select(F.col("same").alias("h_same"), "h_id", "h_url"))
-    rows = rows.join(holders, F.col("same") == F.col("h_same"), "left")
+    hashed = F.unhex(F.sha2("payload", 256))
+    rows = rows.withColumn("key", F.unhex(F.sha2(F.concat_ws("\n", *(F.coalesce(F.hex(c), F.lit("null")) for c in (
+        F.col("page_id").cast("string").cast("binary"), F.col("url").cast("binary"), hashed))), 256)))
+    # What differs between rows, once each, without the payloads.
+    keys = common.durable(rows.groupBy("key").agg(
+        F.count("*").alias("n"), F.first("page_id").alias("page_id"), F.first("url").alias("url"),
+        F.first(F.when(F.octet_length("payload") >= revisit_from, hashed)).alias("same")))
+    holders = (keys.filter(F.col("same").isNotNull()).groupBy("same")
+               .agg(F.sum("n").alias("copies"), F.max(F.struct("page_id", "url")).alias("h"))
+               .filter("copies > 1 and h.page_id is not null")
+               .select(F.col("same").alias("h_same"), F.col("h.page_id").alias("h_id"), F.col("h.url").alias("h_url")))
+    # Only keys that repeat or whose payload has a holder need looking up.
+    known = (common.salted_lookup(keys, "same", "key", holders, "h_same").filter("n > 1 or h_id is not null")
+             .select(F.col("key").alias("k_key"), "n", "h_id", "h_url"))
+    repeated = known.filter("n > 1")
+    if not keys.filter("n > 1").limit(1).count():
+        rows = rows.join(known, F.col("key") == F.col("k_key"), "left").withColumn("copy", F.lit(0).cast("long"))
+    else:
+        # Rows that repeat are alike, so one of each is read and written n times;
+        # its copies are numbered in blocks that are dealt out before they grow.
+        single = rows.join(known, F.col("key") == F.col("k_key"), "left").filter("coalesce(n, 1) = 1")
+        one = (rows.join(repeated.select("k_key"), F.col("key") == F.col("k_key"), "left_semi")
+               .dropDuplicates(["key"]).withColumnRenamed("key", "o_key"))
+        blocks = repeated.withColumn("block", F.explode(F.sequence(
+            F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES).cast("long"))))
+        copies = (blocks.repartition("k_key", "block").withColumn("copy", F.explode(F.sequence(
+            F.col("block") * COPIES, F.least(F.col("n"), (F.col("block") + 1) * COPIES) - 1))))
+        many = common.salted_lookup(copies, "k_key", "copy", one, "o_key")
+        columns = ["page_id", "url", "payload", "h_id", "h_url", "copy"]
+        rows = single.withColumn("copy", F.lit(0).cast("long")).select(columns).unionByName(many.select(columns))
 
     revisit = F.col("h_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("h_id"))
     digest = F.sha1(F.col("payload").cast("binary"))
     uri = F.regexp_replace(F.col("url"), r"[\x00-\x20\x7F]", "")
-    own = _uuid(F.lit("main"), F.col("page_id"), F.col("url"), digest)
+    first = _uuid(F.lit("main"), F.col("page_id"), F.col("url"), digest)
+    own = F.when(F.col("copy") == 0, first).otherwise(_uuid(F.lit("copy"), first, F.col("copy")))
     holder = _uuid(F.lit("main"), F.col("h_id"), F.col("h_url"), digest)
     target = _header("WARC-Target-URI", uri)
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),

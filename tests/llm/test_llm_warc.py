@@ -1,5 +1,6 @@
 import gzip
 import hashlib
+from collections import Counter
 
 import pytest
 
@@ -39,6 +40,26 @@ def test_round_trip(spark, tmp_path, compression):
     assert found["3"].target_uri == "http://a/3X:y" and found["4"].target_uri is None
 
 
+def test_one_capture_per_row(spark, tmp_path, monkeypatch):
+    """Rows that repeat, null ids and holders included, are captures of their own."""
+    monkeypatch.setattr(warc, "COPIES", 4, raising=False)
+    kept = [(1, "http://a/1", BIG), (2, "http://a/2", BIG), (2, "http://b/2", BIG), (3, None, "small"), (4, "http://a/4", TRICKY)]
+    rows = [*kept, *[(2, "http://a/2", BIG)] * 2, *[(1, "http://a/1", BIG)] * 9, *[(None, None, None)] * 3, *[(3, None, "small")] * 8]
+    folder = str(tmp_path / "archives")
+    warc.write_archives(pages(spark, rows), folder, records_per_file=3)
+    found = warc.assemble(warc.read_records(spark, folder)).collect()
+    number = lambda text: int(text) if text else None
+    assert Counter((number(r.metadata[0].fields["page-id"]), r.target_uri, r.payload_bytes, r.payload_sha1) for r in found) == Counter(
+        (page_id, url, len((html or "").encode()), hashlib.sha1((html or "").encode()).hexdigest()) for page_id, url, html in rows)
+    by_id = {r.capture_id: r for r in found}
+    assert len(by_id) == len(rows) and all(len(r.requests) == len(r.metadata) == 1 for r in found)
+    for r in found:
+        revisit = r.metadata[0].fields["page-id"] == "1"
+        assert r.record_type == ("revisit" if revisit else "response")
+        assert not revisit or by_id[r.refers_to].metadata[0].fields["page-id"] == "2"
+        assert (r.payload is None) == revisit
+
+
 def test_empty_table(spark, tmp_path):
     assert round_trip(spark, tmp_path, [])[0] == {}
 
