@@ -32,8 +32,19 @@ FEMALE_TITLES = ("Mrs", "Ms", "Frau", "Mme", "Madame", "Señora", "Sra", "г-ж
 MALE_TITLES = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин", "κύριος")
 NEUTRAL_TITLES = ("Dr", "Prof")
 FEMALE_NAMES = ("Mary", "Anna", "Maria", "Emma", "Laura", "Sarah", "Julia", "Sophie", "Alice", "Claire", "Elena", "Lucia",
-                "Анна", "Мария", "Елена", "Ольга", "Μαρία", "Ελένη")
+                "Patricia", "Jennifer", "Linda", "Elizabeth", "Barbara", "Susan", "Jessica", "Karen", "Nancy", "Lisa", "Margaret",
+                "Sandra", "Emily", "Michelle", "Amanda", "Rebecca", "Catherine", "Helen", "Olivia", "Rachel", "Monika", "Petra",
+                "Sabine", "Ursula", "Renate", "Claudia", "Susanne", "Katharina", "Christina", "Brigitte", "Heike", "Nicole",
+                "Nathalie", "Isabelle", "Sylvie", "Valérie", "Camille", "Chloé", "Léa", "Manon", "Juliette", "Hélène", "Céline",
+                "Carmen", "Ana", "Isabel", "Dolores", "Pilar", "Teresa", "Cristina", "Marta", "Rosa", "Sofía", "Lucía", "María",
+                "Paula", "Анна", "Мария", "Елена", "Ольга", "Μαρία", "Ελένη")
 MALE_NAMES = ("John", "James", "Peter", "Paul", "Thomas", "Michael", "David", "Hans", "Jean", "Pierre", "Carlos", "Juan",
+              "Robert", "William", "Richard", "Joseph", "Charles", "Christopher", "Daniel", "Matthew", "Anthony", "Mark", "Steven",
+              "Andrew", "Kevin", "Brian", "George", "Edward", "Timothy", "Jason", "Henry", "Wolfgang", "Klaus", "Jürgen", "Günter",
+              "Stefan", "Andreas", "Christian", "Markus", "Matthias", "Uwe", "Heinz", "Karl", "Friedrich", "Johannes", "Lukas",
+              "Philippe", "Alain", "Nicolas", "François", "Laurent", "Julien", "Antoine", "Jacques", "Michel", "Louis", "Luc",
+              "José", "Antonio", "Manuel", "Francisco", "Javier", "Miguel", "Pedro", "Luis", "Alejandro", "Fernando", "Diego",
+              "Pablo", "Jorge", "Rafael",
               "Иван", "Пётр", "Сергей", "Алексей", "Γιώργος", "Νίκος")
 _TITLES = "|".join((*FEMALE_TITLES, *MALE_TITLES, *NEUTRAL_TITLES))
 _GIVEN = "|".join((*FEMALE_NAMES, *MALE_NAMES))
@@ -46,9 +57,12 @@ PATTERNS = {
              r"|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7})(?![0-9A-Za-z])"),
     "ssn": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9])",
     "phone": (r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}"
-              r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9A-Za-z])"),
-    "name": (rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? {_CAPITAL}(?: {_CAPITAL})?"
-             rf"|(?:{_GIVEN}) {_CAPITAL})(?!\p{{L}})"),
+              r"|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+              # As written within France, Spain, and Germany or Britain.
+              r"|(?<![0-9][ .-])(?:0[1-9](?:[ .-][0-9]{2}){4}|[679][0-9]{2}(?: [0-9]{3}){2}|[679][0-9]{2}(?: [0-9]{2}){3}"
+              r"|0[1-9][0-9]{1,3}[ /-][0-9]{5,8}|0[1-9][0-9]{1,3}[ /-][0-9]{3,4}[ -][0-9]{3,4})(?![ .-][0-9]))(?![0-9A-Za-z])"),
+    "name": (rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? {_CAPITAL}(?: {_CAPITAL})*+"
+             rf"|(?=\p{{Lu}})(?:{_GIVEN})(?: {_CAPITAL})++)(?!\p{{L}})"),
 }
 KINDS = tuple(PATTERNS)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -80,7 +94,7 @@ def _part(kind: Column, canonical: Column, gender: Column, script: Column) -> Co
 def _parts(mention: Column) -> Column:
     """The entities a mention names: one, or a given name and a surname."""
     kind, no = _kind_of(mention), F.lit("")
-    words = F.filter(F.split(mention, " "), lambda w: ~w.rlike(rf"^(?:{_TITLES})\.?$"))
+    words = _words(mention)
     given = F.element_at(words, 1)
     female = mention.rlike(rf"^(?:{'|'.join(FEMALE_TITLES)})[. ]") | given.isin(*FEMALE_NAMES)
     male = mention.rlike(rf"^(?:{'|'.join(MALE_TITLES)})[. ]") | given.isin(*MALE_NAMES)
@@ -207,12 +221,40 @@ def _rendered(mention: Column, found: Column) -> Column:
                                                                unit.replace("[", "[^"), "")), F.lit(1))).otherwise(c)), "")
     cased = lambda word, new: F.when((word == F.upper(word)) & (F.length(word) > 1), F.upper(new)).otherwise(F.initcap(new))
     title = F.regexp_extract(mention, rf"^(?:{_TITLES})\.? ", 0)
-    words = F.filter(F.split(mention, " "), lambda w: ~w.rlike(rf"^(?:{_TITLES})\.?$"))
+    words = _words(mention)
     name = F.concat(title, F.array_join(F.zip_with(words, parts, lambda w, p: cased(w, value(p))), " "))
     return (F.when(kind == "name", name).when(kind == "email", F.when(mention == F.upper(mention), F.upper(one)).otherwise(one))
             .when(kind == "ip", one).when(kind == "iban", filled("[A-Z0-9]")).otherwise(filled("[0-9]")))
 
 
+def _words(mention: Column) -> Column:
+    """The name parts of a name as they are spelled."""
+    return F.filter(F.split(mention, " "), lambda w: ~w.rlike(rf"^(?:{_TITLES})\.?$"))
+
+
+def _bare_pattern(mentions: Column) -> Column:
+    """What finds the parts of a text's names where they stand alone; null
+    without names. Names hold letters, apostrophes and hyphens, nothing that a
+    pattern reads otherwise."""
+    words = F.flatten(F.transform(F.filter(mentions, lambda m: _kind_of(m) == "name"), _words))
+    words = F.array_distinct(F.filter(words, lambda w: F.length(w) > 1))
+    spelled = F.array_distinct(F.flatten(F.transform(words, lambda w: F.array(w, F.upper(w), F.initcap(w)))))
+    return F.when(F.size(words) > 0, F.concat(
+        F.lit(r"(?<!\p{L})(?:"), F.array_join(spelled, "|"), F.lit(r")(?!\p{L})")))
+
+
+def _without_bare_names(gap: Column, pattern: Column, names: Column, found: Column) -> Column:
+    """The text between mentions, with surrogates for the name parts that stand alone in it."""
+    bare, rest = F.regexp_extract_all(gap, pattern, F.lit(0)), F.split(gap, pattern, -1)
+
+    def written(word: Column, after: Column) -> Column:
+        new = F.element_at(found, _entity_key(F.element_at(F.filter(names, lambda p: p["canonical"] == F.lower(word)), 1)))
+        return F.concat(F.when(word == F.upper(word), F.upper(new)).otherwise(F.initcap(new)), after)
+
+    replaced = F.concat(F.element_at(rest, 1), F.array_join(F.zip_with(bare, F.slice(rest, 2, F.size(bare)), written), ""))
+    return F.when(pattern.isNotNull() & gap.rlike(r"\p{Lu}"), replaced).otherwise(gap)
+
+
 def _with_mentions(docs: DataFrame, text: str, name: str) -> DataFrame:
     whole = common.whole(text)
     return docs.withColumn(name, F.when(whole.rlike(HINT), F.regexp_extract_all(whole, F.lit(ANY), 0))
@@ -221,14 +263,15 @@ def _with_mentions(docs: DataFrame, text: str, name: str) -> DataFrame:
 
 def replace_personal_data(docs: DataFrame, *, text: str = "text", key: str = KEY) -> DataFrame:
     """``docs`` with surrogates in ``text`` and a column of counts by kind,
-    ``pii_counts`` (a map, empty where nothing was found).
+    ``pii_counts`` (a map, empty where nothing was found). Parts of a text's names
+    that stand alone in it get their surrogates too, and are not counted.
 
     The same entity has the same surrogate in every text and for every run with
     the same key over the same corpus. A null text stays null; empty texts,
     repeated rows and ids need no care, since rows are taken one by one; all
     other columns are passed on."""
-    mentions, hashed, parts, found, h_name = (common.unused_name(docs, n) for n in (
-        "mentions", "hash", "parts", "surrogates", "text_hash"))
+    mentions, hashed, parts, found, h_name, names, bare = (common.unused_name(docs, n) for n in (
+        "mentions", "hash", "parts", "surrogates", "text_hash", "names", "bare"))
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = _with_mentions(docs, text, mentions)
     some = rows.filter(F.size(mentions) > 0).withColumn(hashed, F.xxhash64(text))
@@ -246,10 +289,13 @@ def replace_personal_data(docs: DataFrame, *, text: str = "text", key: str = KEY
     counts = F.transform(F.array(*map(F.lit, KINDS)), lambda kind: F.struct(
         kind, F.size(F.filter(F.col(mentions), lambda m: _kind_of(m) == kind))))
     counts = F.map_from_entries(F.filter(counts, lambda e: e["col2"] > 0))
-    gaps = F.split(text, ANY, -1)
+    name_parts = F.flatten(F.transform(F.filter(mentions, lambda m: _kind_of(m) == "name"), _parts))
+    asking = some.withColumn(names, F.array_distinct(name_parts)).withColumn(bare, _bare_pattern(F.col(mentions)))
+    gaps = F.transform(F.split(text, ANY, -1), lambda gap: _without_bare_names(
+        gap, F.col(bare), F.col(names), F.col(found)))
     written = F.concat(F.element_at(gaps, 1), F.array_join(F.zip_with(
         F.col(mentions), F.slice(gaps, 2, F.size(mentions)), lambda m, gap: F.concat(_rendered(m, F.col(found)), gap)), ""))
-    replaced = some.join(maps, F.col(hashed) == F.col(h_name)).withColumn(parts, counts).withColumn(text, written)
+    replaced = asking.join(maps, F.col(hashed) == F.col(h_name)).withColumn(parts, counts).withColumn(text, written)
     untouched = rows.filter(F.size(mentions) == 0)
     nothing = F.create_map().cast("map<string,int>")
     return untouched.select(*columns, nothing.alias("pii_counts")).unionByName(

@@ -63,6 +63,33 @@ def test_names_keep_gender_script_and_reference(replaced):
     assert all(re.fullmatch("[А-я]+", name) for name in (ivanov, anna, petrova)) and "Smith" not in text
 
 
+def test_whole_names_and_bare_repeats(table):
+    texts = {1: "John Fitzgerald Kennedy met Mr. John Ronald Tolkien. Kennedy left, TOLKIEN's friend John stayed; the smith too.",
+             2: "Robert Miller called. Miller and Milleriana are two; Smith is a word here.",
+             3: "Mr. John Smith, then Smith, and John. Jürgen Groß and Groß"}
+    text = {r.doc_id: r.text for r in pii.replace_personal_data(table(list(texts.items()))).collect()}
+    john, fitz, kennedy, john2, ronald, tolkien, kennedy2, loud, john3 = re.fullmatch(
+        r"(\w+) (\w+) (\w+) met Mr\. (\w+) (\w+) (\w+)\. (\w+) left, (\w+)'s friend (\w+) stayed; the smith too\.", text[1]).groups()
+    assert john == john2 == john3 and kennedy == kennedy2 and loud == tolkien.upper()
+    assert len({john, fitz, kennedy, ronald, tolkien}) == 5
+    assert not re.search("John|Fitzgerald|Kennedy|Ronald|Tolkien", text[1], re.I)
+    _, miller, miller2 = re.fullmatch(r"(\w+) (\w+) called\. (\w+) and Milleriana are two; Smith is a word here\.", text[2]).groups()
+    assert miller == miller2 != "Miller"
+    assert not re.search("John|Smith|Jürgen|Groß", text[3])
+
+
+def test_national_phone_numbers(table):
+    numbers = ["01 23 45 67 89", "01.23.45.67.89", "030 1234567", "0170/1234567", "020 7946 0958", "612 345 678", "612 34 56 78"]
+    others = "In 2024 06 12, 100 000 and 5 612 345 678 900 or 5 612 345 678, 01 02 03; +1 017 555 7713 22"
+    rows = [*enumerate(f"call {n}, or" for n in numbers), (99, others)]
+    found = {r.doc_id: r for r in pii.replace_personal_data(table(rows)).collect()}
+    for i, number in enumerate(numbers):
+        shape = re.sub("[0-9]", "[0-9]", re.escape(number))
+        assert re.fullmatch(f"call {shape}, or", found[i].text) and number not in found[i].text, number
+        assert found[i].pii_counts == {"phone": 1}
+    assert found[99].text.startswith(others.split("+")[0]) and found[99].pii_counts == {"phone": 1}
+
+
 def test_counts(replaced):
     assert replaced[3].pii_counts == {"card": 5} and replaced[6].pii_counts == {"name": 5} and replaced[9].pii_counts == {}
 
