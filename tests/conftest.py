@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 
@@ -7,9 +6,6 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from daypanel import schema  # noqa: E402
-
-
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     builder = (SparkSession.builder.master("local[8]").appName("tests")
@@ -23,24 +19,3 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def day(number: int) -> dt.date:
-    """Day `number` of the fixture month."""
-    return dt.date(2018, 3, number)
-
-
-def price_frame(spark, cells):
-    """cells: (ticker, day number, price)."""
-    rows = [(t, day(d), float(p), 1) for t, d, p in cells]
-    return spark.createDataFrame(rows, schema.PRICES)
-
-
-def holding_frame(spark, cells):
-    """cells: (sim, ticker, entry day number, entry price, units)."""
-    rows = [(s, t, day(d), float(p), float(u)) for s, t, d, p, u in cells]
-    return spark.createDataFrame(rows, schema.HOLDINGS)
-
-
-def ticker_frame(spark, names):
-    return spark.createDataFrame([(n,) for n in names], "ticker string")

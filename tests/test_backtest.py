@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import day, holding_frame, price_frame, ticker_frame
+from price_frames import day, holding_frame, price_frame, ticker_frame
 from daypanel.functions.policy import Policy
 from daypanel.operators import allocation, panel, ranking, trading
 from daypanel.plans import backtest

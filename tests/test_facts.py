@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import day, holding_frame, price_frame
+from price_frames import day, holding_frame, price_frame
 from daypanel.functions import text
 from daypanel.functions.policy import Policy
 from daypanel.operators import panel, trading

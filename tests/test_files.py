@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day, price_frame
+from price_frames import day, price_frame
 from daypanel import catalog
 from daypanel.operators import panel
 from daypanel.plans import report

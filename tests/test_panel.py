@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day, holding_frame, price_frame, ticker_frame
+from price_frames import day, holding_frame, price_frame, ticker_frame
 from daypanel.operators import allocation, panel, trading
 from daypanel.plans.buy_and_hold import buy_and_hold
 
