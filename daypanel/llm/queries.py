@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from daypanel.llm import chat_format, decontaminate, exact_dedup, packing, pii, repeats, secrets, simhash, toxicity, warc
+from daypanel.llm import (
+    chat_format, decontaminate, exact_dedup, lexical, packing, pii, quality, repeats, runs, secrets, simhash, toxicity, warc)
 from daypanel.llm.common import durable, hex_digest, salted_lookup, table
 from daypanel.session import run_folder
 
@@ -101,3 +103,42 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.lit(forged).alias("text"))
     turns = chat_format.turns_from_rows(rows.unionByName(planted))
     return chat_format.read_back(chat_format.format_turns(turns))
+
+
+def _with_planted_run(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, by their ids, repeat one stretch to their end."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(table(spark, sf_dir, "documents"), rewrite=_with_planted_run)
+    # The greatest length, then the smallest start, then the smallest period.
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r.length.alias("length"), (-r.start).alias("start"), (-r.period).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(
+        ",", r.start.cast("string"), r.length.cast("string"), F.concat(r.period.cast("string"), F.lit("\n"))))
+    found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("longest"),
+                         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    return found.select("doc_id", "n_runs", (-F.col("longest.start")).alias("start"), "longest.length",
+                        (-F.col("longest.period")).alias("period"),
+                        F.expr("(1000 * longest.length) div (-longest.period)").alias("exponent_milli"),
+                        "runs_sha256", "collapsed_sha256")
+
+
+@query
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
