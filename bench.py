@@ -22,7 +22,7 @@ HEADLINE = (
     "dedupe_keep_last", "price_lookup", "entry_vs_today", "stop_loss_signal", "sample_tickers",
     "initial_allocation", "buy_and_hold", "portfolio_value", "sell_decisions", "sell_proceeds",
     "buy_units", "merge_lots", "tradable_candidates", "pick_replacement", "rebalance_step",
-    "scenario_backtest", "scenario_backtest_sampled_universe", "scenario_backtest_stepped",
+    "scenario_backtest", "scenario_backtest_sampled_universe",
     "trade_ledger", "scenario_snapshot", "sim_chart_table", "valid_payloads",
     "pick_replacement_whole_market", "scenario_backtest_in_order", "scenario_backtest_documented", "held_prices",
     "merge_prices_deduplicated", "accepted_files",

@@ -8,16 +8,18 @@ runs over the whole panel."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from daypanel import schema
 from daypanel.functions import text
 from daypanel.functions.policy import Policy
 from daypanel.operators import allocation, panel, trading
 from daypanel.plans import backtest, buy_and_hold as holding, report
-from daypanel.session import durable
-from daypanel.sources import prices as price_source, tickers as ticker_source, vendor, writers
+from daypanel.session import durable, remove_folder, run_folder
+from daypanel.sources import prices as price_source, snapshots, tickers as ticker_source, vendor, writers
 
 # Fixed values shared with the SQL statements.
 SEED = 7
@@ -27,6 +29,7 @@ MONEY = 1000.0
 ASKED_DAY = dt.date(2024, 1, 11)
 LATER_DAY_IDX = 10
 CUT_DAY = dt.date(2024, 1, 15)
+CUT_RANGE = (dt.date(2024, 1, 5), dt.date(2024, 1, 20))
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -217,11 +220,115 @@ def scalar_formats(spark, sf_dir):
         text.is_csv_payload(line).alias("is_csv"))
 
 
+# -- through files ------------------------------------------------------------
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder all executors reach, gone when the block ends."""
+    folder = run_folder(spark, label)
+    try:
+        yield folder
+    finally:
+        remove_folder(spark, folder)
+
+
+@query
+def stored_prices_cut(spark, sf_dir):
+    """Written by year, cut to days, read."""
+    with scratch(spark, "prices") as folder:
+        writers.write_prices(load_prices(spark, sf_dir), folder)
+        return durable(panel.filter_by_date(price_source.read_prices(spark, folder), *CUT_RANGE))
+
+
+@query
+def merged_vendor_folder(spark, sf_dir):
+    """Per-ticker files, merged; the second merge finds the table there."""
+    with scratch(spark, "vendor") as folder:
+        writers.write_vendor_folder(load_prices(spark, sf_dir), f"{folder}/daily")
+        for _ in range(2):
+            writers.merge_vendor_folder(spark, f"{folder}/daily", f"{folder}/merged", duplicates="last")
+        return durable(price_source.read_prices(spark, f"{folder}/merged"))
+
+
+@query
+def merged_csv(spark, sf_dir):
+    with scratch(spark, "csv") as folder:
+        writers.write_prices_csv(load_prices(spark, sf_dir), folder)
+        return durable(price_source.read_prices_csv(spark, folder))
+
+
+@query
+def updated_prices(spark, sf_dir):
+    """The update, half a unit higher, put into the stored history."""
+    history, update = history_and_update(spark, sf_dir)
+    with scratch(spark, "updated") as folder:
+        writers.write_prices(history, folder)
+        writers.update_prices(spark, folder, update.withColumn("price", F.col("price") + 0.5))
+        return durable(price_source.read_prices(spark, folder))
+
+
+def faulty_vendor_folder(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """Per-ticker files; a tenth of the tickers got an error message besides, and
+    another tenth a line that breaks off."""
+    prices = load_prices(spark, sf_dir)
+    writers.write_vendor_folder(prices, folder)
+    last = F.substring("ticker", -1, 1)
+    header = ",".join(schema.VENDOR_HEADER)
+    extra = F.when(last == "7", F.lit('{ "Note": "call limit reached" }')).when(last == "3", F.lit(f"{header}\n2024-01-05,1,2"))
+    (load_tickers(spark, sf_dir).select("ticker", extra.alias("value")).where("value is not null")
+     .write.mode("append").partitionBy("ticker").text(folder))
+
+
+@query
+def accepted_prices(spark, sf_dir):
+    """The merged table of the files without an error message."""
+    with scratch(spark, "accepted") as folder:
+        faulty_vendor_folder(spark, sf_dir, f"{folder}/daily")
+        writers.merge_vendor_folder(spark, f"{folder}/daily", f"{folder}/merged", strict=False)
+        return durable(price_source.read_prices(spark, f"{folder}/merged"))
+
+
+@query
+def quarantined_lines(spark, sf_dir):
+    """What that merge set aside, and why."""
+    with scratch(spark, "rejected") as folder:
+        faulty_vendor_folder(spark, sf_dir, f"{folder}/daily")
+        writers.merge_vendor_folder(spark, f"{folder}/daily", f"{folder}/merged", strict=False,
+                                    quarantine=f"{folder}/rejected")
+        rejected = spark.read.parquet(f"{folder}/rejected")
+        return durable(rejected.select(text.ticker_from_path(F.col("path")).alias("ticker"), "reason", "n_lines", "line"))
+
+
+@query
+def replaced_result(spark, sf_dir):
+    """Result lines, written over an older result and read."""
+    totals = durable(portfolio_value(spark, sf_dir))
+    with scratch(spark, "result") as folder:
+        for rows in (totals.withColumn("total", F.lit(0.0)), totals):
+            writers.write_result(rows, folder)
+        return durable(report.read_result(spark, folder))
+
+
+@query
+def stored_snapshot(spark, sf_dir):
+    """A snapshot of two portfolios, one range of its days written again with the
+    units doubled; then some days of one portfolio are read back."""
+    prices = stored_prices(spark, sf_dir)
+    lots = whole_market_lots(prices)
+    rows = durable(panel.holdings_snapshot(lots.unionByName(lots.withColumn("sim", F.lit(2).cast("long"))), prices))
+    with scratch(spark, "snapshot") as folder:
+        writers.write_snapshot(rows, folder)
+        again = panel.filter_by_date(rows, *CUT_RANGE).withColumn("units", F.col("units") * 2)
+        writers.write_snapshot(again, folder, mode="replace")
+        back = durable(snapshots.read_snapshot(spark, folder, end=CUT_RANGE[1], sims=[2]))
+    return back.select("sim", "day", "ticker", "price", *rounded("units"))
+
+
 # -- panel --------------------------------------------------------------------
 
 @query
 def filter_by_date(spark, sf_dir):
-    return panel.filter_by_date(load_prices(spark, sf_dir), "2024-01-05", "2024-01-20")
+    return panel.filter_by_date(load_prices(spark, sf_dir), *CUT_RANGE)
 
 
 @query
@@ -303,6 +410,21 @@ def portfolio_value(spark, sf_dir):
     return totals.select("sim", "day", *rounded("total"))
 
 
+@query
+def carried_prices(spark, sf_dir):
+    """The panel with its gaps filled by the last price."""
+    prices = stored_prices(spark, sf_dir)
+    return panel.carried_prices(prices, panel.day_index(prices))
+
+
+@query
+def portfolio_value_carried(spark, sf_dir):
+    """The portfolio of the whole market, untraded holdings at their last price."""
+    prices = stored_prices(spark, sf_dir)
+    totals = panel.portfolio_value_carried(whole_market_lots(prices), prices, panel.day_index(prices), n_sims=1)
+    return totals.select("sim", "day", *rounded("total"))
+
+
 @query
 def holdings_snapshot(spark, sf_dir):
     """The whole market portfolio on every day it trades."""
@@ -421,11 +543,11 @@ def rebalance_step(spark, sf_dir):
 
 # -- whole scenarios ----------------------------------------------------------
 
-def _moves(prices, *, mode="code", sampled_universe=False, in_order=False):
+def _moves(prices, *, mode="code", sampled_universe=False, in_order=False, **more):
     chosen = chosen_of(prices)
     return backtest.backtest_moves(prices, chosen, backtest.Scenarios(
         n_sims=N_SIMS, money=MONEY, seed=SEED, policy=Policy(mode=mode), in_order=in_order,
-        universe=chosen if sampled_universe else None))
+        universe=chosen if sampled_universe else None, **more))
 
 
 def _totals(spark, sf_dir, **kind):
@@ -441,9 +563,18 @@ def scenario_backtest(spark, sf_dir):
 
 @query
 def scenario_backtest_stepped(spark, sf_dir):
-    """The name results of the day-by-day form were kept under; there is no other
-    form now."""
-    return _totals(spark, sf_dir)
+    """Day by day, each step a plan and a write of its own: the way of scenarios
+    too large for blocks of days."""
+    return _totals(spark, sf_dir, days_per_plan=1)
+
+
+@query
+def scenario_backtest_carried(spark, sf_dir):
+    """Untraded holdings count with their last price."""
+    prices = stored_prices(spark, sf_dir)
+    calendar = panel.day_index(prices)
+    totals = backtest.scenario_totals(_moves(prices), calendar, N_SIMS, panel.carried_prices(prices, calendar))
+    return totals.select("sim", "day", *rounded("total"))
 
 
 @query

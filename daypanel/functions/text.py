@@ -6,8 +6,11 @@ from pyspark.sql import Column, functions as F
 
 
 def ticker_from_path(path: Column) -> Column:
-    """Last path segment without its ``.csv`` ending."""
-    return F.regexp_replace(F.element_at(F.split(path, "/"), -1), r"\.csv$", "")
+    """Last path segment without its ``.csv`` ending, or the ticker of a folder
+    ``ticker=...``, whose odd characters stand percent-encoded."""
+    name = F.element_at(F.split(path, "/"), -1)
+    folder = F.url_decode(F.replace(F.substr(name, F.lit(8)), F.lit("+"), F.lit("%2B")))
+    return F.when(name.startswith("ticker="), folder).otherwise(F.regexp_replace(name, r"\.csv$", ""))
 
 
 def field(line: Column, position: int) -> Column:

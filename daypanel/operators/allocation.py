@@ -65,11 +65,13 @@ def initial_allocation(prices: DataFrame, chosen: DataFrame, *,
     return for_each_sim(opening_lots(prices, chosen, money=money, day=day), n_sims)
 
 
+def lot_sums(prefix: str = "") -> list[Column]:
+    """What lots of one ticker come to: units add up, entry is the latest one."""
+    day, price, units = (prefix + name for name in ("entry_day", "entry_price", "units"))
+    return [F.max(day).alias("entry_day"), F.max_by(price, day).alias("entry_price"), F.sum(units).alias("units")]
+
+
 def merge_lots(lots: DataFrame, *extra: str) -> DataFrame:
-    """One holding per (sim, ticker): units add up, entry is the latest one.
-    ``extra`` columns are the same for all lots of a ticker."""
-    return lots.groupBy("sim", "ticker").agg(
-        F.max("entry_day").alias("entry_day"),
-        F.max_by("entry_price", "entry_day").alias("entry_price"),
-        F.sum("units").alias("units"),
-        *[F.max(c).alias(c) for c in extra])
+    """One holding per (sim, ticker) (see `lot_sums`). ``extra`` columns are the
+    same for all lots of a ticker."""
+    return lots.groupBy("sim", "ticker").agg(*lot_sums(), *[F.max(c).alias(c) for c in extra])

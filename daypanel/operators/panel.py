@@ -6,17 +6,43 @@ keys unique."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from daypanel.functions.quotes import usable
 from daypanel.operators.allocation import for_each_sim
 from daypanel.session import broadcast_if_bounded
 
 
+# The year a stored table is laid out by, as `sources.prices.read_prices` keeps it
+# below the frame it returns.
+STORED_YEAR = "__stored_year"
+
+
 def filter_by_date(prices: DataFrame, start, end) -> DataFrame:
-    """Rows from ``start`` to ``end``, both days included. The bounds reach the
-    file scan, also through the aggregation that builds a panel from ticks."""
-    return prices.where(F.col("day").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    """Rows from ``start`` to ``end``, both days included; None leaves a side open.
+    The bounds reach the file scan, also through the aggregation that builds a
+    panel from ticks. Of a table stored by year only the years between are read."""
+    first, last = (None if d is None else F.lit(d).cast("date") for d in (start, end))
+    kept, years = F.lit(True), F.lit(True)
+    if first is not None:
+        kept, years = kept & (F.col("day") >= first), years & (F.col(STORED_YEAR) >= F.year(first))
+    if last is not None:
+        kept, years = kept & (F.col("day") <= last), years & (F.col(STORED_YEAR) <= F.year(last))
+    if first is None and last is None:
+        return prices
+    return _of_years(prices, years).where(kept)
+
+
+def _of_years(prices: DataFrame, years: Column) -> DataFrame:
+    """The rows whose stored year fits, where the year can still be seen: not
+    above an aggregation or a join of the table, where all rows come back."""
+    if not prices.schema["day"].metadata.get(STORED_YEAR):
+        return prices
+    try:
+        return prices.where(years)
+    except AnalysisException:
+        return prices
 
 
 def filter_by_ticker(prices: DataFrame, ticker: str) -> DataFrame:
@@ -24,7 +50,8 @@ def filter_by_ticker(prices: DataFrame, ticker: str) -> DataFrame:
 
 
 def prices_on_day(prices: DataFrame, day) -> DataFrame:
-    return prices.where(F.col("day") == F.lit(day).cast("date"))
+    day = F.lit(day).cast("date")
+    return _of_years(prices, F.col(STORED_YEAR) == F.year(day)).where(F.col("day") == day)
 
 
 def trading_days(rows: DataFrame) -> DataFrame:
@@ -106,3 +133,43 @@ def portfolio_value(holdings: DataFrame, prices: DataFrame, calendar: DataFrame,
              .select("sim", "day", (F.col("units") * F.col("price")).alias("total")))
     return (worth.unionByName(zero_totals(calendar, n_sims))
             .groupBy("sim", "day").agg(F.sum("total").alias("total")))
+
+
+# -- values across gaps -------------------------------------------------------
+
+DAYS_PER_SHELF = 64
+
+
+def carried_prices(prices: DataFrame, calendar: DataFrame) -> DataFrame:
+    """(ticker, day, price, quoted_day): for each calendar day from a ticker's first
+    usable price on, its last usable price at or before that day.
+
+    ``calendar`` has ``day`` and ``day_idx`` (see `day_index`). Each quote holds
+    until the ticker's next one. The next one is looked for among the ticker's
+    quotes of the same `DAYS_PER_SHELF` days, and from the last of these by the
+    first quote of the ticker's next such shelf, so no window holds more rows of a
+    ticker than a shelf has days or the calendar has shelves."""
+    days = calendar.where(F.col("day").isNotNull()).select("day", F.col("day_idx").cast("long").alias("day_idx"))
+    n_days = days.agg(F.max("day_idx") + 1).scalar()
+    quotes = (prices.where(usable(F.col("price")) & F.col("ticker").isNotNull()).select("ticker", "day", "price")
+              .join(days, "day").withColumn("shelf", F.floor(F.col("day_idx") / DAYS_PER_SHELF)))
+    shelf = Window.partitionBy("ticker", "shelf")
+    marked = quotes.select("*", F.lead("day_idx").over(shelf.orderBy("day_idx")).alias("next_idx"))
+    heads = quotes.groupBy("ticker", "shelf").agg(F.min("day_idx").alias("first_idx"))
+    heads = heads.select("ticker", "shelf", F.lead("first_idx").over(
+        Window.partitionBy("ticker").orderBy("shelf")).alias("next_shelf_idx"))
+    until = F.coalesce("next_idx", "next_shelf_idx", n_days)
+    held = (marked.join(heads, ["ticker", "shelf"])
+            .select("ticker", "price", F.col("day").alias("quoted_day"),
+                    F.explode(F.sequence("day_idx", F.greatest(F.col("day_idx"), until - 1))).alias("day_idx")))
+    return held.join(days, "day_idx").select("ticker", "day", "price", "quoted_day")
+
+
+def portfolio_value_carried(holdings: DataFrame, prices: DataFrame, calendar: DataFrame, n_sims: int,
+                            max_holdings: int | None = None) -> DataFrame:
+    """Like `portfolio_value`, but a holding that does not trade on a day counts
+    with its last usable price; before its first one it counts as 0. Only prices
+    of held tickers are carried."""
+    mine = broadcast_if_bounded(holdings.select("ticker").distinct(), max_holdings)
+    carried = carried_prices(prices.join(mine, "ticker", "left_semi"), calendar)
+    return portfolio_value(holdings, carried, calendar, n_sims, max_holdings)

@@ -22,7 +22,8 @@ SHELF_DIGITS = 2
 # can prove that no scenario has more lots than that.
 LOTS_PER_SHELF = 1 << 16
 
-# Up to this many lots, a scenario's later sales may travel in each of its rows.
+# Up to this many lots, a scenario's numbers and its later sales may travel in
+# each of its rows.
 CHAIN_IN_ROW = 256
 
 
@@ -86,6 +87,10 @@ def _shelf_of(number: Column, spread_by: str) -> Column:
     return F.coalesce(F.shiftright(number, 16), nowhere)
 
 
+def position_draw(seed: int, day_idx: Column) -> Column:
+    return draws.seeded_draw(seed, F.col("sim"), day_idx, F.col("ticker"))
+
+
 def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx: Column | int,
                    n_universe: Column, max_lots: int | None = None) -> DataFrame:
     """Adds ``pick_rank``: the number of the ticker drawn for each position
@@ -97,7 +102,9 @@ def with_pick_rank(positions: DataFrame, wanted: Column, *, seed: int, day_idx:
     over all tradable tickers when it owns the whole universe. ``max_lots`` is
     a proven bound on the positions of one scenario, if there is one."""
     day_idx = day_idx if isinstance(day_idx, Column) else F.lit(day_idx)
-    draw = draws.seeded_draw(seed, F.col("sim"), day_idx, F.col("ticker"))
+    draw = position_draw(seed, day_idx)
+    if max_lots is not None and max_lots <= CHAIN_IN_ROW:
+        return _drawn_in_rows(positions, wanted, draw, n_universe)
     if max_lots is not None and max_lots <= LOTS_PER_SHELF:
         return _drawn_in_place(positions, wanted, draw, n_universe)
     numbered = running_sums(
@@ -126,6 +133,29 @@ def _marks(wanted: Column, draw: Column, n_universe: Column, held: Column, own_u
 # and of draws (at k) are in one order. That is a sort within the scenario, not
 # a comparison of all its pairs.
 
+def in_row_columns(wanted: Column, draw: Column, n_universe: Column) -> tuple[list[Column], list[Column]]:
+    """For small scenarios: each row carries the scenario's own numbers, and one
+    window does it all. The j-th of them, from 0, has its value less j free numbers
+    below it. The first columns are to be selected beside the positions, the second
+    ones (``owns_all``, ``pick_rank``) from what that gives."""
+    every = Window.partitionBy("sim")
+    counts = [F.count(F.lit(1)).over(every).alias("held"), F.collect_list("rank").over(every).alias("own"),
+              n_universe.alias("n_universe")]
+    owns_all = F.col("held") >= F.col("n_universe")
+    n_free = F.when(owns_all, F.col("n_traded")).otherwise(F.col("n_traded") - F.size("own"))
+    k = F.when(wanted & (n_free > 0), draw % F.nullif(n_free, F.lit(0)))
+    free_below = F.transform(F.array_sort("own"), lambda number, j: number - j)
+    # An array of one holds k, so that it is worked out once.
+    picked = F.transform(F.array(k), lambda k: k + F.when(owns_all, F.lit(0)).otherwise(
+        F.size(F.filter(free_below, lambda n: n <= k))))
+    return counts, [owns_all.alias("owns_all"), picked[0].alias("pick_rank")]
+
+
+def _drawn_in_rows(positions: DataFrame, wanted: Column, draw: Column, n_universe: Column) -> DataFrame:
+    counts, picked = in_row_columns(wanted, draw, n_universe)
+    return positions.select("*", *counts).select(*positions.columns, *picked)
+
+
 def _drawn_in_place(positions: DataFrame, wanted: Column, draw: Column, n_universe: Column) -> DataFrame:
     """For scenarios of bounded size: both marks of a row stay with the row, and
     the partitioning by scenario it already has serves all windows."""

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from daypanel import schema
+from daypanel import schema, session
 from daypanel.functions.policy import Policy, fired, sell_reason
 from daypanel.functions.quotes import usable
 from daypanel.operators.allocation import merge_lots
 from daypanel.operators.panel import prices_on_day
-from daypanel.operators.ranking import ranked_prices, through_later_sales, with_pick_rank
+from daypanel.operators.ranking import (
+    CHAIN_IN_ROW, in_row_columns, position_draw, ranked_prices, through_later_sales, with_pick_rank)
 from daypanel.session import lookup
 
 DEFAULT_POLICY = Policy()
@@ -105,53 +106,82 @@ def pick_replacement(sales: DataFrame, holdings: DataFrame, prices: DataFrame, *
             .select("sim", "ticker", "replacement", "price"))
 
 
-def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int, seed: int,
-                    n_universe: Column, policy: Policy = DEFAULT_POLICY, in_order: bool = False,
-                    max_lots: int | None = None, max_holdings: int | None = None,
-                    max_quotes: int | None = None) -> DataFrame:
+class DayStep:
+    """A day of rebalancing: from holdings that carry ``day_idx`` and ``day`` to what
+    becomes of them (see `rebalance_moves`, also for the parameters). Its columns
+    and its tables of quotes are made once and serve any number of days, if the
+    quotes have a ``day_idx`` to tell them apart."""
+
+    _HELD = ("sim", "ticker", "entry_day", "entry_price", "units", "day_idx", "day")
+
+    def __init__(self, quotes: DataFrame, *, seed: int, n_universe: Column, policy: Policy = DEFAULT_POLICY,
+                 in_order: bool = False, max_lots: int | None = None, max_holdings: int | None = None,
+                 max_quotes: int | None = None, keep: tuple[str, ...] = ()):
+        self.bounds = {"max_rows": max_holdings, "max_table": max_quotes}
+        self.seed, self.n_universe, self.in_order, self.max_lots = seed, n_universe, in_order, max_lots
+        self.of_day = [name for name in ("day_idx",) if name in quotes.columns]
+        self.today = quotes.select(*self.of_day, "ticker", "price", "rank", "n_traded")
+        self.picked = quotes.where(F.col("rank").isNotNull()).select(
+            *self.of_day, F.col("rank").alias("pick_rank"), F.col("ticker").alias("choice"),
+            F.col("price").alias("choice_price"))
+        self.held = [*keep, *self._HELD]
+        self.wish = sell_reason(policy, F.col("entry_price"), F.col("price")).alias("wish")
+        self.in_rows = None
+        if max_lots is not None and max_lots <= CHAIN_IN_ROW and not in_order:
+            self.in_rows = in_row_columns(F.col("wish").isNotNull(), position_draw(seed, F.col("day_idx")), n_universe)
+        # Positions that stay look up a number no ticker has; a spread of them, so
+        # that a shuffled join does not send them all to one task.
+        nowhere = -1 - F.pmod(F.xxhash64("sim", "ticker"), F.lit(1 << 20))
+        self.pick_rank = F.coalesce("pick_rank", nowhere)
+        moved = F.col("choice").isNotNull()
+        self.moves = [
+            *keep, "sim", "day_idx", "day", "ticker", "units", "price",
+            F.when(moved, F.col("wish")).alias("reason"),
+            F.coalesce("choice", "ticker").alias("new_ticker"),
+            F.when(moved, F.col("choice_price")).otherwise(F.col("price")).alias("new_price"),
+            F.when(moved, F.col("units") * F.col("price") / F.col("choice_price"))
+            .otherwise(F.col("units")).alias("new_units"),
+            F.when(moved, F.col("day")).otherwise(F.col("entry_day")).alias("new_entry_day"),
+            F.when(moved, F.col("choice_price")).otherwise(F.col("entry_price"))
+            .alias("new_entry_price")]
+
+    def __call__(self, start: DataFrame) -> DataFrame:
+        state = lookup(start, self.today, [*self.of_day, "ticker"], **self.bounds)
+        if self.in_rows is not None:
+            counts, picked = self.in_rows
+            drawn = state.select("*", self.wish, *counts).select(*self.held, "price", "wish", *picked)
+        else:
+            drawn = with_pick_rank(state.select("*", self.wish), F.col("wish").isNotNull(), seed=self.seed,
+                                   day_idx=F.col("day_idx"), n_universe=self.n_universe, max_lots=self.max_lots)
+        if self.in_order:
+            drawn = through_later_sales(drawn, self.max_lots)
+        if not self.bounds["max_table"] or self.bounds["max_table"] > session.BROADCAST_ROWS:
+            drawn = drawn.withColumn("pick_rank", self.pick_rank)
+        return lookup(drawn, self.picked, [*self.of_day, "pick_rank"], **self.bounds).select(*self.moves)
+
+
+def rebalance_moves(holdings: DataFrame, quotes: DataFrame, *, day, day_idx: int, keep: tuple[str, ...] = (),
+                    **step) -> DataFrame:
     """What becomes of every holding on one day (see `schema.MOVES`).
 
     All sales are decided from the start-of-day state. By default they then
     happen at once. ``in_order`` runs them one after another in rank order, so
     money put into a ticker that is sold later the same day moves on with it;
     a move then names the ticker the money is in at the end of the day.
-    ``quotes`` is one day of `ranked_prices`. ``day`` and ``day_idx`` may be
-    columns of the holdings: a step that is repeated for every day then has the
-    same plan each time, and Spark its compiled code at hand.
+    ``quotes`` is one day of `ranked_prices`, or several that have a ``day_idx`` to
+    tell them apart. ``day`` and ``day_idx`` may be columns of the holdings: a step
+    that is repeated for every day then has the same plan each time, and Spark its
+    compiled code at hand. ``keep`` names more columns of the holdings to pass on.
 
     Bounds the caller can prove make it cheaper: ``max_lots`` on one scenario's
     holdings (see `ranking.with_pick_rank`), ``max_holdings`` and ``max_quotes``
-    on the rows of either table (see `session.lookup`)."""
-    bounds = {"max_rows": max_holdings, "max_table": max_quotes}
+    on the rows of either table (see `session.lookup`). All of ``step`` is in
+    `DayStep`."""
     today = day if isinstance(day, Column) else F.lit(day).cast("date")
     day_idx = day_idx if isinstance(day_idx, Column) else F.lit(day_idx)
-    state = (lookup(holdings.select("sim", "ticker", "entry_day", "entry_price", "units",
-                                    day_idx.cast("long").alias("day_idx"), today.alias("day")),
-                    quotes.select("ticker", "price", "rank", "n_traded"), "ticker", **bounds)
-             .withColumn("wish", sell_reason(policy, F.col("entry_price"), F.col("price"))))
-    drawn = with_pick_rank(state, F.col("wish").isNotNull(), seed=seed, day_idx=F.col("day_idx"),
-                           n_universe=n_universe, max_lots=max_lots)
-    if in_order:
-        drawn = through_later_sales(drawn, max_lots)
-
-    # Positions that stay look up a number no ticker has; a spread of them, so
-    # that a shuffled join does not send them all to one task.
-    nowhere = -1 - F.pmod(F.xxhash64("sim", "ticker"), F.lit(1 << 20))
-    picked = quotes.where(F.col("rank").isNotNull()).select(
-        F.col("rank").alias("pick_rank"), F.col("ticker").alias("choice"),
-        F.col("price").alias("choice_price"))
-    moved = F.col("choice").isNotNull()
-    return lookup(drawn.withColumn("pick_rank", F.coalesce("pick_rank", nowhere)),
-                  picked, "pick_rank", **bounds).select(
-        "sim", "day_idx", "day", "ticker", "units", "price",
-        F.when(moved, F.col("wish")).alias("reason"),
-        F.coalesce("choice", "ticker").alias("new_ticker"),
-        F.when(moved, F.col("choice_price")).otherwise(F.col("price")).alias("new_price"),
-        F.when(moved, F.col("units") * F.col("price") / F.col("choice_price"))
-        .otherwise(F.col("units")).alias("new_units"),
-        F.when(moved, F.col("day")).otherwise(F.col("entry_day")).alias("new_entry_day"),
-        F.when(moved, F.col("choice_price")).otherwise(F.col("entry_price"))
-        .alias("new_entry_price"))
+    start = holdings.select("sim", "ticker", "entry_day", "entry_price", "units",
+                            day_idx.cast("long").alias("day_idx"), today.alias("day"), *keep)
+    return DayStep(quotes, keep=keep, **step)(start)
 
 
 def lots_after(moves: DataFrame) -> DataFrame:

@@ -16,6 +16,8 @@ PRICES = T.StructType([
 # A vendor file is addressed by position: 0 = day, 5 = adjusted price,
 # 6 = volume. Everything else is carried only so that positions line up.
 VENDOR_WIDTH = 9
+VENDOR_HEADER = ("timestamp", "open", "high", "low", "close", "adjusted_close", "volume", "dividend_amount",
+                 "split_coefficient")
 VENDOR_LINES = T.StructType(
     [T.StructField(f"c{i}", T.StringType()) for i in range(VENDOR_WIDTH)])
 
@@ -44,6 +46,14 @@ MOVES = T.StructType([
     T.StructField("new_entry_price", T.DoubleType()),
 ])
 
+SNAPSHOT = T.StructType([
+    T.StructField("sim", T.LongType()),
+    T.StructField("day", T.DateType()),
+    T.StructField("ticker", T.StringType()),
+    T.StructField("price", T.DoubleType()),
+    T.StructField("units", T.DoubleType()),
+])
+
 RESULT_TEXT = T.StructType([
     T.StructField("sim", T.LongType()),
     T.StructField("day", T.StringType()),

@@ -21,7 +21,7 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int | None) -> DataFrame:
     return df
 
 
-def lookup(rows: DataFrame, table: DataFrame, key: str, *, max_rows: int | None = None,
+def lookup(rows: DataFrame, table: DataFrame, key: str | list[str], *, max_rows: int | None = None,
            max_table: int | None = None) -> DataFrame:
     """Left join of ``rows`` to ``table`` on ``key``, unique in ``table``.
 
@@ -62,6 +62,23 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def remove_folder(spark: SparkSession, folder: str) -> None:
+def _hadoop(spark: SparkSession, folder: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    files, path = _hadoop(spark, folder)
+    files.delete(path, True)
+
+
+def is_there(spark: SparkSession, folder: str) -> bool:
+    """Whether a write to ``folder`` has finished: its success marker is there."""
+    files, path = _hadoop(spark, f"{folder.rstrip('/')}/_SUCCESS")
+    return files.exists(path)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """What a folder holds, sorted; nothing if it is not there."""
+    files, path = _hadoop(spark, folder)
+    return sorted(status.getPath().getName() for status in files.listStatus(path)) if files.exists(path) else []

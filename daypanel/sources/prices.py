@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from daypanel import schema
 from daypanel.functions import text
+from daypanel.operators import panel
 
 
 def read_prices_csv(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
@@ -24,9 +25,23 @@ def read_prices_csv(spark: SparkSession, path: str, *, strict: bool = True) -> D
     return rows.select(*text.checked(columns, complete, message))
 
 
-def read_prices(spark: SparkSession, path: str) -> DataFrame:
-    """The table as `writers.write_prices` stores it (Parquet, by year)."""
-    return spark.read.parquet(path).select(*schema.PRICES.fieldNames())
+def read_prices(spark: SparkSession, path: str, start=None, end=None) -> DataFrame:
+    """The table as `writers.write_prices` stores it (Parquet, by year), from
+    ``start`` to ``end`` where they are given.
+
+    Only the files of the years between are opened. The same holds for
+    `panel.filter_by_date` and `panel.prices_on_day` on this frame: the year stays
+    below it under a name of its own, and ``day`` says so in its metadata."""
+    stored = (spark.read.schema(T.StructType([*schema.PRICES.fields, T.StructField("year", T.IntegerType())]))
+              .parquet(path).withColumnRenamed("year", panel.STORED_YEAR))
+    rows = stored.select(*[F.col(name).alias(name, metadata={panel.STORED_YEAR: True}) if name == "day" else name
+                           for name in schema.PRICES.fieldNames()])
+    return panel.filter_by_date(rows, start, end)
+
+
+def read_years(spark: SparkSession, path: str, years: list[int]) -> DataFrame:
+    """Whole years of the stored table; no file of another one is opened."""
+    return read_prices(spark, path).where(F.col(panel.STORED_YEAR).isin(years))
 
 
 def prices_from_events(events: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window, functions as F
 
 from daypanel import schema
 from daypanel.functions import text
@@ -14,6 +14,18 @@ def _file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
+def _files(spark: SparkSession) -> DataFrameReader:
+    """All files of a folder and of the folders in it, whatever these are called:
+    left to find partitions, the reader would pass over files beside them."""
+    return spark.read.option("recursiveFileLookup", True)
+
+
+def vendor_file(path: Column) -> Column:
+    """The vendor file a stored file belongs to: itself, or the folder
+    ``ticker=...`` that holds a ticker's parts."""
+    return F.regexp_replace(path, "(/ticker=[^/]*)/[^/]*$", "$1")
+
+
 def _source_order() -> Column:
     """A file's blocks are read by one task each, and its lines in order."""
     return F.struct(F.col("_metadata.file_block_start").alias("block"),
@@ -26,8 +38,8 @@ def read_vendor_folder(spark: SparkSession, folder: str, *, ordered: bool = Fals
 
     Files are read as splittable CSV, so one very long history is shared by
     many tasks; no file is ever held as a single value."""
-    return (spark.read.schema(schema.VENDOR_LINES).option("header", True).csv(folder)
-            .select(_file_path().alias("path"), *schema.VENDOR_LINES.fieldNames(),
+    return (_files(spark).schema(schema.VENDOR_LINES).option("header", True).csv(folder)
+            .select(vendor_file(_file_path()).alias("path"), *schema.VENDOR_LINES.fieldNames(),
                     *([_source_order()] if ordered else [])))
 
 
@@ -71,8 +83,74 @@ def malformed_rows(rows: DataFrame) -> DataFrame:
 
 def read_payload_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Raw lines with the file they came from, for checks on whole files."""
-    return spark.read.text(folder).select(
-        _file_path().alias("path"), F.col("value").alias("line"))
+    return _files(spark).text(folder).select(
+        vendor_file(_file_path()).alias("path"), F.col("value").alias("line"))
+
+
+# -- one reading for rows and rejects -----------------------------------------
+#
+# What a file is worth shows only when its last line has been seen. So lines are
+# read, parsed and stored once; verdicts on files come from there, and so do the
+# rows of the files that pass and the lines of those that do not.
+
+ERROR_MESSAGE, UNREADABLE = "error message", "unreadable line"
+
+
+def read_tagged_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line of a vendor folder, parsed: (file, block, line_id, day, price,
+    volume, brace, line). Lines of a block come in the order of ``line_id``;
+    ``line`` is kept where it holds a brace or cannot be read. Store this before
+    it is used more than once."""
+    lines = (_files(spark).text(folder).where(F.trim("value") != "")
+             .select(_file_path().alias("file"), _source_order(), F.col("value").alias("line")))
+    cells = [text.field(F.col("line"), i).alias(f"c{i}") for i in range(schema.VENDOR_WIDTH)]
+    brace = ~text.is_csv_payload(F.col("line"))
+    return (_typed(lines.select("file", "source_order", "line", *cells))
+            .select("file", "source_order.block", F.col("source_order.line").alias("line_id"), "day", "price", "volume",
+                    brace.alias("brace"), F.when(brace | ~_complete(), F.col("line")).alias("line")))
+
+
+def file_verdicts(lines: DataFrame) -> DataFrame:
+    """A row for each stored file: (file, path, header, rejected, n_lines).
+    ``header`` is the line_id of its first line, ``n_lines`` counts those below it; a
+    brace in any file of a vendor file rejects them all."""
+    files = lines.groupBy("file").agg(
+        F.min(F.when(F.col("block") == 0, F.col("line_id"))).alias("header"),
+        F.max("brace").alias("brace"), (F.count(F.lit(1)) - 1).alias("n_lines"))
+    return files.select("file", vendor_file(F.col("file")).alias("path"), "header", "brace", "n_lines").withColumn(
+        "rejected", F.max("brace").over(Window.partitionBy("path"))).drop("brace")
+
+
+def _judged(lines: DataFrame, files: DataFrame, max_files: int | None) -> DataFrame:
+    """Lines without the header, with their file's verdict."""
+    verdicts = broadcast_if_bounded(files.select("file", "path", "header", "rejected"), max_files)
+    return lines.join(verdicts, "file").where((F.col("block") != 0) | (F.col("line_id") != F.col("header")))
+
+
+def accepted_prices(lines: DataFrame, files: DataFrame, *, strict: bool = True, max_files: int | None = None) -> DataFrame:
+    """The price table of the files that pass, with the ``source_order`` of its
+    rows. ``strict`` as in `to_prices`; ``max_files`` is a proven bound."""
+    rows = _judged(lines, files, max_files).where(~F.col("rejected"))
+    order = F.struct("file", "block", F.col("line_id").alias("line")).alias("source_order")
+    columns = {"ticker": text.ticker_from_path(F.col("path")),
+               **{name: F.col(name) for name in ("day", "price", "volume")}}
+    if strict:
+        message = F.concat(F.lit("unreadable line in "), F.col("path"))
+        return rows.select(*text.checked(columns, _complete(), message), order)
+    return rows.where(_complete()).select(*[c.alias(name) for name, c in columns.items()], order)
+
+
+def quarantined(lines: DataFrame, files: DataFrame, *, max_files: int | None = None) -> DataFrame:
+    """What did not pass, as (path, reason, n_lines, line): each vendor file with a
+    brace, its number of lines below headers and the first one that holds a brace;
+    and each unreadable line of the other files."""
+    sizes = files.where("rejected").groupBy("path").agg(F.sum("n_lines").alias("n_lines"))
+    first = (lines.where("brace").groupBy(vendor_file(F.col("file")).alias("path"))
+             .agg(F.min_by("line", F.struct("file", "block", "line_id")).alias("line")))
+    whole = sizes.join(first, "path").select("path", F.lit(ERROR_MESSAGE).alias("reason"), "n_lines", "line")
+    single = (_judged(lines.where(~_complete()), files, max_files).where(~F.col("rejected"))
+              .select("path", F.lit(UNREADABLE).alias("reason"), F.lit(1).cast("long").alias("n_lines"), "line"))
+    return whole.unionByName(single)
 
 
 def rejected_files(lines: DataFrame) -> DataFrame:

@@ -7,48 +7,110 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from daypanel import schema
 from daypanel.functions import text
 from daypanel.operators import panel
-from daypanel.session import durable
-from daypanel.sources import vendor
+from daypanel.session import durable, is_there, remove_folder, run_folder
+from daypanel.sources import prices, vendor
 
 
-def write_prices(prices: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
+def write_prices(rows: DataFrame, path: str, *, mode: str = "errorifexists") -> None:
     """Parquet by year. The rebalance hint lets adaptive execution split a
-    crowded year over several files and join thin ones."""
-    (prices.withColumn("year", F.year("day"))
-     .hint("rebalance", "year")
-     .write.mode(mode).partitionBy("year").parquet(path))
+    crowded year over several files and join thin ones. Besides Spark's own modes,
+    "replace" replaces the years among the rows and leaves all others."""
+    (_replacing(rows.select(*schema.PRICES.fieldNames(), F.year("day").alias("year")).hint("rebalance", "year"), mode)
+     .partitionBy("year").parquet(path))
+
+
+def _replacing(rows: DataFrame, mode: str):
+    """A writer; "replace" overwrites just the partitions there are rows for."""
+    if mode != "replace":
+        return rows.write.mode(mode)
+    return rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+
+# An update is first written beside the years it will replace, and only then put
+# in their place. A run that is lost between leaves this folder, finished; the
+# next one starts by putting it in place, which may be done any number of times.
+_UPDATE = "_update"
+
+
+def update_prices(spark: SparkSession, path: str, update: DataFrame) -> None:
+    """Put rows into a stored table by (ticker, day): a key's rows of the table
+    give way to the row of ``update``, all others stay. Only the years ``update``
+    touches are read and written; files of other years are left alone.
+
+    ``update`` needs a ticker and a day in each row and no key twice (see
+    `panel.dedupe_keep_last`). What a lost run left unfinished is finished first."""
+    staged = f"{path.rstrip('/')}/{_UPDATE}"
+    _finish_update(spark, path, staged)
+    rows = durable(update.select(*schema.PRICES.fieldNames()))
+    if rows.where(F.col("ticker").isNull() | F.col("day").isNull()).limit(1).count():
+        raise ValueError("an update needs a ticker and a day in each row")
+    twice = rows.groupBy("ticker", "day").count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"two rows for {twice[0].ticker} on {twice[0].day}; panel.dedupe_keep_last keeps one")
+    years = sorted(row.year for row in rows.select(F.year("day").alias("year")).distinct().collect())
+    if not years:
+        return
+    touched = prices.read_years(spark, path, years)
+    kept = touched.join(rows.select("ticker", "day"), ["ticker", "day"], "left_anti")
+    write_prices(kept.unionByName(rows), staged, mode="overwrite")
+    _finish_update(spark, path, staged)
+
+
+def _finish_update(spark: SparkSession, path: str, staged: str) -> None:
+    if is_there(spark, staged):
+        write_prices(prices.read_prices(spark, staged), path, mode="replace")
+    remove_folder(spark, staged)
 
 
-def write_prices_csv(prices: DataFrame, path: str, *, mode: str = "errorifexists",
+def write_prices_csv(rows: DataFrame, path: str, *, mode: str = "errorifexists",
                      single_file: bool = False) -> None:
     """Headerless ``ticker,day,price,volume``. ``single_file`` funnels the
     output through one task; it is for hand-over of small tables only."""
-    rows = prices.select(*schema.PRICES.fieldNames())
+    rows = rows.select(*schema.PRICES.fieldNames())
     (rows.repartition(1) if single_file else rows).write.mode(mode).csv(path)
 
 
-def is_there(spark: SparkSession, path: str) -> bool:
-    """Whether a write to ``path`` has finished: its success marker is there."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
-
-
-def merge_vendor_folder(spark: SparkSession, folder: str, target: str, *,
-                        strict: bool = True, duplicates: str | None = None) -> None:
+def merge_vendor_folder(spark: SparkSession, folder: str, target: str, *, strict: bool = True,
+                        duplicates: str | None = None, quarantine: str | None = None, update: bool = False) -> None:
     """Build the merged price table from a vendor folder, unless it is there; an
     unfinished one is replaced. ``duplicates``: "last" or "first" keeps one row
-    per (ticker, day), by their order in the file; None keeps all."""
-    if is_there(spark, target):
+    per (ticker, day), by their order in the file; None keeps all. ``update`` puts
+    the folder's rows into a finished table by (ticker, day) instead of leaving it.
+
+    The folder is read once. ``quarantine`` names a folder for what was left out:
+    the path, the reason and the line (see `vendor.quarantined`)."""
+    there = is_there(spark, target)
+    if there and not update:
         return
-    rejected = durable(vendor.rejected_files(vendor.read_payload_lines(spark, folder)))
-    rows = vendor.without_rejected(vendor.read_vendor_folder(spark, folder, ordered=duplicates is not None),
-                                   rejected, max_rejected=rejected.count())
-    prices = vendor.to_prices(rows, strict=strict)
-    if duplicates is not None:
-        keep = {"last": panel.dedupe_keep_last, "first": panel.dedupe_keep_first}[duplicates]
-        one = keep(prices.withColumn("row", F.struct("price", "volume")), "source_order", "row")
-        prices = one.select("ticker", "day", "row.price", "row.volume")
-    write_prices(prices, target, mode="overwrite")
+    stage = run_folder(spark, "vendor-lines")
+    try:
+        vendor.read_tagged_lines(spark, folder).write.parquet(stage)
+        lines = spark.read.parquet(stage)
+        files = durable(vendor.file_verdicts(lines))
+        n_files = files.count()
+        rows = vendor.accepted_prices(lines, files, strict=strict, max_files=n_files)
+        if duplicates is not None:
+            keep = {"last": panel.dedupe_keep_last, "first": panel.dedupe_keep_first}[duplicates]
+            one = keep(rows.withColumn("row", F.struct("price", "volume")), "source_order", "row")
+            rows = one.select("ticker", "day", "row.price", "row.volume")
+        if quarantine is not None:
+            vendor.quarantined(lines, files, max_files=n_files).write.mode("overwrite").parquet(quarantine)
+        if there:
+            update_prices(spark, target, rows)
+        else:
+            write_prices(rows, target, mode="overwrite")
+    finally:
+        remove_folder(spark, stage)
+
+
+def write_vendor_folder(rows: DataFrame, folder: str) -> None:
+    """Vendor files of a price table: ``ticker=<ticker>/``, one or more CSV files
+    with a header and the nine columns a vendor sends. A ticker of many rows is
+    several files, written by several tasks."""
+    unused = F.lit("0")
+    cells = {0: F.date_format("day", "yyyy-MM-dd"), 5: F.col("price").cast("string"), 6: F.col("volume").cast("string")}
+    (rows.select("ticker", *[cells.get(i, unused).alias(name) for i, name in enumerate(schema.VENDOR_HEADER)])
+     .hint("rebalance", "ticker").write.partitionBy("ticker").option("header", True).csv(folder))
 
 
 def result_lines(totals: DataFrame) -> DataFrame:
@@ -61,9 +123,11 @@ def write_result(totals: DataFrame, path: str) -> None:
     result_lines(totals).write.mode("overwrite").csv(path)
 
 
-def write_snapshot(snapshot: DataFrame, path: str) -> None:
+def write_snapshot(snapshot: DataFrame, path: str, *, mode: str = "overwrite") -> None:
     """Holdings under ``day_key=<yyyyMMdd>``, in one job. The scenario is a
-    column, and files are sorted by it, so one scenario reads few row groups."""
-    (snapshot.withColumn("day_key", text.compact_day(F.col("day")))
-     .hint("rebalance", "day_key").sortWithinPartitions("day_key", "sim")
-     .write.mode("overwrite").partitionBy("day_key").parquet(path))
+    column, and files are sorted by it, so one scenario reads few row groups.
+    "replace" replaces the days among the rows and leaves all others: what a
+    retried or continued run writes again."""
+    rows = (snapshot.select(*schema.SNAPSHOT.fieldNames(), text.compact_day(F.col("day")).alias("day_key"))
+            .hint("rebalance", "day_key").sortWithinPartitions("day_key", "sim"))
+    _replacing(rows, mode).partitionBy("day_key").parquet(path)

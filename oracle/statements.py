@@ -206,6 +206,21 @@ SELECT ticker || ',' || strftime(day, '%Y-%m-%d') || ',' || volume AS line,
        strftime(day, '%Y/%m/%d') AS slash_day, strftime(day, '%Y%m%d') AS compact_day,
        NOT contains(ticker || ',' || strftime(day, '%Y-%m-%d') || ',' || volume, '{') AS is_csv FROM p"""
 
+    # Through files and back.
+    cut = "day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
+    sql["merged_vendor_folder"] = sql["merged_csv"] = SAME_PANEL
+    sql["stored_prices_cut"] = SAME_PANEL + f" WHERE {cut}"
+    sql["updated_prices"] = with_(PANEL) + (
+        f"SELECT ticker, day, price + CASE WHEN day >= {CUT_DAY} THEN 0.5::DOUBLE ELSE 0 END AS price, volume FROM p")
+    sql["accepted_prices"] = SAME_PANEL + " WHERE NOT ends_with(ticker, '7')"
+    sql["quarantined_lines"] = with_(PANEL) + """
+SELECT ticker, 'error message' AS reason, count(*) AS n_lines, '{ "Note": "call limit reached" }' AS line
+FROM p WHERE ends_with(ticker, '7') GROUP BY ticker
+UNION ALL SELECT ticker, 'unreadable line', 1, '2024-01-05,1,2' FROM universe WHERE ends_with(ticker, '3')"""
+    sql["stored_snapshot"] = with_(PANEL, WHOLE_MARKET) + f"""
+SELECT 2::BIGINT AS sim, q.day, q.ticker, q.price, round(l.units * CASE WHEN {cut.replace("day", "q.day")} THEN 2 ELSE 1 END, 4) AS units
+FROM lots l JOIN p q USING (ticker) WHERE q.day <= DATE '2024-01-20'"""
+
     sql["filter_by_date"] = SAME_PANEL + " WHERE day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
     sql["filter_by_ticker"] = SAME_PANEL + " WHERE ticker = 'U3'"
     sql["prices_on_day"] = SAME_PANEL + f" WHERE day = {DAY_ASKED}"
@@ -237,6 +252,19 @@ FROM sims s CROSS JOIN bought b JOIN offers o USING (ticker) WHERE o.day >= b.en
     sql["portfolio_value"] = with_(PANEL, WHOLE_MARKET) + """
 SELECT l.sim, c.day, round(sum(coalesce(l.units * q.price, 0)), 4) AS total
 FROM lots l CROSS JOIN cal c LEFT JOIN p q ON q.ticker = l.ticker AND q.day = c.day
+GROUP BY l.sim, c.day"""
+
+    sql["carried_prices"] = with_(PANEL) + """
+SELECT u.ticker, c.day, q.price, q.day AS quoted_day
+FROM (universe u CROSS JOIN cal c) ASOF JOIN (SELECT * FROM p WHERE price > 0) q ON q.ticker = u.ticker AND q.day <= c.day"""
+    sql["portfolio_value_carried"] = with_(PANEL, WHOLE_MARKET) + """
+SELECT sim, day, round(sum(worth), 4) AS total FROM (
+  SELECT l.sim, c.day, coalesce(l.units * q.price, 0) AS worth
+  FROM (lots l CROSS JOIN cal c) ASOF LEFT JOIN (SELECT * FROM p WHERE price > 0) q
+  ON q.ticker = l.ticker AND q.day <= c.day) GROUP BY sim, day"""
+    sql["replaced_result"] = with_(PANEL, WHOLE_MARKET) + """
+SELECT l.sim, strftime(c.day, '%Y/%m/%d') AS day, round(sum(coalesce(l.units * q.price, 0)), 4) AS total
+FROM lots l CROSS JOIN cal c LEFT JOIN p q ON q.ticker = l.ticker AND q.day = c.day
 GROUP BY l.sim, c.day"""
 
     sql["holdings_snapshot"] = with_(PANEL, WHOLE_MARKET) + """
@@ -300,6 +328,9 @@ SELECT sim, ticker, entry_day, entry_price, round(units, 4) AS units FROM ({MERG
     sql["scenario_backtest_sampled_universe"] = totals(universe="chosen") + shown
     sql["scenario_backtest_in_order"] = totals(universe="chosen", in_order=True) + shown
     sql["scenario_backtest_documented"] = totals("documented") + shown
+    carried = TOTALS.replace("LEFT JOIN p q ON q.ticker = s.ticker AND q.day = c.day",
+                             "ASOF LEFT JOIN (SELECT * FROM p WHERE price > 0) q ON q.ticker = s.ticker AND q.day <= c.day")
+    sql["scenario_backtest_carried"] = scenario().rstrip() + "," + carried + "\n" + shown
     sql["trade_ledger"] = scenario() + """
 SELECT sim, day, 'SELL' AS side, ticker, price, reason, round(units, 4) AS units,
        round(units * price, 4) AS money FROM moved WHERE reason IS NOT NULL

@@ -34,10 +34,10 @@ def totals_of(spark, prices, moves, n_sims):
     return {(r.sim, r.day): r.total for r in totals.collect()}
 
 
-def check(spark, cells, chosen, *, n_sims, seed, mode, universe, in_order=False):
+def check(spark, cells, chosen, *, n_sims, seed, mode, universe, in_order=False, days_per_plan=4):
     prices = price_frame(spark, cells)
     spec = backtest.Scenarios(
-        n_sims=n_sims, money=100.0, seed=seed, policy=Policy(mode=mode), in_order=in_order,
+        n_sims=n_sims, money=100.0, seed=seed, policy=Policy(mode=mode), in_order=in_order, days_per_plan=days_per_plan,
         universe=None if universe is None else ticker_frame(spark, universe))
     moves = backtest.backtest_moves(prices, ticker_frame(spark, chosen), spec)
     want_totals, want_units = brute.run(as_prices(cells), chosen, n_sims=n_sims, money=100.0,
@@ -320,3 +320,97 @@ def test_the_run_leaves_no_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(session, "run_folder", lambda _, label: str(tmp_path / label))
     moves = backtest.backtest_moves(prices, ticker_frame(spark, ["T1"]), backtest.Scenarios(n_sims=2))
     assert not (tmp_path / "backtest").exists() and moves.count() == 6
+
+
+@pytest.mark.parametrize("days_per_plan", (1, 2, 3, 30))
+@pytest.mark.parametrize("in_order", (False, True))
+def test_blocks_of_days_match_plain_loops(spark, days_per_plan, in_order):
+    chosen = [f"T{i}" for i in range(5)]
+    check(spark, random_panel(31, tickers=7, days=8), chosen, n_sims=5, seed=3, mode="code",
+          universe=chosen if in_order else None, in_order=in_order, days_per_plan=days_per_plan)
+
+
+def test_many_scenarios_in_blocks_are_shuffled_once(spark, monkeypatch):
+    """Above a shelf a block's rows are dealt by scenario, and no step deals again."""
+    cells, chosen = random_panel(32, tickers=10, days=5), ["T0", "T3", "T4", "T9"]
+    monkeypatch.setattr(ranking, "LOTS_PER_SHELF", 8)
+    check(spark, cells, chosen, n_sims=4, seed=4, mode="code", universe=None)
+    rows = spark.range(40).selectExpr(
+        "id % 8 sim", "concat('T', id) ticker", "0L entry_day", "5.0D entry_price", "1.0D units", "1L now").repartition("sim")
+    quotes = spark.range(300).selectExpr("id % 3 + 1 day_idx", "concat('T', id div 3) ticker", "6.0D price", "id div 3 rank", "100L n_traded")
+    step = {"seed": 1, "n_universe": F.lit(100), "policy": Policy(), "max_lots": 5, "max_holdings": 40, "max_quotes": 300}
+    moves = backtest._unrolled(rows, quotes, 3, **step)
+    plan = moves._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and moves.count() == 120
+
+
+def test_a_block_of_days_is_one_write(spark, monkeypatch):
+    prices, chosen = price_frame(spark, random_panel(33, days=13, filled=1.1)), ticker_frame(spark, ["T1", "T2", "T3"])
+    writes = []
+    writer = type(prices.write)
+    original = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, path, **more: (writes.append(path), original(self, path, **more))[1])
+    moves = backtest.backtest_moves(prices, chosen, backtest.Scenarios(n_sims=3, seed=1, days_per_plan=5))
+    assert [w.rsplit("/", 1)[1] for w in writes if "/moves/" in w] == ["000001-000005", "000006-000010", "000011-000012"]
+    assert moves.select("sim", "day_idx").distinct().count() == 3 * 12
+
+
+class Lost(Exception):
+    pass
+
+
+def rows_of(moves):
+    return sorted((r.sim, r.day_idx, r.ticker, r.new_ticker, round(r.new_units, 9), r.new_entry_day) for r in moves.collect())
+
+
+@pytest.mark.parametrize("days_per_plan", (1, 3))
+def test_a_lost_run_goes_on_where_it_stopped(spark, tmp_path, monkeypatch, days_per_plan):
+    cells, names = random_panel(34, days=9), ["T1", "T2", "T3", "T5"]
+    prices, chosen = price_frame(spark, cells), ticker_frame(spark, names)
+    spec, folder = backtest.Scenarios(n_sims=3, seed=6, days_per_plan=days_per_plan), str(tmp_path / "run")
+    want = rows_of(backtest.backtest_moves(prices, chosen, spec))
+    step, done = trading.DayStep.__call__, []
+
+    def steps_until(n):
+        def counted(self, start):
+            if len(done) == n:
+                raise Lost
+            done.append(1)
+            return step(self, start)
+        return counted
+
+    monkeypatch.setattr(trading.DayStep, "__call__", steps_until(5))
+    with pytest.raises(Lost):
+        backtest.backtest_moves(prices, chosen, spec, folder=folder)
+    (tmp_path / "run" / "moves" / "000006-000006").mkdir(parents=True, exist_ok=True)  # begun, not finished
+    n_finished = 5 // days_per_plan * days_per_plan
+    done.clear()
+    monkeypatch.setattr(trading.DayStep, "__call__", steps_until(99))
+    assert rows_of(backtest.backtest_moves(prices, chosen, spec, folder=folder)) == want
+    assert len(done) == 8 - n_finished
+    done.clear()
+    assert rows_of(backtest.backtest_moves(prices, chosen, spec, folder=folder)) == want and not done
+
+
+def test_a_folder_of_another_run_is_an_error(spark, tmp_path):
+    cells = random_panel(35, tickers=5, days=3, filled=1.1)
+    prices, chosen, folder = price_frame(spark, cells), ticker_frame(spark, ["T1", "T2"]), str(tmp_path / "run")
+    spec = backtest.Scenarios(n_sims=2, seed=1)
+    want = rows_of(backtest.backtest_moves(prices, chosen, spec, folder=folder))
+    for other in (backtest.Scenarios(n_sims=2, seed=2), backtest.Scenarios(n_sims=2, seed=1, policy=TakeProfit())):
+        with pytest.raises(ValueError, match="another run"):
+            backtest.backtest_moves(prices, chosen, other, folder=folder)
+    with pytest.raises(ValueError, match="another run"):
+        backtest.backtest_moves(price_frame(spark, [*cells, ("NEW", 2, 4)]), chosen, spec, folder=folder)
+    assert rows_of(backtest.backtest_moves(prices.repartition(3), chosen, spec, folder=folder)) == want
+
+
+def test_totals_with_carried_prices(spark):
+    cells = [("A", 1, 10), ("A", 2, 10), ("B", 1, 3), ("B", 3, 3)]
+    prices, chosen = price_frame(spark, cells), ticker_frame(spark, ["A"])
+    spec = backtest.Scenarios(n_sims=1, money=100.0, universe=chosen, policy=Policy(mode="documented", plateau_delta=-1))
+    moves, calendar = backtest.backtest_moves(prices, chosen, spec), panel.day_index(prices)
+    plain = backtest.scenario_totals(moves, calendar, 1)
+    assert {r.day: r.total for r in plain.collect()} == {day(2): 100.0, day(3): 0.0}
+    carried = backtest.scenario_totals(moves, calendar, 1, panel.carried_prices(prices, calendar))
+    assert {r.day: r.total for r in carried.collect()} == {day(2): 100.0, day(3): 100.0}

@@ -1,5 +1,8 @@
 """Readers and writers on real folders."""
 
+import datetime as dt
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +10,7 @@ from price_frames import day, price_frame
 from daypanel import catalog
 from daypanel.operators import panel
 from daypanel.plans import report
-from daypanel.sources import prices as price_source, tickers, vendor, writers
+from daypanel.sources import prices as price_source, snapshots, tickers, vendor, writers
 
 HEADER = ("timestamp,open,high,low,close,adjusted_close,volume,dividend_amount,"
           "split_coefficient")
@@ -197,3 +200,204 @@ def test_snapshot_layout(spark, tmp_path):
     writers.write_snapshot(snapshot, str(tmp_path / "snap"))
     assert sorted(p.name for p in (tmp_path / "snap").glob("day_key=*")) == ["day_key=20180301", "day_key=20180302"]
     assert spark.read.parquet(str(tmp_path / "snap")).count() == 2
+
+
+# -- years and days of stored tables ------------------------------------------
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def years_of_prices(spark, years=range(2000, 2020)):
+    rows = [("A", dt.date(y, m, 1), float(y), m) for y in years for m in (1, 7)]
+    return spark.createDataFrame(rows, "ticker string, day date, price double, volume long")
+
+
+def files_read(df) -> int:
+    return df.select(F.input_file_name()).distinct().count()
+
+
+@pytest.fixture
+def stored_years(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    writers.write_prices(years_of_prices(spark), path)
+    return path
+
+
+@pytest.mark.parametrize("cut", [
+    lambda p: panel.filter_by_date(p, "2018-06-01", "2018-07-31"), lambda p: panel.prices_on_day(p, dt.date(2018, 7, 1)),
+    lambda p: panel.filter_by_date(p.where("price > 0").select("day", "price"), dt.date(2018, 6, 1), "2018-07-31")])
+def test_a_cut_to_days_opens_their_years_only(spark, stored_years, cut):
+    rows = cut(price_source.read_prices(spark, stored_years))
+    plan = plan_of(rows)
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan and "2018" in plan.split("PartitionFilters")[1][:120]
+    assert files_read(rows) == 1 and [(r.day, r.price) for r in rows.collect()] == [(dt.date(2018, 7, 1), 2018.0)]
+
+
+def test_years_of_open_ranges(spark, stored_years):
+    since = price_source.read_prices(spark, stored_years, start="2018-02-01")
+    assert files_read(since) == 2 and since.count() == 3
+    until = price_source.read_prices(spark, stored_years, end=dt.date(2000, 1, 1))
+    assert files_read(until) == 1 and until.count() == 1
+    assert price_source.read_prices(spark, stored_years).count() == 40
+    assert price_source.read_prices(spark, stored_years).columns == ["ticker", "day", "price", "volume"]
+
+
+def test_cuts_above_joins_aggregations_and_own_years(spark, stored_years):
+    """Where the stored year is out of sight, or the caller has another one."""
+    prices = price_source.read_prices(spark, stored_years)
+    last = panel.dedupe_keep_last(prices, "volume")
+    assert panel.filter_by_date(last, "2003-01-01", "2004-12-31").count() == 4
+    fiscal = prices.withColumn("year", F.year("day") + 1)
+    assert panel.filter_by_date(fiscal, "2003-01-01", "2004-12-31").count() == 4
+    both = prices.join(prices.select("day", F.col("price").alias("other")), "day")
+    assert panel.prices_on_day(both, "2005-01-01").count() == 1
+    assert panel.filter_by_date(prices.unionByName(years_of_prices(spark)), "2005-01-01", "2005-12-31").count() == 4
+
+
+def files_of(path):
+    return {str(f): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def test_an_update_rewrites_the_years_it_touches(spark, stored_years, tmp_path):
+    before = files_of(tmp_path / "prices")
+    update = spark.createDataFrame(
+        [("A", dt.date(2010, 7, 1), 1.5, 9), ("B", dt.date(2010, 7, 1), 2.5, 9), ("A", dt.date(2030, 1, 1), 3.5, 9)],
+        "ticker string, day date, price double, volume long").withColumn("extra", F.lit(1))
+    for _ in range(2):  # once more changes nothing
+        writers.update_prices(spark, stored_years, update)
+        found = {(r.ticker, r.day): r.price for r in price_source.read_prices(spark, stored_years).collect()}
+        want = {(r.ticker, r.day): r.price for r in years_of_prices(spark).collect()}
+        assert found == want | {(r.ticker, r.day): r.price for r in update.collect()}
+        assert price_source.read_prices(spark, stored_years).count() == len(found)
+    after = files_of(tmp_path / "prices")
+    same = {f for f in before if "year=2010" not in f}
+    assert {f: after[f] for f in same} == {f: before[f] for f in same} and not set(before) - same & set(after)
+    assert not (tmp_path / "prices" / "_update").exists()
+
+
+def test_an_update_that_was_lost_is_finished(spark, stored_years, tmp_path):
+    """The new year is written beside the table, and the old one is gone already."""
+    staged = years_of_prices(spark, [2010]).withColumn("price", F.lit(7.0))
+    writers.write_prices(staged, f"{stored_years}/_update")
+    for f in (tmp_path / "prices" / "year=2010").iterdir():
+        f.unlink()
+    writers.update_prices(spark, stored_years, years_of_prices(spark, [2011]))
+    found = price_source.read_prices(spark, stored_years)
+    assert found.count() == 40 and {r.price for r in panel.filter_by_date(found, "2010-01-01", "2010-12-31").collect()} == {7.0}
+
+
+def test_updates_that_are_no_upserts(spark, stored_years):
+    twice = years_of_prices(spark, [2010, 2010])
+    with pytest.raises(ValueError, match="two rows for A on 2010-"):
+        writers.update_prices(spark, stored_years, twice)
+    with pytest.raises(ValueError, match="a ticker and a day"):
+        writers.update_prices(spark, stored_years, years_of_prices(spark, [2010]).withColumn("ticker", F.lit(None).cast("string")))
+    writers.update_prices(spark, stored_years, twice.limit(0))
+    assert price_source.read_prices(spark, stored_years).count() == 40
+
+
+def test_a_new_download_updates_a_merged_table(spark, vendor_folder, tmp_path):
+    target, new = str(tmp_path / "merged"), tmp_path / "new"
+    writers.merge_vendor_folder(spark, vendor_folder, target)
+    new.mkdir()
+    (new / "AAPL.csv").write_text("\n".join([HEADER, vendor_line("2018-03-02", "11", 1), vendor_line("2019-01-02", "12", 1)]))
+    writers.merge_vendor_folder(spark, str(new), target, update=True)
+    rows = [tuple(r)[:3] for r in price_source.read_prices(spark, target).orderBy("ticker", "day").collect()]
+    assert rows == [("AAPL", day(1), 10.0), ("AAPL", day(2), 11.0), ("AAPL", dt.date(2019, 1, 2), 12.0), ("BRK.B", day(1), 200.25)]
+
+
+def test_a_retried_write_leaves_other_partitions(spark, stored_years, tmp_path):
+    writers.write_prices(years_of_prices(spark, [2003]).withColumn("price", F.lit(1.0)), stored_years, mode="replace")
+    rows = price_source.read_prices(spark, stored_years)
+    assert rows.count() == 40 and rows.where("price = 1").count() == 2
+    shot = spark.createDataFrame([(s, day(d), "A", 1.0, 2.0) for s in (1, 2) for d in (1, 2, 3)],
+                                 "sim long, day date, ticker string, price double, units double")
+    path = str(tmp_path / "snap")
+    writers.write_snapshot(shot, path)
+    for _ in range(2):
+        writers.write_snapshot(shot.where("sim = 1").where(F.col("day") == day(2)).withColumn("units", F.lit(9.0)), path, mode="replace")
+    assert sorted((r.sim, r.day.day, r.units) for r in snapshots.read_snapshot(spark, path).collect()) == [
+        (1, 1, 2.0), (1, 2, 9.0), (1, 3, 2.0), (2, 1, 2.0), (2, 3, 2.0)]
+    writers.write_snapshot(shot.where("sim = 1"), path)
+    assert snapshots.read_snapshot(spark, path).count() == 3
+
+
+def test_snapshots_are_read_by_day_and_scenario(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("id % 300 sim", "date_add(date'2018-03-01', cast(id div 300 as int)) day", "'A' ticker",
+                                        "1.0D price", "cast(id as double) units")
+    path = str(tmp_path / "snap")
+    writers.write_snapshot(rows, path)
+    back = snapshots.read_snapshot(spark, path, day(3), "2018-03-04", [7, 8])
+    assert [f.name for f in back.schema] == ["sim", "day", "ticker", "price", "units"]
+    assert sorted(r.units for r in back.collect()) == [607.0, 608.0, 907.0, 908.0]
+    plan = plan_of(back)
+    assert "PartitionFilters: [isnotnull(day_key" in plan and "PushedFilters: [In(sim, [7,8])]" in plan
+    assert files_read(back) == 2
+    assert snapshots.read_snapshot(spark, path).count() == 3000
+
+
+# -- one reading of a vendor folder -------------------------------------------
+
+def test_a_merge_reads_the_folder_once(spark, vendor_folder, tmp_path, monkeypatch):
+    reader, reads = type(spark.read), []
+    for name in ("csv", "text"):
+        original = getattr(reader, name)
+        monkeypatch.setattr(reader, name, lambda self, path, _original=original, **more: (
+            reads.append(path), _original(self, path, **more))[1])
+    writers.merge_vendor_folder(spark, vendor_folder, str(tmp_path / "merged"), quarantine=str(tmp_path / "rejected"))
+    assert reads == [vendor_folder]
+    assert price_source.read_prices(spark, str(tmp_path / "merged")).count() == 3
+    rejected = spark.read.parquet(str(tmp_path / "rejected")).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.reason, r.n_lines, r.line) for r in rejected] == [("LATE.csv", "error message", 2, "{")]
+
+
+def test_rows_and_rejects_of_faulty_files(spark, tmp_path):
+    folder = tmp_path / "daily"
+    folder.mkdir()
+    good = vendor_line("2018-03-01", "10", 1)
+    (folder / "A.csv").write_text("\r\n".join([HEADER, "", good, "2018-03-02,1,2", vendor_line("2018-02-30", 1, 1)]) + "\r\n")
+    (folder / "B.csv").write_text("\n".join([good, vendor_line("2018-03-04", 4, 4)]))  # its first line is taken for a header
+    (folder / "C.csv").write_text("\n".join([HEADER, good, "x{"]))
+    (folder / "EMPTY.csv").write_text("")
+    (folder / "ticker=D%2FE").mkdir()
+    (folder / "ticker=D%2FE" / "one.csv").write_text("\n".join([HEADER, good]))
+    (folder / "ticker=D%2FE" / "two.csv").write_text("\n".join([HEADER, vendor_line("2018-03-09", 9, 9)]))
+    (folder / "ticker=F").mkdir()
+    (folder / "ticker=F" / "one.csv").write_text("\n".join([HEADER, good]))
+    (folder / "ticker=F" / "two.csv").write_text('{"Note": 1}')
+    target, rejects = str(tmp_path / "merged"), str(tmp_path / "rejected")
+    with pytest.raises(Exception, match="unreadable line"):
+        writers.merge_vendor_folder(spark, str(folder), target)
+    writers.merge_vendor_folder(spark, str(folder), target, strict=False, quarantine=rejects)
+    assert sorted((r.ticker, r.day.day) for r in price_source.read_prices(spark, target).collect()) == [
+        ("A", 1), ("B", 4), ("D/E", 1), ("D/E", 9)]
+    assert sorted((os.path.basename(r.path), r.reason, r.n_lines, r.line) for r in spark.read.parquet(rejects).collect()) == [
+        ("A.csv", "unreadable line", 1, vendor_line("2018-02-30", 1, 1)), ("A.csv", "unreadable line", 1, "2018-03-02,1,2"),
+        ("C.csv", "error message", 2, "x{"), ("ticker=F", "error message", 1, '{"Note": 1}')]
+
+
+def test_written_vendor_files_come_back(spark, tmp_path):
+    names = ["^GSPC", "A+B", "X Y", "50%", "a=b", "C/D", "PLAIN"]
+    rows = price_frame(spark, [(n, d, i + d / 8) for i, n in enumerate(names) for d in (1, 2)])
+    writers.write_vendor_folder(rows, str(tmp_path / "daily"))
+    wanted = sorted(map(tuple, rows.collect()))
+    assert sorted(map(tuple, vendor.to_prices(vendor.read_vendor_folder(spark, str(tmp_path / "daily"))).collect())) == wanted
+    writers.merge_vendor_folder(spark, str(tmp_path / "daily"), str(tmp_path / "merged"))
+    assert sorted(map(tuple, price_source.read_prices(spark, str(tmp_path / "merged")).collect())) == wanted
+
+
+def test_a_long_file_is_one_verdict_of_many_tasks(spark, tmp_path):
+    folder = tmp_path / "daily"
+    folder.mkdir()
+    lines = [HEADER] + [vendor_line("2018-03-01", i, 1) for i in range(1, 20_001)]
+    (folder / "LONG.csv").write_text("\n".join(lines) + "\n")
+    (folder / "BAD.csv").write_text("\n".join(lines) + "\n{\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        writers.merge_vendor_folder(spark, str(folder), str(tmp_path / "merged"), quarantine=str(tmp_path / "rejected"))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert price_source.read_prices(spark, str(tmp_path / "merged")).agg(F.count("*"), F.sum("price")).first()[:] == (20_000, 200_010_000.0)
+    assert [tuple(r)[1:] for r in spark.read.parquet(str(tmp_path / "rejected")).collect()] == [("error message", 20_001, "{")]

@@ -1,5 +1,7 @@
 """Cuts, lookups, duplicates, allocation and valuation on hand-made panels."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +124,35 @@ def test_candidates_fall_back_to_the_whole_universe(spark):
     no_b_today = today.where("ticker != 'B'")
     assert trading.tradable_candidates(universe, some, no_b_today).count() == 0, \
         "unowned but untraded tickers do not open the fallback"
+
+
+@pytest.mark.parametrize("shelf", (1, 3, 64))
+def test_prices_are_carried_across_gaps(spark, monkeypatch, shelf):
+    monkeypatch.setattr(panel, "DAYS_PER_SHELF", shelf)
+    rng = random.Random(shelf)
+    cells = [(t, d, rng.choice([0, 5, 6.5, 7])) for t in "ABCDE" for d in range(1, 24) if rng.random() < 0.3]
+    cells += [("ALL", d, 1) for d in range(1, 24)] + [("LATE", 23, 2), ("EARLY", 1, 3), ("NEVER", 4, -1)]
+    prices = price_frame(spark, cells)
+    known = {(t, d): p for t, d, p in cells if p > 0}
+    want = {}
+    for t in {t for t, _ in known}:
+        last = None
+        for d in range(1, 24):
+            last = d if (t, d) in known else last
+            if last:
+                want[t, day(d)] = (known[t, last], day(last))
+    carried = panel.carried_prices(prices, panel.day_index(prices))
+    assert {(r.ticker, r.day): (r.price, r.quoted_day) for r in carried.collect()} == want and carried.count() == len(want)
+    holdings = holding_frame(spark, [(1, "A", 1, 5, 2), (1, "LATE", 1, 5, 1), (2, "EARLY", 1, 3, 4), (3, "NEVER", 1, 1, 1)])
+    totals = panel.portfolio_value_carried(holdings, prices, panel.day_index(prices), n_sims=3)
+    of = lambda t, d: want.get((t, day(d)), (0.0,))[0]
+    assert {(r.sim, r.day.day): r.total for r in totals.collect()} == {
+        **{(1, d): 2 * of("A", d) + of("LATE", d) for d in range(1, 24)}, **{(2, d): 12.0 for d in range(1, 24)},
+        **{(3, d): 0.0 for d in range(1, 24)}}
+
+
+def test_carried_prices_of_nothing(spark):
+    prices = price_frame(spark, [])
+    assert panel.carried_prices(prices, panel.day_index(prices)).count() == 0
+    calendar = panel.day_index(price_frame(spark, [("A", 1, 1)]))
+    assert panel.carried_prices(price_frame(spark, [("A", 2, 5)]), calendar).count() == 0

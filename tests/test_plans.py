@@ -95,8 +95,9 @@ def test_sample_is_a_top_n(spark):
 def test_year_partitions_are_pruned(spark, tmp_path):
     from daypanel.sources import prices as price_source, writers
     writers.write_prices(catalog.load_prices(spark, SF), str(tmp_path / "p"))
-    one_day = panel.prices_on_day(price_source.read_prices(spark, str(tmp_path / "p")), "2024-01-05")
-    assert "PushedFilters: [IsNotNull(day), EqualTo(day,2024-01-05)]" in plan_of(one_day)
+    one_day = plan_of(panel.prices_on_day(price_source.read_prices(spark, str(tmp_path / "p")), "2024-01-05"))
+    assert "PushedFilters: [IsNotNull(day), EqualTo(day,2024-01-05)]" in one_day
+    assert "PartitionFilters: [isnotnull(year" in one_day
 
 
 def test_entry_and_registry(spark):
