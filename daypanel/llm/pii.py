@@ -20,8 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from daypanel.llm import common
 
-KEY = "daypanel"
-ATTEMPTS = 64
+STALLED = 16  # attempts in a row that win no entity a surrogate: there are no more of the shape
 
 # What a mention looks like. Look-behinds let a pattern start only
 # where a run starts, and possessive quantifiers keep long runs linear.
@@ -47,6 +46,7 @@ MALE_NAMES = ("John", "James", "Peter", "Paul", "Thomas", "Michael", "David", "H
               "Pablo", "Jorge", "Rafael",
               "Иван", "Пётр", "Сергей", "Алексей", "Γιώργος", "Νίκος")
 _TITLES = "|".join((*FEMALE_TITLES, *MALE_TITLES, *NEUTRAL_TITLES))
+_LEAD = rf"(?:(?:{_TITLES})\.? )"  # "Frau Dr. " is two of them
 _GIVEN = "|".join((*FEMALE_NAMES, *MALE_NAMES))
 
 PATTERNS = {
@@ -61,7 +61,7 @@ PATTERNS = {
               # As written within France, Spain, and Germany or Britain.
               r"|(?<![0-9][ .-])(?:0[1-9](?:[ .-][0-9]{2}){4}|[679][0-9]{2}(?: [0-9]{3}){2}|[679][0-9]{2}(?: [0-9]{2}){3}"
               r"|0[1-9][0-9]{1,3}[ /-][0-9]{5,8}|0[1-9][0-9]{1,3}[ /-][0-9]{3,4}[ -][0-9]{3,4})(?![ .-][0-9]))(?![0-9A-Za-z])"),
-    "name": (rf"(?<!\p{{L}})(?:(?:{_TITLES})\.? {_CAPITAL}(?: {_CAPITAL})*+"
+    "name": (rf"(?<!\p{{L}})(?:{_LEAD}++(?!(?:{_TITLES})(?!\p{{L}})){_CAPITAL}(?: {_CAPITAL})*+"
              rf"|(?=\p{{Lu}})(?:{_GIVEN})(?: {_CAPITAL})++)(?!\p{{L}})"),
 }
 KINDS = tuple(PATTERNS)
@@ -176,15 +176,18 @@ def _candidate(key: str, attempt: int) -> Column:
             .when(kind == "iban", _shaped(canonical, hashed, F.lit(2))).otherwise(_shaped(canonical, hashed, F.lit(1))))
 
 
-def surrogates(entities: DataFrame, *, key: str = KEY, attempts: int = ATTEMPTS) -> DataFrame:
+def surrogates(entities: DataFrame, *, key: str, stalled: int = STALLED) -> DataFrame:
     """Rows (kind, canonical, gender, surrogate) for distinct entities (kind,
     canonical, gender, script). Surrogates of a kind are distinct and none is a
     canonical form of that kind. Each attempt is one aggregation and two joins
-    over the entities still without one."""
+    over the entities still without one, until all have one; if ``stalled``
+    attempts in a row give none, their shape has no values left, an error."""
+    attempt, idle, left = -1, 0, None
     names = ("kind", "canonical", "gender", "script")
     real = entities.select(F.col("kind").alias("r_kind"), F.col("canonical").alias("r_value")).distinct()
     done, pending = None, entities
-    for attempt in range(attempts):
+    while idle < stalled:
+        attempt += 1
         drawn = pending.withColumn("surrogate", _candidate(key, attempt))
         order = F.struct(F.xxhash64("canonical", "gender"), "canonical", "gender")
         # Of entities that draw the same, one keeps it.
@@ -201,9 +204,11 @@ def surrogates(entities: DataFrame, *, key: str = KEY, attempts: int = ATTEMPTS)
         accepted = drawn.filter("kept").select(*names, "surrogate")
         done = accepted if done is None else done.unionByName(accepted)
         pending = drawn.filter("not kept").select(*names)
-        if not pending.limit(1).count():
+        before, left = left, pending.count()
+        if not left:
             return done
-    raise RuntimeError(f"entities without a distinct surrogate after {attempts} attempts")
+        idle = idle + 1 if left == before else 0
+    raise RuntimeError(f"{left} entities have no distinct surrogate: the last {stalled} of {attempt + 1} attempts gave none")
 
 
 # ---- texts -------------------------------------------------------------------
@@ -220,7 +225,7 @@ def _rendered(mention: Column, found: Column) -> Column:
         c.rlike(unit), F.substr(one, F.length(F.regexp_replace(F.substr(mention, F.lit(1), i + 1),
                                                                unit.replace("[", "[^"), "")), F.lit(1))).otherwise(c)), "")
     cased = lambda word, new: F.when((word == F.upper(word)) & (F.length(word) > 1), F.upper(new)).otherwise(F.initcap(new))
-    title = F.regexp_extract(mention, rf"^(?:{_TITLES})\.? ", 0)
+    title = F.regexp_extract(mention, f"^{_LEAD}+", 0)
     words = _words(mention)
     name = F.concat(title, F.array_join(F.zip_with(words, parts, lambda w, p: cased(w, value(p))), " "))
     return (F.when(kind == "name", name).when(kind == "email", F.when(mention == F.upper(mention), F.upper(one)).otherwise(one))
@@ -229,26 +234,37 @@ def _rendered(mention: Column, found: Column) -> Column:
 
 def _words(mention: Column) -> Column:
     """The name parts of a name as they are spelled."""
-    return F.filter(F.split(mention, " "), lambda w: ~w.rlike(rf"^(?:{_TITLES})\.?$"))
+    return F.split(F.regexp_replace(mention, f"^{_LEAD}+", ""), " ")
 
 
-def _bare_pattern(mentions: Column) -> Column:
-    """What finds the parts of a text's names where they stand alone; null
-    without names. Names hold letters, apostrophes and hyphens, nothing that a
-    pattern reads otherwise."""
-    words = F.flatten(F.transform(F.filter(mentions, lambda m: _kind_of(m) == "name"), _words))
-    words = F.array_distinct(F.filter(words, lambda w: F.length(w) > 1))
-    spelled = F.array_distinct(F.flatten(F.transform(words, lambda w: F.array(w, F.upper(w), F.initcap(w)))))
-    return F.when(F.size(words) > 0, F.concat(
-        F.lit(r"(?<!\p{L})(?:"), F.array_join(spelled, "|"), F.lit(r")(?!\p{L})")))
+def _spellings(mentions: Column) -> Column:
+    """How the parts of a text's names may stand alone in it: (spelling, entity
+    key). One table serves to find them and to look them up, so that what case
+    folding makes of a letter ("ß") cannot be found and then not be known."""
+    def of(mention: Column) -> Column:
+        return F.flatten(F.zip_with(_words(mention), _parts(mention), lambda word, part: F.transform(
+            F.array_distinct(F.array(word, F.upper(word), F.initcap(word))),
+            lambda spelled: F.struct(spelled.alias("spelled"), _entity_key(part).alias("entity")))))
 
+    names = F.filter(mentions, lambda m: _kind_of(m) == "name")
+    return F.filter(F.array_distinct(F.flatten(F.transform(names, of))), lambda s: F.length(s["spelled"]) > 1)
 
-def _without_bare_names(gap: Column, pattern: Column, names: Column, found: Column) -> Column:
+
+def _bare_pattern(spellings: Column) -> Column:
+    """What finds the spellings where they stand alone; null without names. Names
+    hold letters, apostrophes and hyphens, nothing that a pattern reads otherwise."""
+    return F.when(F.size(spellings) > 0, F.concat(
+        F.lit(r"(?<!\p{L})(?:"), F.array_join(F.array_distinct(F.transform(spellings, lambda s: s["spelled"])), "|"),
+        F.lit(r")(?!\p{L})")))
+
+
+def _without_bare_names(gap: Column, pattern: Column, spellings: Column, found: Column) -> Column:
     """The text between mentions, with surrogates for the name parts that stand alone in it."""
     bare, rest = F.regexp_extract_all(gap, pattern, F.lit(0)), F.split(gap, pattern, -1)
 
     def written(word: Column, after: Column) -> Column:
-        new = F.element_at(found, _entity_key(F.element_at(F.filter(names, lambda p: p["canonical"] == F.lower(word)), 1)))
+        entity = F.get(F.filter(spellings, lambda s: s["spelled"] == word), F.lit(0))["entity"]
+        new = F.coalesce(F.element_at(found, entity), word)
         return F.concat(F.when(word == F.upper(word), F.upper(new)).otherwise(F.initcap(new)), after)
 
     replaced = F.concat(F.element_at(rest, 1), F.array_join(F.zip_with(bare, F.slice(rest, 2, F.size(bare)), written), ""))
@@ -261,13 +277,14 @@ def _with_mentions(docs: DataFrame, text: str, name: str) -> DataFrame:
                            .otherwise(F.array().cast("array<string>")))
 
 
-def replace_personal_data(docs: DataFrame, *, text: str = "text", key: str = KEY) -> DataFrame:
+def replace_personal_data(docs: DataFrame, *, key: str, text: str = "text") -> DataFrame:
     """``docs`` with surrogates in ``text`` and a column of counts by kind,
     ``pii_counts`` (a map, empty where nothing was found). Parts of a text's names
     that stand alone in it get their surrogates too, and are not counted.
 
-    The same entity has the same surrogate in every text and for every run with
-    the same key over the same corpus. A null text stays null; empty texts,
+    ``key`` is the caller's secret: who has it can find out which surrogate stands
+    for a guessed entity. The same entity has the same surrogate in every text and
+    for every run with the same key over the same corpus. A null text stays null; empty texts,
     repeated rows and ids need no care, since rows are taken one by one; all
     other columns are passed on."""
     mentions, hashed, parts, found, h_name, names, bare = (common.unused_name(docs, n) for n in (
@@ -289,8 +306,7 @@ def replace_personal_data(docs: DataFrame, *, text: str = "text", key: str = KEY
     counts = F.transform(F.array(*map(F.lit, KINDS)), lambda kind: F.struct(
         kind, F.size(F.filter(F.col(mentions), lambda m: _kind_of(m) == kind))))
     counts = F.map_from_entries(F.filter(counts, lambda e: e["col2"] > 0))
-    name_parts = F.flatten(F.transform(F.filter(mentions, lambda m: _kind_of(m) == "name"), _parts))
-    asking = some.withColumn(names, F.array_distinct(name_parts)).withColumn(bare, _bare_pattern(F.col(mentions)))
+    asking = some.withColumn(names, _spellings(F.col(mentions))).withColumn(bare, _bare_pattern(F.col(names)))
     gaps = F.transform(F.split(text, ANY, -1), lambda gap: _without_bare_names(
         gap, F.col(bare), F.col(names), F.col(found)))
     written = F.concat(F.element_at(gaps, 1), F.array_join(F.zip_with(

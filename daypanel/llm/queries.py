@@ -12,6 +12,9 @@ from daypanel.llm import (
 from daypanel.llm.common import durable, hex_digest, salted_lookup, table
 from daypanel.session import run_folder
 
+# The registered query's results are to be repeatable, so its key is no secret.
+PII_KEY = "key of the registered query"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -89,7 +92,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = pii.replace_personal_data(docs)
+    rows = pii.replace_personal_data(docs, key=PII_KEY)
     count = lambda kind: F.coalesce(F.col("pii_counts")[kind], F.lit(0)).cast("long")
     return rows.select("doc_id", "text", *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS))
 

@@ -21,11 +21,15 @@ TEXTS = {
 }
 
 
+def replace(docs):
+    return pii.replace_personal_data(docs, key="a key of the tests")
+
+
 @pytest.fixture
 def replaced(spark, table):
     rows = [*TEXTS.items(), (8, None), (3, TEXTS[3]), (None, TEXTS[1])]
     docs = table(rows, clashing=("mentions", "h", "part", "surrogate", "parts", "kind"))
-    out = pii.replace_personal_data(docs)
+    out = replace(docs)
     assert out.columns == [*docs.columns, "pii_counts"]
     found = out.collect()
     assert sorted((str(r.doc_id), r.part) for r in found) == sorted((str(d), "part") for d, _ in rows)
@@ -67,7 +71,7 @@ def test_whole_names_and_bare_repeats(table):
     texts = {1: "John Fitzgerald Kennedy met Mr. John Ronald Tolkien. Kennedy left, TOLKIEN's friend John stayed; the smith too.",
              2: "Robert Miller called. Miller and Milleriana are two; Smith is a word here.",
              3: "Mr. John Smith, then Smith, and John. Jürgen Groß and Groß"}
-    text = {r.doc_id: r.text for r in pii.replace_personal_data(table(list(texts.items()))).collect()}
+    text = {r.doc_id: r.text for r in replace(table(list(texts.items()))).collect()}
     john, fitz, kennedy, john2, ronald, tolkien, kennedy2, loud, john3 = re.fullmatch(
         r"(\w+) (\w+) (\w+) met Mr\. (\w+) (\w+) (\w+)\. (\w+) left, (\w+)'s friend (\w+) stayed; the smith too\.", text[1]).groups()
     assert john == john2 == john3 and kennedy == kennedy2 and loud == tolkien.upper()
@@ -82,7 +86,7 @@ def test_national_phone_numbers(table):
     numbers = ["01 23 45 67 89", "01.23.45.67.89", "030 1234567", "0170/1234567", "020 7946 0958", "612 345 678", "612 34 56 78"]
     others = "In 2024 06 12, 100 000 and 5 612 345 678 900 or 5 612 345 678, 01 02 03; +1 017 555 7713 22"
     rows = [*enumerate(f"call {n}, or" for n in numbers), (99, others)]
-    found = {r.doc_id: r for r in pii.replace_personal_data(table(rows)).collect()}
+    found = {r.doc_id: r for r in replace(table(rows)).collect()}
     for i, number in enumerate(numbers):
         shape = re.sub("[0-9]", "[0-9]", re.escape(number))
         assert re.fullmatch(f"call {shape}, or", found[i].text) and number not in found[i].text, number
@@ -100,18 +104,84 @@ def test_colliding_draws_are_drawn_again(spark, monkeypatch):
         F.lit("v"), (F.pmod(F.xxhash64("canonical", F.lit(attempt)), F.lit(30))).cast("string")))
     entities = spark.createDataFrame([("email", f"v{i}", "n", "latin") for i in range(12)],
                                      "kind string, canonical string, gender string, script string")
-    found = [r.surrogate for r in pii.surrogates(entities).collect()]
+    found = [r.surrogate for r in pii.surrogates(entities, key="k").collect()]
     assert len(found) == len(set(found)) == 12 and not set(found) & {f"v{i}" for i in range(12)}
     monkeypatch.setattr(pii, "_candidate", lambda key, attempt: F.lit("one"))
     with pytest.raises(RuntimeError):
-        pii.surrogates(entities, attempts=3)
+        pii.surrogates(entities, key="k", stalled=3)
 
 
 def test_long_texts_without_spaces(table):
     text = "a" * 200_000 + "1" * 200_000 + "@" + "." * 1000 + "x@y.zz"
-    row = pii.replace_personal_data(table([(1, text)])).first()
+    row = replace(table([(1, text)])).first()
     assert row.text.startswith("a" * 200_000) and "x@y.zz" not in row.text
 
 
 def test_empty_table(table):
-    assert pii.replace_personal_data(table([])).count() == 0
+    assert replace(table([])).count() == 0
+
+
+def test_no_spelling_ends_the_job(table):
+    """Letters whose upper, lower or title case has another length or no way back."""
+    names = ["Strauß", "Weiß", "İnan", "Iı", "ΟΔΟΣ", "Οδός", "Ŀǆ", "Ǆu", "ŉa", "Ǳez", "Ʞa", "O’Ça", "Ba-Ça", "ẞa", "Ⅻ", "Éa", "Ａb"]
+    rows = []
+    for i, name in enumerate(names):
+        for j, bare in enumerate((name, name.upper(), name.lower(), name.title(), name.swapcase(), name + "s")):
+            rows.append((10 * i + j, f"Mr. Hans {name} met {bare} today. Frau {name} sagte {name.upper()} nichts, John {name}."))
+    got = {r.doc_id: r for r in replace(table(rows)).collect()}
+    assert len(got) == len(rows)
+    for doc_id, text in rows:
+        assert "Hans" not in got[doc_id].text
+        name = names[doc_id // 10]
+        if name in text.split("Mr. Hans ")[1] and name[0].isupper() and name[1:].isalpha() and name.isascii():
+            assert f" {name} " not in got[doc_id].text
+    one, two, three = (re.search(r"Mr\. \w+ (\w+) met (\w+) today\. Frau (\w+) sagte", got[1].text).groups())
+    assert two == one.upper() and three == one != "Strauß"
+
+
+def test_titles_in_a_row_and_titles_alone(table):
+    texts = {1: "Frau Dr. Weber, Herr Prof. Dr. Hans Weber und Mr. Dr", 2: "Mr. John Dr Smith", 3: "Frau Dr", 4: "Dr. Dr. No"}
+    text = {r.doc_id: r.text for r in replace(table(list(texts.items()))).collect()}
+    weber, hans, weber2 = re.fullmatch(r"Frau Dr\. (\w+), Herr Prof\. Dr\. (\w+) (\w+) und Mr\. Dr", text[1]).groups()
+    assert weber == weber2 != "Weber" and hans != "Hans"
+    assert len(text[2].split()) == 4 and "Smith" not in text[2]
+    assert text[3] == texts[3] and re.fullmatch(r"Dr\. Dr\. \w+", text[4]) and "No" not in text[4]
+
+
+def plain(text):
+    """The parts of a text around its mentions, and the mentions, by the regex module."""
+    import regex
+    pattern = regex.compile(pii.ANY.replace(r"\p{IsCyrillic}", r"\p{Cyrillic}"))
+    return pattern.split(text), pattern.findall(text)
+
+
+def test_all_but_mentions_stays_and_entities_stay_apart(spark):
+    """Brute force over the whole small corpus: what stands between mentions is
+    unchanged but for bare names, and distinct entities get distinct surrogates."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    out = {r.doc_id: r for r in replace(docs).collect()}
+    seen, back = {}, {}
+    n_mentions = 0
+    for r in docs.collect():
+        gaps, mentions = plain(r.text or "")
+        assert sum(out[r.doc_id].pii_counts.values()) == len(mentions)
+        n_mentions += len(mentions)
+        words = {w for m in mentions for w in re.split(r"[ .]", m)}
+        at, text = 0, out[r.doc_id].text or ""
+        for gap, mention in zip(gaps, [*mentions, None], strict=True):
+            known = not any(w and re.search(rf"\b{re.escape(w)}\b", gap, re.I) for w in words)
+            if known:
+                assert text.startswith(gap, at), (r.doc_id, gap)
+            end = at + len(gap)
+            if mention is None or not known or not re.fullmatch(r"[0-9 ()+.-]+", mention):
+                break
+            # Numbers keep their length, so the next gap can be found.
+            new = text[end:end + len(mention)]
+            if "." not in mention.strip("."):
+                digits, drawn = re.sub(r"\D", "", mention), re.sub(r"\D", "", new)
+                assert digits != drawn and seen.setdefault(digits, drawn) == drawn and back.setdefault(drawn, digits) == digits
+                assert re.sub(r"\d", "0", mention) == re.sub(r"\d", "0", new)
+            else:
+                break
+            at = end + len(mention)
+    assert n_mentions > 20 and seen
