@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from daypanel.llm import common
 from daypanel.llm.components import components
@@ -222,9 +222,9 @@ def near_links(points: DataFrame, *, max_bits: int = MAX_BITS, shard: int = SHAR
 
 def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                 max_bits: int = MAX_BITS, **index) -> DataFrame:
-    """One row per document: doc_id, key, fingerprint (signed long) and
-    component_id, the smallest doc_id that links of at most ``max_bits``
-    differing bits reach, its own included.
+    """One row per document: doc_id, key, fingerprint (signed long), component_id,
+    the smallest doc_id that links of at most ``max_bits`` differing bits reach, its
+    own included, and root, a fingerprint that names the group.
 
     Texts without words share fingerprint 0 and are linked like any others. Rows
     that repeat an id are members each; a null id is no component's id unless
@@ -234,15 +234,32 @@ def near_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     roots = common.durable(components(near_links(classes, max_bits=max_bits, **index)))
     members = roots.join(classes, F.col("node") == F.col("fingerprint")).select("node", "root", "first_id")
     firsts = members.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("linked_id"))
-    moved = members.join(firsts, F.col("root") == F.col("r")).select("node", "linked_id")
+    moved = members.join(firsts, F.col("root") == F.col("r")).select("node", "root", "linked_id")
     named = common.durable(classes.join(moved, F.col("fingerprint") == F.col("node"), "left").select(
-        F.col("fingerprint").alias("f"), F.coalesce("linked_id", "first_id").alias("component_id")))
+        F.col("fingerprint").alias("f"), F.coalesce("linked_id", "first_id").alias("component_id"),
+        F.coalesce("root", "fingerprint").alias("root")))
     return rows.join(named, F.col("fingerprint") == F.col("f")).select(
-        "doc_id", "key", "fingerprint", "component_id")
+        "doc_id", "key", "fingerprint", "component_id", "root")
 
 
 def keep_first(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` whose id is their group's, with all their columns."""
-    groups = near_groups(docs, doc_id=doc_id, text=text, **how)
-    moved = groups.filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return common.without_keys(docs, moved, doc_id, text)
+    """The rows of ``docs`` whose id is their group's, one of each group, with all
+    their columns. Where several rows of a group have this id, the text with the
+    smallest digest stays, and one of the rows that repeat it."""
+    groups = common.durable(near_groups(docs, doc_id=doc_id, text=text, **how).select("doc_id", "component_id", "key", "root"))
+    is_first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    firsts, moved = groups.filter(is_first).select("root", "key"), groups.filter(~is_first).select("key")
+    repeated = firsts.groupBy("root").count().filter("count > 1").select("root")
+    if not repeated.limit(1).count():
+        return common.without_keys(docs, moved, doc_id, text)
+    again = firsts.join(repeated, "root").groupBy("root", "key").count()
+    best = again.groupBy("root").agg(F.min("key").alias("key"))
+    kept = common.without_keys(docs, moved.unionByName(again.select("key").join(best.select("key"), "key", "left_anti")), doc_id, text)
+    # Of rows that agree in id and text each task passes on one at most.
+    name, place = common.unused_name(docs, "key"), common.unused_name(docs, "place")
+    keys = again.filter("count > 1").select(F.col("key").alias(name))
+    same = common.row_key(doc_id, text) == F.col(name)
+    one = (kept.withColumn(name, common.row_key(doc_id, text)).join(keys, name, "left_semi")
+           .withColumn(place, F.row_number().over(Window.partitionBy(name).orderBy(text)))
+           .filter(F.col(place) == 1).drop(place, name))
+    return kept.join(keys, same, "left_anti").unionByName(one)

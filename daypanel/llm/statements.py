@@ -39,8 +39,9 @@ NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 OP8 = rf"""
 WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS points, {NORMALISED} AS norm FROM documents),
 w AS (SELECT *, first_value(doc_id) OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS keep_id,
+             row_number() OVER (PARTITION BY norm ORDER BY points DESC, doc_id) AS place,
              count(*) OVER (PARTITION BY norm) AS group_size FROM d)
-SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM w"""
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(norm) AS text_sha256 FROM w"""
 
 OP7 = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),

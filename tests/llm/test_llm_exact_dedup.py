@@ -13,10 +13,10 @@ def norm(text):
 
 def brute(rows):
     groups = {}
-    for doc_id, text in rows:
-        groups.setdefault(norm(text), []).append((doc_id, len(text or "")))
-    best = {n: min(g, key=lambda r: (-r[1], r[0] is None, r[0] or 0))[0] for n, g in groups.items()}
-    return sorted(((d, best[norm(t)], len(groups[norm(t)]), d == best[norm(t)]) for d, t in rows), key=str)
+    for i, (doc_id, text) in enumerate(rows):
+        groups.setdefault(norm(text), []).append((-len(text or ""), doc_id is None, doc_id or 0, i))
+    best = {n: min(g)[-1] for n, g in groups.items()}
+    return sorted(((d, rows[best[norm(t)]][0], len(groups[norm(t)]), i == best[norm(t)]) for i, (d, t) in enumerate(rows)), key=str)
 
 
 def result(df):
@@ -33,13 +33,31 @@ def test_hot_text_meets_in_small_groups(table):
     assert result(exact_dedup.exact_groups(table(rows), salts=8)) == brute(rows)
 
 
-def test_keeps_rows_with_all_their_columns(table, odd_rows):
-    docs = table(odd_rows)
-    kept = exact_dedup.keep_best(docs)
-    assert kept.columns == docs.columns
-    assert sorted((str(r.doc_id), r.text) for r in kept.collect() if r.text) == sorted(
-        (str(d), t) for (d, t) in odd_rows if t and (d, True) in {(r[0], r[3]) for r in brute([(d, t)] + odd_rows)}
-        and d == [b for b in brute(odd_rows) if b[0] == d][0][1])
+def test_keeps_one_row_of_a_group_with_all_its_columns(table, odd_rows):
+    for rows in (odd_rows, odd_rows[:4], [(1, "a"), (2, "b")]):
+        docs = table(rows)
+        kept = exact_dedup.keep_best(docs)
+        assert kept.columns == docs.columns
+        found = kept.collect()
+        assert sorted((str(r.doc_id), norm(r.text)) for r in found) == sorted(
+            (str(d), n) for n in {norm(t) for _, t in rows}
+            for d, t in [min((r for r in rows if norm(r[1]) == n), key=lambda r: (-len(r[1] or ""), r[0] is None, r[0] or 0))])
+
+
+REPEATS = [(5, "t"), (5, "t"), (7, "x y"), (7, "xy"), (7, "x y"), (8, "xy"), (None, "n"), (None, "n"), (None, "m"), (3, "m"),
+           (4, "p q"), (4, "pq "), (6, None), (6, ""), (6, None)]
+
+
+def test_of_rows_that_repeat_one_stays(table, monkeypatch):
+    for most in (exact_dedup._WRITTEN_OUT, 1, 2):
+        monkeypatch.setattr(exact_dedup, "_WRITTEN_OUT", most)
+        assert result(exact_dedup.exact_groups(table(REPEATS))) == brute(REPEATS)
+    kept = [(r.doc_id, norm(r.text)) for r in exact_dedup.keep_best(table(REPEATS)).collect()]
+    assert sorted(kept, key=str) == sorted([(5, "t"), (7, "xy"), (None, "n"), (3, "m"), (4, "pq"), (6, "")], key=str)
+    hot = [(1, "same")] * 3000 + [(2, "same")] * 10 + [(3, "other")]
+    monkeypatch.setattr(exact_dedup, "_WRITTEN_OUT", 100)
+    assert result(exact_dedup.exact_groups(table(hot))) == brute(hot)
+    assert sorted(r.doc_id for r in exact_dedup.keep_best(table(hot)).collect()) == [1, 3]
 
 
 def test_empty_table(table):

@@ -89,7 +89,18 @@ def test_groups_equal_brute_force(table, odd_rows):
     assert sorted(((r.doc_id, r.fingerprint % 2**64, r.component_id) for r in found.collect()), key=str) == wanted
     kept = simhash.keep_first(table(rows))
     assert kept.columns == table(rows).columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(d) for d, _, c in wanted if d == c)
+    stays = {roots[p]: first.get(roots[p]) for p in prints}
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, stays.values()))
+
+
+def test_of_rows_that_repeat_one_stays(table):
+    far = [" ".join(f"{w}{i * 7 % 13}" for i in range(60)) for w in ("one", "two", "three", "four")]
+    rows = [(5, far[0])] * 3 + [(5, far[1]), (5, far[1].upper()), (6, far[0]), (None, far[2]), (None, far[2]), (None, far[3])] + [
+        (9, None), (9, "")]
+    prints = {t: naive_fingerprint(t) for t in far}
+    assert all((prints[a] ^ prints[b]).bit_count() > 3 for a in far for b in far if a != b)
+    kept = sorted(((r.doc_id, (r.text or "").lower()) for r in simhash.keep_first(table(rows)).collect()), key=str)
+    assert kept == sorted([(5, far[0]), (5, far[1]), (None, far[2]), (None, far[3]), (9, "")], key=str)
 
 
 def test_empty_table(table):
