@@ -53,17 +53,61 @@ def test_packing_is_valid_and_as_small_as_can_be(table):
     assert check(found, 100) <= -(-sum(lengths) // 100) + 3  # one sequence a block
 
 
-def test_islands_beat_or_match_best_fit_decreasing():
+def plain_best_fit(lengths, capacity):
+    order = np.argsort(-lengths, kind="stable")
+    return len(np.unique(packing.best_fit(lengths, order, np.full(len(lengths), -1, np.int32), capacity)))
+
+
+def test_blocks_waste_nothing_at_their_ends(table, monkeypatch):
+    """The sequences used do not grow with the number of blocks."""
+    rng = random.Random(6)
+    lengths = [rng.randint(1, 40) for _ in range(3000)]
+    rows = table([(i, n) for i, n in enumerate(lengths)], schema="doc_id long, length long", clashing=("uid", "fill", "i", "p"))
+    for block in (3000, 300, 100):
+        found = packing.pack(rows, capacity=100, block=block).collect()
+        assert sorted(r.doc_id for r in found) == list(range(3000))
+        assert check(found, 100) <= -(-sum(lengths) // 100) + 1
+
+
+def test_islands_beat_best_fit_decreasing():
+    """Lengths of which two or three fill a sequence, where best fit is far from it."""
     rng = np.random.default_rng(2)
-    nothing = np.full(400, -1, np.int32)
-    for _ in range(5):
-        lengths = rng.integers(200, 700, 400)
-        order = np.argsort(-lengths, kind="stable")
-        plain = packing.fitness(lengths, packing.best_fit(lengths, order, nothing, 1000), 1000)
-        best = packing.evolve(lengths, [], 1000, 12, 4, rng)[0]
-        assert packing.fitness(lengths, best, 1000) >= plain
+    triplets = []
+    for _ in range(100):
+        a = int(rng.integers(380, 490))
+        b = int(rng.integers((1000 - a) // 2 - 60, (1000 - a) // 2 + 60))
+        triplets += [a, b, 1000 - a - b]
+    for lengths, share in ((rng.integers(250, 500, 1200), 0.96), (np.array(triplets), 0.97), (rng.integers(200, 700, 400), 0.995)):
+        best = packing.evolve(lengths, [], 1000, packing.GENERATIONS, packing.POPULATION, rng)[0]
         assert np.bincount(best, weights=lengths).max() <= 1000
-        assert len(np.unique(best)) >= packing.lower_bound(lengths, 1000)
+        assert packing.lower_bound(lengths, 1000) <= len(np.unique(best)) <= share * plain_best_fit(lengths, 1000)
+
+
+def test_query_path_packs_tighter_than_best_fit(table):
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(250, 500, 1200)
+    rows = table([(i, int(n)) for i, n in enumerate(lengths)], schema="doc_id long, length long", clashing=("uid", "fill", "i", "p"))
+    n = check(packing.pack(rows, capacity=1000).collect(), 1000)
+    assert packing.lower_bound(lengths, 1000) <= n <= 0.96 * plain_best_fit(lengths, 1000)
+
+
+def test_crossover_runs_even_where_best_fit_is_least(monkeypatch):
+    calls, original = [], packing.crossover
+    monkeypatch.setattr(packing, "crossover", lambda *a: (calls.append(1), original(*a))[1])
+    lengths = np.array([10] * 100)
+    population = packing.evolve(lengths, [], 100, 30, 4, np.random.default_rng(1))
+    assert len(calls) == 2 and len(population) == 4 and len(np.unique(population[0])) == 10
+
+
+def test_refill_places_every_piece_once():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        lengths = rng.integers(1, 60, rng.integers(1, 80))
+        whole = packing.best_fit(lengths, rng.permutation(len(lengths)), np.full(len(lengths), -1, np.int32), 100)
+        opened = np.where(rng.random(len(lengths)) < rng.random(), -1, whole)
+        filled = packing.refill(lengths, opened, 100, rng)
+        assert filled.min() == 0 and np.bincount(filled, weights=lengths).max() <= 100
+        assert len(np.unique(filled)) == filled.max() + 1
 
 
 def test_crossover_keeps_every_piece_once():
