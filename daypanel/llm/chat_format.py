@@ -20,6 +20,7 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 import xxhash
@@ -95,11 +96,33 @@ def schema_paths(kind: T.DataType, prefix: str = "") -> set[str]:
     return {prefix}
 
 
-def select_layout(paths, layouts=LAYOUTS) -> Layout | None:
-    """The mapping for a set of paths. Paths that no mapping knows (ids, scores,
-    sources) are left out before hashing."""
-    known = frozenset().union(*(layout.paths() for layout in layouts))
-    return by_fingerprint(layouts).get(fingerprint(frozenset(paths) & known))
+def select_layout(paths, layouts=LAYOUTS, empty=frozenset()) -> Layout | None:
+    """The mapping for a set of paths, by its hash. Paths that no mapping knows (ids,
+    scores, sources) are left out first. ``empty`` are paths of nulls: they count as
+    absent, or as present where nothing is found without them. A set with paths of
+    several layouts, as extra columns make it, selects the most specific of the
+    layouts it holds, the first of equals."""
+    known, chosen = frozenset().union(*(layout.paths() for layout in layouts)), by_fingerprint(layouts)
+    for there in (frozenset(paths) & known, (frozenset(paths) | frozenset(empty)) & known):
+        if fingerprint(there) in chosen:
+            return chosen[fingerprint(there)]
+    for there in (frozenset(paths), frozenset(paths) | frozenset(empty)):
+        held = [layout for layout in layouts if layout.paths() <= there]
+        if held:
+            return max(held, key=lambda layout: len(layout.paths()))
+    return None
+
+
+def null_paths(value, prefix: str = "", layouts=LAYOUTS) -> set[str]:
+    """The paths of nulls in a parsed record, and of the roles and texts that the
+    items of an empty list of turns would have."""
+    if isinstance(value, dict):
+        return set().union(*(null_paths(v, f"{prefix}.{k}" if prefix else k, layouts) for k, v in value.items()))
+    if isinstance(value, list) and value:
+        return set().union(*(null_paths(v, f"{prefix}[]", layouts) for v in value))
+    if isinstance(value, list):
+        return set().union(*(layout.paths() for layout in layouts if layout.turns == prefix))
+    return {prefix} if value is None else set()
 
 
 def _at(value, path: str):
@@ -134,8 +157,8 @@ def turns_from_json(records: DataFrame, *, record: str = "record", key: str = "c
                     layouts=LAYOUTS) -> DataFrame:
     """Rows (key, layout, turn, role, text) from a column of JSON records of any
     mix of layouts. A record without a mapping, a null and one that is no JSON
-    object gives one row with a null layout, turn, role and text, so none is
-    lost. Repeated keys are told apart by the caller, who sees one row set each."""
+    object gives one row with a null layout, turn, role and text, and an empty list
+    of turns one with its layout, so none is lost. Null texts are empty. Repeated keys are told apart by the caller, who sees one row set each."""
     common.ship()
     kind = records.schema[key].dataType
 
@@ -147,12 +170,13 @@ def turns_from_json(records: DataFrame, *, record: str = "record", key: str = "c
                     value = json.loads(line) if line else None
                 except ValueError:
                     value = None
-                layout = select_layout(value_paths(value), layouts) if isinstance(value, dict) else None
-                if layout is None:
-                    out.append((name, None, None, None, None))
-                else:
-                    out += [(name, layout.name, i, role, text)
-                            for i, (role, text) in enumerate(turns_of(value, layout))]
+                layout, turns = None, []
+                if isinstance(value, dict):
+                    layout = select_layout(value_paths(value), layouts, null_paths(value, layouts=layouts))
+                if layout is not None:
+                    turns = turns_of(value, layout)
+                out += [(name, layout.name, i, role, text) for i, (role, text) in enumerate(turns)] or [
+                    (name, layout and layout.name, None, None, None)]
             names = (key, "layout", "turn", "role", "text")
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = (batch.schema.field(0).type, pa.string(), pa.int64(), pa.string(), pa.string())
@@ -166,12 +190,13 @@ def turns_from_json(records: DataFrame, *, record: str = "record", key: str = "c
 
 def turns_from_rows(rows: DataFrame, *, key: str = "conv_id", turn: str = "turn", layouts=LAYOUTS) -> DataFrame:
     """The same rows from a table that holds one turn in each row; its schema's
-    fingerprint must select such a mapping."""
-    layout = select_layout(schema_paths(rows.schema), layouts)
-    if layout is None or not layout.rows:
+    fingerprint must select such a mapping, whatever other columns there are."""
+    layout = select_layout(schema_paths(rows.schema), [layout for layout in layouts if layout.rows])
+    if layout is None:
         raise ValueError(f"no mapping for a table of turns with the fields {sorted(schema_paths(rows.schema))}")
+    role = F.coalesce(F.col(layout.role), F.lit(""))
     return rows.select(F.col(key).alias("conv_id"), F.lit(layout.name).alias("layout"), F.col(turn).alias("turn"),
-                       F.coalesce(F.col(layout.role), F.lit("")).alias("role"),
+                       reduce(lambda named, one: named.when(role == one[0], one[1]), ROLES.items(), F).otherwise(role).alias("role"),
                        F.coalesce(F.col(layout.text), F.lit("")).alias("text"))
 
 

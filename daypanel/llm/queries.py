@@ -104,7 +104,18 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
                                     F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                     F.lit(forged).alias("text"))
-    turns = chat_format.turns_from_rows(rows.unionByName(planted))
+    rows = rows.unionByName(planted)
+    # A quarter of the rows are mapped as they are. The others come as records of one
+    # turn each, in layouts that differ, and each record's own fields select its mapping.
+    kind = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
+    message = F.array(F.struct("role", F.col("text").alias("content")))
+    records = {1: F.struct(message.alias("messages")), 2: F.struct(F.struct(message.alias("messages")).alias("data")),
+               3: F.struct(F.array(F.struct(F.col("role").alias("from"), F.col("text").alias("value"))).alias("conversations"))}
+    written = [F.when(kind == i, F.to_json(record, {"ignoreNullFields": "false"})) for i, record in records.items()]
+    parsed = chat_format.turns_from_json(rows.filter(kind != 0).select(
+        F.struct("conv_id", F.col("turn").alias("at")).alias("key"), F.coalesce(*written).alias("record")), key="key")
+    turns = chat_format.turns_from_rows(rows.filter(kind == 0)).unionByName(
+        parsed.select("key.conv_id", "layout", F.col("key.at").alias("turn"), "role", "text"))
     return chat_format.read_back(chat_format.format_turns(turns))
 
 

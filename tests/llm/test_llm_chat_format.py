@@ -90,3 +90,50 @@ def test_empty_table(spark):
     empty = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_turns(chat.turns_from_rows(empty))).count() == 0
     assert chat.turns_from_json(spark.createDataFrame([], "conv_id long, record string")).count() == 0
+
+
+def test_roles_of_rows_are_mapped_like_those_of_records(spark):
+    rows = [(1, 0, "human", "u"), (1, 1, "gpt", "a"), (1, 2, None, "n"), (1, 3, "tool", "t")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = [(r.role, r.text) for r in chat.turns_from_rows(table).orderBy("turn").collect()]
+    assert found == [("user", "u"), ("assistant", "a"), ("", "n"), ("tool", "t")]
+    assert chat.read_back(chat.format_turns(chat.turns_from_rows(table))).first().loss_chars == 1
+
+
+def test_extra_columns_do_not_hide_a_table_of_turns(spark):
+    table = spark.createDataFrame([(1, 0, "user", "u")], "conv_id long, turn long, role string, text string").selectExpr(
+        "*", "'p' prompt", "'c' completion", "'s' system", "'o' output", "array(struct('r' role, 'c' content)) messages")
+    assert [(r.layout, r.role, r.text) for r in chat.turns_from_rows(table).collect()] == [("turn_rows", "user", "u")]
+
+
+def test_records_with_nulls_and_more_than_one_layout(spark):
+    cases = [
+        ({"prompt": "p", "completion": None}, [("prompt_completion", "user", "p"), ("prompt_completion", "assistant", "")]),
+        ({"prompt": None, "response": "r"}, [("prompt_response", "user", ""), ("prompt_response", "assistant", "r")]),
+        ({"prompt": "p", "messages": [{"role": "user", "content": "m"}]}, [("messages", "user", "m")]),
+        ({"prompt": "p", "response": "r", "completion": "c", "system": "s"},
+         [("system_prompt_response", "system", "s"), ("system_prompt_response", "user", "p"), ("system_prompt_response", "assistant", "r")]),
+        ({"messages": []}, [("messages", None, None)]),
+        ({"data": {"messages": [{"role": None, "content": None}]}}, [("data_messages", "", "")]),
+        ({"role": "user", "text": None}, [("turn_rows", "user", "")]),
+        ({"question": "q"}, [(None, None, None)]),
+    ]
+    table = spark.createDataFrame([(i, json.dumps(r)) for i, (r, _) in enumerate(cases)], "conv_id long, record string")
+    found = {}
+    for r in chat.turns_from_json(table).orderBy("conv_id", "turn").collect():
+        found.setdefault(r.conv_id, []).append((r.layout, r.role, r.text))
+    assert found == {i: turns for i, (_, turns) in enumerate(cases)}
+
+
+def test_the_query_passes_rows_through_every_layout(spark, monkeypatch, tmp_path):
+    from daypanel.llm import queries
+    rows = [(c, t, "user" if t % 2 else "assistant", ODD[(c + t) % len(ODD)]) for c in range(30) for t in range(4)] + [(None, None, None, None)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    seen, original = [], chat.format_turns
+    monkeypatch.setattr(chat, "format_turns", lambda turns: (seen.extend(r.layout for r in turns.collect()), original(turns))[1])
+    found = {r.conv_id: r for r in queries.op10_chat_format(spark, str(tmp_path)).collect()}
+    assert set(seen) == {"turn_rows", "messages", "data_messages", "conversations"} and len(seen) == len(rows) + 2
+    for conv in range(30):
+        turns = [(role, text) for c, _, role, text in rows if c == conv]
+        assert (found[conv].n_turns, found[conv].turns_sha256, found[conv].loss_chars, found[conv].loss_sha256) == digests(turns)
+    assert found[None].n_turns == 1 and found[-1].n_turns == 2
