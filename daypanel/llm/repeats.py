@@ -273,7 +273,10 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     A byte goes if it lies in a string of ``length`` bytes that also starts
     anywhere else, in the same text or another one, overlaps included. Nulls are
     empty; texts shorter than ``length`` stay as they are. Rows that repeat,
-    under whatever id, are copies like any others. Other columns are not read."""
+    under whatever id, are copies like any others. Other columns are not read.
+    ``length`` may exceed ``anchor`` by 1023 at most."""
+    if not 0 <= length - anchor <= 1023:  # an anchor's two distances are kept in ten bits each
+        raise ValueError(f"length must be {anchor} to {anchor + 1023} with anchors of {anchor} bytes, not {length}")
     common.ship()
     content = common.whole(text).cast("binary")
     rows = docs.select(F.col(doc_id).alias("doc_id"), *_halves(content), content.alias("text"))

@@ -27,11 +27,11 @@ FROM d LEFT JOIN c USING (doc_id) LEFT JOIN i USING (doc_id)"""
 
 OP5 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
-h AS (SELECT payload, max(page_id) AS holder FROM p WHERE n >= 1000 GROUP BY payload)
-SELECT page_id, n::BIGINT AS payload_bytes, sha1(p.payload) AS payload_digest,
-       CASE WHEN holder <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN holder <> page_id THEN holder END AS refers_to
-FROM p LEFT JOIN h ON p.n >= 1000 AND p.payload = h.payload"""
+h AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY payload) END AS holder,
+             row_number() OVER (PARTITION BY payload ORDER BY page_id DESC NULLS LAST) > 1 AS later FROM p)
+SELECT page_id, n::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN holder IS NOT NULL AND later THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN later THEN holder END AS refers_to FROM h"""
 
 # Deletes [\x20\x09-\x0D].
 NORMALISED = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"

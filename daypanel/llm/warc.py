@@ -57,11 +57,11 @@ def write_archives(pages: DataFrame, path: str, *, page_id: str = "page_id", url
     captures each below ``path``.
 
     Of pages with equal payloads of at least ``revisit_from`` bytes, the one with
-    the largest page_id holds the payload; the others are revisits that refer to
-    it. A null html is an empty payload, a null url has no target, and a null
+    the largest page_id holds the payload, of several with this id the one with the
+    largest url; the others are revisits that refer to it. A null html is an empty payload, a null url has no target, and a null
     page_id never holds a payload that a page with an id has too. Pages that
-    repeat in every column are captures of their own, with ids of their own;
-    revisits refer to the first of them. Other columns are not read."""
+    repeat in every column are captures of their own, with ids of their own, and
+    the first of them counts as the largest. Other columns are not read."""
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), payload.alias("payload"))
     hashed = F.unhex(F.sha2("payload", 256))
@@ -95,7 +95,8 @@ def write_archives(pages: DataFrame, path: str, *, page_id: str = "page_id", url
         columns = ["page_id", "url", "payload", "h_id", "h_url", "copy"]
         rows = single.withColumn("copy", F.lit(0).cast("long")).select(columns).unionByName(many.select(columns))
 
-    revisit = F.col("h_id").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("h_id"))
+    holds = F.col("page_id").eqNullSafe(F.col("h_id")) & F.col("url").eqNullSafe(F.col("h_url")) & (F.col("copy") == 0)
+    revisit = F.col("h_id").isNotNull() & ~holds
     digest = F.sha1(F.col("payload").cast("binary"))
     uri = F.regexp_replace(F.col("url"), r"[\x00-\x20\x7F]", "")
     first = _uuid(F.lit("main"), F.col("page_id"), F.col("url"), digest)

@@ -103,3 +103,9 @@ def test_suffixes_sort_by_their_bytes(monkeypatch, misled):
 
 def test_empty_table(table):
     assert repeats.remove_repeats(table([])).count() == 0
+
+
+def test_lengths_beyond_the_anchors_reach_are_an_error(table):
+    for length in (repeats.ANCHOR + 1024, repeats.ANCHOR - 1):
+        with pytest.raises(ValueError, match="length must be"):
+            repeats.remove_repeats(table([]), length=length)

@@ -53,11 +53,21 @@ def test_one_capture_per_row(spark, tmp_path, monkeypatch):
         (page_id, url, len((html or "").encode()), hashlib.sha1((html or "").encode()).hexdigest()) for page_id, url, html in rows)
     by_id = {r.capture_id: r for r in found}
     assert len(by_id) == len(rows) and all(len(r.requests) == len(r.metadata) == 1 for r in found)
+    held = [r for r in found if r.payload_sha1 == hashlib.sha1(BIG.encode()).hexdigest() and r.record_type == "response"]
+    assert [(r.metadata[0].fields["page-id"], r.target_uri) for r in held] == [("2", "http://b/2")]
     for r in found:
-        revisit = r.metadata[0].fields["page-id"] == "1"
+        revisit = r.payload_sha1 == held[0].payload_sha1 and r.capture_id != held[0].capture_id
         assert r.record_type == ("revisit" if revisit else "response")
-        assert not revisit or by_id[r.refers_to].metadata[0].fields["page-id"] == "2"
-        assert (r.payload is None) == revisit
+        assert r.refers_to == (held[0].capture_id if revisit else None) and (r.payload is None) == revisit
+
+
+def test_of_pages_that_repeat_one_holds(spark, tmp_path):
+    rows = [(5, "http://a/5", BIG)] * 4 + [(6, None, BIG + "x")] * 2 + [(None, "u", BIG + "y")] * 2
+    folder = str(tmp_path / "archives")
+    warc.write_archives(pages(spark, rows), folder)
+    found = warc.assemble(warc.read_records(spark, folder)).collect()
+    kinds = Counter((r.metadata[0].fields["page-id"] or None, r.record_type) for r in found)
+    assert kinds == {("5", "response"): 1, ("5", "revisit"): 3, ("6", "response"): 1, ("6", "revisit"): 1, (None, "response"): 2}
 
 
 def test_empty_table(spark, tmp_path):
