@@ -107,7 +107,8 @@ def exact_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     integers; other columns of ``docs`` are not read.
     ``digest`` may be any function of the normalised text, even a constant:
     results stay the same."""
-    counted = _counted(docs, doc_id, text, salts, digest)
+    # Stored, or each of the two uses below would read the texts again.
+    counted = common.durable(_counted(docs, doc_id, text, salts, digest))
     ends = F.least(F.col("n"), F.col("low") + _WRITTEN_OUT - 1)
     few = counted.filter(F.col("n") <= _WRITTEN_OUT).withColumn("low", F.lit(1).cast("long"))
     many = counted.filter(F.col("n") > _WRITTEN_OUT).withColumn(
