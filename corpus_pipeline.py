@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from daypanel.llm import decontaminate, exact_dedup, packing, simhash, toxicity
-from daypanel.session import run_folder
+from daypanel.session import remove_folder, run_folder
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,10 +46,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the rows of the last one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; the rows of the last one. A stage's files go
+    when the next one has read them; those of the last stay, for the result."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (_, stage) in enumerate(STAGES):
         folder = run_folder(spark, f"pipeline-{number}")
         stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
+        if before is not None:
+            remove_folder(spark, before)
+        docs, before = spark.read.parquet(folder), folder
     return docs
