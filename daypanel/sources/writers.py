@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from daypanel import schema
 from daypanel.functions import text
 from daypanel.operators import panel
-from daypanel.session import durable, is_there, remove_folder, run_folder
+from daypanel.session import durable, is_there, many_files, remove_folder, run_folder
 from daypanel.sources import prices, vendor
 
 
@@ -84,7 +84,8 @@ def merge_vendor_folder(spark: SparkSession, folder: str, target: str, *, strict
         return
     stage = run_folder(spark, "vendor-lines")
     try:
-        vendor.read_tagged_lines(spark, folder).write.parquet(stage)
+        with many_files(spark):
+            vendor.read_tagged_lines(spark, folder).write.parquet(stage)
         lines = spark.read.parquet(stage)
         files = durable(vendor.file_verdicts(lines))
         n_files = files.count()
@@ -103,14 +104,35 @@ def merge_vendor_folder(spark: SparkSession, folder: str, target: str, *, strict
         remove_folder(spark, stage)
 
 
+# Writing a ticker's few lines costs a task more than the lines do: tasks are cut by
+# files, not by bytes.
+FILES_PER_TASK = 250
+LINES_PER_FILE = 1_000_000
+
+
 def write_vendor_folder(rows: DataFrame, folder: str) -> None:
     """Vendor files of a price table: ``ticker=<ticker>/``, one or more CSV files
     with a header and the nine columns a vendor sends. A ticker of many rows is
     several files, written by several tasks."""
     unused = F.lit("0")
     cells = {0: F.date_format("day", "yyyy-MM-dd"), 5: F.col("price").cast("string"), 6: F.col("volume").cast("string")}
-    (rows.select("ticker", *[cells.get(i, unused).alias(name) for i, name in enumerate(schema.VENDOR_HEADER)])
-     .hint("rebalance", "ticker").write.partitionBy("ticker").option("header", True).csv(folder))
+    lines = rows.select("ticker", *[cells.get(i, unused).alias(name) for i, name in enumerate(schema.VENDOR_HEADER)])
+    by_ticker(lines).write.partitionBy("ticker").option("header", True).csv(folder)
+
+
+def by_ticker(lines: DataFrame, *, lines_per_file: int = LINES_PER_FILE) -> DataFrame:
+    """Lines laid out for a write by ticker: a ticker's lines in one task, or, of more
+    than ``lines_per_file``, spread over as many as they fill; and no task has many
+    more than `FILES_PER_TASK` files. The lines are stored first."""
+    lines = durable(lines)
+    parts = F.ceil(F.count(F.lit(1)) / lines_per_file)
+    files = lines.groupBy("ticker").agg(parts.alias("__parts"))
+    n_files = files.agg(F.sum("__parts")).first()[0] or 0
+    n_tasks = max(lines.sparkSession.sparkContext.defaultParallelism, -(-n_files // FILES_PER_TASK))
+    long = files.where(F.col("__parts") > 1)  # few: each stands for many lines
+    part = F.coalesce(F.pmod(F.xxhash64(*[c for c in lines.columns if c != "ticker"]), "__parts"), F.lit(0).cast("long"))
+    return (lines.join(long, "ticker", "left").withColumn("__part", part)
+            .repartition(n_tasks, "ticker", "__part").select(*lines.columns))
 
 
 def result_lines(totals: DataFrame) -> DataFrame:

@@ -401,3 +401,44 @@ def test_a_long_file_is_one_verdict_of_many_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
     assert price_source.read_prices(spark, str(tmp_path / "merged")).agg(F.count("*"), F.sum("price")).first()[:] == (20_000, 200_010_000.0)
     assert [tuple(r)[1:] for r in spark.read.parquet(str(tmp_path / "rejected")).collect()] == [("error message", 20_001, "{")]
+
+
+# -- folders of very many files -----------------------------------------------
+
+def test_a_write_by_ticker_is_cut_by_files(spark, tmp_path):
+    """Tickers of one line are little to shuffle and much to write."""
+    rows = price_frame(spark, [(f"T{i}", 1, i) for i in range(12 * writers.FILES_PER_TASK)] + [(None, 1, 1.0)])
+    laid = writers.by_ticker(rows)
+    sizes = [r.n for r in laid.groupBy(F.spark_partition_id().alias("at")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) >= 12 and max(sizes) < 2 * writers.FILES_PER_TASK
+    assert sorted(map(str, laid.collect())) == sorted(map(str, rows.collect()))
+    assert writers.by_ticker(rows.where("false")).count() == 0
+
+
+def test_a_long_ticker_is_several_tasks_work(spark):
+    rows = price_frame(spark, [("LONG", 1 + i % 28, i) for i in range(1000)] * 2 + [(f"T{i}", 1, 1.0) for i in range(50)])
+    laid = writers.by_ticker(rows, lines_per_file=100)
+    at = laid.withColumn("at", F.spark_partition_id())
+    tasks = {r.ticker: r.n for r in at.groupBy("ticker").agg(F.count_distinct("at").alias("n")).collect()}
+    assert tasks.pop("LONG") >= 5 and set(tasks.values()) == {1}
+    assert sorted(map(tuple, laid.collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_small_files_share_a_task(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "daily"
+    folder.mkdir()
+    for i in range(640):
+        (folder / f"T{i}.csv").write_text("\n".join([HEADER, vendor_line("2018-03-01", i, 1)]))
+    name, read, parts = "spark.sql.files.openCostInBytes", vendor.read_tagged_lines, []
+    before = spark.conf.get(name)
+
+    def counted(*given):
+        lines = read(*given)
+        parts.append(lines.rdd.getNumPartitions())
+        return lines
+
+    monkeypatch.setattr(vendor, "read_tagged_lines", counted)
+    writers.merge_vendor_folder(spark, str(folder), str(tmp_path / "merged"))
+    assert parts[0] <= 10  # twenty at Spark's own setting
+    assert spark.conf.get(name) == before
+    assert price_source.read_prices(spark, str(tmp_path / "merged")).agg(F.count("*"), F.sum("price")).first()[:] == (640, 640 * 639 / 2)
