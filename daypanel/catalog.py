@@ -275,8 +275,8 @@ def faulty_vendor_folder(spark: SparkSession, sf_dir: str, folder: str) -> None:
     last = F.substring("ticker", -1, 1)
     header = ",".join(schema.VENDOR_HEADER)
     extra = F.when(last == "7", F.lit('{ "Note": "call limit reached" }')).when(last == "3", F.lit(f"{header}\n2024-01-05,1,2"))
-    (load_tickers(spark, sf_dir).select("ticker", extra.alias("value")).where("value is not null")
-     .write.mode("append").partitionBy("ticker").text(folder))
+    lines = load_tickers(spark, sf_dir).select("ticker", extra.alias("value")).where("value is not null")
+    writers.by_ticker(lines).write.mode("append").partitionBy("ticker").text(folder)
 
 
 @query
