@@ -1,7 +1,7 @@
 """Probabilistic automata from examples, by merging compatible states.
 
 Examples form a prefix tree, grown level by level. A node is a set of positions in
-examples; what follows them are its statistics: the share that ends, the share of
+examples, of which only tallies are needed, so examples may lie anywhere; what follows them are its statistics: the share that ends, the share of
 each next character, the classes of the characters after that, and how much is
 left. A node with enough examples is merged into a state of its own level, or else
 of an earlier one, if all these agree within Hoeffding bounds; otherwise it becomes
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from collections.abc import Iterator
 
 ALPHABET = 68  # characters a credential may hold, and its end
 UNSEEN = 0.03  # the share of probability left for characters a state never saw
@@ -21,6 +22,8 @@ ALPHA = 0.05
 EVIDENCE = 12  # examples that must pass a node before it is compared alone
 LOOP = 4  # times as many, on both sides, make a loop
 AHEAD = 6  # positions whose classes are compared
+UNIT = 1 << 20  # the weight of one whole example; weights are integers, so sums are exact
+DEPTH = 256  # levels; what lies beyond is learned with one state per class of character
 POOLED = 20.0  # examples' worth of belief in classes over single characters
 
 LOWER, UPPER, DIGIT = "a", "A", "0"
@@ -34,27 +37,34 @@ def class_of(character: str) -> str:
     return _CLASS.get(character, character)
 
 
-class _Node:
-    """Positions in examples with what follows them."""
+class Tally:
+    """What follows a set of positions in examples, each with its weight; tallies of
+    parts of the examples add up, in any order, to that of all."""
 
     def __init__(self):
-        self.items: list[tuple[str, int]] = []
-        self.next: dict[str, int] = {}
-        self.pools: dict[str, int] = {}  # where the rare characters of a class lead
+        self.n = 0
         self.shares: list[Counter] = [Counter() for _ in range(AHEAD + 2)]  # next, left, classes ahead
 
-    def add(self, items: list[tuple[str, int]]) -> None:
-        self.items += items
+    def add(self, text: str, at: int, weight: int = UNIT) -> None:
+        self.n += weight
         following, left, *ahead = self.shares
-        for text, at in items:
-            following[text[at:at + 1]] += 1
-            left[len(text) - at] += 1
-            for i, share in enumerate(ahead, at):
-                share[class_of(text[i]) if i < len(text) else ""] += 1
-
-    def agrees(self, other: _Node, bound: float) -> bool:
-        n, m = len(self.items), len(other.items)
-        most = bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
+        following[text[at:at + 1]] += weight
+        left[len(text) - at] += weight
+        for i, share in enumerate(ahead, at):
+            share[class_of(text[i]) if i < len(text) else ""] += weight
+
+    def merge(self, other: Tally) -> None:
+        self.merge_parts(other.n, other.shares)
+
+    def merge_parts(self, n: int, shares: list[dict]) -> None:
+        self.n += n
+        for mine, share in zip(self.shares, shares, strict=True):
+            for key, weight in share.items():
+                mine[key] += weight
+
+    def agrees(self, other: Tally, bound: float) -> bool:
+        n, m = self.n, other.n
+        most = bound * (1 / math.sqrt(n / UNIT) + 1 / math.sqrt(m / UNIT))
         following, left, *ahead = zip(self.shares, other.shares, strict=True)
         if any(abs(a[key] / n - b[key] / m) > most for a, b in (following, *ahead) for key in a.keys() | b.keys()):
             return False
@@ -66,6 +76,15 @@ class _Node:
         return True
 
 
+class _Node(Tally):
+    """A state: what follows it, and where it leads."""
+
+    def __init__(self):
+        super().__init__()
+        self.next: dict[str, int] = {}
+        self.pools: dict[str, int] = {}  # where the rare characters of a class lead
+
+
 class Automaton:
     """States with a log-probability and a next state per character; for others of
     a class that a state knows, one per class; and for those of other classes one
@@ -89,72 +108,132 @@ class Automaton:
         return total + self.ends[at]
 
 
-def infer(examples: list[str], alpha: float = ALPHA, evidence: int = EVIDENCE) -> Automaton:
-    """The automaton of the examples; they are few enough for one machine."""
-    bound = math.sqrt(0.5 * math.log(2 / alpha))
-    states = [_Node()]
-    states[0].add([(text, 0) for text in sorted(examples)])
-    level = [0]  # states that are new in this level
-    arrived: list[tuple[int, list]] = []  # (state, positions) merged into older states, to be passed on
-    while level or arrived:
-        # Positions by where they come from and by what character.
-        groups: dict[tuple[int, str], list] = defaultdict(list)
-        for state, items in [*((s, states[s].items) for s in level), *arrived]:
-            for text, at in items:
-                if at < len(text):
-                    groups[state, text[at]].append((text, at + 1))
-        level, arrived = [], []
-        open_: list[tuple[list, list, bool]] = []  # (edges, positions, pooled)
-        few: dict[tuple[int, str], tuple[list, list]] = {}
+class Builder:
+    """States grown level by level from tallies, wherever these were made: `root`
+    takes that of all examples, then `level` those of each (state, next character) at
+    which examples are, until none goes on or `DEPTH` is reached; `tail` takes what
+    lies beyond."""
+
+    def __init__(self, alpha: float = ALPHA, evidence: int = EVIDENCE):
+        self.bound, self.evidence = math.sqrt(0.5 * math.log(2 / alpha)), evidence * UNIT
+        self.states = [_Node()]
+
+    def root(self, tally: Tally) -> None:
+        self.states[0].merge(tally)
+
+    def level(self, groups: dict[tuple[int, str], Tally]) -> None:
+        states, evidence = self.states, self.evidence
+        level: list[int] = []  # states that are new in this level
+        open_: list[tuple[list, Tally, bool]] = []  # (edges, positions, pooled)
+        few: dict[tuple[int, str], tuple[list, Tally]] = {}
         for edge in sorted(groups):
             state, character = edge
             if character in states[state].next:  # positions follow the way there is
-                target = states[state].next[character]
-                states[target].add(groups[edge])
-                arrived.append((target, groups[edge]))
-            elif len(groups[edge]) >= evidence:
+                states[states[state].next[character]].merge(groups[edge])
+            elif groups[edge].n >= evidence:
                 open_.append(([edge], groups[edge], False))
             else:
-                edges, items = few.setdefault((state, class_of(character)), ([], []))
+                edges, tally = few.setdefault((state, class_of(character)), ([], Tally()))
                 edges.append(edge)
-                items += groups[edge]
+                tally.merge(groups[edge])
         # A node's own pool of a class, or that of all nodes whose pools are small.
-        rest: dict[str, tuple[list, list]] = {}
-        for (_, kind), (edges, items) in few.items():
-            if len(items) >= evidence:
-                open_.append((edges, items, True))
+        rest: dict[str, tuple[list, Tally]] = {}
+        for (_, kind), (edges, tally) in few.items():
+            if tally.n >= evidence:
+                open_.append((edges, tally, True))
             else:
-                pool = rest.setdefault(kind, ([], []))
+                pool = rest.setdefault(kind, ([], Tally()))
                 pool[0].extend(edges)
-                pool[1].extend(items)
-        open_ += [(edges, items, True) for edges, items in rest.values()]
-        for edges, items, pooled in sorted(open_, key=lambda group: -len(group[1])):
-            node = _Node()
-            node.add(items)
-            enough = len(items) >= LOOP * evidence
-            older = range(min(level, default=len(states)) - 1, -1, -1) if enough else ()
-            known = [*level, *(s for s in older if len(states[s].items) >= LOOP * evidence)]
-            match = next((s for s in known if node.agrees(states[s], bound)), None)
+                pool[1].merge(tally)
+        open_ += [(edges, tally, True) for edges, tally in rest.values()]
+        for edges, tally, pooled in sorted(open_, key=lambda group: -group[1].n):
+            older = range(min(level, default=len(states)) - 1, -1, -1) if tally.n >= LOOP * evidence else ()
+            known = [*level, *(s for s in older if states[s].n >= LOOP * evidence)]
+            match = next((s for s in known if tally.agrees(states[s], self.bound)), None)
             if match is None:
                 match = len(states)
-                states.append(node)
+                states.append(_Node())
                 level.append(match)
-            else:
-                states[match].add(items)
-                if match not in level:
-                    arrived.append((match, items))
+            states[match].merge(tally)
             for state, character in edges:
                 states[state].next[character] = match
                 if pooled:
                     states[state].pools[class_of(character)] = match
-    return _probabilities(states)
+
+    def ways(self) -> list[dict[str, int]]:
+        """Per state, where each character leads."""
+        return [state.next for state in self.states]
+
+    def tail(self, steps: dict[tuple[int | str, str, str], int]) -> None:
+        """The weights of all steps beyond `DEPTH`, as `tail_steps` gives them."""
+        at: dict[str, int] = {}
+        for key in sorted({key for start, c, _ in steps for key in (start, class_of(c)) if isinstance(key, str)}):
+            at[key] = len(self.states)
+            self.states.append(_Node())
+        ways = [dict(way) for way in self.ways()]
+        for (start, character, after), weight in steps.items():
+            start = at.get(start, start)
+            target = ways[start].get(character, at.get(class_of(character)))
+            self.states[start].next[character] = target
+            self.states[target].n += weight
+            self.states[target].shares[0][after] += weight
+
+    def automaton(self) -> Automaton:
+        return _probabilities(self.states)
+
+
+def place(ways: list[dict[str, int]], text: str, depth: int) -> int:
+    """The state that the first ``depth`` characters of an example lead to."""
+    state = 0
+    for character in text[:depth]:
+        state = ways[state][character]
+    return state
+
+
+def tail_steps(ways: list[dict[str, int]], text: str) -> Iterator[tuple[int | str, str, str]]:
+    """(state, character, the one after it) of an example's characters beyond
+    `DEPTH`. Where no way is known there is one state for each class of character."""
+    state: int | str = place(ways, text, DEPTH)
+    for i in range(DEPTH, len(text)):
+        yield state, text[i], text[i + 1:i + 2]
+        state = (ways[state] if isinstance(state, int) else {}).get(text[i], class_of(text[i]))
+
+
+def infer(examples: list[str], alpha: float = ALPHA, evidence: int = EVIDENCE) -> Automaton:
+    """The automaton of examples that are few enough for one machine."""
+    builder = Builder(alpha, evidence)
+    root = Tally()
+    for text in examples:
+        root.add(text, 0)
+    builder.root(root)
+    return finish(builder, [(text, UNIT) for text in examples], 0)
+
+
+def finish(builder: Builder, examples: list[tuple[str, int]], depth: int) -> Automaton:
+    """The automaton, given all (example, weight) that go on after ``depth`` levels."""
+    living = [(text, weight, place(builder.ways(), text, depth)) for text, weight in examples]
+    for at in range(depth, DEPTH):
+        living = [item for item in living if at < len(item[0])]
+        if not living:
+            return builder.automaton()
+        groups: dict[tuple[int, str], Tally] = defaultdict(Tally)
+        for text, weight, state in living:
+            groups[state, text[at]].add(text, at + 1, weight)
+        builder.level(groups)
+        living = [(text, weight, builder.states[state].next[text[at]]) for text, weight, state in living]
+    steps: Counter = Counter()
+    for text, weight, _ in living:
+        for step in tail_steps(builder.ways(), text):
+            steps[step] += weight
+    builder.tail(steps)
+    return builder.automaton()
 
 
 def _probabilities(states: list[_Node]) -> Automaton:
     steps, classes, ends, entered = [], [], [], defaultdict(Counter)
     for state in states:
-        n, following = len(state.items), state.shares[0]
-        trust = n / (n + POOLED)
+        n, following = state.n, state.shares[0]
+        trust = n / (n + POOLED * UNIT)
         by_class, ways = Counter(), defaultdict(Counter)
         for character, target in state.next.items():
             by_class[class_of(character)] += following[character]

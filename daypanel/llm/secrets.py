@@ -1,31 +1,35 @@
 """Secrets in texts: fixed formats, and formats learned from them.
 
-Matches of the fixed formats in all texts are labelled credentials. A bounded
-sample of the distinct ones teaches one probabilistic automaton per kind, and a
-sample of other long tokens one for ordinary text. That sample is drawn evenly
-from strata of classes of characters and length, so rare ordinary formats
-(addresses, dates, paths) are in it; a stratum with a quarter as many labelled
+Matches of the fixed formats in all texts are labelled credentials. All distinct
+ones of a kind teach one probabilistic automaton, and half of all other distinct long
+tokens one for ordinary text. Nothing is sampled: tasks tally what they hold, level by
+level of the automata, and tallies add up. Weights say how much a token counts for:
+those of a kind or of a stratum (classes of characters and length) of many tokens
+share what a full one may count for, so rare ordinary formats (addresses, dates,
+paths) are not drowned by words, and automata stay small however many tokens teach
+them. A stratum with a quarter as many labelled
 credentials as other tokens is no ordinary one and left out, with tokens that have
 a part of it, since what is not labelled there may well be a credential too. Every token that could be a credential, or else the
 parts that ``/`` and ``=`` cut it into, is then scored by how much likelier its
 format is under a credential automaton than under the ordinary one; all that score
-above a threshold found on held-back ordinary tokens are reported besides the fixed
-matches."""
+above a threshold found on the other half of the ordinary tokens are reported besides
+the fixed matches."""
 
 from __future__ import annotations
 
-import hashlib
+import math
+import pickle
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from daypanel.llm import common
-from daypanel.llm.grammar import Automaton, class_of, infer
+from daypanel.llm.grammar import DEPTH, UNIT, Automaton, Builder, Tally, class_of, finish, place, tail_steps
 
 # The kinds in order, their patterns and the least length of what counts.
 KINDS = ("assign", "access", "hex")
@@ -40,8 +44,12 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 
 PART = re.compile(r"[^/=]{12,}")
 
-EXAMPLES, LEAST_EXAMPLES, ORDINARY, PER_STRATUM = 300, 20, 2_000, 100
+# What all credentials of a kind, all ordinary tokens and those of a stratum count for at most.
+EXAMPLES, LEAST_EXAMPLES, ORDINARY, PER_STRATUM = 300, 20, 20_000, 1_000
 MARGIN, ORDINARY_SHARE = 0.5, 0.99
+STEP = 0.001  # of the threshold
+REMEMBERED = 200_000  # tokens a task remembers, so as to give each about once
+FEW, FEW_CHARACTERS = 5_000, 1_000_000  # examples whose last levels are learned in one go
 SUSPECT = 0.25  # credentials to other tokens that make a stratum no ordinary one
 
 
@@ -115,94 +123,177 @@ class Scores(dict):
         return found
 
 
-class Smallest:
-    """The values of a kind with the smallest hashes, ``n`` of them: those of all
-    tasks together hold the ``n`` smallest of the corpus, whatever the tasks read."""
-
-    def __init__(self, n: int):
-        self.n, self.kept, self.bound = n, set(), None
-
-    def add(self, value: str) -> None:
-        entry = (hashlib.blake2b(value.encode(), digest_size=8).digest(), value)
-        if self.bound is None or entry < self.bound:
-            self.kept.add(entry)
-            if len(self.kept) >= 2 * self.n:
-                self.cut()
-
-    def cut(self) -> list[tuple[bytes, str]]:
-        first = sorted(self.kept)[:self.n]
-        self.kept = set(first)
-        if len(first) == self.n:
-            self.bound = first[-1]
-        return first
-
-
-def learn(docs: DataFrame, *, text: str = "text", examples: int = EXAMPLES, ordinary: int = ORDINARY,
-          least_examples: int = LEAST_EXAMPLES, per_stratum: int = PER_STRATUM) -> Grammar:
-    """Automata from all documents: every text is labelled, and of the distinct
-    whole credentials of each kind the ``examples`` with the smallest hashes are
-    learned from, and ``ordinary`` other tokens, at most ``per_stratum`` of each
-    stratum, half of which set the threshold. A kind with fewer than
-    ``least_examples`` distinct credentials in the corpus teaches nothing and gets
-    no automaton; without any, or without ordinary tokens, nothing is added to the
-    fixed spans."""
-    common.ship()
+def tokens(docs: DataFrame, text: str) -> DataFrame:
+    """All distinct tokens of the texts, stored: (kind, stratum, inside, value), of
+    credentials the kind and no stratum; of others no kind, their stratum and those of
+    their parts (``inside``). Besides, per task and stratum, how many credentials and
+    others there are, repeats included: the kind says which, ``value`` how many."""
+    schema = pa.schema([("kind", pa.string()), ("stratum", pa.string()), ("inside", pa.list_(pa.string())),
+                        ("task", pa.int32()), ("value", pa.string())])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        smallest = {(kind, ""): Smallest(examples) for kind in KINDS}
-        seen: Counter = Counter()  # by stratum, credentials and others
+        known: set[tuple[str, str]] = set()  # what this task has given already, as far as it remembers
+        seen: Counter = Counter()
         for batch in batches:
+            rows = []
             for content in batch.column(0):
                 content = content.as_py()
                 spans = fixed_spans(content)
                 for _, kind, _, value in spans:
-                    smallest[KINDS[kind], ""].add(value)
                     seen["credentials", stratum(value)] += 1
-                tokens = {token for _, _, token, free in candidates(content, spans) if free}
-                for token in tokens | {part for token in tokens for _, _, part in parts(0, token)}:
-                    key = "", stratum(token)
-                    if key not in smallest:
-                        smallest[key] = Smallest(per_stratum)
-                    smallest[key].add(token)
-                    seen["others", key[1]] += 1
-        task = TaskContext.get().partitionId().to_bytes(8)  # keeps the counts of two tasks apart
+                    if (KINDS[kind], value) not in known:
+                        known.add((KINDS[kind], value))
+                        rows.append((KINDS[kind], "", [], None, value))
+                found = {token for _, _, token, free in candidates(content, spans) if free}
+                for token in found | {part for token in found for _, _, part in parts(0, token)}:
+                    where = stratum(token)
+                    seen["others", where] += 1
+                    if ("", token) not in known:
+                        known.add(("", token))
+                        inside = sorted({stratum(part) for _, _, part in parts(0, token)})
+                        rows.append(("", where, inside, None, token))
+                if len(known) > REMEMBERED:
+                    known.clear()
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)],
+                                                 schema=schema)
+        task = TaskContext.get().partitionId()  # keeps the counts of two tasks apart
         for (kind, where), n in seen.items():
-            yield pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([where]), pa.array([task], pa.binary()),
-                                              pa.array([str(n)])], ["kind", "stratum", "hash", "value"])
-        for (kind, where), found in smallest.items():
-            first = found.cut()
-            for at in range(0, len(first), 100):
-                hashes, values = zip(*first[at:at + 100], strict=True)
-                n = len(values)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind] * n, pa.string()), pa.array([where] * n, pa.string()), pa.array(hashes, pa.binary()),
-                     pa.array(values, pa.string())], ["kind", "stratum", "hash", "value"])
-
-    labelled = common.durable(docs.select(common.whole(text).alias("text"))
-                              .mapInArrow(label, "kind string, stratum string, hash binary, value string").distinct())
-    credentials = {kind: [r.value for r in labelled.filter(F.col("kind") == kind).orderBy("hash", "value").limit(examples).collect()]
-                   for kind in KINDS}
-    # Evenly from the strata: the first of each, the second of each, and so on.
-    place = F.row_number().over(Window.partitionBy("stratum").orderBy("hash", "value"))
-    others = labelled.filter("kind = ''").withColumn("place", place).filter(F.col("place") <= per_stratum)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
+                ([kind], [where], [[]], [task], [str(n)]), schema.types, strict=True)], schema=schema)
+
+    return common.durable(docs.select(common.whole(text).alias("text")).mapInArrow(
+        label, "kind string, stratum string, inside array<string>, task int, value string").distinct())
+
+
+def learn_automata(lessons: DataFrame, weights: list[dict[str, int]]) -> list[Automaton]:
+    """Automata number 0 to n - 1 from all rows (number, stratum, value), each with the
+    weight of its stratum. A level is a job in which each task tallies the examples it
+    holds; the driver gets tallies, whose size is that of the automata. Once few
+    examples go on, these are fetched and the rest is done at once."""
+    builders = [Builder() for _ in weights]
+
+    def walk(depth: int):
+        ways = [builder.ways() for builder in builders]
+
+        def tallies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            groups, steps, n, size = defaultdict(Tally), Counter(), 0, 0
+            for batch in batches:
+                for number, where, value in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                    weight = weights[number][where]
+                    if depth < 0:
+                        groups[number, 0, ""].add(value, 0, weight)
+                    elif depth < min(len(value), DEPTH):
+                        groups[number, place(ways[number], value, depth), value[depth]].add(value, depth + 1, weight)
+                    elif depth < len(value):
+                        for step in tail_steps(ways[number], value):
+                            steps[number, step] += weight
+                    if len(value) > depth + 1:
+                        n, size = n + 1, size + len(value)
+            plain = {key: (tally.n, [dict(share) for share in tally.shares]) for key, tally in groups.items()}
+            found = pickle.dumps((plain, dict(steps), n, size))
+            yield pa.RecordBatch.from_arrays([pa.array([found], pa.binary())], ["found"])
+
+        groups, steps, n, size = defaultdict(Tally), Counter(), 0, 0
+        for row in lessons.mapInArrow(tallies, "found binary").collect():
+            more, further, n_more, size_more = pickle.loads(bytes(row.found))
+            for key, tally in more.items():
+                groups[key].merge_parts(*tally)
+            for key, weight in further.items():
+                steps[key] += weight
+            n, size = n + n_more, size + size_more
+        return groups, steps, n, size
+
+    for depth in range(-1, DEPTH + 1):
+        groups, steps, n, size = walk(depth)
+        for number, builder in enumerate(builders):
+            if depth < 0:
+                builder.root(groups[number, 0, ""])
+            elif depth < DEPTH:
+                builder.level({key[1:]: tally for key, tally in groups.items() if key[0] == number})
+            else:
+                builder.tail({step: weight for (which, step), weight in steps.items() if which == number})
+        if n <= FEW and size <= FEW_CHARACTERS and depth < DEPTH:
+            rest = [[] for _ in builders]
+            for row in lessons.filter(F.length("value") > depth + 1).collect():
+                rest[row.number].append((row.value, weights[row.number][row.stratum]))
+            return [finish(builder, examples, depth + 1) for builder, examples in zip(builders, rest, strict=True)]
+    return [builder.automaton() for builder in builders]
+
+
+def even_share(sizes: Counter, total: int, most: int) -> dict[str, int]:
+    """The weight of a token of each stratum: strata of more tokens than a bound share
+    out as many whole ones; the bound is ``most`` or, where that gives more than
+    ``total`` in all, lower."""
+    bound, left, strata = float(most), float(total), sorted(sizes.values())
+    for i, size in enumerate(strata):
+        if size * (len(strata) - i) > left:
+            bound = min(bound, left / (len(strata) - i))
+            break
+        left -= size
+    return {where: max(1, int(UNIT * min(1.0, bound / n))) for where, n in sizes.items()}
+
+
+def learn(docs: DataFrame, *, text: str = "text", examples: int = EXAMPLES, ordinary: int = ORDINARY,
+          least_examples: int = LEAST_EXAMPLES, per_stratum: int = PER_STRATUM) -> Grammar:
+    """Automata from all documents: every text is labelled, and all distinct whole
+    credentials of each kind are learned from, together as ``examples`` if they are
+    more, and all other tokens, as ``per_stratum`` of each stratum and ``ordinary`` in
+    all; half of these set the threshold, but none of a stratum of fewer than
+    ``least_examples``: of so few, a half says no more than that their format is rare. A kind with fewer than
+    ``least_examples`` distinct credentials in the corpus teaches nothing and gets
+    no automaton; without any, or without ordinary tokens, nothing is added to the
+    fixed spans."""
+    common.ship()
+    labelled = tokens(docs, text)
     counts: Counter = Counter()
     for r in labelled.filter(F.col("kind").isin("credentials", "others")).groupBy("kind", "stratum").agg(
             F.sum(F.col("value").cast("long")).alias("n")).collect():  # a row per stratum: some thousands at most
         counts[r.kind, r.stratum] = r.n
-    suspect = {where for kind, where in counts if kind == "credentials"
-               and counts[kind, where] > 1 and counts[kind, where] >= SUSPECT * counts["others", where]}
-    rows = others.filter(~F.col("stratum").isin(list(suspect))) if suspect else others
-    plain = [r.value for r in rows.orderBy("place", "hash", "value").limit(2 * ordinary).collect()]
-    plain = [token for token in plain if not any(stratum(part) in suspect for _, _, part in parts(0, token))][:ordinary]
-    kinds = [infer(values) for values in credentials.values() if len(values) >= least_examples]
-    if not kinds or len(plain) < 2 * least_examples:
+    suspect = [where for kind, where in counts if kind == "credentials"
+               and counts[kind, where] > 1 and counts[kind, where] >= SUSPECT * counts["others", where]]
+    named = F.array(*map(F.lit, suspect)).cast("array<string>")
+    plain = labelled.filter((F.col("kind") == "") & ~F.array_contains(named, F.col("stratum")) & ~F.arrays_overlap(named, "inside"))
+    strata = Counter({r.stratum: r.n for r in plain.groupBy("stratum").agg(F.count("*").alias("n")).collect()})
+    sizes = {r.kind: r.n for r in labelled.filter(F.col("kind").isin(*KINDS)).groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    taught = [kind for kind in KINDS if sizes.get(kind, 0) >= least_examples]
+    if not taught or strata.total() < 2 * least_examples:
         return Grammar([], None, 0.0)
-    grammar = Grammar(kinds, infer(plain[::2]), MARGIN)
-    held = sorted(map(grammar.score, plain[1::2]))
-    grammar.threshold = max(MARGIN, held[min(len(held) - 1, int(len(held) * ORDINARY_SHARE))])
+    share = even_share(strata, ordinary, per_stratum)
+    weights = [*(even_share(Counter({"": sizes[kind]}), examples, examples) for kind in taught), share]
+    small = F.array(*(F.lit(where) for where, n in strata.items() if n < least_examples)).cast("array<string>")
+    teaches = (F.xxhash64("value") % 2 == 0) | F.array_contains(small, F.col("stratum"))
+    number = F.coalesce(*(F.when(F.col("kind") == kind, F.lit(i)) for i, kind in enumerate(taught)), F.lit(len(taught)))
+    lessons = common.durable(labelled.filter(F.col("kind").isin(*taught)).unionByName(plain.filter(teaches))
+                             .select(number.alias("number"), "stratum", "value")
+                             .repartition(docs.sparkSession.sparkContext.defaultParallelism, "value"))
+    *kinds, everyday = learn_automata(lessons, weights)
+    grammar = Grammar(kinds, everyday, MARGIN)
+    grammar.threshold = max(MARGIN, held_score(plain.filter(~teaches), grammar, share))
     return grammar
 
 
+def held_score(held: DataFrame, grammar: Grammar, weights: dict[str, int]) -> float:
+    """The score, to the next `STEP`, that `ORDINARY_SHARE` of all held-back tokens by
+    weight do not exceed."""
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        for batch in batches:
+            for where, value in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                found[math.ceil(grammar.score(value) / STEP)] += weights[where]
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())],
+                                         ["score", "weight"])
+
+    rows = held.select("stratum", "value").mapInArrow(scores, "score long, weight long").groupBy("score").agg(
+        F.sum("weight").alias("weight")).orderBy("score").collect()  # scores are per character: some thousand steps
+    left = ORDINARY_SHARE * sum(r.weight for r in rows)
+    for r in rows:
+        left -= r.weight
+        if left < 0:
+            return r.score * STEP
+    return rows[-1].score * STEP if rows else 0.0
+
+
 def scan(docs: DataFrame, grammar: Grammar, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id and spans, an array of (kind, start, end,
     learned) by start, then kind as listed, learned ones last. Offsets are code

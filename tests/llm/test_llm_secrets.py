@@ -175,3 +175,38 @@ def test_rare_ordinary_formats_are_no_secrets(table):
     spans = [texts[r.doc_id][s.start:s.end] for r in secrets.scan(docs, secrets.learn(docs)).collect()
              for s in r.spans if s.kind == secrets.LEARNED]
     assert len(spans) <= 10
+
+
+def test_every_token_teaches(table, monkeypatch):
+    """More credentials of a kind than once were sampled, learned in jobs level by
+    level: the automaton is the one that all of them teach on one machine."""
+    rng = random.Random(12)
+    known = sorted({FORMATS["live"](rng) for _ in range(700)} | {drawn(rng, "xyz", n) for n in (13, 300, 300, 290)})
+    for module in (grammar, secrets):
+        monkeypatch.setattr(module, "DEPTH", 35)  # what is longer has a tail
+    words = sorted({ORDINARY[0](rng) for _ in range(400)})
+    docs = table([(i, f"token = {key} {words[i % len(words)]}") for i, key in enumerate(known)])
+    alone = secrets.learn(docs, examples=len(known))
+    assert [(a.steps, a.ends) for a in alone.kinds] == [(a.steps, a.ends) for a in [grammar.infer(known)]]
+    ordinary = alone.ordinary
+    monkeypatch.setattr(secrets, "FEW", 0)
+    jobs = secrets.learn(docs, examples=len(known))
+    assert [(a.steps, a.classes, a.ends, a.anywhere) for a in (*jobs.kinds, jobs.ordinary)] == [
+        (a.steps, a.classes, a.ends, a.anywhere) for a in (*alone.kinds, ordinary)]
+    assert jobs.threshold == alone.threshold
+
+
+def test_one_in_thousand_teaches_too(table):
+    """A credential more or less changes what is learned, however many there are."""
+    rng = random.Random(13)
+    known, word = sorted({FORMATS["live"](rng) for _ in range(1000)}), sorted({ORDINARY[0](rng) for _ in range(300)})
+    models = [secrets.learn(table([(i, f"token = {key} {word[i % 300]}") for i, key in enumerate(known) if i != left]))
+              for left in (None, 0, 500, 999)]
+    assert len({str(model.kinds[0].steps) for model in models}) == 4
+
+
+def test_weights_share_out():
+    from collections import Counter
+    sizes = Counter({"words": 1_000_000, "paths": 150, "days": 3})
+    assert secrets.even_share(sizes, 2000, 100) == {"words": 104, "paths": int(grammar.UNIT * 100 / 150), "days": grammar.UNIT}
+    assert secrets.even_share(sizes, 53, 100) == {"words": int(grammar.UNIT * 25 / 1e6), "paths": int(grammar.UNIT * 25 / 150), "days": grammar.UNIT}
