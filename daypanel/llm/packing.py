@@ -45,6 +45,7 @@ def token_pieces(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     ``end_id`` after them, cut only where they exceed ``capacity``. A null or
     empty text is the end id alone. Rows that repeat an id are cut one by one."""
     common.ship()
+    common.bounded_batches(docs.sparkSession)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end, step = Encoder(vocabulary), end_id.to_bytes(4, "little"), 4 * capacity

@@ -66,6 +66,7 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     """Rows (doc_id, key, fingerprint), the fingerprint as a signed long; key is
     common.row_key's. Null and empty texts have fingerprint 0."""
     common.ship()
+    common.bounded_batches(docs.sparkSession)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -161,6 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     row that says 1 is enough), learned from at most ``train_rows`` of its rows that are not held out. Only
     texts and labels of those rows are read."""
     common.ship()
+    common.bounded_batches(docs.sparkSession)
     known = (labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("toxic"))
              .filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
@@ -200,6 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
 def with_score(docs: DataFrame, model: Model, name: str, *, text: str = "text") -> DataFrame:
     """``docs`` with the column ``name``: the probability that a text is toxic.
     Null and empty texts are scored like any others."""
+    common.bounded_batches(docs.sparkSession)
     if model.trees is None:
         return docs.withColumn(name, F.lit(model.base))
     columns = docs.columns
